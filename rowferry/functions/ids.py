@@ -104,9 +104,12 @@ _SQL_NAMES = {
 }
 
 
-def register_functions(spark: SparkSession) -> None:
-    """Make the functions callable from SQL in this session (temporary functions are session-local)."""
+def register_functions(spark: SparkSession, text: str | None = None) -> None:
+    """Make the functions callable from SQL in this session (temporary functions are session-local).
+
+    With a `text` only those it mentions are registered.
+    """
     for signature, (returns, body) in _SQL_NAMES.items():
-        spark.sql(
-            f"create or replace temporary function {signature} returns {returns} return {body.replace('$x', 'x')}"
-        )
+        if text is None or signature.split("(")[0].lower() in text.lower():
+            body = body.replace("$x", "x")
+            spark.sql(f"create or replace temporary function {signature} returns {returns} return {body}")

@@ -92,9 +92,10 @@ def _merge_small(
     # at most one row per change, so as small as the changes themselves
     known = F.broadcast(known.withColumn(_IN_TARGET, F.lit(True)))
     checked = _check(changes.join(known, keys, "left"), keys, mode)
-    fresh = checked.where(F.col(_IN_TARGET).isNull()).drop(_IN_TARGET)
     if mode == "create":
-        return target.unionByName(fresh, allowMissingColumns=True)
+        # no filter on the flag here: it would spare the rows that the check is for
+        return target.unionByName(checked.drop(_IN_TARGET), allowMissingColumns=True)
+    fresh = checked.where(F.col(_IN_TARGET).isNull()).drop(_IN_TARGET)
     flagged = checked.drop(_IN_TARGET).withColumn(_IN_CHANGES, F.lit(True))
     joined = target.alias("t").join(F.broadcast(flagged).alias("c"), keys, "left")
     merged = joined.select(*_merged_columns(target, changes, keys, ignore_nulls))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import traceback
 import uuid
 from collections.abc import Mapping
@@ -11,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rowferry.functions import register_functions
 from rowferry.operators.datasets import append_copy, copy_partitions, delete_dataset
 from rowferry.operators.keyed import MODES as KEYED_MODES
 from rowferry.operators.verify import verify
@@ -44,6 +46,10 @@ def now() -> datetime:
 
 def build_frame(session: SparkSession, spec: JobSpec) -> DataFrame:
     """Read the sources, register them under their aliases and apply the SQL text, if any."""
+    query = None
+    if spec.sql is not None:
+        query = str(input_file(session, spec.sql["inputfile"]) if spec.sql.get("inputfile") else spec.sql["query"])
+    register_functions(session, json.dumps([spec.sources, spec.destination, query]))
     frames = []
     for source in spec.sources:
         run_commands(session, source, "pre")
@@ -51,10 +57,7 @@ def build_frame(session: SparkSession, spec: JobSpec) -> DataFrame:
         if source.get("alias"):
             df.createOrReplaceTempView(str(source["alias"]))
         frames.append(df)
-    if spec.sql is None:
-        return frames[0]
-    query = input_file(session, spec.sql["inputfile"]) if spec.sql.get("inputfile") else spec.sql["query"]
-    return session.sql(str(query))
+    return session.sql(query) if query else frames[0]
 
 
 def transform(spark: SparkSession, document: Mapping[str, object]) -> DataFrame:

@@ -8,8 +8,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowferry.functions import register_functions
-
 # Settings every job starts from; a job's own `properties` override them.
 JOB_DEFAULTS = {
     # jobs expect a bad cast to give null
@@ -25,12 +23,12 @@ JOB_DEFAULTS = {
 def job_session(spark: SparkSession, properties: Mapping[str, object] | None = None) -> SparkSession:
     """A session with its own views, functions and settings on the same cluster and catalog."""
     session = spark.newSession()
+    fresh = session.conf.getAll
     for key, value in spark.conf.getAll.items():
-        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+        if key.startswith("spark.sql.") and fresh.get(key) != value and session.conf.isModifiable(key):
             session.conf.set(key, value)
     for key, value in {**JOB_DEFAULTS, **(properties or {})}.items():
         session.conf.set(key, str(value).lower() if isinstance(value, bool) else str(value))
-    register_functions(session)
     return session
 
 

@@ -70,7 +70,7 @@ def write_files(
 
 def write_sequence_file(df: DataFrame, path: str, fileformat: str = "sequencefile") -> None:
     """(row index, row JSON) pairs. Spark has no DataFrame writer for sequence files, hence the RDD."""
-    rows = df.toJSON().zipWithIndex().map(lambda pair: (pair[1], pair[0]))
+    rows = df.select("*").toJSON().zipWithIndex().map(lambda pair: (pair[1], pair[0]))
     rows.saveAsSequenceFile(path, SEQUENCE_CODECS[fileformat])
 
 

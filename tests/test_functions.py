@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import base64
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowferry.functions import (
+    binary_to_juuid,
+    binary_to_uuid,
+    register_functions,
+    render_cell,
+    time_uuid,
+    uuid_to_binary,
+    validate_uuid,
+)
+
+CANONICAL = "8f71cb8e-1df0-4a5e-9d3c-0a1b2c3d4e5f"
+BYTES = bytes(range(16))
+
+
+def one(df):
+    return df.first()[0]
+
+
+@pytest.mark.parametrize(
+    ("text", "valid"),
+    [
+        (CANONICAL, True),
+        (CANONICAL.upper(), True),
+        ("00000000-0000-0000-0000-000000000000", False),
+        ("1-1-1-1-1", False),
+        (CANONICAL.replace("-", ""), False),
+        (CANONICAL + "\n", False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_validate_uuid(spark, text, valid):
+    df = spark.createDataFrame([(text,)], "u string")
+    assert one(df.select(validate_uuid("u"))) is valid
+    register_functions(spark)
+    assert one(df.selectExpr("validateUUID(u)")) is valid
+
+
+def test_uuid_to_binary_and_back(spark):
+    df = spark.createDataFrame([(CANONICAL.upper(),), (None,), ("1-2-3-4-5",)], "u string")
+    got = [r[0] for r in df.select(uuid_to_binary("u")).collect()]
+    assert bytes(got[0]).hex() == CANONICAL.replace("-", "")
+    assert got[1] is None
+    assert bytes(got[2]).hex() == "00000001000200030004000000000005"
+    back = df.select(uuid_to_binary("u").alias("b")).select(binary_to_uuid("b"))
+    assert [r[0] for r in back.collect()] == [CANONICAL, None, "00000001-0002-0003-0004-000000000005"]
+
+
+@pytest.mark.parametrize("text", ["", "not a uuid", CANONICAL.replace("-", ""), "g" + CANONICAL[1:]])
+def test_malformed_uuid_raises(spark, text):
+    with pytest.raises(Exception, match="Invalid UUID string"):
+        spark.createDataFrame([(text,)], "u string").select(uuid_to_binary("u")).collect()
+
+
+def test_short_binary_raises(spark):
+    with pytest.raises(Exception, match="16 bytes"):
+        spark.createDataFrame([(b"short",)], "b binary").select(binary_to_uuid("b")).collect()
+
+
+def test_legacy_byte_order(spark):
+    df = spark.createDataFrame([(base64.b64encode(BYTES),), (None,)], "b binary")
+    got = [r[0] for r in df.select(binary_to_juuid("b")).collect()]
+    assert got == ["07060504-0302-0100-0f0e-0d0c0b0a0908", None]
+
+
+def test_time_uuid_is_unique_over_partitions(spark):
+    ids = [r[0] for r in spark.range(0, 5000, 1, 7).select(time_uuid()).collect()]
+    assert len(set(ids)) == 5000
+    assert all(i[14] == "1" and i[19] in "89ab" for i in ids)
+
+
+def test_functions_stay_inside_codegen(spark):
+    df = spark.createDataFrame([(CANONICAL,)], "u string").select(binary_to_uuid("unhex(replace(u, '-', ''))"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "BatchEval" not in plan
+
+
+@pytest.mark.parametrize(
+    ("truncate", "shown"), [(0, "abcdefgh"), (3, "abc"), (6, "abc..."), (8, "abcdefgh"), (100, "abcdefgh")]
+)
+def test_render_cell_truncates(spark, truncate, shown):
+    df = spark.createDataFrame([("abcdefgh",)], "s string")
+    assert one(df.select(render_cell("s", df.schema["s"].dataType, truncate))) == shown
+
+
+def test_render_cell_kinds(spark):
+    df = spark.sql("SELECT unhex('8F71') b, array(1, null, 2) a, '<a & \"b\">' s, cast(null AS int) n")
+    cells = df.select(*[render_cell(f.name, f.dataType) for f in df.schema]).first()
+    assert list(cells) == ["[8F 71]", "[1, null, 2]", "&lt;a &amp; &quot;b&quot;&gt;", "null"]
+    assert one(df.select(F.length(render_cell("b", df.schema["b"].dataType)))) == 7
