@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import files, query, source, table
-from rowferry import job_session, move, scratch_dir
+from rowferry import move, scratch_dir
 from rowferry.operators import (
     append_copy,
     compact_changes,
@@ -46,10 +46,9 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compacted(spark: SparkSession, sf_dir: str, drop_deletes: bool) -> DataFrame:
-    session = job_session(spark)
     return compact_changes(
-        _base(session, sf_dir),
-        _log(session, sf_dir),
+        _base(spark, sf_dir),
+        _log(spark, sf_dir),
         "o_orderkey",
         "created",
         "updated",
@@ -122,7 +121,7 @@ def append_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, added = scratch_dir(spark, "kept"), scratch_dir(spark, "added")
     table(spark, sf_dir, "customer").selectExpr("c_custkey id", "c_name name").write.parquet(path)
     table(spark, sf_dir, "supplier").selectExpr("s_suppkey id", "s_name name").write.parquet(added)
-    append_copy(job_session(spark), added, path, "parquet")
+    append_copy(spark, added, path, "parquet")
     return spark.read.parquet(path)
 
 

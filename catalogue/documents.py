@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, stage, table
-from rowferry import job_session, scratch_dir
+from rowferry import scratch_dir
 from rowferry.sources import parse_documents, read_json_documents, stage_documents, to_json_documents
 
 
@@ -27,7 +27,7 @@ MIXED = """
 @query(MIXED)
 def doc_json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stage(spark, _mixed(spark, sf_dir).withColumnRenamed("jsonfield", "value"), "text")
-    documents = stage_documents(read_json_documents(job_session(spark), lines), scratch_dir(spark, "documents"))
+    documents = stage_documents(read_json_documents(spark, lines), scratch_dir(spark, "documents"))
     return documents.select(
         F.get_json_object("jsonfield", "$._id").cast("bigint").alias("_id"),
         F.get_json_object("jsonfield", "$.name").alias("name"),
@@ -39,11 +39,11 @@ def doc_json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(MIXED)
 def doc_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "_id bigint, name string, segment string, account struct<balance: double, nation: int>"
-    parsed = parse_documents(_mixed(job_session(spark), sf_dir), schema)
+    parsed = parse_documents(_mixed(spark, sf_dir), schema)
     return parsed.select("_id", "name", "segment", "account.balance")
 
 
 @query(MIXED)
 def doc_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_documents(_mixed(job_session(spark), sf_dir))
+    parsed = parse_documents(_mixed(spark, sf_dir))
     return parsed.select("_id", "name", "segment", "account.balance")

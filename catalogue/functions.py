@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query, stage, table
 from catalogue.relational import run_sql
-from rowferry import job_session
 from rowferry.functions import array_to_text, compact_date, epoch_to_timestamp, time_uuid
 
 
@@ -110,7 +109,7 @@ def fn_juuid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT COUNT(*) AS n, COUNT(*) AS distinct_ids, COUNT(*) AS well_formed FROM lineitem")
 def fn_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = table(job_session(spark), sf_dir, "lineitem").select(time_uuid().alias("id"))
+    named = table(spark, sf_dir, "lineitem").select(time_uuid().alias("id"))
     shape = r"^[0-9a-f]{8}-[0-9a-f]{4}-1[0-9a-f]{3}-[89ab][0-9a-f]{3}-01[0-9a-f]{10}$"
     return spark.read.parquet(stage(spark, named, "parquet")).agg(
         F.count("*").alias("n"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
-from rowferry import job_session
 from rowferry.sinks import encode_messages
 from rowferry.sources import decode_messages, unwrap_change_stream
 
@@ -24,7 +23,7 @@ def _frame(spark: SparkSession, sf_dir: str, value: F.Column) -> DataFrame:
 
 @query("SELECT 'events' AS topic, event_id AS offset_, CAST(user_id AS VARCHAR) AS key, props AS value FROM events")
 def kafka_decode_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _frame(job_session(spark), sf_dir, F.col("props"))
+    frame = _frame(spark, sf_dir, F.col("props"))
     decoded = decode_messages(frame, "string", "string").withColumnRenamed("offset", "offset_")
     return decoded.select("topic", "offset_", "key", "value")
 
@@ -35,7 +34,7 @@ def kafka_decode_string(spark: SparkSession, sf_dir: str) -> DataFrame:
            'event_type=' || event_type AS header
     FROM events""")
 def kafka_encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped = table(job_session(spark), sf_dir, "events").selectExpr(
+    shaped = table(spark, sf_dir, "events").selectExpr(
         "event_id", "event_type", "struct(event_type, struct(user_id AS id) AS user) AS value"
     )
     encoded = encode_messages(shaped, "value", "event_id", "event_type", "string", "string")
@@ -52,7 +51,6 @@ def kafka_encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events""")
 def cdc_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views lack the cluster time, errors are deletes without a document, signups have a broken payload."""
-    session = job_session(spark)
     payload = """to_json(named_struct(
         'operationType', if(event_type = 'error', 'delete', 'insert'),
         'clusterTime', if(event_type = 'view', NULL,
@@ -63,7 +61,7 @@ def cdc_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelope = f"""to_json(named_struct(
         'payload', if(event_type = 'signup', 'not json', {payload}),
         'schema', named_struct('optional', false, 'type', 'string')))"""
-    frame = decode_messages(_frame(session, sf_dir, F.expr(envelope)), "string", "string")
+    frame = decode_messages(_frame(spark, sf_dir, F.expr(envelope)), "string", "string")
     documents = unwrap_change_stream(frame, "_id bigint, event_type string, value double")
     return documents.select(
         F.col("offset").alias("offset_"),

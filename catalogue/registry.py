@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowferry import move, scratch_dir
+from rowferry import job_session, move, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,11 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with its SQL counterpart."""
+    """Register a query under its function name, with its SQL counterpart. It runs in a job session."""
 
     def register(function: Query) -> Query:
         key = name or function.__name__
-        QUERIES[key] = function
+        QUERIES[key] = lambda spark, sf_dir: function(job_session(spark), sf_dir)
         if sql is not None:
             ORACLES[key] = sql
         return function

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import files, moved, query, source, table
-from rowferry import job_session, move, scratch_dir
+from rowferry import move, scratch_dir
 from rowferry.operators import compact
 from rowferry.sinks import log_events, render_rows
 
@@ -85,7 +85,7 @@ def sink_filecount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "compact")
     table(spark, sf_dir, "orders").repartition(12).write.partitionBy("o_orderstatus").parquet(path)
-    compact(job_session(spark), path, "parquet")
+    compact(spark, path, "parquet")
     written = spark.read.parquet(path).withColumn("file", F.input_file_name())
     total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
     return written.groupBy("o_orderstatus").agg(

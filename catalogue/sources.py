@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import files, query, stage, table
-from rowferry import job_session, scratch_dir
+from rowferry import scratch_dir
 from rowferry.sources import read_source
 
 HEADER = {"header": "true"}
@@ -20,7 +20,7 @@ HEADER = {"header": "true"}
     FROM customer""")
 def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage(spark, table(spark, sf_dir, "customer"), "csv", **HEADER)
-    return read_source(job_session(spark), files(path, "csv"))
+    return read_source(spark, files(path, "csv"))
 
 
 @query("""
@@ -30,13 +30,13 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     path = stage(spark, orders, "csv", sep="\t", **HEADER)
-    return read_source(job_session(spark), files(path, "csv", delimiter="\t"))
+    return read_source(spark, files(path, "csv", delimiter="\t"))
 
 
 @query("SELECT c_name || '|' || c_mktsegment AS value FROM customer")
 def src_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "customer").select(F.concat_ws("|", "c_name", "c_mktsegment").alias("value"))
-    return read_source(job_session(spark), files(stage(spark, lines, "text"), "text"))
+    return read_source(spark, files(stage(spark, lines, "text"), "text"))
 
 
 @query("""
@@ -49,7 +49,7 @@ def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority")).alias("terms"),
         ).alias("detail"),
     )
-    df = read_source(job_session(spark), files(stage(spark, orders, "json"), "json"))
+    df = read_source(spark, files(stage(spark, orders, "json"), "json"))
     return df.select("o_orderkey", "detail.status", "detail.terms.price", "detail.terms.priority")
 
 
@@ -64,7 +64,7 @@ def src_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "merge")
     customers.write.parquet(f"{path}/kind=customer")
     suppliers.write.parquet(f"{path}/kind=supplier")
-    df = read_source(job_session(spark), files(path, "parquet", mergeschema="true"))
+    df = read_source(spark, files(path, "parquet", mergeschema="true"))
     return df.select("kind", "id", "name", "segment", "balance")
 
 
@@ -72,13 +72,13 @@ def src_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage(spark, table(spark, sf_dir, "part"), "csv", **HEADER)
     ddl = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
-    return read_source(job_session(spark), files(path, "csv", schema=ddl))
+    return read_source(spark, files(path, "csv", schema=ddl))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def src_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    return read_source(job_session(spark), files(stage(spark, orders, "orc"), "orc"))
+    return read_source(spark, files(stage(spark, orders, "orc"), "orc"))
 
 
 @query("""
@@ -87,7 +87,7 @@ def src_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "by-status")
     table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(path)
-    df = read_source(job_session(spark), files(path, "parquet"))
+    df = read_source(spark, files(path, "parquet"))
     total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
     return df.groupBy("o_orderstatus").agg(F.count("*").alias("n"), total.alias("total"))
 
@@ -98,4 +98,4 @@ def src_catalog_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (path '{sf_dir}/part.parquet')")
     text = f"SELECT p_brand, COUNT(*) AS n, MAX(p_retailprice) AS top FROM {name} WHERE p_size > 10 GROUP BY p_brand"
     endpoint = {"platform": "hive", "query": text, "properties": {"spark.sql.caseSensitive": "false"}}
-    return read_source(job_session(spark), endpoint)
+    return read_source(spark, endpoint)

@@ -38,18 +38,22 @@ class JobResult:
     count: int | None = None
     verified: str = "NA"
     error: str | None = None
+    read: dict[str, int] | None = None
+
+
+@dataclass
+class Moved:
+    count: int | None = None
+    verified: str = "NA"
+    read: dict[str, int] | None = None
 
 
 def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def build_frame(session: SparkSession, spec: JobSpec) -> DataFrame:
-    """Read the sources, register them under their aliases and apply the SQL text, if any."""
-    query = None
-    if spec.sql is not None:
-        query = str(input_file(session, spec.sql["inputfile"]) if spec.sql.get("inputfile") else spec.sql["query"])
-    register_functions(session, json.dumps([spec.sources, spec.destination, query]))
+def read_sources(session: SparkSession, spec: JobSpec) -> list[DataFrame]:
+    """Read the sources in order and register them under their aliases."""
     frames = []
     for source in spec.sources:
         run_commands(session, source, "pre")
@@ -57,14 +61,31 @@ def build_frame(session: SparkSession, spec: JobSpec) -> DataFrame:
         if source.get("alias"):
             df.createOrReplaceTempView(str(source["alias"]))
         frames.append(df)
-    return session.sql(query) if query else frames[0]
+    return frames
+
+
+def apply_sql(session: SparkSession, spec: JobSpec, frames: list[DataFrame]) -> DataFrame:
+    """The result of the SQL text, or the one source as it is."""
+    if spec.sql is None:
+        return frames[0]
+    query = str(input_file(session, spec.sql["inputfile"]) if spec.sql.get("inputfile") else spec.sql["query"])
+    register_functions(session, query)
+    return session.sql(query)
+
+
+def prepared_session(spark: SparkSession, spec: JobSpec) -> SparkSession:
+    """The job's session, with the functions that its commands and queries mention."""
+    session = job_session(spark, spec.properties)
+    register_functions(session, json.dumps([spec.sources, spec.destination], default=str))
+    return session
 
 
 def transform(spark: SparkSession, document: Mapping[str, object]) -> DataFrame:
     """The result of a job as a lazy frame, without a destination."""
     document = {"destination": {"platform": "console"}, **expand_inline(spark, document)}
     spec = parse_job(document)
-    return build_frame(job_session(spark, spec.properties), spec)
+    session = prepared_session(spark, spec)
+    return apply_sql(session, spec, read_sources(session, spec))
 
 
 # destinations whose write runs as one plan of the frame itself, so that a metric can ride along
@@ -87,42 +108,61 @@ def _write(df: DataFrame, destination: Mapping[str, object], count: bool) -> int
 
 
 def move(
-    spark: SparkSession, document: Mapping[str, object], count: bool = False, check: bool = False
-) -> tuple[int | None, str]:
-    """Run one job and raise whatever goes wrong. Returns the rows written and the outcome of the verification."""
+    spark: SparkSession,
+    document: Mapping[str, object],
+    count: bool = False,
+    check: bool = False,
+    count_inputs: bool = False,
+) -> Moved:
+    """Run one job and raise whatever goes wrong.
+
+    `count` asks for the rows written, `check` for a comparison of the result with what the destination holds
+    afterwards, `count_inputs` for the rows of each source. Counting inputs is a job of its own per source, so that
+    it does not keep filters and column pruning from reaching the scans of the move itself.
+    """
     document = expand_inline(spark, document)
     spec = parse_job(document)
-    session = job_session(spark, spec.properties)
-    df = build_frame(session, spec)
+    session = prepared_session(spark, spec)
+    frames = read_sources(session, spec)
     destination = expand_inline_jdbc(session, spec.destination)
     run_commands(session, destination, "pre")
-    written = verified = None
+    df = apply_sql(session, spec, frames)
+    moved = Moved()
     if df.isStreaming:
         run_stream(df, destination)
     else:
-        written = _write(df, destination, count)
+        moved.count = _write(df, destination, count)
+        if check:
+            moved.verified = verify(df, read_source(session, destination), "multiset").first()["status"]
+        if count_inputs:
+            moved.read = {str(s.get("alias", i)): f.count() for i, (s, f) in enumerate(zip(spec.sources, frames))}
     for source in spec.sources:
         run_commands(session, source, "post")
         if is_true(source.get("overrideconnector", False)) and source.get("tmpfilelocation"):
             delete_dataset(session, str(source["tmpfilelocation"]))
     run_commands(session, destination, "post")
-    if check and not df.isStreaming:
-        verified = verify(df, read_source(session, destination), "multiset").first()["status"]
-    return written, verified or "NA"
+    return moved
 
 
 def run_job(
-    spark: SparkSession, document: Mapping[str, object], precise_counts: bool = False, verify_job: bool = False
+    spark: SparkSession,
+    document: Mapping[str, object],
+    precise_counts: bool = False,
+    verify_job: bool = False,
+    count_inputs: bool = False,
 ) -> JobResult:
     """Run one job; a failure ends up in the result instead of being raised."""
-    start, error, count, verified = now(), None, None, "NA"
+    start, error, moved = now(), None, Moved()
     try:
-        count, verified = move(spark, document, precise_counts, verify_job)
+        moved = move(spark, document, precise_counts, verify_job, count_inputs)
     except Exception:
         error = traceback.format_exc()
     sources, destination = described(document)
     status = "Failed" if error else "Completed"
-    return JobResult(uuid.uuid4().hex, sources, destination, start, now(), status, count, verified, error)
+    end = now()
+    return JobResult(
+        uuid.uuid4().hex, sources, destination, start, end, status, moved.count, moved.verified, error, moved.read
+    )
 
 
 def described(document: Mapping[str, object]) -> tuple[str, str]:

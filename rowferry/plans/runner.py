@@ -60,7 +60,7 @@ def run_jobs(
 
 
 def _run(spark: SparkSession, run: RunSpec, job: Mapping[str, object]) -> JobResult:
-    return run_job(spark, job, run.precise_counts, run.verify)
+    return run_job(spark, job, run.precise_counts, run.verify, run.count_inputs)
 
 
 def _serial(spark: SparkSession, run: RunSpec) -> list[JobResult]:

@@ -52,6 +52,7 @@ class RunSpec:
     failure_threshold: int = DEFAULT_FAILURE_THRESHOLD
     precise_counts: bool = False
     verify: bool = False
+    count_inputs: bool = False
     min_execution_time: float | None = None
     max_execution_time: float | None = None
 
@@ -112,6 +113,7 @@ def parse_run(document: Mapping[str, object]) -> RunSpec:
         failure_threshold=int(document.get("migration_failure_threshold", DEFAULT_FAILURE_THRESHOLD)),
         precise_counts=is_true(document.get("precisecounts", False)),
         verify=is_true(document.get("verifymigration", False)),
+        count_inputs=is_true(document.get("inputcounts", False)),
         min_execution_time=limits[0],
         max_execution_time=limits[1],
     )

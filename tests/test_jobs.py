@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowferry import JobsFailed, SpecError, job_session, move, report, run_job, run_jobs, transform
+from rowferry.__main__ import main
 from rowferry.operators import compare_by_key, join_prefixed, verify
 from rowferry.plans import load_document, parse_job, parse_run, redact
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc, first_row_text
@@ -192,6 +193,26 @@ def test_count_of_any_file_sink(spark, tmp_path, fileformat):
     assert (result.error, result.count) == (None, 5)
 
 
+def test_input_counts(spark, tmp_path):
+    document = {
+        "sources": [hello(alias="a"), files(os.path.join(os.path.dirname(HELLO), "foods.csv"), "csv", alias="b")],
+        "sql": {"query": "SELECT a.* FROM a WHERE a.IntField = 1"},
+        "destination": files(tmp_path / "o", "json"),
+        "inputcounts": "true",
+    }
+    (result,) = run_jobs(spark, document)
+    assert result.read == {"a": 5, "b": 4}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "job.json").write_text(json.dumps({"source": hello(), "destination": files(tmp_path / "o", "json")}))
+    assert main([str(tmp_path / "job.json"), "--history", str(tmp_path / "h")], spark) == 0
+    assert "Completed" in capsys.readouterr().out
+    (tmp_path / "bad.json").write_text(json.dumps(job(False, tmp_path / "p")))
+    assert main([str(tmp_path / "bad.json")], spark) == 1
+    assert spark.read.parquet(str(tmp_path / "h" / "runs")).count() == 2
+
+
 def test_report_hides_credentials(spark):
     result = run_job(spark, {"source": {"platform": "floppy", "password": "geheim"}, "destination": {"platform": "console"}})
     assert result.status == "Failed" and "geheim" not in result.sources
