@@ -12,7 +12,7 @@ from rowferry.operators.datasets import (
     replace_partitions,
     rewrite_dataset,
 )
-from rowferry.operators.delta import WatermarkState, affected_rows, missing_rows
+from rowferry.operators.delta import WatermarkState, affected_rows, missing_rows, rows_in_scope
 from rowferry.operators.history import latest_status, time_alerts
 from rowferry.operators.joins import join_prefixed, prefixed
 from rowferry.operators.keyed import delete_rows, keyed_write, unique_by_key, write_documents
@@ -42,6 +42,7 @@ __all__ = [
     "read_partitioned",
     "replace_partitions",
     "rewrite_dataset",
+    "rows_in_scope",
     "time_alerts",
     "unique_by_key",
     "verify",

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowferry.operators.delta import affected_rows
-from rowferry.operators.keyed import key_list
+from rowferry.names import column_names
+from rowferry.operators.delta import rows_in_scope
 
 # Fixed value: the date a deleted row carries.
 DELETED_AT = "3000-01-01 00:00:00"
@@ -20,7 +20,7 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Col
     Catalyst turns the rank filter into a limit per task before the shuffle, so a key with very many rows sends
     one row per task, not all of them.
     """
-    window = Window.partitionBy(*key_list(keys)).orderBy(*order)
+    window = Window.partitionBy(*column_names(keys)).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
@@ -41,7 +41,7 @@ def compact_changes(
     """
     columns = base.columns
     tombstone = F.lit(DELETED_AT).cast(base.schema[updated_at].dataType)
-    kept = affected_rows(base, changes, scope).select(*columns).withColumn("__deleted", F.lit(False))
+    kept = rows_in_scope(base, changes, scope).select(*columns).withColumn("__deleted", F.lit(False))
     logged = changes.select(
         *[F.when(deleted, tombstone).otherwise(F.col(c)).alias(c) if c == updated_at else F.col(f"`{c}`") for c in columns],
         F.coalesce(deleted, F.lit(False)).alias("__deleted"),

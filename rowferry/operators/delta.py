@@ -7,12 +7,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowferry.session import Files
+from rowferry.names import column_names
+from rowferry.session import Files, settled
 
-
-def _names(columns: str | Sequence[str]) -> list[str]:
-    return [c.strip() for c in (columns.split(",") if isinstance(columns, str) else columns)]
+# groups named in a filter rather than joined, and the types whose text form is exact
+LIST_LIMIT = 1000
+LISTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampNTZType, T.TimestampType, T.BooleanType)
 
 
 def missing_rows(source: DataFrame, destination: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -21,16 +23,33 @@ def missing_rows(source: DataFrame, destination: DataFrame, keys: str | Sequence
     The destination's keys are made distinct first, which happens within each task before any shuffle, so that a
     key it repeats very often does not reach one task in full.
     """
-    keys = _names(keys)
+    keys = column_names(keys)
     return source.join(destination.select(*keys).distinct(), keys, "left_anti")
 
 
 def affected_rows(base: DataFrame, changes: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Base rows whose `on` columns occur among the changes."""
-    on = _names(on)
+    on = column_names(on)
     return base.join(changes.select(*on).distinct(), on, "left_semi")
 
 
+def rows_in_scope(base: DataFrame, changes: DataFrame, scope: str | Sequence[str]) -> DataFrame:
+    """Base rows in the partitions, or other coarse groups, that occur among the changes.
+
+    The groups are found first. A moderate number of them becomes a filter on the base, which prunes its
+    partitions; more of them are joined, and as their size is known by then, the base is shuffled only when they
+    are too many to broadcast.
+    """
+    scope = column_names(scope)
+    groups = settled(changes.select(*scope).distinct())
+    if len(scope) == 1 and isinstance(base.schema[scope[0]].dataType, LISTABLE):
+        column, data_type = F.col(scope[0]), base.schema[scope[0]].dataType
+        values = groups.where(column.isNotNull()).select(column.cast("string")).take(LIST_LIMIT + 1)
+        if len(values) <= LIST_LIMIT:
+            return base.where(column.isin([F.lit(row[0]).cast(data_type) for row in values]))
+    return base.join(groups, scope, "left_semi")
+
+
 class WatermarkState:
     """The window of the last finished move, in a small append-only dataset.
 

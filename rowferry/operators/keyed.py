@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.operators.datasets import rewrite_dataset
+from rowferry.names import column_names
+from rowferry.operators.datasets import read_partitioned, replace_partitions, rewrite_dataset
+from rowferry.operators.delta import rows_in_scope
 from rowferry.session import Files, is_small
 
 MODES = ("index", "create", "update", "upsert")
@@ -27,17 +29,13 @@ def guard(df: DataFrame, rule: Column, message: Column) -> DataFrame:
     return df.where(F.when(rule, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
-def key_list(keys: str | Sequence[str]) -> list[str]:
-    return [k.strip() for k in (keys.split(",") if isinstance(keys, str) else keys)]
-
-
 def _key_text(keys: list[str]) -> Column:
     return F.concat_ws(", ", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("null")) for k in keys])
 
 
 def unique_by_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The frame, failing on a null key or a key that occurs twice. Counts combine before the shuffle."""
-    keys = key_list(keys)
+    keys = column_names(keys)
     rows = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("__row")
     )
@@ -66,7 +64,7 @@ def keyed_write(
     """
     if mode not in MODES:
         raise ValueError(f"unknown keyed mode {mode!r}; use one of {', '.join(MODES)}")
-    keys = key_list(keys)
+    keys = column_names(keys)
     small = is_small(changes)
     changes = unique_by_key(changes, keys)
     if mode == "index":
@@ -142,7 +140,7 @@ def _merged_columns(target: DataFrame, changes: DataFrame, keys: list[str], igno
 
 def delete_rows(target: DataFrame, selection: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The target without the rows whose key occurs in the selection."""
-    keys = key_list(keys)
+    keys = column_names(keys)
     small = is_small(selection)
     return target.join(_sized(selection.select(*keys).distinct(), small), keys, "left_anti")
 
@@ -160,14 +158,26 @@ def write_keyed_files(
     fileformat: str,
     keys: str | Sequence[str],
     mode: str,
-    partition_by: Sequence[str] = (),
+    partition_by: str | Sequence[str] = (),
 ) -> None:
-    """Apply a keyed write to a file dataset. The new content is complete before it takes the old one's place."""
+    """Apply a keyed write to a file dataset. The new content is complete before it takes the old one's place.
+
+    A dataset partitioned by `partition_by` looks for a key within the partition of its change, as if the partition
+    columns were part of the key, and rewrites only the partitions that the changes touch.
+    """
     if fileformat not in TYPED_FORMATS:
         raise ValueError(f"keyed modes need one of {', '.join(TYPED_FORMATS)}, not {fileformat!r}")
-    spark = changes.sparkSession
-    if Files(spark).exists(path):
-        target = spark.read.format(fileformat).load(path)
+    spark, partition_columns = changes.sparkSession, column_names(partition_by)
+    all_keys = [*partition_columns, *(k for k in column_names(keys) if k not in partition_columns)]
+    if not Files(spark).exists(path):
+        content = keyed_write(spark.createDataFrame([], changes.schema), changes, all_keys, mode)
+        rewrite_dataset(content, path, fileformat, partition_columns)
+    elif partition_columns:
+        target = read_partitioned(spark, path, fileformat)
+        for name in partition_columns:
+            target = target.withColumn(name, F.col(name).cast(changes.schema[name].dataType))
+        touched = rows_in_scope(target, changes, partition_columns)
+        content = keyed_write(touched, changes, all_keys, mode)
+        replace_partitions(content, path, fileformat, partition_columns, affected=changes)
     else:
-        target = spark.createDataFrame([], changes.schema)
-    rewrite_dataset(keyed_write(target, changes, keys, mode), path, fileformat, partition_by)
+        rewrite_dataset(keyed_write(spark.read.format(fileformat).load(path), changes, all_keys, mode), path, fileformat)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.operators.keyed import key_list
+from rowferry.names import column_names
 
 
 def _copies(source: DataFrame, destination: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def compare_by_key(source: DataFrame, destination: DataFrame, keys: str | Sequen
 
     Source columns that are null, or that the destination does not have, are not compared.
     """
-    keys = key_list(keys)
+    keys = column_names(keys)
     compared = [c for c in source.columns if c not in keys and c in destination.columns]
     left = source.select(*keys, F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("__s"))
     right = destination.select(*keys, F.struct(*[F.col(f"`{c}`") for c in destination.columns]).alias("__d"))

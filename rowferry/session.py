@@ -18,16 +18,26 @@ JOB_DEFAULTS = {
     # split skewed join partitions even when that adds a shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# Settings a job starts from where the given session leaves them unset: stream state is kept outside the heap, and a
+# batch checkpoints only what it changed.
+STREAM_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def job_session(spark: SparkSession, properties: Mapping[str, object] | None = None) -> SparkSession:
     """A session with its own views, functions and settings on the same cluster and catalog."""
     session = spark.newSession()
-    fresh = session.conf.getAll
-    for key, value in spark.conf.getAll.items():
+    fresh, given = session.conf.getAll, spark.conf.getAll
+    for key, value in given.items():
         if key.startswith("spark.sql.") and fresh.get(key) != value and session.conf.isModifiable(key):
             session.conf.set(key, value)
-    for key, value in {**JOB_DEFAULTS, **(properties or {})}.items():
+    unset = {key: value for key, value in STREAM_DEFAULTS.items() if key not in given}
+    for key, value in {**JOB_DEFAULTS, **unset, **(properties or {})}.items():
         session.conf.set(key, str(value).lower() if isinstance(value, bool) else str(value))
     return session
 
@@ -60,6 +70,13 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The frame, written to the scratch folder and read back: computed once, with a size that Catalyst knows."""
+    path = scratch_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Files:
     """Metadata operations on a Hadoop path; no data passes through the driver."""
 

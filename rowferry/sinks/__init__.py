@@ -74,7 +74,14 @@ def _write_file_endpoint(df: DataFrame, endpoint: Mapping[str, object]) -> None:
     if is_true(endpoint.get("rowfromjsonstring", False)):
         write_raw_json(df, path, savemode)
     elif savemode.lower() in KEYED_MODES:
-        write_keyed_files(df, path, str(endpoint["fileformat"]), str(endpoint["mappingid"]), savemode.lower())
+        write_keyed_files(
+            df,
+            path,
+            str(endpoint["fileformat"]),
+            str(endpoint["mappingid"]),
+            savemode.lower(),
+            endpoint.get("groupbyfields", ""),
+        )
     else:
         write_files(
             df,

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.names import column_names
+
 FORMATS = ("json", "csv", "parquet", "orc", "avro", "text")
 # Sequence file format -> Hadoop codec.
 SEQUENCE_CODECS = {
@@ -17,14 +19,6 @@ SEQUENCE_CODECS = {
 SAVE_MODES = {"append": "append", "overwrite": "overwrite", "errorifexists": "error", "ignore": "ignore"}
 
 
-def field_list(fields: str | Sequence[str] | None) -> list[str]:
-    """Column names from a comma list or a sequence."""
-    if not fields:
-        return []
-    names = fields.split(",") if isinstance(fields, str) else fields
-    return [n.strip() for n in names if n.strip()]
-
-
 def check_unique_columns(df: DataFrame) -> None:
     seen: set[str] = set()
     repeated = sorted({c for c in df.columns if c.lower() in seen or seen.add(c.lower())})
@@ -56,7 +50,7 @@ def write_files(
     if savemode.lower() not in SAVE_MODES:
         raise ValueError(f"unknown savemode {savemode!r}")
     check_unique_columns(df)
-    partition_columns = field_list(groupbyfields)
+    partition_columns = column_names(groupbyfields)
     if coalescefilecount:
         df = df.repartition(int(coalescefilecount))
     elif partition_columns and rebalance:

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from rowferry.sinks.files import FORMATS, field_list
+from rowferry.names import column_names
+from rowferry.sinks.files import FORMATS
 from rowferry.sinks.messages import encode_for, producer_options
 from rowferry.sources.files import file_path
 
@@ -42,7 +43,7 @@ def start_stream(df: DataFrame, endpoint: Mapping[str, object]) -> StreamingQuer
         # a restart must find the same checkpoint, and readers skip names that start with an underscore
         options = {"header": "true", "path": path, "checkpointLocation": f"{path}/_checkpoint", **user_options}
         writer = df.writeStream.format(fileformat).options(**options)
-        partition_columns = field_list(endpoint.get("groupbyfields"))
+        partition_columns = column_names(endpoint.get("groupbyfields"))
         if partition_columns:
             writer = writer.partitionBy(*partition_columns)
     elif platform == "console":

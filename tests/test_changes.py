@@ -22,6 +22,7 @@ from rowferry.operators import (
     partition_columns,
     replace_partitions,
     rewrite_dataset,
+    rows_in_scope,
 )
 from tests.conftest import rows
 
@@ -82,6 +83,22 @@ def test_missing_rows(spark):
     assert rows(missing_rows(source, destination, "id")) == sorted([(1,), (None,)], key=repr)
 
 
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_scope_prunes_partitions(spark, folder, monkeypatch, limit):
+    monkeypatch.setattr("rowferry.operators.delta.LIST_LIMIT", limit)
+    data = [(i, f"2024-01-0{i % 5 + 1}", None if i % 7 == 0 else "x") for i in range(20)]
+    spark.createDataFrame(data, "id int, p string, q string").write.partitionBy("p").parquet(folder)
+    base = spark.read.parquet(folder)
+    changes = spark.createDataFrame([("2024-01-02",), ("2024-01-04",), ("2024-01-04",), (None,)], "p string")
+    changes = changes.withColumn("p", F.col("p").cast("date"))
+    found = rows_in_scope(base, changes, "p")
+    assert sorted(r["id"] for r in found.collect()) == [i for i in range(20) if i % 5 in (1, 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" not in plan) and (limit == 1 or "Join" not in plan)
+    if limit > 1:
+        assert len(found.inputFiles()) >= 1 and "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [p" in plan
+
+
 def parts(folder):
     return sorted(os.path.relpath(d, folder) for d in glob.glob(f"{folder}/*=*"))
 

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 
 from rowferry.operators import delete_rows, keyed_write, unique_by_key, write_documents
@@ -133,3 +136,20 @@ def test_keyed_files(spark, folder, fileformat):
 def test_keyed_files_refuse_untyped_formats(spark, folder):
     with pytest.raises(ValueError, match="keyed modes need"):
         write_keyed_files(frame(spark, STORED), folder, "csv", "id", "index")
+
+
+@pytest.mark.parametrize("mode", ["index", "upsert"])
+def test_keyed_files_rewrite_touched_partitions_only(spark, folder, path_of_plan, mode):
+    schema = "id int, day string, a string"
+    stored = [(1, "01", "a1"), (2, "01", "a2"), (3, "02", "a3"), (4, "03", None)]
+    write_keyed_files(frame(spark, stored, schema), folder, "parquet", "id", "create", "day")
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/day=0[13]/*.parquet")}
+    changes = frame(spark, [(3, "02", "n3"), (9, "02", "a9"), (1, "04", "a1")], schema)
+    write_keyed_files(changes, folder, "parquet", "id", mode, "day")
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before and len(before) == 2
+    got = spark.read.schema(schema).parquet(folder).select("id", "day", "a")
+    assert rows(got) == sorted(
+        [(1, "01", "a1"), (2, "01", "a2"), (3, "02", "n3"), (9, "02", "a9"), (4, "03", None), (1, "04", "a1")], key=repr
+    )
+    with pytest.raises(Exception, match="exists already: 02, 9"):
+        write_keyed_files(frame(spark, [(9, "02", "x")], schema), folder, "parquet", "id", "create", "day")

@@ -1,0 +1,129 @@
+"""One key holds a third of all rows: results against brute force, and plans that combine before they shuffle."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowferry import job_session
+from rowferry.operators import (
+    affected_rows,
+    collect_distinct,
+    compare_by_key,
+    compact_changes,
+    delete_rows,
+    keyed_write,
+    latest_per_key,
+    missing_rows,
+    nest,
+    verify,
+)
+from rowferry.operators.datasets import setting
+from tests.conftest import rows
+
+HOT = 7
+
+
+@pytest.fixture(scope="module")
+def data():
+    random.seed(5)
+    return [(HOT if random.random() < 1 / 3 else random.randrange(60), n, random.randrange(9)) for n in range(3000)]
+
+
+@pytest.fixture(scope="module")
+def facts(spark, data, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("skew") / "facts")
+    spark.createDataFrame(data, "k int, n int, v int").repartition(6).write.parquet(path)
+    return job_session(spark).read.parquet(path)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest(facts, data):
+    expected = {}
+    for k, n, _ in data:
+        expected[k] = max(n, expected.get(k, -1))
+    latest = latest_per_key(facts, "k", [F.desc("n")])
+    assert plan(latest).count("WindowGroupLimit") == 2
+    assert {r["k"]: r["n"] for r in latest.collect()} == expected
+
+
+def test_semi_and_anti_joins_combine_the_hot_side_first(spark, facts, data):
+    dimension = facts.sparkSession.range(0, 100).selectExpr("cast(id AS int) AS k")
+    keys = {k for k, _, _ in data}
+    for df in (affected_rows(dimension, facts, "k"), missing_rows(dimension, facts, "k")):
+        assert plan(df).count("HashAggregate(keys=[k") == 2
+    assert {r[0] for r in affected_rows(dimension, facts, "k").collect()} == keys
+    assert {r[0] for r in missing_rows(dimension, facts, "k").collect()} == set(range(100)) - keys
+    assert {r[0] for r in delete_rows(dimension, facts, "k").collect()} == set(range(100)) - keys
+
+
+def test_arrays_of_distinct_values(facts, data):
+    expected = {}
+    for k, _, v in data:
+        expected.setdefault(k, set()).add(v)
+    got = {r["k"]: r["v"] for r in collect_distinct(facts, ["k"], "v").collect()}
+    assert got == {k: sorted(v) for k, v in expected.items()}
+    parents = facts.select("k").distinct()
+    nested = {r["k"]: r["vs"] for r in nest(parents, facts, ("k", "k"), "v", "vs").collect()}
+    assert nested == got
+
+
+def test_verification(facts):
+    repeated = facts.select("k", "v")
+    assert verify(repeated, repeated, "multiset").first()["status"] == "succeeded"
+    fewer = repeated.where(~((F.col("k") == HOT) & (F.col("v") == 1)))
+    row = verify(repeated, fewer, "multiset").first()
+    assert row["status"] == "failed" and row["difference"] == repeated.count() - fewer.count()
+
+
+def test_compaction(facts, data):
+    base = facts.groupBy("k").agg(F.lit("p").alias("part"), F.lit(-1).alias("n"), F.lit(0).alias("v"))
+    log = facts.withColumn("part", F.lit("p"))
+    got = compact_changes(base.select("k", "part", "n", "v"), log, "k", "part", "n", F.lit(False))
+    expected = {}
+    for k, n, v in data:
+        if n > expected.get(k, (-1, 0))[0]:
+            expected[k] = (n, v)
+    assert {r["k"]: (r["n"], r["v"]) for r in got.collect()} == expected
+
+
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_keyed_write_into_a_hot_partition(facts, data, limit):
+    with setting(facts.sparkSession, "spark.sql.autoBroadcastJoinThreshold", limit):
+        changes = facts.where("v = 3").selectExpr("n", "100 AS v")
+        got = {r["n"]: (r["k"], r["v"]) for r in keyed_write(facts, changes, "n", "update").collect()}
+    assert got == {n: (k, 100 if v == 3 else v) for k, n, v in data}
+
+
+def test_comparison(facts, data):
+    changed = facts.withColumn("v", F.when(F.col("k") == HOT, -1).otherwise(F.col("v")))
+    assert compare_by_key(facts, changed, "n").count() == sum(k == HOT for k, _, _ in data)
+
+
+def test_skewed_joins_are_split(spark, tmp_path):
+    """A join whose one partition is far larger than the others is read by several tasks."""
+    properties = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        # one task per file, as a shuffle is split by the tasks that wrote it
+        "spark.sql.files.maxPartitionBytes": "1MB",
+        "spark.sql.files.openCostInBytes": "1MB",
+    }
+    session = job_session(spark, properties)
+    facts = session.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS k", "md5(string(id)) AS payload")
+    facts.write.parquet(str(tmp_path / "f"))
+    session.range(0, 60000, 1, 8).selectExpr("id AS k", "id AS name").write.parquet(str(tmp_path / "d"))
+    facts, dimension = session.read.parquet(str(tmp_path / "f")), session.read.parquet(str(tmp_path / "d"))
+    joined = facts.join(dimension, "k", "left")
+    # the aggregate above the join would need its own partitioning, so splitting asks for the forced mode
+    counted = joined.groupBy("k").agg(F.count("*").alias("c"), F.max("payload").alias("p"), F.max("name").alias("n"))
+    counted.collect()
+    assert "skew=true" in plan(counted)
+    assert rows(counted.where("c > 1").select("k", "c")) == [(7, 20001)]
