@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, stage, table
+from rowferry import move, scratch_dir
 from rowferry.sinks import encode_messages
 from rowferry.sources import decode_messages, unwrap_change_stream
 
@@ -70,3 +71,44 @@ def cdc_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value.event_type"),
         F.col("value.value").alias("amount"),
     )
+
+
+def _topic(path: str, **options) -> dict[str, object]:
+    """A topic endpoint over a dataset of Kafka-shaped rows, which stands in for the broker."""
+    return {
+        "platform": "kafka",
+        "format": "parquet",
+        "bootstrapservers": "none:9092",
+        "topic": "events",
+        "keyformat": "string",
+        "valueformat": "string",
+        "sparkoptions": {"path": path, "checkpointLocation": f"{path}/_checkpoint"},
+        **options,
+    }
+
+
+RESHAPED = """
+    SELECT CAST(user_id AS VARCHAR) AS key,
+           '{"offset":' || event_id || ',"k":' || JSON_EXTRACT_STRING(props, '$.k') || '}' AS value FROM events"""
+
+
+def _reshape(spark: SparkSession, sf_dir: str, source: dict[str, object], **destination) -> DataFrame:
+    topic, target = stage(spark, _frame(spark, sf_dir, F.col("props")), "parquet"), scratch_dir(spark, "topic")
+    document = {
+        "source": _topic(topic, alias="kf", **source),
+        "sql": {"query": "SELECT key AS user, struct(offset, from_json(value, 'k bigint').k AS k) AS value FROM kf"},
+        "properties": {"spark.sql.streaming.schemaInference": True},
+        "destination": _topic(target, keyfield="user", **destination),
+    }
+    move(spark, document)
+    return spark.read.parquet(target)
+
+
+@query(RESHAPED)
+def kafka_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reshape(spark, sf_dir, {})
+
+
+@query(RESHAPED)
+def stream_kafka_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reshape(spark, sf_dir, {"isstream": "true", "streamwatermarkdelay": "1 hour"}, trigger="available_now")

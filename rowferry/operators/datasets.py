@@ -30,10 +30,12 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 def read_partitioned(spark: SparkSession, path: str, fileformat: str) -> DataFrame:
-    """A dataset whose partition values stay text, so that `01` is written back as `01`."""
+    """A dataset as it must be read to be written again without loss.
+
+    Partition values stay text, so that `01` is written back as `01`, and the columns are those of all files.
+    """
     with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-        reader = spark.read.format(fileformat)
-        return (reader.option("header", "true") if fileformat == "csv" else reader).load(path)
+        return spark.read.format(fileformat).options(header="true", mergeSchema="true").load(path)
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:

@@ -180,4 +180,5 @@ def write_keyed_files(
         content = keyed_write(touched, changes, all_keys, mode)
         replace_partitions(content, path, fileformat, partition_columns, affected=changes)
     else:
-        rewrite_dataset(keyed_write(spark.read.format(fileformat).load(path), changes, all_keys, mode), path, fileformat)
+        target = read_partitioned(spark, path, fileformat)
+        rewrite_dataset(keyed_write(target, changes, all_keys, mode), path, fileformat)

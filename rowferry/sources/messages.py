@@ -51,6 +51,11 @@ def subject_name(
     return f"{topic}-{'key' if is_key else 'value'}"
 
 
+def registry_header(schema_id: int) -> Column:
+    """The bytes in front of an Avro message whose schema has this id in the registry."""
+    return F.unhex(F.lit(f"00{schema_id:08X}"))
+
+
 def from_registry_avro(column: Column, schema: str) -> Column:
     """Avro column without its registry header. Needs the spark-avro package on the cluster."""
     from pyspark.sql.avro.functions import from_avro

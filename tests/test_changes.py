@@ -216,3 +216,14 @@ def test_nesting_agrees_with_a_correlated_subquery(spark):
     )
     by_nest = nest(spark.table("kinds"), spark.table("pairs"), ("foodtypeid", "kind"), "foodid", "ids")
     assert rows(by_sql) == rows(by_nest.select("foodtype", "ids"))
+
+
+def test_copies_keep_the_columns_of_all_files(spark, tmp_path):
+    source, destination = str(tmp_path / "s"), str(tmp_path / "d")
+    spark.range(2).selectExpr("id").write.parquet(f"{source}/p=1")
+    spark.range(2).selectExpr("id", "id * 2 AS twice").write.parquet(f"{source}/p=2")
+    copy_partitions(spark, source, destination, "parquet")
+    got = spark.read.option("mergeSchema", "true").parquet(destination)
+    assert rows(got.where("p = 2").select("id", "twice")) == [(0, 0), (1, 2)]
+    compact(spark, source, "parquet")
+    assert "twice" in spark.read.option("mergeSchema", "true").parquet(source).columns

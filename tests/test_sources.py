@@ -10,7 +10,7 @@ from rowferry.sources import parse_documents, read_source, stage_documents, to_j
 from rowferry.sources.connectors import connector_options, mongodb_uri
 from rowferry.sources.files import file_options, file_path
 from rowferry.sources.jdbc import connection, jdbc_read_options
-from rowferry.sources.messages import consumer_options, subject_name
+from rowferry.sources.messages import consumer_options, registry_header, subject_name
 from tests.conftest import rows
 
 HELLO = os.path.join(os.path.dirname(__file__), "fixtures", "hello.csv")
@@ -188,3 +188,7 @@ def test_connector_options():
     snow = {"platform": "snowflake", "url": "u", "user": "x", "database": "d", "schema": "s", "table": "(select 1) A"}
     assert connector_options(snow)["query"] == "SELECT * FROM (select 1) A"
     assert connector_options(snow, writing=True)["dbtable"] == "(select 1) A"
+
+
+def test_registry_header(spark):
+    assert bytes(spark.range(1).select(registry_header(258)).first()[0]) == b"\x00\x00\x00\x01\x02"
