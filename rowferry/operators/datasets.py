@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rowferry.session import Files
 
-TARGET_FILE_BYTES = 256 * 1024 * 1024
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 @contextmanager
@@ -29,6 +29,17 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+@contextmanager
+def file_size(spark: SparkSession, target_bytes: int = TARGET_FILE_BYTES) -> Iterator[None]:
+    """The size AQE aims at for rebalanced writes inside the block, unless the session names one."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(key, None) is not None:
+        yield
+    else:
+        with setting(spark, key, str(target_bytes)):
+            yield
+
+
 def read_partitioned(spark: SparkSession, path: str, fileformat: str) -> DataFrame:
     """A dataset as it must be read to be written again without loss.
 
@@ -78,7 +89,9 @@ def replace_partitions(
 
 def _overwrite_partitions(df: DataFrame, path: str, fileformat: str, columns: list[str]) -> None:
     writer = df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns)
-    writer.option("partitionOverwriteMode", "dynamic").option("header", "true").format(fileformat).save(path)
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("header", "true").format(fileformat)
+    with file_size(df.sparkSession):
+        writer.save(path)
 
 
 def copy_partitions(
@@ -128,7 +141,8 @@ def rewrite_dataset(df: DataFrame, path: str, fileformat: str, partition_by: Seq
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fileformat).option("header", "true")
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(following)
+    with file_size(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(following)
     if files.exists(base):
         files.rename(base, previous)
     files.rename(following, base)

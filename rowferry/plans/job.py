@@ -107,6 +107,21 @@ def _write(df: DataFrame, destination: Mapping[str, object], count: bool) -> int
     return observed.get["rows"]
 
 
+def read_back(session: SparkSession, destination: Mapping[str, object], written: DataFrame) -> DataFrame | None:
+    """What the destination holds, in the columns and types that were written; None where it cannot be read again."""
+    platform, fileformat = destination["platform"], destination.get("fileformat")
+    if platform in ("console", "kafka") or fileformat in SEQUENCE_CODECS or "rowfromjsonstring" in destination:
+        return None
+    if platform == "hive":
+        database = destination.get("database")
+        return session.table(f"{database}.{destination['table']}" if database else destination["table"]).toDF(
+            *written.columns
+        )
+    if fileformat in ("csv", "json"):
+        destination = {**destination, "schema": written.schema.toDDL()}
+    return read_source(session, destination)
+
+
 def move(
     spark: SparkSession,
     document: Mapping[str, object],
@@ -132,8 +147,9 @@ def move(
         run_stream(df, destination)
     else:
         moved.count = _write(df, destination, count)
-        if check:
-            moved.verified = verify(df, read_source(session, destination), "multiset").first()["status"]
+        stored = read_back(session, destination, df) if check else None
+        if stored is not None:
+            moved.verified = verify(df, stored, "multiset").first()["status"]
         if count_inputs:
             moved.read = {str(s.get("alias", i)): f.count() for i, (s, f) in enumerate(zip(spec.sources, frames))}
     for source in spec.sources:

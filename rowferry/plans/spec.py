@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from rowferry.plans.templates import expand_inline
 from rowferry.sinks import PLATFORMS as SINK_PLATFORMS
 from rowferry.sources import PLATFORMS as SOURCE_PLATFORMS
 from rowferry.sources import input_file, read_text_file
@@ -29,6 +30,15 @@ SECRET_KEYS = (
     "pemfilepath",
 )
 DEFAULT_FAILURE_THRESHOLD = 10000
+# settings that a specification passes on to the one it points at
+INHERITED = (
+    "precisecounts",
+    "inputcounts",
+    "verifymigration",
+    "migration_failure_threshold",
+    "minexecutiontime",
+    "maxexecutiontime",
+)
 
 
 class SpecError(ValueError):
@@ -90,12 +100,13 @@ def load_document(spark: SparkSession, given: str | Mapping[str, object]) -> dic
         document = json.loads(given if given.lstrip().startswith("{") else read_text_file(spark, given))
     visited: list[str] = []
     while "jsoninputfile" in document:
-        pointer = document["jsoninputfile"]
+        pointer = expand_inline(spark, document["jsoninputfile"])
         target = pointer.get("s3path") or pointer["path"]
         if target in visited:
             raise SpecError(f"specifications point at each other: {' -> '.join([*visited, target])}")
         visited.append(target)
-        document = json.loads(input_file(spark, pointer))
+        inherited = {k: document[k] for k in INHERITED if k in document}
+        document = {**inherited, **json.loads(input_file(spark, pointer))}
     return document
 
 

@@ -47,7 +47,7 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
 
     Only a local master, where every task runs on this machine, may fall back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

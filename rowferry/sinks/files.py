@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.names import column_names
+from rowferry.operators.datasets import file_size
 
 FORMATS = ("json", "csv", "parquet", "orc", "avro", "text")
 # Sequence file format -> Hadoop codec.
@@ -59,7 +60,8 @@ def write_files(
     writer = writer.options(**(sparkoptions or {}))
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
-    writer.save(path)
+    with file_size(df.sparkSession):
+        writer.save(path)
 
 
 def write_sequence_file(df: DataFrame, path: str, fileformat: str = "sequencefile") -> None:

@@ -110,6 +110,39 @@ def test_pointers_are_followed(spark, tmp_path):
         load_document(spark, str(tmp_path / "loop.json"))
 
 
+def test_pointers_pass_settings_on(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps({"source": {"platform": "hive"}, "verifymigration": "false"}))
+    path = f"inlineexpr{{{{select '{tmp_path}/b.json'}}}}"
+    document = {"jsoninputfile": {"path": path}, "precisecounts": True, "verifymigration": "true", "cluster": {}}
+    loaded = load_document(spark, document)
+    assert loaded == {"source": {"platform": "hive"}, "verifymigration": "false", "precisecounts": True}
+
+
+@pytest.mark.parametrize("fileformat", ["csv", "json", "parquet", "orc"])
+def test_verification_of_any_format(spark, tmp_path, fileformat):
+    text = "SELECT *, timestamp'2024-05-06 07:08:09.123' AS at, 1.5D AS d, date'2024-01-01' AS day FROM h"
+    document = {
+        "source": hello(alias="h"),
+        "sql": {"query": text},
+        "destination": files(tmp_path / "o", fileformat, groupbyfields="IntField"),
+    }
+    assert run_job(spark, document, verify_job=True).verified == "succeeded"
+    # the folder now holds every row twice
+    assert run_job(spark, document, verify_job=True).verified == "failed"
+
+
+def test_verification_of_tables_and_unreadable_sinks(spark, tmp_path):
+    spark.sql(f"CREATE TABLE checked (a STRING, b STRING, c INT) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        ddl = "HelloField STRING, WorldField STRING, IntField INT"
+        result = run_job(spark, {"source": hello(schema=ddl), "destination": {"platform": "hive", "table": "checked"}}, True, True)
+        assert (result.error, result.count, result.verified) == (None, 5, "succeeded")
+    finally:
+        spark.sql("DROP TABLE checked")
+    result = run_job(spark, job(True, tmp_path / "x") | {"destination": {"platform": "console"}}, verify_job=True)
+    assert (result.error, result.verified) == (None, "NA")
+
+
 def test_redaction():
     given = {"sources": [{"server": "s", "password": "p", "Login": "l"}], "destination": {"awssecretaccesskey": "k"}}
     assert redact(given) == {"sources": [{"server": "s"}], "destination": {}}
