@@ -40,10 +40,11 @@ def compact_changes(
     delete wins over everything. Deleted keys stay as rows dated `DELETED_AT` unless `drop_deletes`.
     """
     columns = base.columns
-    tombstone = F.lit(DELETED_AT).cast(base.schema[updated_at].dataType)
+    tombstone = F.lit(DELETED_AT).try_cast(base.schema[updated_at].dataType)
     kept = rows_in_scope(base, changes, scope).select(*columns).withColumn("__deleted", F.lit(False))
+    dated = F.when(deleted, tombstone).otherwise(F.col(updated_at)).alias(updated_at)
     logged = changes.select(
-        *[F.when(deleted, tombstone).otherwise(F.col(c)).alias(c) if c == updated_at else F.col(f"`{c}`") for c in columns],
+        *[dated if c == updated_at else F.col(f"`{c}`") for c in columns],
         F.coalesce(deleted, F.lit(False)).alias("__deleted"),
     )
     order = [F.desc("__deleted"), F.desc(updated_at), *tie_break]

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from rowferry.session import Files
 
@@ -46,7 +47,10 @@ def read_partitioned(spark: SparkSession, path: str, fileformat: str) -> DataFra
     Partition values stay text, so that `01` is written back as `01`, and the columns are those of all files.
     """
     with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-        return spark.read.format(fileformat).options(header="true", mergeSchema="true").load(path)
+        df = spark.read.format(fileformat).options(header="true", mergeSchema="true").load(path)
+    # a partition column that is null everywhere has no type of its own
+    untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if isinstance(f.dataType, NullType)}
+    return df.withColumns(untyped) if untyped else df
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -78,10 +82,10 @@ def replace_partitions(
     staged_path = f"{parent}/.{name}-staged-{uuid.uuid4().hex[:8]}"
     _overwrite_partitions(df, staged_path, fileformat, columns)
     staged = read_partitioned(spark, staged_path, fileformat)
-    left = affected.select(*[F.col(c).cast("string").alias(c) for c in columns]).distinct()
-    emptied = left.join(staged.select(*columns).distinct(), columns, "left_anti")
-    # one row per folder to drop
-    folders = [row.asDict() for row in emptied.collect()]
+    # as folders know them: null and the empty text are the same partition
+    touched = affected.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+    # one row per folder to drop; set difference takes null for equal to null
+    folders = [row.asDict() for row in touched.subtract(staged.select(*columns)).collect()]
     _overwrite_partitions(staged, path, fileformat, columns)
     drop_partitions(spark, path, folders)
     Files(spark).delete(staged_path)

@@ -34,7 +34,7 @@ def affected_rows(base: DataFrame, changes: DataFrame, on: str | Sequence[str])
 
 
 def rows_in_scope(base: DataFrame, changes: DataFrame, scope: str | Sequence[str]) -> DataFrame:
-    """Base rows in the partitions, or other coarse groups, that occur among the changes.
+    """Base rows in the partitions, or other coarse groups, that occur among the changes; null is a group too.
 
     The groups are found first. A moderate number of them becomes a filter on the base, which prunes its
     partitions; more of them are joined, and as their size is known by then, the base is shuffled only when they
@@ -44,10 +44,14 @@ def rows_in_scope(base: DataFrame, changes: DataFrame, scope: str | Sequence[str
     groups = settled(changes.select(*scope).distinct())
     if len(scope) == 1 and isinstance(base.schema[scope[0]].dataType, LISTABLE):
         column, data_type = F.col(scope[0]), base.schema[scope[0]].dataType
-        values = groups.where(column.isNotNull()).select(column.cast("string")).take(LIST_LIMIT + 1)
+        values = [row[0] for row in groups.select(column.cast("string")).take(LIST_LIMIT + 1)]
         if len(values) <= LIST_LIMIT:
-            return base.where(column.isin([F.lit(row[0]).cast(data_type) for row in values]))
-    return base.join(groups, scope, "left_semi")
+            listed = column.isin([F.lit(v).cast(data_type) for v in values if v is not None])
+            return base.where(listed | column.isNull() if None in values else listed)
+    same = F.lit(True)
+    for name in scope:
+        same = same & F.col(f"b.`{name}`").eqNullSafe(F.col(f"g.`{name}`"))
+    return base.alias("b").join(groups.alias("g"), same, "left_semi")
 
 
 class WatermarkState:

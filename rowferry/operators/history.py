@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from rowferry.operators.changes import latest_per_key
 
 JOB_SCHEMA = (
-    "MigrationId string, JobId string, SourceDestinationMappings string, StartTime timestamp_ntz, EndTime timestamp_ntz, "
-    "ElapsedTimeInMinutes bigint, Count bigint, Size bigint, Status string"
+    "MigrationId string, JobId string, SourceDestinationMappings string, StartTime timestamp_ntz, "
+    "EndTime timestamp_ntz, ElapsedTimeInMinutes bigint, Count bigint, Size bigint, Status string"
 )
 RUN_SCHEMA = (
     "JobId string, MigrationJSON string, SubmissionTime timestamp_ntz, EndTime timestamp_ntz, "

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.names import column_names
+from rowferry.operators.keyed import unique_by_key
 
 
 def _copies(source: DataFrame, destination: DataFrame) -> DataFrame:
@@ -61,10 +62,12 @@ def _finding(kind: str, column: str | None, source: Column, destination: Column)
 def compare_by_key(source: DataFrame, destination: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Differences by key: a row without counterpart, or a column whose text differs.
 
-    Source columns that are null, or that the destination does not have, are not compared.
+    Source columns that are null, or that the destination does not have, are not compared. A key that is null or
+    occurs twice on one side fails the comparison; that check shares its shuffle with the join.
     """
     keys = column_names(keys)
     compared = [c for c in source.columns if c not in keys and c in destination.columns]
+    source, destination = unique_by_key(source, keys), unique_by_key(destination, keys)
     left = source.select(*keys, F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("__s"))
     right = destination.select(*keys, F.struct(*[F.col(f"`{c}`") for c in destination.columns]).alias("__d"))
 

@@ -37,15 +37,12 @@ def read_files(
     path: str,
     fileformat: str,
     schema: str | None = None,
-    recursive: bool = False,
     **options,
 ) -> DataFrame:
     """Scan files. Without a DDL `schema` CSV columns are strings and the other formats infer their schema."""
     reader = spark.read.format(fileformat).options(**file_options(fileformat, **options))
     if schema:
         reader = reader.schema(schema)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
     return reader.load(path)
 
 

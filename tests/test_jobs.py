@@ -10,7 +10,7 @@ from rowferry import JobsFailed, SpecError, job_session, move, report, run_job,
 from rowferry.__main__ import main
 from rowferry.operators import compare_by_key, join_prefixed, verify
 from rowferry.plans import load_document, parse_job, parse_run, redact
-from rowferry.plans.templates import expand_inline, expand_inline_jdbc, first_row_text
+from rowferry.plans.templates import expand_inline, first_row_text
 from tests.conftest import rows
 
 HELLO = os.path.join(os.path.dirname(__file__), "fixtures", "hello.csv")
@@ -311,6 +311,8 @@ def test_compare_by_key(spark):
         (4, "missing in source", None, None, None),
     ]
     assert rows(compare_by_key(a.select("k"), a.select("k"), "k")) == []
+    with pytest.raises(Exception, match="repeated key: 1"):
+        compare_by_key(a.union(a.where("k = 1")), b, "k").collect()
 
 
 def test_join_prefixed_can_be_written(spark, folder):
