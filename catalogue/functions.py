@@ -16,9 +16,8 @@ from rowferry.functions import array_to_text, compact_date, epoch_to_timestamp,
     FROM events""")
 def fn_partition_col(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
-        "SELECT event_id, date_format(ts, \"y-MM-dd'T'HH:mm:ss\") AS at, translate(translate(translate(translate("
-        "substring_index(date_format(ts, 'y-MM-dd HH:mm:ss'), ':', 1), '-', ''), ':', ''), 'T', ''), ' ', '') AS part_sql "
-        "FROM events"
+        "SELECT event_id, date_format(ts, \"y-MM-dd'T'HH:mm:ss\") AS at, "
+        "translate(substring_index(date_format(ts, 'y-MM-dd HH:mm:ss'), ':', 1), '- ', '') AS part_sql FROM events"
     )
     return run_sql(spark, sf_dir, text, "events").select("event_id", "part_sql", compact_date("at").alias("part"))
 

@@ -18,7 +18,7 @@ from rowferry.operators.keyed import MODES as KEYED_MODES
 from rowferry.operators.verify import verify
 from rowferry.plans.spec import JobSpec, describe, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
-from rowferry.session import job_session
+from rowferry.session import job_session, size_shuffles
 from rowferry.sinks import write_sink
 from rowferry.sinks.files import SEQUENCE_CODECS
 from rowferry.sources import input_file, read_source
@@ -61,6 +61,7 @@ def read_sources(session: SparkSession, spec: JobSpec) -> list[DataFrame]:
         if source.get("alias"):
             df.createOrReplaceTempView(str(source["alias"]))
         frames.append(df)
+    size_shuffles(session, frames)
     return frames
 
 

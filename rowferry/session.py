@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,12 @@ STREAM_DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+# every task of a shuffle writes a block per partition, so their number has to stay moderate
+MOST_SHUFFLE_PARTITIONS = 20000
+# Catalyst's estimate for a relation it knows nothing about is of this order
+UNKNOWN_SIZE = 1 << 60
 
 
 def job_session(spark: SparkSession, properties: Mapping[str, object] | None = None) -> SparkSession:
@@ -70,6 +77,19 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
+def size_shuffles(spark: SparkSession, sources: Iterable[DataFrame]) -> None:
+    """Let AQE start from enough shuffle partitions for the sources of a job; it merges those that turn out small.
+
+    Sources of unknown size are left out, and a number that the session names itself is kept.
+    """
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
+        return
+    sizes = [estimated_bytes(df) for df in sources if not df.isStreaming]
+    needed = math.ceil(sum(size for size in sizes if size < UNKNOWN_SIZE) / SHUFFLE_PARTITION_BYTES)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(min(needed, MOST_SHUFFLE_PARTITIONS)))
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The frame, written to the scratch folder and read back: computed once, with a size that Catalyst knows."""
     path = scratch_dir(df.sparkSession, "settled")

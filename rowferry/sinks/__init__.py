@@ -17,7 +17,7 @@ from rowferry.sinks.report import html_table, log_events, render_rows, show_prev
 from rowferry.sources.connectors import FORMATS as CONNECTORS
 from rowferry.sources.connectors import write_connector
 from rowferry.sources.documents import parse_documents
-from rowferry.sources.files import file_path
+from rowferry.sources.files import endpoint_path
 from rowferry.sources.jdbc import DRIVERS, is_true
 
 PLATFORMS = ("filesystem", "s3", "hive", "kafka", "console", *DRIVERS, *CONNECTORS)
@@ -65,10 +65,7 @@ def write_sink(df: DataFrame, endpoint: Mapping[str, object]) -> None:
 
 
 def _write_file_endpoint(df: DataFrame, endpoint: Mapping[str, object]) -> None:
-    object_store = endpoint["platform"] == "s3"
-    path = file_path(
-        df.sparkSession, str(endpoint["s3path" if object_store else "path"]), endpoint.get("fileprefix"), object_store
-    )
+    path = endpoint_path(df.sparkSession, endpoint)
     savemode = str(endpoint.get("savemode", "append"))
     count = endpoint.get("coalescefilecount")
     if is_true(endpoint.get("rowfromjsonstring", False)):

@@ -16,7 +16,7 @@ from rowferry.sources.documents import (
     stage_documents,
     to_json_documents,
 )
-from rowferry.sources.files import file_path, read_files, read_text_file, stream_files
+from rowferry.sources.files import endpoint_path, file_path, read_files, read_text_file, stream_files
 from rowferry.sources.jdbc import DRIVERS, is_true, read_jdbc
 from rowferry.sources.messages import decode_messages, read_messages, unwrap_change_stream
 
@@ -81,10 +81,7 @@ def with_watermark(df: DataFrame, field: str, delay: str) -> DataFrame:
 
 
 def _read_file_endpoint(spark: SparkSession, endpoint: Mapping[str, object], streaming: bool) -> DataFrame:
-    object_store = endpoint["platform"] == "s3"
-    path = file_path(
-        spark, str(endpoint["s3path" if object_store else "path"]), endpoint.get("fileprefix"), object_store
-    )
+    path = endpoint_path(spark, endpoint)
     options = {
         "delimiter": str(endpoint.get("delimiter", ",")),
         "charset": str(endpoint.get("charset", "utf-8")),

@@ -28,10 +28,17 @@ def file_options(
 def file_path(spark: SparkSession, path: str, fileprefix: str | None = None, object_store: bool = False) -> str:
     """The path with its scheme; object-store paths default to `s3a://` locally and `s3://` on a cluster."""
     if fileprefix is None and object_store:
-        fileprefix = "s3a://" if spark.sparkContext.master == "local[*]" else "s3://"
+        fileprefix = "s3a://" if spark.sparkContext.master.startswith("local") else "s3://"
     return f"{fileprefix or ''}{path}"
 
 
+def endpoint_path(spark: SparkSession, endpoint: Mapping[str, object]) -> str:
+    """The full path of a file endpoint. A store with an endpoint of its own is reached by `s3a://`."""
+    object_store = endpoint["platform"] == "s3"
+    prefix = endpoint.get("fileprefix") or ("s3a://" if endpoint.get("s3_service_endpoint") else None)
+    return file_path(spark, str(endpoint["s3path" if object_store else "path"]), prefix, object_store)
+
+
 def read_files(
     spark: SparkSession,
     path: str,

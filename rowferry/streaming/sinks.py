@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from rowferry.names import column_names
 from rowferry.sinks.files import FORMATS
 from rowferry.sinks.messages import encode_for, producer_options
-from rowferry.sources.files import file_path
+from rowferry.sources.files import endpoint_path
 
 
 def _triggered(writer: DataStreamWriter, endpoint: Mapping[str, object]) -> DataStreamWriter:
@@ -33,13 +33,7 @@ def start_stream(df: DataFrame, endpoint: Mapping[str, object]) -> StreamingQuer
         fileformat = str(endpoint["fileformat"])
         if fileformat not in FORMATS:
             raise ValueError(f"unknown stream file format {fileformat!r}")
-        object_store = platform == "s3"
-        path = file_path(
-            df.sparkSession,
-            str(endpoint["s3path" if object_store else "path"]),
-            endpoint.get("fileprefix"),
-            object_store,
-        )
+        path = endpoint_path(df.sparkSession, endpoint)
         # a restart must find the same checkpoint, and readers skip names that start with an underscore
         options = {"header": "true", "path": path, "checkpointLocation": f"{path}/_checkpoint", **user_options}
         writer = df.writeStream.format(fileformat).options(**options)

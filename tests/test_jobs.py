@@ -60,6 +60,19 @@ def test_views_and_settings_stay_in_the_job(spark):
     assert df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_shuffles_are_sized_by_the_sources(spark, tmp_path, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(0, 100000, 1, 4).write.parquet(str(tmp_path / "in"))
+    document = {"source": files(tmp_path / "in", "parquet", alias="t"), "sql": {"query": "SELECT DISTINCT id % 9 AS r FROM t"}}
+    assert transform(spark, document).sparkSession.conf.get(key, None) is None
+    monkeypatch.setattr("rowferry.session.SHUFFLE_PARTITION_BYTES", 1000)
+    monkeypatch.setattr("rowferry.session.MOST_SHUFFLE_PARTITIONS", 300)
+    df = transform(spark, document)
+    assert df.sparkSession.conf.get(key) == "300" and df.count() == 9
+    given = transform(spark, {**document, "properties": {key: 12}})
+    assert given.sparkSession.conf.get(key) == "12"
+
+
 @pytest.mark.parametrize(
     ("document", "message"),
     [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowferry import job_session
 from rowferry.sources import parse_documents, read_source, stage_documents, to_json_documents
 from rowferry.sources.connectors import connector_options, mongodb_uri
-from rowferry.sources.files import file_options, file_path
+from rowferry.sources.files import endpoint_path, file_options, file_path
 from rowferry.sources.jdbc import connection, jdbc_read_options
 from rowferry.sources.messages import consumer_options, registry_header, subject_name
 from tests.conftest import rows
@@ -59,6 +59,9 @@ def test_path_prefixes(spark):
     assert file_path(spark, "bucket/x") == "bucket/x"
     assert file_path(spark, "bucket/x", object_store=True) == "s3a://bucket/x"
     assert file_path(spark, "bucket/x", "gs://", object_store=True) == "gs://bucket/x"
+    store = {"platform": "s3", "s3path": "b/x"}
+    assert endpoint_path(spark, {**store, "s3_service_endpoint": "https://e"}) == "s3a://b/x"
+    assert endpoint_path(spark, {"platform": "filesystem", "path": "/x", "fileprefix": "file://"}) == "file:///x"
 
 
 def test_partition_discovery(spark, folder):
