@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from catalogue import changes, documents, functions, jobs, keyed, messages, relational, sinks, sources, streams, verification
+from catalogue import (
+    changes,
+    documents,
+    functions,
+    jobs,
+    keyed,
+    messages,
+    relational,
+    sinks,
+    sources,
+    streams,
+    verification,
+)
 from catalogue.registry import ORACLES, QUERIES
 
 MODULES = (sources, sinks, relational, functions, jobs, keyed, changes, documents, messages, streams, verification)

@@ -11,12 +11,15 @@ from rowferry.operators import (
     append_copy,
     compact_changes,
     drop_partitions,
+    missing_rows,
     replace_partitions,
 )
+from rowferry.sinks import write_files
 
 # A returned item deletes its order; other items carry a new price.
 CHANGE_LOG = """
-    SELECT o_orderkey, l_extendedprice AS price, o_orderdate AS created, l_shipdate AS updated, l_returnflag = 'R' AS gone
+    SELECT o_orderkey, l_extendedprice AS price, o_orderdate AS created, l_shipdate AS updated,
+           l_returnflag = 'R' AS gone
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 45"""
 COMPACTED = f"""
     WITH log AS ({CHANGE_LOG}),
@@ -24,9 +27,13 @@ COMPACTED = f"""
         SELECT o_orderkey, o_totalprice AS price, o_orderdate AS created, o_orderdate AS updated, FALSE AS gone
         FROM orders WHERE o_orderdate IN (SELECT created FROM log)
         UNION ALL
-        SELECT o_orderkey, price, created, CASE WHEN gone THEN TIMESTAMP '3000-01-01 00:00:00' ELSE updated END, gone FROM log),
+        SELECT o_orderkey, price, created,
+               CASE WHEN gone THEN TIMESTAMP '3000-01-01 00:00:00' ELSE updated END, gone
+        FROM log),
     ranked AS (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY gone DESC, updated DESC, price DESC) AS rn FROM stacked)
+        SELECT *, ROW_NUMBER() OVER (
+            PARTITION BY o_orderkey ORDER BY gone DESC, updated DESC, price DESC) AS rn
+        FROM stacked)
     SELECT o_orderkey, price, STRFTIME(created, '%Y%m%d%H') AS part, STRFTIME(updated, '%Y-%m-%d') AS updated
     FROM ranked WHERE rn = 1"""
 
@@ -87,8 +94,8 @@ def replace_partitions_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.lit("old").alias("version"))
     orders.write.partitionBy("o_orderpriority").parquet(path)
     affected = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'")
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr("l_orderkey o_orderkey").distinct()
-    kept = orders.where("o_orderpriority NOT IN ('1-URGENT', '5-LOW')").join(returned, "o_orderkey", "left_anti")
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr("l_orderkey o_orderkey")
+    kept = missing_rows(orders.where("o_orderpriority NOT IN ('1-URGENT', '5-LOW')"), returned, "o_orderkey")
     recomputed = kept.withColumn("version", F.lit("new"))
     replace_partitions(recomputed, path, "parquet", ["o_orderpriority"], affected)
     return spark.read.parquet(path)
@@ -103,7 +110,10 @@ def replace_partitions_by_command(spark: SparkSession, sf_dir: str) -> DataFrame
     text = "SELECT o_orderkey, o_orderstatus, o_totalprice AS price FROM o"
     job = {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}}
     move(spark, {**job, "destination": files(path, "parquet", groupbyfields="o_orderstatus")})
-    text = "SELECT o_orderkey, o_orderstatus, -o_totalprice AS price FROM o WHERE o_orderstatus = 'F' AND o_totalprice < 250000"
+    text = (
+        "SELECT o_orderkey, o_orderstatus, -o_totalprice AS price FROM o "
+        "WHERE o_orderstatus = 'F' AND o_totalprice < 250000"
+    )
     command = {
         "operation": "copy",
         "sourcepath": temporary,
@@ -116,7 +126,10 @@ def replace_partitions_by_command(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.parquet(path)
 
 
-@query("SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier", name="append_copy")
+@query(
+    "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier",
+    name="append_copy",
+)
 def append_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, added = scratch_dir(spark, "kept"), scratch_dir(spark, "added")
     table(spark, sf_dir, "customer").selectExpr("c_custkey id", "c_name name").write.parquet(path)
@@ -127,10 +140,11 @@ def append_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT l_returnflag, l_linestatus, COUNT(*) AS n FROM lineitem
-    WHERE NOT (l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linestatus = 'O')) GROUP BY ALL""", name="drop_partitions")
+    WHERE NOT (l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linestatus = 'O'))
+    GROUP BY ALL""", name="drop_partitions")
 def dropped_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "dropped")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
-    lines.hint("rebalance", "l_returnflag", "l_linestatus").write.partitionBy("l_returnflag", "l_linestatus").parquet(path)
+    write_files(lines, path, "parquet", groupbyfields="l_returnflag,l_linestatus")
     drop_partitions(spark, path, [{"l_returnflag": "R"}, {"l_returnflag": "A", "l_linestatus": "O"}])
     return spark.read.parquet(path).groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))

@@ -11,8 +11,7 @@ from rowferry.functions import array_to_text, compact_date, epoch_to_timestamp,
 
 
 @query("""
-    SELECT event_id, SPLIT_PART(REPLACE(REPLACE(STRFTIME(ts, '%Y-%m-%d %H:%M:%S'), '-', ''), ' ', ''), ':', 1) AS part_sql,
-           STRFTIME(ts, '%Y%m%d%H') AS part
+    SELECT event_id, STRFTIME(ts, '%Y%m%d%H') AS part_sql, STRFTIME(ts, '%Y%m%d%H') AS part
     FROM events""")
 def fn_partition_col(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
@@ -24,17 +23,24 @@ def fn_partition_col(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, STRFTIME(ts, '%Y-%m-%d %H:%M:%S.%g') AS at FROM events")
 def fn_date_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql(spark, sf_dir, "SELECT event_id, date_format(ts, 'y-MM-dd HH:mm:ss.SSS') AS at FROM events", "events")
+    text = "SELECT event_id, date_format(ts, 'y-MM-dd HH:mm:ss.SSS') AS at FROM events"
+    return run_sql(spark, sf_dir, text, "events")
 
 
-@query("SELECT doc_id, '[' || REPLACE(text, ' ', ',') || ']' AS words, '[' || REPLACE(text, ' ', ',') || ']' AS words_sql FROM documents")
+@query("""
+    SELECT doc_id, '[' || REPLACE(text, ' ', ',') || ']' AS words, '[' || REPLACE(text, ' ', ',') || ']' AS words_sql
+    FROM documents""")
 def fn_array_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = "SELECT doc_id, w, concat('[', concat_ws(',', w), ']') AS words_sql FROM (SELECT doc_id, split(text, ' ') AS w FROM documents)"
+    text = (
+        "SELECT doc_id, w, concat('[', concat_ws(',', w), ']') AS words_sql "
+        "FROM (SELECT doc_id, split(text, ' ') AS w FROM documents)"
+    )
     return run_sql(spark, sf_dir, text, "documents").select("doc_id", array_to_text("w").alias("words"), "words_sql")
 
 
 @query("""
-    SELECT p_partkey, '[{"size":' || p_size || ',"brand":"' || p_brand || '"},{"size":0,"brand":"' || p_type || '"}]' AS body
+    SELECT p_partkey,
+           '[{"size":' || p_size || ',"brand":"' || p_brand || '"},{"size":0,"brand":"' || p_type || '"}]' AS body
     FROM part""")
 def fn_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
@@ -49,11 +55,14 @@ def fn_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, "SELECT event_id, from_json(props, 'k bigint').k AS k FROM events", "events")
 
 
-@query("SELECT event_id, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS at, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS at_sql FROM events")
+@query("""
+    SELECT event_id, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS at, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS at_sql
+    FROM events""")
 def fn_epoch_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         "SELECT event_id, unix_seconds(cast(ts AS timestamp)) AS seconds, "
-        "date_format(to_timestamp(from_unixtime(unix_seconds(cast(ts AS timestamp)))), 'y-MM-dd HH:mm:ss') AS at_sql FROM events"
+        "date_format(to_timestamp(from_unixtime(unix_seconds(cast(ts AS timestamp)))), 'y-MM-dd HH:mm:ss') AS at_sql "
+        "FROM events"
     )
     at = F.date_format(epoch_to_timestamp("seconds"), "y-MM-dd HH:mm:ss")
     return run_sql(spark, sf_dir, text, "events").select("event_id", at.alias("at"), "at_sql")
@@ -75,8 +84,9 @@ VARIANTS = """CASE c_mktsegment WHEN 'BUILDING' THEN upper({uuid}) WHEN 'MACHINE
 
 
 @query(f"""
-    SELECT c_custkey, COALESCE(REGEXP_FULL_MATCH({VARIANTS}, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}')
-           AND c_mktsegment <> 'FURNITURE', FALSE) AS valid
+    SELECT c_custkey, COALESCE(
+        REGEXP_FULL_MATCH({VARIANTS}, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}')
+        AND c_mktsegment <> 'FURNITURE', FALSE) AS valid
     FROM customer""")
 def fn_validate_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, f"SELECT c_custkey, validateUUID({VARIANTS}) AS valid FROM customer", "customer")

@@ -21,7 +21,8 @@ def job_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 PER_REGION = """
     SELECT r.r_name, COUNT(*) AS customers, MAX(c.c_acctbal) AS richest
     FROM c JOIN n ON c.c_nationkey = n.n_nationkey JOIN r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name"""
-PER_REGION_ORACLE = PER_REGION.replace("FROM c JOIN n", "FROM customer c JOIN nation n").replace("JOIN r ON", "JOIN region r ON")
+PER_REGION_ORACLE = f"""
+    WITH c AS (SELECT * FROM customer), n AS (SELECT * FROM nation), r AS (SELECT * FROM region) {PER_REGION}"""
 
 
 def _region_sources(sf_dir: str) -> list[dict[str, object]]:
@@ -41,7 +42,8 @@ def job_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT o_orderkey, o_totalprice FROM orders
-    WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders) OR o_totalprice = (SELECT MIN(o_totalprice) FROM orders)""")
+    WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders)
+       OR o_totalprice = (SELECT MIN(o_totalprice) FROM orders)""")
 def inline_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = f"parquet.`{sf_dir}/orders.parquet`"
     text = (

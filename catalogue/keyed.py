@@ -15,7 +15,8 @@ CHANGED = """
     SELECT o_custkey AS c_custkey, MAX(o_totalprice) AS c_acctbal,
            CASE WHEN COUNT(*) > 1 THEN 'LARGE' END AS c_mktsegment
     FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey"""
-ADDED = "SELECT -1 - s_suppkey AS c_custkey, s_acctbal AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier"
+ADDED = """
+    SELECT -1 - s_suppkey AS c_custkey, s_acctbal AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier"""
 CHANGES = f"{CHANGED} UNION ALL {ADDED}"
 
 
@@ -116,7 +117,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return kept, given
 
 
-DOCUMENTS = "SELECT o_custkey AS _id, COUNT(*) AS large_orders FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey"
+DOCUMENTS = """
+    SELECT o_custkey AS _id, COUNT(*) AS large_orders FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey"""
 
 
 @query(f"""

@@ -28,10 +28,15 @@ def same_sql(name: str, text: str, *tables: str) -> None:
 
 
 same_sql("project_rename", "SELECT o_orderkey AS id, o_totalprice AS price FROM orders", "orders")
-same_sql("filter_pred", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'BUILDING'", "customer")
+same_sql(
+    "filter_pred",
+    "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'BUILDING'",
+    "customer",
+)
 same_sql(
     "case_when",
-    "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'other' END AS state FROM orders",
+    "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'other' END AS state "
+    "FROM orders",
     "orders",
 )
 same_sql(
@@ -60,8 +65,8 @@ same_sql(
     "derived_tables",
     "SELECT n_name, busiest FROM nation JOIN (SELECT c_nationkey, MAX(orders) AS busiest FROM "
     "(SELECT c_custkey, c_nationkey, COUNT(*) AS orders FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') f "
-    "JOIN customer ON c_custkey = o_custkey GROUP BY c_custkey, c_nationkey) per_customer GROUP BY c_nationkey) per_nation "
-    "ON n_nationkey = c_nationkey",
+    "JOIN customer ON c_custkey = o_custkey GROUP BY c_custkey, c_nationkey) per_customer "
+    "GROUP BY c_nationkey) per_nation ON n_nationkey = c_nationkey",
     "nation",
     "customer",
     "orders",
@@ -83,7 +88,8 @@ same_sql(
 )
 
 
-@query("SELECT event_id, TRY_CAST(event_type AS INTEGER) AS as_int, CAST(value AS INTEGER) AS whole FROM (SELECT event_id, event_type, TRUNC(value) AS value FROM events)")
+@query("""
+    SELECT event_id, TRY_CAST(event_type AS INTEGER) AS as_int, CAST(TRUNC(value) AS INTEGER) AS whole FROM events""")
 def cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "SELECT event_id, CAST(event_type AS INT) AS as_int, CAST(value AS INT) AS whole FROM events"
     return run_sql(spark, sf_dir, text, "events")
@@ -113,7 +119,8 @@ def struct_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT c.c_custkey AS X_id, c.c_name AS X_name, o.n AS Y_n, s.s_name AS Z_name
-    FROM customer c JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+    FROM customer c
+    JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
     JOIN supplier s ON c.c_custkey = s.s_suppkey""", name="join_prefixed")
 def join_prefixed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = table(spark, sf_dir, "customer").selectExpr("c_custkey id", "c_name name")
@@ -134,8 +141,9 @@ def delta_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_orderkey, o_totalprice FROM orders
     WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')""")
 def semi_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").withColumnRenamed("l_orderkey", "o_orderkey")
-    return affected_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), returned, "o_orderkey")
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr("l_orderkey o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return affected_rows(orders, returned, "o_orderkey")
 
 
 @query("""

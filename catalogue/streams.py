@@ -26,7 +26,9 @@ def stream_file_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(streamed(spark, {"source": stream(sf_dir, "events")})).select(*EVENT_COLUMNS)
 
 
-@query("SELECT event_id, UPPER(event_type) AS kind, '{\"k\":' || JSON_EXTRACT_STRING(props, '$.k') || '}' AS body FROM events WHERE value > 50")
+@query("""
+    SELECT event_id, UPPER(event_type) AS kind, '{"k":' || JSON_EXTRACT_STRING(props, '$.k') || '}' AS body
+    FROM events WHERE value > 50""")
 def stream_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         "SELECT event_id, upper(event_type) AS kind, to_json(struct(from_json(props, 'k bigint').k AS k)) AS body "
@@ -35,7 +37,9 @@ def stream_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(streamed(spark, {"source": stream(sf_dir, "events", "e"), "sql": {"query": text}}))
 
 
-@query("SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM events GROUP BY event_type")
+@query("""
+    SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
+    FROM events GROUP BY event_type""")
 def stream_sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = streamed(spark, {"source": stream(sf_dir, "events")}, groupbyfields="event_type")
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
@@ -71,7 +75,9 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH mark AS (SELECT LEAST((SELECT MAX(o_orderdate) FROM orders), (SELECT MAX(l_shipdate) FROM lineitem)) - INTERVAL 10 DAY AS w)
+    WITH mark AS (
+        SELECT LEAST((SELECT MAX(o_orderdate) FROM orders), (SELECT MAX(l_shipdate) FROM lineitem))
+               - INTERVAL 10 DAY AS w)
     SELECT o_orderkey, l_linenumber, l_quantity
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
          AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 30 DAY

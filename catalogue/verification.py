@@ -9,7 +9,9 @@ from catalogue.registry import moved, query, source, table
 from rowferry.operators import compare_by_key, latest_status, time_alerts, verify
 
 
-@query("SELECT COUNT(*) AS source_count, COUNT(*) AS destination_count, COUNT(*) AS union_count, 'succeeded' AS status FROM orders")
+@query("""
+    SELECT COUNT(*) AS source_count, COUNT(*) AS destination_count, COUNT(*) AS union_count, 'succeeded' AS status
+    FROM orders""")
 def verify_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     copied = spark.read.parquet(moved(spark, {"source": source(sf_dir, "orders")}))
     return verify(table(spark, sf_dir, "orders"), copied).drop("difference")
@@ -27,7 +29,8 @@ def verify_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT CAST(COUNT(*) AS BIGINT) AS source_count, CAST(COUNT(*) AS BIGINT) AS destination_count,
-           CAST(COUNT(DISTINCT (l_returnflag, l_linestatus, l_quantity)) AS BIGINT) AS union_count, 'succeeded' AS status
+           CAST(COUNT(DISTINCT (l_returnflag, l_linestatus, l_quantity)) AS BIGINT) AS union_count,
+           'succeeded' AS status
     FROM lineitem""")
 def verify_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that repeat very often, written and read back."""
@@ -68,7 +71,7 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(user_id AS string) AS MigrationId",
         "cast(event_id AS string) AS JobId",
         "ts AS StartTime",
-        f"CASE WHEN event_type <> 'view' THEN ts END AS EndTime",
+        "CASE WHEN event_type <> 'view' THEN ts END AS EndTime",
         "cast(floor(value) AS bigint) AS ElapsedTimeInMinutes",
         f"{STATUS} AS Status",
     )
@@ -77,7 +80,9 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT MigrationId, JobId, Status FROM (
         SELECT CAST(user_id AS VARCHAR) AS MigrationId, CAST(event_id AS VARCHAR) AS JobId, {STATUS} AS Status,
-               ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
+               ROW_NUMBER() OVER (
+                   PARTITION BY user_id ORDER BY ts DESC, event_type = 'view', CAST(event_id AS VARCHAR) DESC) AS rn
+        FROM events)
     WHERE rn = 1""")
 def history_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_status(_history(spark, sf_dir)).select("MigrationId", "JobId", "Status")
@@ -91,7 +96,9 @@ def history_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE event_type <> 'view' AND (FLOOR(value) < c_nationkey OR FLOOR(value) > c_nationkey + 40)""")
 def history_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = table(spark, sf_dir, "customer").selectExpr(
-        "cast(c_custkey AS string) AS MigrationId", "c_nationkey AS minexecutiontime", "c_nationkey + 40 AS maxexecutiontime"
+        "cast(c_custkey AS string) AS MigrationId",
+        "c_nationkey AS minexecutiontime",
+        "c_nationkey + 40 AS maxexecutiontime",
     )
     alerts = time_alerts(_history(spark, sf_dir), limits)
     return alerts.selectExpr("MigrationId", "JobId", "ElapsedTimeInMinutes AS elapsed", "alert")
