@@ -36,7 +36,7 @@ def job_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PER_REGION_ORACLE)
 def job_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stage(spark, spark.createDataFrame([(PER_REGION.replace("\n", " "),)], "value string").coalesce(1), "text")
+    path = stage(spark, spark.range(0, 1, 1, 1).select(F.lit(PER_REGION.replace("\n", " ")).alias("value")), "text")
     return transform(spark, {"sources": _region_sources(sf_dir), "sql": {"inputfile": {"path": path}}})
 
 

@@ -53,6 +53,12 @@ def read_partitioned(spark: SparkSession, path: str, fileformat: str) -> DataFra
     return df.withColumns(untyped) if untyped else df
 
 
+def beside(path: str, label: str) -> str:
+    """A hidden folder next to a dataset, on the same file system, so that it can be renamed into its place."""
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    return f"{folder}{slash}.{name}-{label}-{uuid.uuid4().hex[:8]}"
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns from the folder names, outermost first."""
     files, columns = Files(spark), []
@@ -77,15 +83,14 @@ def replace_partitions(
     if affected is None:
         _overwrite_partitions(df, path, fileformat, columns)
         return
-    spark = df.sparkSession
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    staged_path = f"{parent}/.{name}-staged-{uuid.uuid4().hex[:8]}"
+    spark, staged_path = df.sparkSession, beside(path, "staged")
     _overwrite_partitions(df, staged_path, fileformat, columns)
-    staged = read_partitioned(spark, staged_path, fileformat)
+    staged = spark.read.schema(df.schema).format(fileformat).option("header", "true").load(staged_path)
     # as folders know them: null and the empty text are the same partition
     touched = affected.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
     # one row per folder to drop; set difference takes null for equal to null
-    folders = [row.asDict() for row in touched.subtract(staged.select(*columns)).collect()]
+    kept = staged.select(*[F.col(c).cast("string") for c in columns])
+    folders = [row.asDict() for row in touched.subtract(kept).collect()]
     _overwrite_partitions(staged, path, fileformat, columns)
     drop_partitions(spark, path, folders)
     Files(spark).delete(staged_path)
@@ -105,13 +110,21 @@ def copy_partitions(
     columns = partition_columns(spark, source)
     if not columns:
         raise ValueError(f"{source} has no partition folders")
+    fileformat = _copied_as(fileformat)
     replace_partitions(read_partitioned(spark, source, fileformat), destination, fileformat, columns)
     if removesource:
         Files(spark).delete(source)
 
 
+def _copied_as(fileformat: str) -> str:
+    """JSON documents are copied line by line: parsing them could change numbers and lose empty fields."""
+    return "text" if fileformat == "json" else fileformat
+
+
 def append_copy(spark: SparkSession, source: str, destination: str, fileformat: str) -> None:
     """Add the rows of one dataset to another."""
+    if not partition_columns(spark, source):
+        fileformat = _copied_as(fileformat)
     df = read_partitioned(spark, source, fileformat)
     df.write.mode("append").option("header", "true").format(fileformat).save(destination)
 
@@ -138,10 +151,8 @@ def rewrite_dataset(df: DataFrame, path: str, fileformat: str, partition_by: Seq
     The new content is written beside the old one and takes its place by rename; until then, and when a task or
     the job fails, the old content stays.
     """
-    files, token = Files(df.sparkSession), uuid.uuid4().hex[:8]
-    base = path.rstrip("/")
-    parent, name = base.rsplit("/", 1)
-    following, previous = f"{parent}/.{name}-next-{token}", f"{parent}/.{name}-previous-{token}"
+    files, base = Files(df.sparkSession), path.rstrip("/")
+    following, previous = beside(path, "next"), beside(path, "previous")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fileformat).option("header", "true")

@@ -61,8 +61,8 @@ def stream_files(
     reader = spark.readStream.format(fileformat).schema(resolved).options(**file_options(fileformat, **options))
     if Files(spark).is_file(path):
         # a stream follows a folder, so a single file becomes its folder with a name filter
-        folder, name = path.rstrip("/").rsplit("/", 1)
-        return reader.option("pathGlobFilter", name).load(folder)
+        folder, slash, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).load(folder + slash or ".")
     return reader.load(path)
 
 

@@ -233,3 +233,20 @@ def test_copies_keep_the_columns_of_all_files(spark, tmp_path):
     assert rows(got.where("p = 2").select("id", "twice")) == [(0, 0), (1, 2)]
     compact(spark, source, "parquet")
     assert "twice" in spark.read.option("mergeSchema", "true").parquet(source).columns
+
+
+def test_json_is_copied_as_it_is(spark, tmp_path):
+    lines = ['{"a":1.10,"b":null}', '{"a":123456789012345678901234567890}']
+    source = str(tmp_path / "s")
+    spark.createDataFrame([(line, "1") for line in lines], "value string, p string").write.partitionBy("p").text(source)
+    copy_partitions(spark, source, str(tmp_path / "d"), "json")
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "d")).collect()) == sorted(lines)
+    append_copy(spark, f"{source}/p=1", str(tmp_path / "flat"), "json")
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "flat")).collect()) == sorted(lines)
+
+
+def test_staged_partitions_keep_their_types(spark, folder):
+    rows_in = [(1, datetime(2024, 1, 1), None, "01")]
+    df = spark.createDataFrame(rows_in, "id int, at timestamp_ntz, empty string, p string")
+    replace_partitions(df, folder, "json", ["p"], df)
+    assert rows(spark.read.schema(df.schema).json(folder)) == rows_in
