@@ -41,7 +41,8 @@ def job_session(spark: SparkSession, properties: Mapping[str, object] | None = N
     session = spark.newSession()
     fresh, given = session.conf.getAll, spark.conf.getAll
     for key, value in given.items():
-        if key.startswith("spark.sql.") and fresh.get(key) != value and session.conf.isModifiable(key):
+        # static settings are the same in every session of an application, so what differs can be set
+        if key.startswith("spark.sql.") and fresh.get(key) != value:
             session.conf.set(key, value)
     unset = {key: value for key, value in STREAM_DEFAULTS.items() if key not in given}
     for key, value in {**JOB_DEFAULTS, **unset, **(properties or {})}.items():
