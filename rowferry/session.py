@@ -123,6 +123,10 @@ class Files:
     def delete(self, path: str) -> bool:
         return self._fs(path).delete(self._path(path), True)
 
+    def delete_on_exit(self, path: str) -> None:
+        """Delete a folder when the application ends."""
+        self._fs(path).deleteOnExit(self._path(path))
+
     def rename(self, source: str, target: str) -> None:
         if not self._fs(source).rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
