@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A value of bounded size on every executor, whose classes need not be installed there; call it once per task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """A stored frame with a broadcast hint when its counted rows are few; otherwise as it is, for a shuffled join."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from rowferry.llm.html_text import extract_text
 from rowferry.llm.quality_rules import quality_rules
 from rowferry.llm.sentencepiece_codec import Vocabulary, piece_digests
 from rowferry.llm.simhash import simhash_groups
 from rowferry.llm.source_mix import mix_sources
+from rowferry.llm.toxicity import score_toxicity, train
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -36,7 +37,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_sentencepiece, op4_source_mix, op6_simhash, op7_quality_rules)
+    q.__name__: q for q in (op2_sentencepiece, op4_source_mix, op6_simhash, op7_quality_rules, op9_html_text, op10_toxicity)
 }
 ORACLES: dict[str, str] = {}

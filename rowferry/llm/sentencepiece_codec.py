@@ -16,7 +16,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches
+from rowferry.llm.common import bounded_batches, shared
 
 SPACE = "▁"
 # stands for a literal U+2581 of the text, which no piece may take for a space
@@ -224,7 +224,7 @@ class Codec:
 def shared_codec(df: DataFrame, vocabulary: Vocabulary):
     """The automaton on every executor; its size is that of the vocabulary file, whatever the data."""
     bounded_batches(df.sparkSession)
-    return df.sparkSession.sparkContext.broadcast(Codec(vocabulary))
+    return shared(df.sparkSession, Codec(vocabulary))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str = "piece_ids") -> DataFrame:
@@ -237,15 +237,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
     import pyarrow as pa
     import numpy as np
 
-    shared = shared_codec(docs, vocabulary)
+    sent = shared_codec(docs, vocabulary)
     rest = [c for c in docs.columns if c != into]
     place = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, bytes] = {}
+        codec, cache = sent(), {}
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
-            found = shared.value.encode_all(texts, cache)
+            found = codec.encode_all(texts, cache)
             offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*rest, into])
@@ -258,13 +258,14 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "piece_ids", i
     """The frame with the text of an array of ids in `into`; a null array gives an empty text. Inverse of `encode`."""
     import pyarrow as pa
 
-    shared = shared_codec(encoded, vocabulary)
+    sent = shared_codec(encoded, vocabulary)
     rest = [c for c in encoded.columns if c != into]
     place = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = sent()
         for batch in batches:
-            texts = [shared.value.decode(x or ()) for x in batch.column(place).to_pylist()]
+            texts = [codec.decode(x or ()) for x in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*rest, into])
 
     frame = encoded.select(*(encoded[f"`{c}`"] for c in rest))
@@ -279,11 +280,10 @@ def piece_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     import numpy as np
     import pyarrow as pa
 
-    shared = shared_codec(docs, vocabulary)
+    sent = shared_codec(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, bytes] = {}
-        codec = shared.value
+        codec, cache = sent(), {}
         is_byte = np.zeros(len(codec.texts), bool)
         is_byte[codec.byte_ids] = True
         for batch in batches:
