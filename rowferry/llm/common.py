@@ -14,6 +14,8 @@ from rowferry.session import Files, scratch_dir
 # the white space that separates words everywhere in this subpackage
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+# free the shuffle files of a query when it ends
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # rows and bytes that one Arrow batch between Spark and Python may hold
 BATCH_ROWS = 512
 BATCH_BYTES = "16m"
@@ -24,13 +26,26 @@ BROADCAST_ROWS = 50_000
 def store(df: DataFrame, label: str = "llm") -> DataFrame:
     """The frame written to the shared scratch folder and read again: computed once, safe from lost executors.
 
-    The folder goes when the application ends.
+    Its shuffle files go when it is written, the folder goes with `discard` or when the application ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     Files(spark).delete_on_exit(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in stored:
+        Files(df.sparkSession).delete(df.stored_at)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -81,8 +96,8 @@ def components(edges: DataFrame) -> DataFrame:
     smaller ones do. Each round is an aggregation with a map-side minimum and a join; rounds grow with the logarithm of
     the number of nodes. Loops and repeated edges are allowed; edges with a null end are left out.
     """
-    links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    links = store(links.filter(edges.a.isNotNull() & edges.b.isNotNull() & (F.col("u") != F.col("v"))).distinct())
+    links = edges.filter("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    links = store(links.filter("u != v").distinct())
     before = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -93,7 +108,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.withColumnRenamed("m", "v"))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        links = store(small)
+        old, links = links, store(small)
+        discard(old, large)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -11,6 +11,7 @@ from rowferry.llm.quality_rules import quality_rules
 from rowferry.llm.sentencepiece_codec import Vocabulary, piece_digests
 from rowferry.llm.simhash import simhash_groups
 from rowferry.llm.source_mix import mix_sources
+from rowferry.llm.suffix_dedup import remove_repeats
 from rowferry.llm.toxicity import score_toxicity, train
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), Vocabulary.from_model(VOCABULARY))
 
@@ -47,6 +52,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_sentencepiece, op4_source_mix, op6_simhash, op7_quality_rules, op9_html_text, op10_toxicity)
+    query.__name__: query
+    for query in (
+        op1_suffix_dedup,
+        op2_sentencepiece,
+        op4_source_mix,
+        op6_simhash,
+        op7_quality_rules,
+        op9_html_text,
+        op10_toxicity,
+    )
 }
+# the operators train, hash with seeds or walk automata, which SQL does not express
 ORACLES: dict[str, str] = {}
