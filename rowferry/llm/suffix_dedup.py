@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, discard, store, utf8
+from rowferry.llm.common import bounded_batches, discard, is_stable, store, utf8
 
 # bytes of a string; 128 to 256
 LENGTH = 200
@@ -153,12 +153,6 @@ def merged(runs: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int,
     return out
 
 
-def is_stable(docs: DataFrame) -> bool:
-    """Whether the rows come straight from files, so that every pass numbers them alike."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    return all(line.lstrip(" +-:").startswith(("Relation", "Project", "Filter")) for line in plan.splitlines())
-
-
 def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """row and runs, an array of (low, more): the repeated strings of `texts` (row long, text) as runs of starts."""
     import numpy as np
