@@ -185,5 +185,5 @@ def quality_rules(
     rejected = F.col("base_failed")
     for reject in rejects:
         rejected = rejected | reject
-    out = dict.fromkeys([*carry, *COUNTS, "base_failed"])
+    out = dict.fromkeys([*(c for c in carry if c != "kept"), *COUNTS, "base_failed"])
     return joined.select(*out, (~rejected).alias("kept"))

@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from rowferry.llm.common import bounded_batches, shared
 
@@ -251,7 +252,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*rest, into])
 
     frame = docs.select(*(docs[f"`{c}`"] for c in rest))
-    return frame.mapInArrow(run, frame.schema.add(into, "array<int>"))
+    return frame.mapInArrow(run, StructType([*frame.schema, StructField(into, ArrayType(IntegerType()))]))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "piece_ids", into: str = "decoded") -> DataFrame:
@@ -269,7 +270,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "piece_ids", i
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*rest, into])
 
     frame = encoded.select(*(encoded[f"`{c}`"] for c in rest))
-    return frame.mapInArrow(run, frame.schema.add(into, "string"))
+    return frame.mapInArrow(run, StructType([*frame.schema, StructField(into, StringType())]))
 
 
 def piece_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:

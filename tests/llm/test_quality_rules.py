@@ -1,0 +1,55 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowferry.llm.quality_rules import CUTOFFS, binomial_tail, quality_rules
+from tests.llm.data import documents, empty, labels
+
+
+def counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = list(zip(words, words[1:], words[2:], strict=False))
+    found = Counter(windows)
+    repeated = {j for i, w in enumerate(windows) if found[w] > 1 for j in (i, i + 1, i + 2)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    failed = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated), failed
+
+
+def result(r):
+    return tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"))
+
+
+def test_counts(spark):
+    docs = documents(spark, extra=("a b c a b c a b", "# | x\n# | x\n\n \n# | x", "w " * 50))
+    found = quality_rules(docs, labels(spark, []), carry=("doc_id", "text", "kept")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in found) == Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    for r in found:
+        assert result(r) == counts(r["text"])
+        assert r["kept"] is (not r["base_failed"])  # nothing is proved without labels
+    assert quality_rules(empty(spark), labels(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("k, n, p", [(0, 10, 0.05), (3, 100, 0.1), (0, 1, 0.5), (2, 5000, 0.01), (900, 10000, 0.1), (10, 20, 0.1)])
+def test_binomial_tail(spark, k, n, p):
+    row = spark.range(1).select(binomial_tail(F.lit(k), F.lit(n), p).alias("t")).first()
+    exact = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))
+    assert row["t"] == pytest.approx(1.0 if k >= n * p else exact, rel=1e-6)
+
+
+def test_rejects_what_is_proved(spark):
+    word = lambda i: "".join(chr(97 + (i // 26**k) % 26) for k in range(4))
+    prose = lambda i: " ".join(word(i * 60 + j) for j in range(60))
+    rows = [(i, prose(i) if i % 4 else prose(i).replace(" ", " # "), "en") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = labels(spark, [(i, int(i % 4 > 0), 0) for i in range(6000)] + [(None, 0, 0), (1, None, 0), (2, 1, 1)])
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(docs, marks).collect()}
+    assert all(kept[i] is (i % 4 > 0) for i in range(6000))
+    few = {r["doc_id"]: r["kept"] for r in quality_rules(docs, marks.filter("doc_id < 100")).collect()}
+    assert all(few.values())
+    assert len(CUTOFFS) == 6
