@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rowferry.llm.common import bounded_batches, discard, is_stable, store, utf8
 
@@ -126,31 +127,51 @@ def anchors_of(texts: list[bytes], length: int = LENGTH):
     return [np.concatenate([x[j] for x in out]) if out else np.zeros(0, kinds[j]) for j in range(5)]
 
 
-def string_names(text: bytes, runs: list[tuple[int, int]], length: int = LENGTH):
-    """The names of all strings of the given runs (first start, strings less one) of a text: run, start, name."""
+def flat_runs(column):
+    """The runs of an Arrow list column of structs: the rows they belong to, then their fields, as arrays."""
     import numpy as np
 
-    which, at, got = [], [], []
-    data = np.frombuffer(text, np.uint8)
-    for j, (low, more) in enumerate(runs):
-        names = names64(data[low : low + more + length])
-        places = np.arange(more + 1)
-        which.append(np.full(more + 1, j))
-        at.append(places + low)
-        got.append(long_names(names, places, length).view(np.int64))
-    return np.concatenate(which), np.concatenate(at), np.concatenate(got)
-
-
-def merged(runs: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int, int]]:
-    """Maximal byte ranges covered by runs of strings (first start, strings less one)."""
-    out: list[tuple[int, int]] = []
-    for low, more in sorted(runs):
-        high = low + more + length
-        if out and low <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], high))
-        else:
-            out.append((low, high))
-    return out
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    fields = column.flatten().flatten()
+    return [np.repeat(np.arange(len(column)), sizes), *(f.to_numpy(zero_copy_only=False) for f in fields)]
+
+
+def string_names(texts: list[bytes], owner, low, more, length: int = LENGTH) -> Iterator[tuple[object, object, object]]:
+    """The names of all strings of runs (text, first start, strings less one): run, start, name."""
+    import numpy as np
+
+    first = 0
+    while first < len(low):
+        last, size = first, 0
+        while last < len(low) and size < TILE:
+            size += int(more[last]) + length
+            last += 1
+        cut = zip(owner[first:last].tolist(), low[first:last].tolist(), more[first:last].tolist(), strict=True)
+        data = np.frombuffer(b"".join([texts[i][a : a + n + length] for i, a, n in cut]), np.uint8)
+        strings = more[first:last] + 1
+        begins = np.cumsum(strings + length - 1) - (strings + length - 1)
+        run = np.repeat(np.arange(last - first), strings)
+        step = np.arange(len(run)) - np.repeat(np.cumsum(strings) - strings, strings)
+        names = long_names(names64(data), begins[run] + step, length)
+        yield run + first, low[first:last][run] + step, names
+        first = last
+
+
+def merged(owner, low, more, length: int = LENGTH):
+    """Maximal byte ranges that runs of strings cover, by text number: owner, start, end, in order."""
+    import numpy as np
+
+    if not len(low):
+        return owner, low, low
+    # texts lie apart on one line
+    base = owner.astype(np.int64) << 40
+    order = np.argsort(base + low, kind="stable")
+    start = (base + low)[order]
+    end = np.maximum.accumulate(start + more[order] + length)
+    first = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+    last = np.append(first[1:], len(start)) - 1
+    which = start[first] >> 40
+    return which, start[first] - (which << 40), end[last] - (which << 40)
 
 
 def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -170,21 +191,23 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text, runs in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                which, at, got = string_names(text, [(r["low"], r["more"]) for r in runs], length)
+            rows, texts = batch.column(0).to_numpy(zero_copy_only=False), list(utf8(batch.column(1)))
+            owner, low, more, name, alone = flat_runs(batch.column(2))
+            for run, at, names in string_names(texts, owner, low, more, length):
                 # the name of a string goes with the name its position had in round 1
-                names = np.array([r["name"] for r in runs], np.int64).view(np.uint64)[which]
-                alone = pa.array([r["alone"] for r in runs], pa.bool_()).take(pa.array(which))
-                strings = mix(names, got.view(np.uint64)).view(np.int64)
-                columns = [pa.array(np.full(len(at), row)), pa.array(at), pa.array(strings), alone]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "low", "string", "alone"])
+                names = mix(name.view(np.uint64)[run], names).view(np.int64)
+                columns = [pa.array(rows[owner[run]]), pa.array(at), pa.array(names), pa.array(alone[run])]
+                for from_ in range(0, len(run), 1 << 17):
+                    part = [c.slice(from_, 1 << 17) for c in columns]
+                    yield pa.RecordBatch.from_arrays(part, ["row", "low", "string", "alone"])
 
     chosen = store(texts.mapInArrow(choose, "row long, low long, more int, name long, wide long"), "anchors")
     # round 1: names that occur once leave
     groups = chosen.groupBy("name").agg(F.count("*").alias("n"), F.min("wide").alias("a"), F.max("wide").alias("b"))
-    groups = groups.filter("n > 1").select("name", (F.col("a") != F.col("b")).alias("mixed"))
+    # stored, so that the join below reads nothing but shuffles, which can be split where a name is frequent
+    groups = store(groups.filter("n > 1").select("name", (F.col("a") != F.col("b")).alias("mixed")), "names")
     left = store(chosen.join(groups, "name"), "anchors")
-    discard(chosen)
+    discard(chosen, groups)
     # round 2: positions that agree with another one up to the end of their last string
     rep = F.min(F.struct("row", "low", "more")).alias("first")
     wider = store(left.filter("mixed").groupBy("name", "wide").agg(F.count("*").alias("n"), rep), "anchors")
@@ -196,9 +219,9 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     listed = one.groupBy("row").agg(F.collect_list(F.struct("low", "more", "name", "alone")).alias("runs"))
     spelled = texts.join(listed, "row").select("row", "text", "runs")
     strings = store(spelled.mapInArrow(spell, "row long, low long, string long, alone boolean"), "strings")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
+    twice = store(strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string"), "names")
     single = store(strings.filter("alone").join(twice, "string").select("row", "low"), "strings")
-    discard(strings)
+    discard(strings, twice)
     found = full.unionByName(single.select("row", "low", F.lit(0).alias("more")))
     return found.groupBy("row").agg(F.collect_list(F.struct("low", "more")).alias("runs"))
 
@@ -226,19 +249,23 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, found in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                spans = merged([(r["low"], r["more"]) for r in found or ()], length)
-                edges = [0, *(x for span in spans for x in span), len(text)]
-                parts = [text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+            owner, low, more = flat_runs(batch.column(2))
+            owner, low, high = (x.tolist() for x in merged(owner, low, more, length))
+            rows, at = [], 0
+            for i, text in enumerate(utf8(batch.column(1))):
+                parts, end, first = [], 0, at
+                while at < len(owner) and owner[at] == i:
+                    parts.append(text[end : low[at]])
+                    end = high[at]
+                    at += 1
+                parts.append(text[end:])
                 kept = b"".join(parts)
-                row = [len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()]
+                row = [len(text), len(text) - len(kept), at - first, hashlib.sha256(kept).hexdigest()]
                 rows.append(row + ["".join(p.decode("utf-8", "ignore") for p in parts)] * texts)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             columns = [pa.array([r[j] for r in rows], kinds[j]) for j in range(len(out))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["rest", *out])
 
-    schema = numbered.select("rest").schema
-    for name in out:
-        schema = schema.add(name, "string" if name.startswith("kept") else "long")
+    kinds = [StructField(name, StringType() if name.startswith("kept") else LongType()) for name in out]
+    schema = StructType([*numbered.select("rest").schema, *kinds])
     return joined.mapInArrow(cut, schema).select("rest.*", *out)
