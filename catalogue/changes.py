@@ -20,7 +20,7 @@ from rowferry.sinks import write_files
 CHANGE_LOG = """
     SELECT o_orderkey, l_extendedprice AS price, o_orderdate AS created, l_shipdate AS updated,
            l_returnflag = 'R' AS gone
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 45"""
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 COMPACTED = f"""
     WITH log AS ({CHANGE_LOG}),
     stacked AS (
@@ -46,7 +46,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("created"))
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 45")
+    lines = table(spark, sf_dir, "lineitem")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "o_orderkey", "l_extendedprice price", "created", "l_shipdate updated", "l_returnflag = 'R' gone"
     )

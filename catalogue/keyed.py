@@ -1,4 +1,4 @@
-"""Keyed writes. The stored rows are the customers; changes come from large orders, new keys from the suppliers."""
+"""Keyed writes. The stored rows are the customers; changes come from all orders, new keys from the suppliers."""
 
 from __future__ import annotations
 
@@ -9,12 +9,11 @@ from catalogue.registry import files, query, source, table
 from rowferry import move, scratch_dir
 from rowferry.operators import delete_rows, keyed_write, write_documents
 
-LARGE_ORDER = "o_totalprice > 400000"
 # columns of a change: the key, a new balance, and a segment that is null for some keys
 CHANGED = """
     SELECT o_custkey AS c_custkey, MAX(o_totalprice) AS c_acctbal,
-           CASE WHEN COUNT(*) > 1 THEN 'LARGE' END AS c_mktsegment
-    FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey"""
+           CASE WHEN COUNT(*) > 15 THEN 'LARGE' END AS c_mktsegment
+    FROM orders GROUP BY o_custkey"""
 ADDED = """
     SELECT -1 - s_suppkey AS c_custkey, s_acctbal AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier"""
 CHANGES = f"{CHANGED} UNION ALL {ADDED}"
@@ -25,10 +24,10 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = table(spark, sf_dir, "orders").where(LARGE_ORDER)
-    return large.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    orders = table(spark, sf_dir, "orders")
+    return orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_totalprice").alias("c_acctbal"),
-        F.when(F.count("*") > 1, "LARGE").alias("c_mktsegment"),
+        F.when(F.count("*") > 15, "LARGE").alias("c_mktsegment"),
     )
 
 
@@ -101,6 +100,32 @@ def upsert_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_write(stored(spark, sf_dir), changes(spark, sf_dir), "c_custkey", "upsert", ignore_nulls=False)
 
 
+ITEMS = """
+    SELECT l_orderkey AS o_orderkey, SUM(l_quantity) AS o_totalprice, MIN(l_returnflag) AS o_orderstatus
+    FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY l_orderkey
+    UNION ALL
+    SELECT -1 - l_orderkey, SUM(l_quantity), MAX(l_linestatus) FROM lineitem GROUP BY l_orderkey"""
+
+
+@query(f"""
+    WITH new AS ({ITEMS})
+    SELECT o_orderkey, o.o_custkey, COALESCE(n.o_orderstatus, o.o_orderstatus) AS status,
+           ROUND(COALESCE(n.o_totalprice, o.o_totalprice), 2) AS price
+    FROM orders o FULL JOIN new n USING (o_orderkey)""")
+def keyed_upsert_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a job: the changes are all line items, old orders and as many new ones."""
+    path = scratch_dir(spark, "keyed")
+    move(spark, {"source": source(sf_dir, "orders"), "destination": files(path, "parquet")})
+    job = {
+        "source": source(sf_dir, "lineitem"),
+        "sql": {"query": ITEMS},
+        "destination": files(path, "parquet", savemode="upsert", mappingid="o_orderkey"),
+    }
+    move(spark, job)
+    price = F.round("o_totalprice", 2).alias("price")
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), price)
+
+
 @query("""
     SELECT o_orderkey, o_totalprice FROM orders
     WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 40)""")
@@ -112,19 +137,19 @@ def delete_by_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     kept = table(spark, sf_dir, "customer").selectExpr("c_custkey _id", "c_name name", "c_acctbal balance")
-    large = table(spark, sf_dir, "orders").where(LARGE_ORDER)
-    given = large.groupBy(F.col("o_custkey").alias("_id")).agg(F.count("*").alias("large_orders"))
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("_id"))
+    given = orders.agg(F.count("*").alias("orders"))
     return kept, given
 
 
 DOCUMENTS = """
-    SELECT o_custkey AS _id, COUNT(*) AS large_orders FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey"""
+    SELECT o_custkey AS _id, COUNT(*) AS orders FROM orders GROUP BY o_custkey"""
 
 
 @query(f"""
     WITH new AS ({DOCUMENTS})
     SELECT c_custkey AS _id, CASE WHEN n._id IS NULL THEN c_name END AS name,
-           CASE WHEN n._id IS NULL THEN c_acctbal END AS balance, large_orders
+           CASE WHEN n._id IS NULL THEN c_acctbal END AS balance, orders
     FROM customer LEFT JOIN new n ON c_custkey = n._id""")
 def doc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_documents(*_documents(spark, sf_dir), replacedocuments=True)
@@ -132,7 +157,7 @@ def doc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     WITH new AS ({DOCUMENTS})
-    SELECT c_custkey AS _id, c_name AS name, c_acctbal AS balance, large_orders
+    SELECT c_custkey AS _id, c_name AS name, c_acctbal AS balance, orders
     FROM customer LEFT JOIN new n ON c_custkey = n._id""")
 def doc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_documents(*_documents(spark, sf_dir), replacedocuments=False)

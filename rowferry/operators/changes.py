@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowferry.names import column_names
 from rowferry.operators.delta import rows_in_scope
+from rowferry.session import settled
 
 # Fixed value: the date a deleted row carries.
 DELETED_AT = "3000-01-01 00:00:00"
@@ -37,9 +38,12 @@ def compact_changes(
     """Merge a change log into the part of a base table that it touches.
 
     Only base rows whose `scope` columns occur among the changes take part. Per key the latest row wins, and a
-    delete wins over everything. Deleted keys stay as rows dated `DELETED_AT` unless `drop_deletes`.
+    delete wins over everything. Deleted keys stay as rows dated `DELETED_AT` unless `drop_deletes`. The log is written to
+    the scratch folder first, so this runs a job.
     """
     columns = base.columns
+    # once, for the groups it touches and for its rows
+    changes = settled(changes)
     tombstone = F.lit(DELETED_AT).try_cast(base.schema[updated_at].dataType)
     kept = rows_in_scope(base, changes, scope).select(*columns).withColumn("__deleted", F.lit(False))
     dated = F.when(deleted, tombstone).otherwise(F.col(updated_at)).alias(updated_at)

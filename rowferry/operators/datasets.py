@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -14,6 +13,8 @@ from pyspark.sql.types import NullType
 from rowferry.session import Files
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# delimited files are written again with all the white space that was read
+AS_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 @contextmanager
@@ -41,13 +42,27 @@ def file_size(spark: SparkSession, target_bytes: int = TARGET_FILE_BYTES) -> Ite
             yield
 
 
-def read_partitioned(spark: SparkSession, path: str, fileformat: str) -> DataFrame:
+def text_options(
+    delimiter: str = ",", charset: str = "utf-8", sparkoptions: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """How the files of a delimited dataset are written, for reading them and for writing them the same way again."""
+    return {"header": "true", "delimiter": delimiter, "encoding": charset, **(sparkoptions or {})}
+
+
+def read_partitioned(
+    spark: SparkSession, path: str, fileformat: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
     """A dataset as it must be read to be written again without loss.
 
-    Partition values stay text, so that `01` is written back as `01`, and the columns are those of all files.
+    Partition values stay text, so that `01` is written back as `01`, and the columns are those of all files. Delimited
+    files are text throughout; a row that does not fit its header is an error.
     """
+    options = {"header": "true", "mergeSchema": "true", "mode": "FAILFAST", **(options or {})}
+    if fileformat == "csv":
+        # an empty field in quotes is an empty text, one without is null; both are written that way again
+        options = {"enforceSchema": "false", "nullValue": "\x01null", **options}
     with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-        df = spark.read.format(fileformat).options(header="true", mergeSchema="true").load(path)
+        df = spark.read.format(fileformat).options(**options).load(path)
     # a partition column that is null everywhere has no type of its own
     untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if isinstance(f.dataType, NullType)}
     return df.withColumns(untyped) if untyped else df
@@ -72,7 +87,12 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def replace_partitions(
-    df: DataFrame, path: str, fileformat: str, partition_by: Sequence[str], affected: DataFrame | None = None
+    df: DataFrame,
+    path: str,
+    fileformat: str,
+    partition_by: Sequence[str],
+    affected: DataFrame | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Replace the partitions that occur in the frame and leave the others alone.
 
@@ -81,7 +101,7 @@ def replace_partitions(
     """
     columns = list(partition_by)
     if affected is None:
-        _overwrite_partitions(df, path, fileformat, columns)
+        _overwrite_partitions(df, path, fileformat, columns, options)
         return
     spark, staged_path = df.sparkSession, beside(path, "staged")
     _overwrite_partitions(df, staged_path, fileformat, columns)
@@ -90,29 +110,49 @@ def replace_partitions(
     touched = affected.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
     # one row per folder to drop; set difference takes null for equal to null
     kept = staged.select(*[F.col(c).cast("string") for c in columns])
-    folders = [row.asDict() for row in touched.subtract(kept).collect()]
     _overwrite_partitions(staged, path, fileformat, columns)
-    drop_partitions(spark, path, folders)
+    if Files(spark).exists(path) and partition_columns(spark, path):
+        # folder by folder, a partition of rows at a time on the driver
+        for row in touched.subtract(kept).toLocalIterator():
+            drop_partitions(spark, path, [row.asDict()])
     Files(spark).delete(staged_path)
 
 
-def _overwrite_partitions(df: DataFrame, path: str, fileformat: str, columns: list[str]) -> None:
+def _overwrite_partitions(
+    df: DataFrame, path: str, fileformat: str, columns: list[str], options: Mapping[str, str] | None = None
+) -> None:
     writer = df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns)
-    writer = writer.option("partitionOverwriteMode", "dynamic").option("header", "true").format(fileformat)
+    writer = writer.options(**{**AS_READ, **(options or {})}).format(fileformat)
+    writer = writer.option("partitionOverwriteMode", "dynamic")
     with file_size(df.sparkSession):
         writer.save(path)
 
 
 def copy_partitions(
-    spark: SparkSession, source: str, destination: str, fileformat: str, removesource: bool = False
+    spark: SparkSession,
+    source: str,
+    destination: str,
+    fileformat: str,
+    removesource: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace the destination's partitions by the source's partitions of the same name."""
+    """Replace the destination's partitions by the source's partitions of the same name.
+
+    The source is removed only when the destination's partitions of those names hold as many rows as it.
+    """
     columns = partition_columns(spark, source)
     if not columns:
         raise ValueError(f"{source} has no partition folders")
     fileformat = _copied_as(fileformat)
-    replace_partitions(read_partitioned(spark, source, fileformat), destination, fileformat, columns)
+    df = read_partitioned(spark, source, fileformat, options)
+    replace_partitions(df, destination, fileformat, columns, options=options)
     if removesource:
+        stored = read_partitioned(spark, destination, fileformat, options)
+        names = df.select(*columns).distinct()
+        same = [stored[f"`{c}`"].eqNullSafe(names[f"`{c}`"]) for c in columns]
+        given, copied = df.count(), stored.join(names, same, "left_semi").count()
+        if given != copied:
+            raise RuntimeError(f"{source} has {given} rows, its copy {copied}; the source stays")
         Files(spark).delete(source)
 
 
@@ -121,22 +161,42 @@ def _copied_as(fileformat: str) -> str:
     return "text" if fileformat == "json" else fileformat
 
 
-def append_copy(spark: SparkSession, source: str, destination: str, fileformat: str) -> None:
-    """Add the rows of one dataset to another."""
-    if not partition_columns(spark, source):
-        fileformat = _copied_as(fileformat)
-    df = read_partitioned(spark, source, fileformat)
-    df.write.mode("append").option("header", "true").format(fileformat).save(destination)
+def append_copy(
+    spark: SparkSession, source: str, destination: str, fileformat: str, options: Mapping[str, str] | None = None
+) -> None:
+    """Add the rows of one dataset to another, in the partition folders of the source."""
+    fileformat, columns = _copied_as(fileformat), partition_columns(spark, source)
+    df = read_partitioned(spark, source, fileformat, options)
+    if columns:
+        df = df.hint("rebalance", *columns)
+    writer = df.write.mode("append").options(**{**AS_READ, **(options or {})}).format(fileformat)
+    with file_size(spark):
+        (writer.partitionBy(*columns) if columns else writer).save(destination)
 
 
 def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[Mapping[str, object]]) -> int:
-    """Delete partition folders given as column/value pairs; returns how many there were."""
-    files, dropped = Files(spark), 0
+    """Delete the partitions that have the given column values, for any of the columns; returns how many folders."""
+    files, columns, dropped = Files(spark), partition_columns(spark, path), 0
     folder_name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+
+    def matching(folder: str, rest: list[str], names: Mapping[str, str]) -> Iterator[str]:
+        if not names:
+            yield folder
+        elif rest[0] in names:
+            below = f"{folder}/{names[rest[0]]}"
+            if files.exists(below):
+                yield from matching(below, rest[1:], {c: n for c, n in names.items() if c != rest[0]})
+        else:
+            for name in files.children(folder):
+                if name.startswith(f"{rest[0]}="):
+                    yield from matching(f"{folder}/{name}", rest[1:], names)
+
     for values in partitions:
-        names = [folder_name(c, None if v is None else str(v)) for c, v in values.items()]
-        folder = "/".join([path, *names])
-        if files.exists(folder):
+        unknown = [c for c in values if c not in columns]
+        if unknown or not values:
+            raise ValueError(f"{path} is partitioned by {', '.join(columns) or 'nothing'}, not by {', '.join(unknown)}")
+        names = {c: folder_name(c, None if v is None else str(v)) for c, v in values.items()}
+        for folder in list(matching(path.rstrip("/"), columns, names)):
             dropped += bool(files.delete(folder))
     return dropped
 
@@ -145,17 +205,32 @@ def delete_dataset(spark: SparkSession, path: str) -> bool:
     return Files(spark).delete(path)
 
 
-def rewrite_dataset(df: DataFrame, path: str, fileformat: str, partition_by: Sequence[str] = ()) -> None:
+def refuse_stream_output(files: Files, path: str) -> None:
+    """Raise for a folder that a stream writes to: new files would be unknown to its log, or the log be lost."""
+    if files.exists(path) and not files.is_file(path):
+        found = [n for n in files.children(path) if n in ("_spark_metadata", "_checkpoint")]
+        if found:
+            raise ValueError(f"{path} holds {' and '.join(found)} of a stream and cannot be rewritten in place")
+
+
+def rewrite_dataset(
+    df: DataFrame,
+    path: str,
+    fileformat: str,
+    partition_by: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
+) -> None:
     """Replace a dataset that the frame may read from.
 
     The new content is written beside the old one and takes its place by rename; until then, and when a task or
-    the job fails, the old content stays.
+    the job fails, the old content stays. Files of a stream's sink belong to its log, so those are refused.
     """
     files, base = Files(df.sparkSession), path.rstrip("/")
+    refuse_stream_output(files, base)
     following, previous = beside(path, "next"), beside(path, "previous")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fileformat).option("header", "true")
+    writer = df.write.format(fileformat).options(**{**AS_READ, **(options or {})})
     with file_size(df.sparkSession):
         (writer.partitionBy(*partition_by) if partition_by else writer).save(following)
     if files.exists(base):
@@ -171,13 +246,14 @@ def compact(
     fileformat: str,
     filecount: int | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
+    options: Mapping[str, str] | None = None,
 ) -> None:
-    """Rewrite small files into larger ones: a given number, or as many as the size of the dataset asks for."""
-    columns = partition_columns(spark, path)
-    df = read_partitioned(spark, path, fileformat)
-    if columns:
-        with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)):
-            rewrite_dataset(df, path, fileformat, columns)
+    """Rewrite small files into larger ones: a given number, or files of about `target_bytes`."""
+    refuse_stream_output(Files(spark), path.rstrip("/"))
+    columns, fileformat = partition_columns(spark, path), _copied_as(fileformat)
+    df = read_partitioned(spark, path, fileformat, options)
+    if filecount and not columns:
+        rewrite_dataset(df.repartition(filecount), path, fileformat, options=options)
         return
-    count = filecount or max(1, math.ceil(Files(spark).size(path) / target_bytes))
-    rewrite_dataset(df.repartition(count), path, fileformat)
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)):
+        rewrite_dataset(df if columns else df.hint("rebalance"), path, fileformat, columns, options)

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from rowferry.names import column_names
 from rowferry.session import Files, settled
 
-# groups named in a filter rather than joined, and the types whose text form is exact
+# so many groups are also named in a filter, which prunes partitions; the types whose values can be named exactly
 LIST_LIMIT = 1000
-LISTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampNTZType, T.TimestampType, T.BooleanType)
+LISTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampNTZType, T.BooleanType)
 
 
 def missing_rows(source: DataFrame, destination: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -36,24 +36,40 @@ def affected_rows(base: DataFrame, changes: DataFrame, on: str | Sequence[str])
 def rows_in_scope(base: DataFrame, changes: DataFrame, scope: str | Sequence[str]) -> DataFrame:
     """Base rows in the partitions, or other coarse groups, that occur among the changes; null is a group too.
 
-    The groups are found first. A moderate number of them becomes a filter on the base, which prunes its
-    partitions; more of them are joined, and as their size is known by then, the base is shuffled only when they
-    are too many to broadcast.
+    The groups are found first and cast to the base's types; a group that a cast would change is an error, so
+    that equality means the same however many groups there are. Base and groups meet in one null-safe semi join, whose
+    small side has a known size; a moderate number of groups is named in a filter as well, which prunes partitions.
     """
     scope = column_names(scope)
-    groups = settled(changes.select(*scope).distinct())
+    groups = settled(_as_in(base, changes.select(*scope).distinct()))
+    lost = groups.where(F.col("__lost").isNotNull()).select("__lost").first()
+    if lost:
+        raise ValueError(f"{', '.join(scope)} of a change does not fit the type it has in the base: {lost[0]}")
+    groups = groups.drop("__lost")
     if len(scope) == 1 and isinstance(base.schema[scope[0]].dataType, LISTABLE):
-        column, data_type = F.col(scope[0]), base.schema[scope[0]].dataType
-        values = [row[0] for row in groups.select(column.cast("string")).take(LIST_LIMIT + 1)]
+        column = F.col(f"`{scope[0]}`")
+        values = [row[0] for row in groups.take(LIST_LIMIT + 1)]
         if len(values) <= LIST_LIMIT:
-            listed = column.isin([F.lit(v).cast(data_type) for v in values if v is not None])
-            return base.where(listed | column.isNull() if None in values else listed)
+            listed = column.isin([F.lit(v).cast(base.schema[scope[0]].dataType) for v in values if v is not None])
+            base = base.where(listed | column.isNull() if None in values else listed)
     same = F.lit(True)
     for name in scope:
         same = same & F.col(f"b.`{name}`").eqNullSafe(F.col(f"g.`{name}`"))
     return base.alias("b").join(groups.alias("g"), same, "left_semi")
 
 
+def _as_in(base: DataFrame, groups: DataFrame) -> DataFrame:
+    """The groups in the base's types, and in `__lost` the text of a value that does not come back from its cast."""
+    columns, lost = [], F.lit(None).cast("string")
+    for name in groups.columns:
+        value, wanted = F.col(f"`{name}`"), base.schema[name].dataType
+        cast = value if groups.schema[name].dataType == wanted else value.try_cast(wanted)
+        kept = cast.try_cast(groups.schema[name].dataType).eqNullSafe(value)
+        lost = F.coalesce(lost, F.when(~kept, value.cast("string")))
+        columns.append(cast.alias(name))
+    return groups.select(*columns, lost.alias("__lost"))
+
+
 class WatermarkState:
     """The window of the last finished move, in a small append-only dataset.
 

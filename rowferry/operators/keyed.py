@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rowferry.names import column_names
-from rowferry.operators.datasets import read_partitioned, replace_partitions, rewrite_dataset
+from rowferry.operators.datasets import partition_columns, read_partitioned, replace_partitions, rewrite_dataset
 from rowferry.operators.delta import rows_in_scope
-from rowferry.session import Files, is_small
+from rowferry.session import Files, discard, is_small, settled
 
 MODES = ("index", "create", "update", "upsert")
 # formats that keep column types, so that a stored row can be merged with a new one
@@ -34,16 +35,17 @@ def _key_text(keys: list[str]) -> Column:
 
 
 def unique_by_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """The frame, failing on a null key or a key that occurs twice. Counts combine before the shuffle."""
+    """The frame, failing on a null key or a key that occurs twice; hash-partitioned by the keys."""
     keys = column_names(keys)
-    rows = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("__row")
-    )
+    rest = [c for c in df.columns if c not in keys]
+    row = F.first(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit(None)
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), row.alias("__row"))
     known = F.lit(True)
     for k in keys:
         known = known & F.col(f"`{k}`").isNotNull()
     rows = guard(rows, known & (F.col("__n") == 1), F.concat(F.lit("null or repeated key: "), _key_text(keys)))
-    return rows.select("__row.*")
+    # the grouping keys themselves, so that joins by them need no other shuffle
+    return rows.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`") for c in df.columns])
 
 
 def keyed_write(
@@ -60,18 +62,39 @@ def keyed_write(
     update  every change is merged field by field; a key that does not exist fails the write
     upsert  a change is merged field by field, or inserted
 
-    In a merge a null leaves the stored value unless `ignore_nulls` is off. Target keys are taken to be unique.
+    In a merge a null leaves the stored value unless `ignore_nulls` is off. A key that changes name must be unique in
+    the target too. The result has the target's columns in their order and types, then what the changes add; a
+    value that the target's type cannot hold fails the write.
     """
     if mode not in MODES:
         raise ValueError(f"unknown keyed mode {mode!r}; use one of {', '.join(MODES)}")
     keys = column_names(keys)
     small = is_small(changes)
-    changes = unique_by_key(changes, keys)
+    changes = unique_by_key(fitted(changes, target), keys)
     if mode == "index":
-        return _replace(target, changes, keys, small)
-    if small:
-        return _merge_small(target, changes, keys, mode, ignore_nulls)
-    return _merge_large(target, changes, keys, mode, ignore_nulls)
+        result = _replace(target, changes, keys, small)
+    elif small:
+        result = _merge_small(target, changes, keys, mode, ignore_nulls)
+    else:
+        result = _merge_large(target, changes, keys, mode, ignore_nulls)
+    added = [c for c in changes.columns if c not in target.columns]
+    return result.select(*[F.col(f"`{c}`") for c in [*target.columns, *added]])
+
+
+def fitted(changes: DataFrame, target: DataFrame) -> DataFrame:
+    """The changes in the target's column types; a value that a cast would lose or alter fails the write."""
+    columns = []
+    for name, given in [(f.name, f.dataType) for f in changes.schema]:
+        value = F.col(f"`{name}`")
+        if name in target.columns and target.schema[name].dataType != given:
+            wanted = target.schema[name].dataType
+            cast = value.try_cast(wanted)
+            # text may write a number in several ways, so there it is enough that it can be read
+            kept = cast.isNotNull() if isinstance(given, StringType) else cast.try_cast(given).eqNullSafe(value)
+            message = F.concat(F.lit(f"{name} cannot hold the value "), value.cast("string"))
+            value = F.when(value.isNull() | kept, cast).otherwise(F.raise_error(message).cast(wanted)).alias(name)
+        columns.append(value)
+    return changes.select(*columns)
 
 
 def _sized(df: DataFrame, small: bool) -> DataFrame:
@@ -86,24 +109,24 @@ def _replace(target: DataFrame, changes: DataFrame, keys: list[str], small: bool
 def _merge_small(
     target: DataFrame, changes: DataFrame, keys: list[str], mode: str, ignore_nulls: bool
 ) -> DataFrame:
-    known = target.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi").distinct()
     # at most one row per change, so as small as the changes themselves
-    known = F.broadcast(known.withColumn(_IN_TARGET, F.lit(True)))
+    known = F.broadcast(_known(target, F.broadcast(changes.select(*keys)), keys))
     checked = _check(changes.join(known, keys, "left"), keys, mode)
     if mode == "create":
         # no filter on the flag here: it would spare the rows that the check is for
         return target.unionByName(checked.drop(_IN_TARGET), allowMissingColumns=True)
+    # for an update none, but without this branch a mere count would spare the check
     fresh = checked.where(F.col(_IN_TARGET).isNull()).drop(_IN_TARGET)
     flagged = checked.drop(_IN_TARGET).withColumn(_IN_CHANGES, F.lit(True))
     joined = target.alias("t").join(F.broadcast(flagged).alias("c"), keys, "left")
     merged = joined.select(*_merged_columns(target, changes, keys, ignore_nulls))
-    return merged if mode == "update" else merged.unionByName(fresh, allowMissingColumns=True)
+    return merged.unionByName(fresh, allowMissingColumns=True)
 
 
 def _merge_large(
     target: DataFrame, changes: DataFrame, keys: list[str], mode: str, ignore_nulls: bool
 ) -> DataFrame:
-    left = target.withColumn(_IN_TARGET, F.lit(True)).alias("t")
+    left = _unique_target(target, keys).withColumn(_IN_TARGET, F.lit(True)).alias("t")
     right = changes.withColumn(_IN_CHANGES, F.lit(True)).alias("c")
     joined = left.join(right, keys, "full_outer")
     touched = F.col(_IN_CHANGES).isNotNull()
@@ -114,6 +137,23 @@ def _merge_large(
     return joined.select(*_merged_columns(target, changes, keys, ignore_nulls))
 
 
+def _known(target: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
+    """The changed keys that the target holds, once each."""
+    found = target.select(*keys).join(changed, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    found = guard(found, F.col("__n") == 1, F.concat(F.lit("repeated key in the target: "), _key_text(keys)))
+    return found.select(*keys, F.lit(True).alias(_IN_TARGET))
+
+
+def _unique_target(target: DataFrame, keys: list[str]) -> DataFrame:
+    """The target, failing on a key that occurs twice; counted by a window over the shuffle that the join needs."""
+    counted = target.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    known = F.lit(False)
+    for k in keys:
+        known = known | F.col(f"`{k}`").isNull()
+    message = F.concat(F.lit("repeated key in the target: "), _key_text(keys))
+    return guard(counted, known | (F.col("__n") == 1), message).drop("__n")
+
+
 def _rule_message(keys: list[str], mode: str) -> Column:
     text = "key to update does not exist: " if mode == "update" else "key to create exists already: "
     return F.concat(F.lit(text), _key_text(keys))
@@ -162,23 +202,27 @@ def write_keyed_files(
 ) -> None:
     """Apply a keyed write to a file dataset. The new content is complete before it takes the old one's place.
 
-    A dataset partitioned by `partition_by` looks for a key within the partition of its change, as if the partition
-    columns were part of the key, and rewrites only the partitions that the changes touch.
+    The changes are computed once, into the scratch folder. A dataset partitioned by `partition_by` looks for a key
+    within the partition of its change, as if the partition columns were part of the key, and rewrites only the
+    partitions that the changes touch. Without `partition_by` the whole dataset is rewritten in the layout it has.
     """
     if fileformat not in TYPED_FORMATS:
         raise ValueError(f"keyed modes need one of {', '.join(TYPED_FORMATS)}, not {fileformat!r}")
-    spark, partition_columns = changes.sparkSession, column_names(partition_by)
-    all_keys = [*partition_columns, *(k for k in column_names(keys) if k not in partition_columns)]
+    spark, layout = changes.sparkSession, column_names(partition_by)
+    all_keys = [*layout, *(k for k in column_names(keys) if k not in layout)]
+    changes = settled(changes)
     if not Files(spark).exists(path):
         content = keyed_write(spark.createDataFrame([], changes.schema), changes, all_keys, mode)
-        rewrite_dataset(content, path, fileformat, partition_columns)
-    elif partition_columns:
+        rewrite_dataset(content, path, fileformat, layout)
+    elif layout:
         target = read_partitioned(spark, path, fileformat)
-        for name in partition_columns:
+        for name in layout:
             target = target.withColumn(name, F.col(name).cast(changes.schema[name].dataType))
-        touched = rows_in_scope(target, changes, partition_columns)
+        touched = rows_in_scope(target, changes, layout)
         content = keyed_write(touched, changes, all_keys, mode)
-        replace_partitions(content, path, fileformat, partition_columns, affected=changes)
+        replace_partitions(content, path, fileformat, layout, affected=changes)
     else:
         target = read_partitioned(spark, path, fileformat)
-        rewrite_dataset(keyed_write(target, changes, all_keys, mode), path, fileformat)
+        content = keyed_write(target, changes, all_keys, mode)
+        rewrite_dataset(content, path, fileformat, partition_columns(spark, path))
+    discard(changes)

@@ -63,7 +63,7 @@ def compare_by_key(source: DataFrame, destination: DataFrame, keys: str | Sequen
     """Differences by key: a row without counterpart, or a column whose text differs.
 
     Source columns that are null, or that the destination does not have, are not compared. A key that is null or
-    occurs twice on one side fails the comparison; that check shares its shuffle with the join.
+    occurs twice on one side fails the comparison; that check and the join share one shuffle per side.
     """
     keys = column_names(keys)
     compared = [c for c in source.columns if c not in keys and c in destination.columns]

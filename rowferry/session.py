@@ -29,11 +29,12 @@ STREAM_DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-# every task of a shuffle writes a block per partition, so their number has to stay moderate
-MOST_SHUFFLE_PARTITIONS = 20000
-# Catalyst's estimate for a relation it knows nothing about is of this order
-UNKNOWN_SIZE = 1 << 60
+# settings of a session or job: bytes that a shuffle partition should hold, and the most partitions of a shuffle; every
+# task of a shuffle writes a block per partition, so their number has to stay moderate
+PARTITION_BYTES = ("spark.rowferry.shufflePartitionBytes", 256 * 1024 * 1024)
+MOST_PARTITIONS = ("spark.rowferry.mostShufflePartitions", 20000)
+# Catalyst's estimate for a relation it knows nothing about is of this order; such a source counts as one of this size
+UNKNOWN_SIZE, ASSUMED_SIZE = 1 << 60, 1 << 36
 
 
 def job_session(spark: SparkSession, properties: Mapping[str, object] | None = None) -> SparkSession:
@@ -50,14 +51,20 @@ def job_session(spark: SparkSession, properties: Mapping[str, object] | None = N
     return session
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in the driver's own process; `local-cluster` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     """A fresh folder below the cluster's shared `spark.checkpoint.dir`.
 
-    Only a local master, where every task runs on this machine, may fall back to a temporary folder.
+    Only a local master, where every task runs in this process, may fall back to a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="rowferry-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
@@ -81,21 +88,35 @@ def is_small(df: DataFrame) -> bool:
 def size_shuffles(spark: SparkSession, sources: Iterable[DataFrame]) -> None:
     """Let AQE start from enough shuffle partitions for the sources of a job; it merges those that turn out small.
 
-    Sources of unknown size are left out, and a number that the session names itself is kept.
+    A source of unknown size (JDBC, Kafka, stores) counts as a large one, and a number that the session names itself is
+    kept.
     """
     if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
         return
     sizes = [estimated_bytes(df) for df in sources if not df.isStreaming]
-    needed = math.ceil(sum(size for size in sizes if size < UNKNOWN_SIZE) / SHUFFLE_PARTITION_BYTES)
+    per_partition, most = (int(spark.conf.get(key, str(default))) for key, default in (PARTITION_BYTES, MOST_PARTITIONS))
+    needed = math.ceil(sum(size if size < UNKNOWN_SIZE else ASSUMED_SIZE for size in sizes) / per_partition)
     if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(INITIAL_PARTITIONS, str(min(needed, MOST_SHUFFLE_PARTITIONS)))
+        spark.conf.set(INITIAL_PARTITIONS, str(min(needed, most)))
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The frame, written to the scratch folder and read back: computed once, with a size that Catalyst knows."""
+    """The frame, written to the scratch folder and read back: computed once, with a size that Catalyst knows.
+
+    The folder goes with `discard`, or when the application ends.
+    """
     path = scratch_dir(df.sparkSession, "settled")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Files(df.sparkSession).delete_on_exit(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete settled frames that nothing reads any more."""
+    for df in stored:
+        Files(df.sparkSession).delete(df.stored_at)
 
 
 class Files:

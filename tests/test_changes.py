@@ -24,6 +24,7 @@ from rowferry.operators import (
     rewrite_dataset,
     rows_in_scope,
 )
+from rowferry.plans.job import run_commands
 from tests.conftest import rows
 
 BASE = [
@@ -96,7 +97,7 @@ def test_scope_prunes_partitions(spark, folder, monkeypatch, limit):
     by_q = rows_in_scope(base, spark.createDataFrame([(None,)], "q string"), "q")
     assert sorted(r["id"] for r in by_q.collect()) == [0, 7, 14]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert ("SortMergeJoin" not in plan) and (limit == 1 or "Join" not in plan)
+    assert "SortMergeJoin" not in plan
     if limit > 1:
         assert "PartitionFilters: [(p#" in plan and "IN (2024-01-02,2024-01-04)" in plan
 
@@ -250,3 +251,89 @@ def test_staged_partitions_keep_their_types(spark, folder):
     df = spark.createDataFrame(rows_in, "id int, at timestamp_ntz, empty string, p string")
     replace_partitions(df, folder, "json", ["p"], df)
     assert rows(spark.read.schema(df.schema).json(folder)) == rows_in
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_scope_means_the_same_for_any_number_of_groups(spark, monkeypatch, limit):
+    monkeypatch.setattr("rowferry.operators.delta.LIST_LIMIT", limit)
+    dates = spark.sql("SELECT date'2024-01-02' AS p, 1 AS id UNION ALL SELECT date'2024-01-03', 2")
+    midnight = spark.sql("SELECT timestamp_ntz'2024-01-02 00:00:00' AS p")
+    assert [r["id"] for r in rows_in_scope(dates, midnight, "p").collect()] == [1]
+    with pytest.raises(ValueError, match="does not fit"):
+        rows_in_scope(dates, spark.sql("SELECT timestamp_ntz'2024-01-02 10:00:00' AS p"), "p")
+    texts = spark.sql("SELECT '01' AS p, 1 AS id UNION ALL SELECT '1', 2")
+    assert [r["id"] for r in rows_in_scope(texts, spark.sql("SELECT 1 AS p"), "p").collect()] == [2]
+
+
+def test_drop_partitions_by_any_column(spark, folder):
+    spark.range(12).selectExpr("id", "id % 2 AS a", "id % 3 AS b").write.partitionBy("a", "b").parquet(folder)
+    assert drop_partitions(spark, folder, [{"b": 1}]) == 2
+    assert drop_partitions(spark, folder, [{"b": 2, "a": 0}]) == 1
+    assert sorted(parts(folder)) == ["a=0", "a=1"]
+    assert spark.read.parquet(folder).where("b = 1 OR (a = 0 AND b = 2)").count() == 0
+    with pytest.raises(ValueError, match="not by c"):
+        drop_partitions(spark, folder, [{"c": 1}])
+
+
+AWKWARD = [("1", "red, blue", None), ("2", 'say "x"', ""), ("3", "tab\there; é", " x "), ("4", None, "\\")]
+
+
+@pytest.mark.parametrize("delimiter", [",", "\t", ";"])
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_delimited_text_is_copied_as_it_is(spark, tmp_path, delimiter, partitioned):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    df = spark.createDataFrame([(*r, str(int(r[0]) % 2)) for r in AWKWARD], "id string, a string, b string, p string")
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    writer = df.repartition(3).write.options(header="true", delimiter=delimiter, **spaces)
+    (writer.partitionBy("p") if partitioned else writer).csv(source)
+    command = {"operation": "copy", "sourcepath": source, "destinationpath": target, "delimiter": delimiter}
+    run_commands(spark, {"fileformat": "csv", "post_migrate_command": {**command, "partitioned": partitioned, "removesource": partitioned}}, "post")
+    # quoted empty fields are empty texts, other empty fields are null
+    got = spark.read.options(header="true", delimiter=delimiter, nullValue="\x01").csv(target)
+    assert rows(got.selectExpr("id", "a", "b", "string(p)")) == rows(df)
+    assert os.path.exists(source) is not partitioned
+
+
+def test_files_without_header_are_copied_with_all_rows(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([("01", "a"), ("11", "a"), ("21", "a")], "x string, y string").repartition(3).write.csv(source)
+    append_copy(spark, source, target, "csv", {"header": "false"})
+    assert rows(spark.read.csv(target)) == [("01", "a"), ("11", "a"), ("21", "a")]
+
+
+def test_appended_partitions_are_seen(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    for path, low in ((source, 0), (target, 10)):
+        spark.range(low, low + 10).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(path)
+    append_copy(spark, source, target, "parquet")
+    assert spark.read.parquet(target).count() == 20
+
+
+def test_compaction_keeps_documents(spark, folder):
+    lines = ['{"a":1,"b":null}', '{"a":1.0,"c":[]}', '{"b":12345678901234567890}']
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(folder)
+    compact(spark, folder, "json")
+    assert rows(spark.read.text(folder)) == sorted((x,) for x in lines)
+
+
+@pytest.mark.parametrize("kept", ["_spark_metadata", "_checkpoint"])
+def test_stream_output_is_not_rewritten(spark, folder, kept):
+    spark.range(5).write.parquet(folder)
+    os.makedirs(f"{folder}/{kept}")
+    with pytest.raises(ValueError, match="stream"):
+        compact(spark, folder, "parquet")
+    assert len(glob.glob(f"{folder}/part-*.parquet")) >= 5
+
+
+def test_operations_of_a_job(spark, folder):
+    spark.range(12).selectExpr("id", "id % 3 AS p").write.partitionBy("p").parquet(folder)
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW gone AS SELECT 4 AS id")
+    commands = [
+        {"operation": "drop_partitions", "path": folder, "partitions": [{"p": 0}]},
+        {"operation": "delete_rows", "path": folder, "selection": "SELECT id FROM gone", "mappingid": "id"},
+        {"operation": "compact", "path": folder},
+    ]
+    run_commands(spark, {"post_migrate_commands": commands}, "post")
+    got = spark.read.parquet(folder)
+    assert sorted(r["id"] for r in got.collect()) == [1, 2, 5, 7, 8, 10, 11]
+    assert len(glob.glob(f"{folder}/p=*")) == 2

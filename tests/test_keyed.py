@@ -153,3 +153,49 @@ def test_keyed_files_rewrite_touched_partitions_only(spark, folder, path_of_plan
     )
     with pytest.raises(Exception, match="exists already: 02, 9"):
         write_keyed_files(frame(spark, [(9, "02", "x")], schema), folder, "parquet", "id", "create", "day")
+
+
+@pytest.mark.parametrize("mode", ["index", "create", "update", "upsert"])
+def test_both_plans_give_the_same_columns(spark, mode):
+    stored = frame(spark, [("s", 1, 1.5)], "a string, id int, v double")
+    given = frame(spark, [(7, 1 if mode in ("index", "update", "upsert") else 2, "n")], "v int, id bigint, b string")
+    results = []
+    for limit in ("10485760", "-1"):
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", limit):
+            got = keyed_write(stored, given, "id", mode)
+            results.append((got.schema.simpleString(), rows(got)))
+    assert results[0] == results[1]
+    assert results[0][0] == "struct<a:string,id:int,v:double,b:string>"
+
+
+def test_values_that_do_not_fit_fail(spark, path_of_plan):
+    stored = frame(spark, [(1, 5)], "id int, v int")
+    for given in (frame(spark, [(1, "x")], "id int, v string"), frame(spark, [(1, 2.5)], "id int, v double")):
+        with pytest.raises(Exception, match="v cannot hold the value"):
+            keyed_write(stored, given, "id", "upsert").collect()
+    assert rows(keyed_write(stored, frame(spark, [(1, "07")], "id int, v string"), "id", "upsert")) == [(1, 7)]
+
+
+@pytest.mark.parametrize("mode", ["update", "upsert"])
+def test_repeated_target_keys_fail(spark, path_of_plan, mode):
+    stored = frame(spark, [(1, "a", "b"), (1, "c", "d"), (2, "e", "f")])
+    with pytest.raises(Exception, match="repeated key in the target: 1"):
+        keyed_write(stored, frame(spark, [(1, "x", "y")]), "id", mode).collect()
+
+
+def test_changes_are_computed_once(spark, folder):
+    """Partitions that an unstable change names are those that are read and rewritten; no other row is lost."""
+    spark.range(4000).selectExpr("id", "id % 20 AS p", "'old' AS v").write.partitionBy("p").parquet(folder)
+    changes = spark.range(1).selectExpr("4000 + id AS id", "cast(rand() * 20 AS bigint) AS p", "'new' AS v")
+    for attempt in range(3):
+        write_keyed_files(changes.withColumn("id", changes.id + attempt), folder, "parquet", "id", "index", "p")
+        assert spark.read.parquet(folder).count() == 4001 + attempt
+
+
+def test_layout_is_kept(spark, folder):
+    spark.range(20).selectExpr("id", "cast(id % 3 AS int) AS p", "'old' AS v").write.partitionBy("p").parquet(folder)
+    changes = spark.range(2).selectExpr("id", "cast(id % 3 AS int) AS p", "'new' AS v")
+    write_keyed_files(changes, folder, "parquet", "id", "upsert")
+    assert sorted(os.path.basename(d) for d in glob.glob(f"{folder}/p=*")) == ["p=0", "p=1", "p=2"]
+    got = spark.read.parquet(folder)
+    assert got.schema["p"].dataType.simpleString() == "int" and got.where("v = 'new'").count() == 2
