@@ -13,10 +13,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowferry.functions import register_functions
-from rowferry.operators.datasets import append_copy, copy_partitions, delete_dataset
+from rowferry.operators.datasets import (
+    append_copy,
+    compact,
+    copy_partitions,
+    delete_dataset,
+    drop_partitions,
+    partition_columns,
+    read_partitioned,
+    rewrite_dataset,
+    text_options,
+)
 from rowferry.operators.keyed import MODES as KEYED_MODES
+from rowferry.operators.keyed import delete_rows
 from rowferry.operators.verify import verify
-from rowferry.plans.spec import JobSpec, describe, parse_job
+from rowferry.plans.spec import JobSpec, describe, masked, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
 from rowferry.session import job_session, size_shuffles
 from rowferry.sinks import write_sink
@@ -153,10 +164,11 @@ def move(
             moved.verified = verify(df, stored, "multiset").first()["status"]
         if count_inputs:
             moved.read = {str(s.get("alias", i)): f.count() for i, (s, f) in enumerate(zip(spec.sources, frames))}
+    for df in frames:
+        if hasattr(df, "stored_at"):
+            delete_dataset(session, df.stored_at)
     for source in spec.sources:
         run_commands(session, source, "post")
-        if is_true(source.get("overrideconnector", False)) and source.get("tmpfilelocation"):
-            delete_dataset(session, str(source["tmpfilelocation"]))
     run_commands(session, destination, "post")
     return moved
 
@@ -173,7 +185,7 @@ def run_job(
     try:
         moved = move(spark, document, precise_counts, verify_job, count_inputs)
     except Exception:
-        error = traceback.format_exc()
+        error = masked(traceback.format_exc(), document)
     sources, destination = described(document)
     status = "Failed" if error else "Completed"
     end = now()
@@ -196,7 +208,7 @@ def commands(endpoint: Mapping[str, object], when: str) -> list[object]:
 
 
 def run_commands(session: SparkSession, endpoint: Mapping[str, object], when: str) -> None:
-    """Run commands in order: Spark SQL statements, or copy and delete operations on datasets."""
+    """Run commands in order: Spark SQL statements, or operations on datasets (copy, delete, compact, drop, delete rows)."""
     for command in commands(endpoint, when):
         if isinstance(command, str):
             session.sql(command)
@@ -214,13 +226,30 @@ def _dataset_command(session: SparkSession, endpoint: Mapping[str, object], comm
         return file_path(session, str(command[name.replace("path", "s3path")]), object_store=True)
 
     operation = command.get("operation")
-    fileformat = str(command.get("fileformat") or endpoint.get("fileformat") or "parquet")
+    fileformat = str(command.get("fileformat") or endpoint.get("fileformat") or "parquet").lower()
+    described = {**endpoint, **command}
+    delimiter = str(described.get("delimiter", "\t" if fileformat == "tsv" else ","))
+    sparkoptions = {k: str(v) for k, v in (described.get("sparkoptions") or {}).items()}
+    options = text_options(delimiter, str(described.get("charset", "utf-8")), sparkoptions)
+    fileformat, options = ("csv", options) if fileformat in ("csv", "tsv") else (fileformat, sparkoptions)
     if operation == "copy" and is_true(command.get("partitioned", False)):
         remove = is_true(command.get("removesource", False))
-        copy_partitions(session, path("sourcepath"), path("destinationpath"), fileformat, remove)
+        copy_partitions(session, path("sourcepath"), path("destinationpath"), fileformat, remove, options)
     elif operation == "copy":
-        append_copy(session, path("sourcepath"), path("destinationpath"), fileformat)
+        append_copy(session, path("sourcepath"), path("destinationpath"), fileformat, options)
     elif operation == "delete":
         delete_dataset(session, path("path"))
+    elif operation == "compact":
+        count = command.get("filecount")
+        compact(session, path("path"), fileformat, int(count) if count else None, options=options)
+    elif operation == "drop_partitions":
+        drop_partitions(session, path("path"), list(command["partitions"]))
+    elif operation == "delete_rows":
+        columns = partition_columns(session, path("path"))
+        stored = read_partitioned(session, path("path"), fileformat, options)
+        left = delete_rows(stored, session.sql(str(command["selection"])), str(command["mappingid"]))
+        rewrite_dataset(left, path("path"), fileformat, columns, options)
     else:
-        raise ValueError(f"unknown command operation {operation!r}; use copy or delete")
+        raise ValueError(
+            f"unknown command operation {operation!r}; use copy, delete, compact, drop_partitions or delete_rows"
+        )

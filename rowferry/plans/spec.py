@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -16,19 +17,29 @@ from rowferry.sources.jdbc import is_true
 
 Endpoint = Mapping[str, object]
 
-# Settings never shown in reports or history.
-SECRET_KEYS = (
-    "login",
+# Settings never shown in reports or history, by name without `_`, `-` and `.` or by a part of it.
+SECRET_KEYS = ("user", "username", "uri", "sfuser", "pem")
+SECRET_PARTS = (
     "password",
-    "user",
-    "uri",
-    "awsaccesskeyid",
-    "awssecretaccesskey",
-    "keystorepassword",
-    "truststorepassword",
-    "keypassword",
-    "pemfilepath",
+    "passwd",
+    "passphrase",
+    "pass",
+    "pwd",
+    "secret",
+    "token",
+    "credential",
+    "login",
+    "jaas",
+    "pemfile",
+    "pemprivate",
+    "privatekey",
+    "accesskey",
+    "apikey",
+    "authuser",
+    "authuid",
 )
+_IN_URL = re.compile(r"(://)[^/\s:@]+:[^/\s@]+@")
+_IN_TEXT = re.compile(r"((?:password|passwd|pwd|secret|token|user(?:name)?|accesskey)\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s;&,\"']+)", re.I)
 DEFAULT_FAILURE_THRESHOLD = 10000
 # settings that a specification passes on to the one it points at
 INHERITED = (
@@ -130,15 +141,42 @@ def parse_run(document: Mapping[str, object]) -> RunSpec:
     )
 
 
+def is_secret(name: str) -> bool:
+    plain = re.sub(r"[^a-z0-9]", "", name.lower())
+    return plain in SECRET_KEYS or any(part in plain for part in SECRET_PARTS)
+
+
 def redact(value: object) -> object:
-    """The same structure without credentials."""
+    """The same structure without credentials, also those inside URLs and option texts."""
     if isinstance(value, Mapping):
-        return {k: redact(v) for k, v in value.items() if k.lower() not in SECRET_KEYS}
+        return {k: redact(v) for k, v in value.items() if not is_secret(str(k))}
     if isinstance(value, (list, tuple)):
         return [redact(v) for v in value]
+    if isinstance(value, str):
+        return _IN_TEXT.sub(r"\1***", _IN_URL.sub(r"\1***@", value))
     return value
 
 
+def secrets(value: object, secret: bool = False) -> Iterator[str]:
+    """The texts of all credentials in a document."""
+    if isinstance(value, Mapping):
+        for k, v in value.items():
+            yield from secrets(v, secret or is_secret(str(k)))
+    elif isinstance(value, (list, tuple)):
+        for v in value:
+            yield from secrets(v, secret)
+    elif secret and value not in (None, ""):
+        yield str(value)
+
+
+def masked(text: str, document: Mapping[str, object]) -> str:
+    """An error text without the credentials of its document."""
+    for secret in sorted(set(secrets(document)), key=len, reverse=True):
+        if len(secret) > 3:
+            text = text.replace(secret, "***")
+    return str(redact(text))
+
+
 def describe(endpoint: Endpoint) -> str:
     """An endpoint in one line for a report: its scalar settings without credentials."""
     shown = redact(endpoint)

@@ -10,6 +10,7 @@ from rowferry import JobsFailed, SpecError, job_session, move, report, run_job,
 from rowferry.__main__ import main
 from rowferry.operators import compare_by_key, join_prefixed, verify
 from rowferry.plans import load_document, parse_job, parse_run, redact
+from rowferry.plans.spec import masked
 from rowferry.plans.templates import expand_inline, first_row_text
 from tests.conftest import rows
 
@@ -60,14 +61,13 @@ def test_views_and_settings_stay_in_the_job(spark):
     assert df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_shuffles_are_sized_by_the_sources(spark, tmp_path, monkeypatch):
+def test_shuffles_are_sized_by_the_sources(spark, tmp_path):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     spark.range(0, 100000, 1, 4).write.parquet(str(tmp_path / "in"))
     document = {"source": files(tmp_path / "in", "parquet", alias="t"), "sql": {"query": "SELECT DISTINCT id % 9 AS r FROM t"}}
     assert transform(spark, document).sparkSession.conf.get(key, None) is None
-    monkeypatch.setattr("rowferry.session.SHUFFLE_PARTITION_BYTES", 1000)
-    monkeypatch.setattr("rowferry.session.MOST_SHUFFLE_PARTITIONS", 300)
-    df = transform(spark, document)
+    sizes = {"spark.rowferry.shufflePartitionBytes": 1000, "spark.rowferry.mostShufflePartitions": 300}
+    df = transform(spark, {**document, "properties": sizes})
     assert df.sparkSession.conf.get(key) == "300" and df.count() == 9
     given = transform(spark, {**document, "properties": {key: 12}})
     assert given.sparkSession.conf.get(key) == "12"
@@ -343,3 +343,21 @@ def test_join_prefixed_can_be_written(spark, folder):
                 "destination": files(folder + "2", "parquet"),
             },
         )
+
+
+def test_credentials_stay_hidden():
+    options = {
+        "spark.cassandra.auth.password": "hidden1",
+        "kafka.sasl.jaas.config": "hidden2",
+        "es.net.http.auth.pass": "hidden3",
+        "sfPassword": "hidden4",
+        "pem_private_key": "hidden5",
+        "fs.s3a.secret.key": "hidden6",
+        "primarykey": "shown1",
+        "keyformat": "shown2",
+    }
+    given = {"source": {"url": "jdbc:x://me:hidden7@h/d?user=a&password=hidden8", "sparkoptions": options}}
+    shown = str(redact(given))
+    assert "hidden" not in shown and "shown1" in shown and "shown2" in shown
+    error = masked("login with hidden3 to jdbc:x://me:hidden7@h failed: password=hidden8;", given)
+    assert "hidden" not in error and "failed" in error
