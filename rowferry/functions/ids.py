@@ -51,8 +51,9 @@ BINARY_TO_JUUID = (
     "else cast(raise_error('A legacy UUID needs the base64 text of 16 bytes') as string) end"
 )
 
-# Version 1 layout. The row number advances the 100 ns clock, the partition number sits in the node field and
-# random bits keep apart queries that start in the same instant.
+# Version 1 layout. The row number advances the 100 ns clock, so that the ids of one call in one task differ; the 14 bits
+# of the clock sequence and 40 of the node (its multicast bit is set) are random per id, which keeps apart tasks, calls
+# and runs that share a tick.
 # Fixed value: 122192928000000000 = 100 ns ticks from 1582-10-15 to 1970-01-01.
 _TICKS = (
     "lpad(hex(unix_micros(current_timestamp()) * 10 + 122192928000000000 "
@@ -61,8 +62,7 @@ _TICKS = (
 TIME_UUID = (
     f"lower(concat_ws('-', substr({_TICKS}, 9, 8), substr({_TICKS}, 5, 4), concat('1', substr({_TICKS}, 2, 3)), "
     "hex(32768 + cast(rand() * 16384 as int)), "
-    "concat('01', lpad(hex(cast(rand() * 256 as int)), 2, '0'), "
-    "lpad(hex(shiftright(monotonically_increasing_id(), 33)), 8, '0'))))"
+    "concat('01', lpad(hex(cast(rand() * 1099511627776 as bigint)), 10, '0'))))"
 )
 
 

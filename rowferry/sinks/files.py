@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowferry.names import column_names
 from rowferry.operators.datasets import file_size
+from rowferry.session import settled
 
 FORMATS = ("json", "csv", "parquet", "orc", "avro", "text")
 # Sequence file format -> Hadoop codec.
@@ -66,11 +67,14 @@ def write_files(
 
 def write_sequence_file(df: DataFrame, path: str, fileformat: str = "sequencefile") -> None:
     """(row index, row JSON) pairs. Spark has no DataFrame writer for sequence files, hence the RDD."""
-    rows = df.select("*").toJSON().zipWithIndex().map(lambda pair: (pair[1], pair[0]))
+    # numbering counts the rows of every task first, so they have to be the same both times, in the order they came
+    numbered = settled(df.withColumn("__row", F.monotonically_increasing_id()))
+    rows = numbered.orderBy("__row").drop("__row").toJSON().zipWithIndex().map(lambda pair: (pair[1], pair[0]))
     rows.saveAsSequenceFile(path, SEQUENCE_CODECS[fileformat])
 
 
 def write_raw_json(df: DataFrame, path: str, savemode: str = "append") -> None:
-    """The first column, which already holds JSON text, one document per line."""
-    first = F.col(f"`{df.columns[0]}`").cast("string").alias("value")
-    df.select(first).where(F.col("value").isNotNull()).write.mode(SAVE_MODES[savemode.lower()]).text(path)
+    """The first column, which already holds JSON text, one document per line. A row without a document is an error."""
+    first = F.col(f"`{df.columns[0]}`").cast("string")
+    text = F.coalesce(first, F.raise_error(F.lit("a row has no JSON document")).cast("string")).alias("value")
+    df.select(text).write.mode(SAVE_MODES[savemode.lower()]).text(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,14 +25,18 @@ def to_json_documents(df: DataFrame) -> DataFrame:
 def stage_documents(documents: DataFrame, path: str, group_size: int = GROUP_SIZE) -> DataFrame:
     """Stage JSON documents in `partition=N` groups of at most `group_size` per task and read them back.
 
-    Each task numbers its own groups, so the numbering needs no shuffle and no driver cursor.
+    Each task numbers its own groups, so the numbering needs no shuffle and no driver cursor. Every call writes to a
+    folder of its own below `path`, named by `stored_at` of the result, so that a second try does not add to the first.
     """
+    path = f"{path.rstrip('/')}/staged-{uuid.uuid4().hex[:12]}"
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     grouped = documents.select(
         F.col("jsonfield"), (F.floor(row_in_task / group_size) + 1).cast("int").alias("partition")
     )
-    grouped.write.mode("append").partitionBy("partition").option("maxRecordsPerFile", group_size).json(path)
-    return documents.sparkSession.read.schema("jsonfield string, partition int").json(path)
+    grouped.write.partitionBy("partition").option("maxRecordsPerFile", group_size).json(path)
+    staged = documents.sparkSession.read.schema("jsonfield string, partition int").json(path)
+    staged.stored_at = path
+    return staged
 
 
 def parse_documents(
@@ -38,18 +44,17 @@ def parse_documents(
 ) -> DataFrame:
     """Columns from a JSON text column.
 
-    Without a DDL `schema` Spark infers one from all documents, or from the first `samplesize` of them; fields
-    that a sampled schema does not know are then left out.
+    Without a DDL `schema` Spark infers one from all documents. `samplesize` is accepted and has no effect: a schema of
+    some documents would lose the fields of others. A text that is no JSON document fails the job.
     """
     if schema is None:
-        schema = infer_document_schema(documents.select(F.col(jsonfield).cast("string")), samplesize)
-    return documents.select(F.from_json(F.col(jsonfield), schema).alias("doc")).select("doc.*")
+        schema = infer_document_schema(documents.select(F.col(jsonfield).cast("string")))
+    parsed = F.from_json(F.col(jsonfield), schema, {"mode": "FAILFAST"})
+    return documents.select(parsed.alias("doc")).select("doc.*")
 
 
-def infer_document_schema(texts: DataFrame, samplesize: int | None = None) -> StructType:
+def infer_document_schema(texts: DataFrame) -> StructType:
     """Common schema of the JSON texts in a one-column frame, found on the executors."""
     spark = texts.sparkSession
-    if samplesize is not None:
-        texts = spark.createDataFrame(texts.take(samplesize), texts.schema)
     strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
     return DataFrame(spark._jsparkSession.read().json(strings), spark).schema

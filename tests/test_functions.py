@@ -95,3 +95,8 @@ def test_render_cell_kinds(spark):
     cells = df.select(*[render_cell(f.name, f.dataType) for f in df.schema]).first()
     assert list(cells) == ["[8F 71]", "[1, null, 2]", "&lt;a &amp; &quot;b&quot;&gt;", "null"]
     assert one(df.select(F.length(render_cell("b", df.schema["b"].dataType)))) == 7
+
+
+def test_time_uuids_of_one_row_differ(spark):
+    df = spark.range(0, 20000, 1, 4).selectExpr("id").select(time_uuid().alias("a"), time_uuid().alias("b"))
+    assert df.where("a = b").count() == 0

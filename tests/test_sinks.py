@@ -88,8 +88,10 @@ def test_sequence_file_numbers_all_rows(spark, folder, fileformat):
 
 def test_raw_json(spark, folder):
     df = spark.createDataFrame([('{"a":1}', 9), ('{"b":"x"}', 9), (None, 9)], "doc string, other int")
-    write_raw_json(df, folder)
+    write_raw_json(df.where("doc IS NOT NULL"), folder)
     assert rows(spark.read.text(folder)) == [('{"a":1}',), ('{"b":"x"}',)]
+    with pytest.raises(Exception, match="no JSON document"):
+        write_raw_json(df, folder)
 
 
 def test_insert_by_position_with_dynamic_partitions(spark, folder):
