@@ -10,12 +10,15 @@ from rowferry.llm import co_training, toxicity
 from rowferry.llm.embedding_graph import near_copies
 from rowferry.llm.html_text import extract_text
 from rowferry.llm.lm_score import score_texts
+from rowferry.llm.oracles import ORACLES
 from rowferry.llm.quality_rules import quality_rules
 from rowferry.llm.sentencepiece_codec import Vocabulary, piece_digests
 from rowferry.llm.simhash import simhash_groups
 from rowferry.llm.source_mix import mix_sources
 from rowferry.llm.suffix_dedup import remove_repeats
 
+__all__ = ["ORACLES", "QUERIES", "VOCABULARY"]
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -81,5 +84,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
     )
 }
-# the operators train, hash with seeds or walk automata, which SQL does not express
-ORACLES: dict[str, str] = {}
