@@ -28,14 +28,16 @@ def fn_date_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, '[' || REPLACE(text, ' ', ',') || ']' AS words, '[' || REPLACE(text, ' ', ',') || ']' AS words_sql
-    FROM documents""")
+    SELECT vec_id, list_sum(parts) AS total, '[' || array_to_string(parts, ',') || ']' AS text,
+           '[' || array_to_string(parts, ',') || ']' AS text_sql
+    FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(FLOOR(x * 1024) AS BIGINT)) AS parts FROM embeddings)""")
 def fn_array_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
-        "SELECT doc_id, w, concat('[', concat_ws(',', w), ']') AS words_sql "
-        "FROM (SELECT doc_id, split(text, ' ') AS w FROM documents)"
+        "SELECT vec_id, parts, concat('[', concat_ws(',', cast(parts AS array<string>)), ']') AS text_sql "
+        "FROM (SELECT vec_id, transform(embedding, x -> floor(x * 1024)) AS parts FROM embeddings)"
     )
-    return run_sql(spark, sf_dir, text, "documents").select("doc_id", array_to_text("w").alias("words"), "words_sql")
+    total = F.aggregate("parts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total")
+    return run_sql(spark, sf_dir, text, "embeddings").select("vec_id", total, array_to_text("parts").alias("text"), "text_sql")
 
 
 @query("""

@@ -115,8 +115,8 @@ def jobs_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, user_id, value FROM events
-    WHERE ts > TIMESTAMP '2024-01-11 00:00:00' AND ts <= TIMESTAMP '2024-01-21 12:00:00'""")
+    SELECT event_id, user_id, value, CASE WHEN ts <= TIMESTAMP '2024-01-11 00:00:00' THEN 0 ELSE 1 END AS move FROM events
+    WHERE ts > TIMESTAMP '2024-01-01 00:00:00' AND ts <= TIMESTAMP '2024-01-21 12:00:00'""")
 def delta_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two moves in a row; the second one takes up where the first one ended."""
     state = WatermarkState(spark, scratch_dir(spark, "state"), "events", datetime(2024, 1, 1))
@@ -126,4 +126,4 @@ def delta_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
         window = state.open(until)
         state.select(events, "ts", window).write.parquet(f"{target}/move={number}")
         state.close(window)
-    return spark.read.parquet(target).where("move = 1").select("event_id", "user_id", "value")
+    return spark.read.parquet(target).select("event_id", "user_id", "value", "move")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowferry import job_session, move, scratch_dir
 
@@ -41,6 +42,14 @@ def files(path: str, fileformat: str, **options) -> dict[str, object]:
     return {"platform": "filesystem", "path": path, "fileformat": fileformat, **options}
 
 
+# a timestamp as text, the same in Spark and in SQL
+SECONDS = "yyyy-MM-dd HH:mm:ss"
+
+
+def dated(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.date_format(F.col(column).cast("timestamp_ntz"), SECONDS))
+
+
 def stage(spark: SparkSession, df: DataFrame, fileformat: str, **options: str) -> str:
     """Write a frame in some format to a fresh folder, as input of a source under test."""
     path = scratch_dir(spark, "staged")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import files, moved, query, source, table
+from catalogue.registry import dated, files, moved, query, source, table
 from rowferry import move, scratch_dir
 from rowferry.operators import compact
 from rowferry.sinks import log_events, render_rows
@@ -27,16 +27,16 @@ def sink_roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).options(header="true", sep=";").csv(path)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem")
+@query("SELECT * REPLACE (STRFTIME(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem")
 def sink_roundtrip_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = moved(spark, {"source": source(sf_dir, "lineitem")}, "orc")
-    return spark.read.orc(path).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return dated(spark.read.orc(path), "l_shipdate")
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query("SELECT * REPLACE (STRFTIME(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def sink_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = moved(spark, {"source": source(sf_dir, "orders")}, "parquet")
-    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return dated(spark.read.parquet(path), "o_orderdate")
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer UNION ALL SELECT c_custkey, c_acctbal FROM customer")
@@ -93,14 +93,12 @@ def compact_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("SELECT * REPLACE (STRFTIME(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def sink_sequencefile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM o"
-    job = {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}}
-    path = moved(spark, job, "sequencefiledeflate")
+    path = moved(spark, {"source": source(sf_dir, "orders")}, "sequencefiledeflate")
     rows = spark.sparkContext.sequenceFile(path).toDF("index bigint, json string")
-    schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
-    return rows.select(F.from_json("json", schema).alias("row")).select("row.*")
+    schema = table(spark, sf_dir, "orders").schema
+    return dated(rows.select(F.from_json("json", schema).alias("row")).select("row.*"), "o_orderdate")
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import files, query, stage, table
+from catalogue.registry import dated, files, query, stage, table
 from rowferry import scratch_dir
 from rowferry.sources import read_source
 
@@ -24,13 +24,13 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority,
-           CAST(o_totalprice AS VARCHAR) AS o_totalprice
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+           CAST(o_totalprice AS VARCHAR) AS o_totalprice, STRFTIME(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+           o_orderpriority
     FROM orders""")
 def src_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
-    path = stage(spark, orders, "csv", sep="\t", **HEADER)
-    return read_source(spark, files(path, "csv", delimiter="\t"))
+    path = stage(spark, table(spark, sf_dir, "orders"), "csv", sep="\t", **HEADER)
+    return dated(read_source(spark, files(path, "csv", delimiter="\t")), "o_orderdate")
 
 
 @query("SELECT c_name || '|' || c_mktsegment AS value FROM customer")
@@ -40,17 +40,24 @@ def src_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority FROM orders""")
+    SELECT o_orderkey, o_custkey, o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority,
+           STRFTIME(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed
+    FROM orders""")
 def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
+        "o_custkey",
         F.struct(
             F.col("o_orderstatus").alias("status"),
-            F.struct(F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority")).alias("terms"),
+            F.struct(
+                F.col("o_totalprice").alias("price"),
+                F.col("o_orderpriority").alias("priority"),
+                F.col("o_orderdate").alias("placed"),
+            ).alias("terms"),
         ).alias("detail"),
     )
     df = read_source(spark, files(stage(spark, orders, "json"), "json"))
-    return df.select("o_orderkey", "detail.status", "detail.terms.price", "detail.terms.priority")
+    return dated(df.select("o_orderkey", "o_custkey", "detail.status", "detail.terms.*"), "placed")
 
 
 @query("""
@@ -75,10 +82,10 @@ def src_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, files(path, "csv", schema=ddl))
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("SELECT * REPLACE (STRFTIME(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def src_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    return read_source(spark, files(stage(spark, orders, "orc"), "orc"))
+    path = stage(spark, table(spark, sf_dir, "orders"), "orc")
+    return dated(read_source(spark, files(path, "orc")), "o_orderdate")
 
 
 @query("""

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import files, query, source, table
+from catalogue.registry import dated, files, query, source, table
 from rowferry import move, scratch_dir
 
-EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 
 
 def streamed(spark: SparkSession, document: dict[str, object], **options) -> str:
@@ -21,9 +20,9 @@ def stream(sf_dir: str, name: str, alias: str | None = None, **options) -> dict[
     return source(sf_dir, name, alias, isstream="true", **options)
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("SELECT * REPLACE (STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM events")
 def stream_file_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(streamed(spark, {"source": stream(sf_dir, "events")})).select(*EVENT_COLUMNS)
+    return dated(spark.read.parquet(streamed(spark, {"source": stream(sf_dir, "events")})), "ts")
 
 
 @query("""
@@ -58,7 +57,7 @@ def stream_watermark_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("SELECT * REPLACE (STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM events")
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs on one checkpoint over a growing folder: the second takes only what is new."""
     folder, path = scratch_dir(spark, "growing"), scratch_dir(spark, "restarted")
@@ -71,7 +70,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     for month_half in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
         events.where(month_half).write.mode("append").parquet(folder)
         move(spark, job)
-    return spark.read.parquet(path).select(*EVENT_COLUMNS)
+    return dated(spark.read.parquet(path), "ts")
 
 
 @query("""
