@@ -148,3 +148,83 @@ def dropped_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_files(lines, path, "parquet", groupbyfields="l_returnflag,l_linestatus")
     drop_partitions(spark, path, [{"l_returnflag": "R"}, {"l_returnflag": "A", "l_linestatus": "O"}])
     return spark.read.parquet(path).groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+
+
+AWKWARD = """
+    SELECT CAST(c_custkey AS {text}) AS id, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+           WHEN 2 THEN concat('a, "b"; ', c_name, ' ') ELSE c_name END AS note,
+           c_mktsegment AS segment FROM {table}"""
+
+
+def _copied(spark: SparkSession, sf_dir: str, delimiter: str, **command) -> DataFrame:
+    """As a job: awkward text is written to a delimited dataset, whose files a command copies."""
+    path, copy = scratch_dir(spark, "delimited"), scratch_dir(spark, "copied")
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "sep": delimiter}
+    command = {"operation": "copy", "sourcepath": path, "destinationpath": copy, "delimiter": delimiter, **command}
+    layout = {"groupbyfields": "segment"} if command.get("partitioned") else {}
+    job = {"source": source(sf_dir, "customer", "c"), "sql": {"query": AWKWARD.format(text="string", table="c")}}
+    move(spark, {**job, "destination": files(path, "csv", sparkoptions=spaces, post_migrate_command=command, **layout)})
+    # what is empty in quotes is an empty text, what is empty without is null
+    return spark.read.options(header="true", sep=delimiter, nullValue="\x01").csv(copy).select("id", "note", "segment")
+
+
+@query(AWKWARD.format(text="VARCHAR", table="customer"))
+def copy_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _copied(spark, sf_dir, ",")
+
+
+@query(AWKWARD.format(text="VARCHAR", table="customer"))
+def copy_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _copied(spark, sf_dir, "\t", partitioned=True, removesource=True)
+
+
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS part FROM orders
+    UNION ALL SELECT l_orderkey || '/' || l_linenumber, l_returnflag FROM lineitem""")
+def append_copy_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, added = scratch_dir(spark, "kept"), scratch_dir(spark, "added")
+    orders = table(spark, sf_dir, "orders").selectExpr("string(o_orderkey) id", "o_orderstatus part")
+    orders.write.partitionBy("part").parquet(path)
+    lines = table(spark, sf_dir, "lineitem").selectExpr("concat(l_orderkey, '/', l_linenumber) id", "l_returnflag part")
+    lines.write.partitionBy("part").parquet(added)
+    append_copy(spark, added, path, "parquet")
+    return spark.read.parquet(path)
+
+
+@query("""
+    SELECT l_returnflag, l_linestatus, COUNT(*) AS n FROM lineitem
+    WHERE l_linestatus <> 'O' AND l_returnflag <> 'R' GROUP BY ALL""")
+def drop_partitions_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As commands of a job: by an inner partition column, and by one given out of order."""
+    path = scratch_dir(spark, "dropped")
+    dropped = [{"l_linestatus": "O"}, {"l_linestatus": "F", "l_returnflag": "R"}]
+    command = {"operation": "drop_partitions", "path": path, "partitions": dropped}
+    layout = {"groupbyfields": "l_returnflag,l_linestatus"}
+    destination = files(path, "parquet", post_migrate_command=command, **layout)
+    move(spark, {"source": source(sf_dir, "lineitem"), "destination": destination})
+    return spark.read.parquet(path).groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT '{"id":' || c_custkey || ',"note":null,"name":"' || c_name || '"}' AS value FROM customer""")
+def compact_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As commands of a job: documents with null fields, in many files and then in one."""
+    path = scratch_dir(spark, "documents")
+    text = """SELECT concat('{"id":', c_custkey, ',"note":null,"name":"', c_name, '"}') AS doc FROM c"""
+    command = {"operation": "compact", "path": path, "filecount": 1}
+    destination = files(path, "json", rowfromjsonstring="true", post_migrate_command=command)
+    move(spark, {"source": source(sf_dir, "customer", "c"), "sql": {"query": text}, "destination": destination})
+    return spark.read.text(path)
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
+    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+def delete_rows_by_command(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As commands of a job, into a partitioned dataset that keeps its layout."""
+    path = scratch_dir(spark, "orders")
+    selection = f"SELECT l_orderkey AS o_orderkey FROM parquet.`{sf_dir}/lineitem.parquet` WHERE l_returnflag = 'R'"
+    command = {"operation": "delete_rows", "path": path, "selection": selection, "mappingid": "o_orderkey"}
+    text = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM o"
+    destination = files(path, "parquet", groupbyfields="o_orderstatus", post_migrate_command=command)
+    move(spark, {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}, "destination": destination})
+    return spark.read.parquet(path)
