@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -52,30 +53,34 @@ def run_jobs(
     run_id, start = uuid.uuid4().hex, now()
     history = _History(spark, history_path, run_id, run, document, start)
     history.started()
-    results = _parallel(spark, run) if run.parallel else _serial(spark, run)
+    results = (_parallel if run.parallel else _serial)(spark, run, history)
     history.ended(results)
     if raise_errors and any(r.status == "Failed" for r in results):
         raise JobsFailed(results)
     return results
 
 
-def _run(spark: SparkSession, run: RunSpec, job: Mapping[str, object]) -> JobResult:
-    return run_job(spark, job, run.precise_counts, run.verify, run.count_inputs)
+def _run(spark: SparkSession, run: RunSpec, history: _History, number: int, job: Mapping[str, object]) -> JobResult:
+    history.job_started(number, job)
+    result = run_job(spark, job, run.precise_counts, run.verify, run.count_inputs)
+    history.job_ended(number, result)
+    return result
 
 
-def _serial(spark: SparkSession, run: RunSpec) -> list[JobResult]:
+def _serial(spark: SparkSession, run: RunSpec, history: _History) -> list[JobResult]:
     results: list[JobResult] = []
-    for job in run.jobs:
+    for number, job in enumerate(run.jobs):
         failures = sum(r.status == "Failed" for r in results)
         if failures and failures >= run.failure_threshold:
             at = now()
             results.append(JobResult(uuid.uuid4().hex, *described(job), at, at, "SKIPPED"))
+            history.job_ended(number, results[-1])
         else:
-            results.append(_run(spark, run, job))
+            results.append(_run(spark, run, history, number, job))
     return results
 
 
-def _parallel(spark: SparkSession, run: RunSpec) -> list[JobResult]:
+def _parallel(spark: SparkSession, run: RunSpec, history: _History) -> list[JobResult]:
     context = spark.sparkContext
 
     @inheritable_thread_target(spark)
@@ -83,7 +88,7 @@ def _parallel(spark: SparkSession, run: RunSpec) -> list[JobResult]:
         number, job = numbered
         context.setLocalProperty("spark.scheduler.pool", f"job-{number}")
         try:
-            return _run(spark, run, job)
+            return _run(spark, run, history, number, job)
         finally:
             context.setLocalProperty("spark.scheduler.pool", None)
 
@@ -105,29 +110,31 @@ class _History:
     ):
         self._spark, self._path, self._run_id, self._run = spark, path, run_id, run
         self._text, self._start = json.dumps(redact(document)), start
+        self._lock = Lock()
 
     def started(self) -> None:
         if self._path:
             self._append_run("Started", None, None)
 
+    def job_started(self, number: int, job: Mapping[str, object]) -> None:
+        """A row when a job starts, so that a lost driver leaves a trace of it."""
+        self._append_job(number, *described(job), now(), None, None, "Started")
+
+    def job_ended(self, number: int, r: JobResult) -> None:
+        self._append_job(number, r.sources, r.destination, r.start, r.end, r.count, r.status)
+
+    def _append_job(self, number: int, sources: str, destination: str, start, end, count, status: str) -> None:
+        if not self._path:
+            return
+        mapping = json.dumps({"sources": sources, "destination": destination})
+        minutes = elapsed_minutes(start, end, status)
+        row = (str(number), self._run_id, mapping, start, end, minutes, count, None, status)
+        with self._lock:  # appends to one folder must not overlap
+            append_history(self._spark, f"{self._path}/jobs", [row], JOB_SCHEMA)
+
     def ended(self, results: Sequence[JobResult]) -> None:
         if not self._path:
             return
-        rows = [
-            (
-                str(number),
-                self._run_id,
-                json.dumps({"sources": r.sources, "destination": r.destination}),
-                r.start,
-                r.end,
-                elapsed_minutes(r.start, r.end, r.status),
-                r.count,
-                None,
-                r.status,
-            )
-            for number, r in enumerate(results)
-        ]
-        append_history(self._spark, f"{self._path}/jobs", rows, JOB_SCHEMA)
         errors = [r.error for r in results if r.error]
         status = "Failed" if errors else "Completed"
         self._append_run(status, now(), "\n".join(errors) or None)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rowferry import JobsFailed, SpecError, job_session, move, report, run_job, run_jobs, transform
 from rowferry.__main__ import main
 from rowferry.operators import compare_by_key, join_prefixed, verify
+from rowferry.operators.history import latest_status
 from rowferry.plans import load_document, parse_job, parse_run, redact
 from rowferry.plans.spec import masked
 from rowferry.plans.templates import expand_inline, first_row_text
@@ -225,7 +226,13 @@ def test_counts_verification_history_and_report(spark, tmp_path):
     results = run_jobs(spark, document, history_path=history, raise_errors=False)
     assert [(r.count, r.verified) for r in results] == [(5, "succeeded"), (None, "NA")]
     jobs = spark.read.parquet(f"{history}/jobs")
-    assert rows(jobs.select("Status", "Count", "ElapsedTimeInMinutes")) == [("Completed", 5, 1), ("Failed", None, 1)]
+    started = [("Started", None, 0)] * 2
+    ended = [("Completed", 5, 1), ("Failed", None, 1)]
+    assert rows(jobs.select("Status", "Count", "ElapsedTimeInMinutes")) == ended + started
+    assert rows(latest_status(jobs.withColumn("MigrationId", F.concat("JobId", "MigrationId"))).select("Status")) == [
+        ("Completed",),
+        ("Failed",),
+    ]
     assert rows(spark.read.parquet(f"{history}/runs").select("Status")) == [("Failed",), ("Started",)]
     assert spark.read.parquet(f"{history}/alerts").count() == 1
     shown = report(spark, results)
