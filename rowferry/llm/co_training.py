@@ -28,7 +28,8 @@ def byte_table():
     import numpy as np
 
     table = np.zeros(256, np.int64)
-    for kind, members in enumerate(("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n", ".,;:?'\"()-", "!", "#*$%&|<>@^~_=+/\\[]{}`"), 1):
+    kinds = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n", ".,;:?'\"()-", "!", "#*$%&|<>@^~_=+/\\[]{}`"
+    for kind, members in enumerate(kinds, 1):
         table[list(members.encode())] = kind
     table[128:] = BYTE_CLASSES
     return table
@@ -277,7 +278,8 @@ def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
         fitted = sent()
         for batch in batches:
             scores = fitted.score(*batch_features(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x) for x in scores.T)], ["doc_id", "content_score", "meta_score", "score"])
+            columns = [batch.column(0), *(pa.array(x) for x in scores.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content_score", "meta_score", "score"])
 
     scored = inputs_of(docs).mapInArrow(run, "doc_id long, content_score double, meta_score double, score double")
     return scored.select(

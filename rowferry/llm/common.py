@@ -102,7 +102,8 @@ def components(edges: DataFrame) -> DataFrame:
     smaller ones do. Each round is an aggregation with a map-side minimum and a join; rounds grow with the logarithm of
     the number of nodes. Loops and repeated edges are allowed; edges with a null end are left out.
     """
-    links = edges.filter("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    known = edges.filter("a IS NOT NULL AND b IS NOT NULL")
+    links = known.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     links = store(links.filter("u != v").distinct())
     before = None
     while True:

@@ -289,13 +289,16 @@ def piece_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         is_byte[codec.byte_ids] = True
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            rows = []
+            sizes, n_bytes, digests, same = [], [], [], []
             for text, found in zip(texts, codec.encode_all(texts, cache), strict=True):
                 ids = np.frombuffer(found, "<i4")
-                same = codec.decode(ids.tolist()) == text
-                rows.append((len(ids), int(is_byte[ids].sum()), hashlib.sha256(found).hexdigest(), same))
-            columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.bool_()), strict=True)] if rows else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.string(), pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "round_trip"])
+                sizes.append(len(ids))
+                n_bytes.append(int(is_byte[ids].sum()))
+                digests.append(hashlib.sha256(found).hexdigest())
+                same.append(codec.decode(ids.tolist()) == text)
+            columns = [pa.array(sizes, pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(digests, pa.string())]
+            columns = [batch.column(0), *columns, pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "round_trip"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_sha256 string, round_trip boolean")

@@ -90,10 +90,12 @@ def hamming_links(prints: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     crowded = lambda half: store(table.groupBy(half).count().filter(F.col("count") > hot).select(half))
     hot_hi, hot_lo = crowded("hi"), crowded("lo")
     whole = table.select(F.col("fp").alias("b"))
-    flips = F.transform(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))
+    flips = F.array(*(F.lit(1 << i) for i in range(HALF))).cast("array<bigint>")
     up = F.filter(flips, lambda m: F.col("hi").bitwiseAND(m) == 0)
-    probes = table.select("fp", "lo", F.explode(F.concat(F.array(F.lit(0).cast("long")), up)).alias("flip"), "hi")
-    probes = probes.select("fp", "lo", (F.col("flip") != 0).cast("int").alias("used"), F.col("hi").bitwiseOR(F.col("flip")).alias("key"))
+    flip = F.explode(F.concat(F.array(F.lit(0).cast("long")), up))
+    probes = table.select("fp", "lo", flip.alias("flip"), "hi")
+    used, key = (F.col("flip") != 0).cast("int").alias("used"), F.col("hi").bitwiseOR(F.col("flip")).alias("key")
+    probes = probes.select("fp", "lo", used, key)
     target = table.select(F.col("fp").alias("b"), F.col("hi").alias("key"), F.col("lo").alias("lo_b"))
     quiet = target.join(hot_hi.withColumnRenamed("hi", "key"), "key", "left_anti") if not hot_hi.isEmpty() else target
     near = probes.join(quiet, "key").filter(distance(F.col("lo"), F.col("lo_b")) <= RADIUS - F.col("used"))
@@ -113,7 +115,8 @@ def hamming_links(prints: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
         busy = busy.withColumn("b", shifted(F.col("hi_b")).bitwiseOR(F.col("lo"))).filter("a < b")
         pairs.append(busy.select("a", "b").join(whole, "b").select("a", "b"))
         left = left.join(hot_lo, "lo", "left_anti")
-    pairs.append(left.join(right, "lo").filter((distance(F.col("hi_a"), F.col("hi_b")) == RADIUS) & (F.col("a") < F.col("b"))).select("a", "b"))
+    far = left.join(right, "lo").filter(distance(F.col("hi_a"), F.col("hi_b")) == RADIUS).filter("a < b")
+    pairs.append(far.select("a", "b"))
     found = pairs[0]
     for more in pairs[1:]:
         found = found.unionByName(more)

@@ -16,7 +16,7 @@ RUN_ROWS = 50_000
 
 
 def numbered(df: DataFrame, *order: Column) -> DataFrame:
-    """The rows of a small table with `place`, their place from 0 in the given order, numbered without one global task."""
+    """The rows with `place`, their place from 0 in the given order, numbered without one global task."""
     placed = store(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright("__id", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
@@ -74,17 +74,20 @@ def mix_sources(
     """
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     rows = docs.select(*dict.fromkeys([*carry, "doc_id", "source", "text"])).withColumn("size", size)
-    rows = rows.withColumn("__key", F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary")))
+    seeded = F.concat_ws("/", F.lit(str(seed)), F.col("doc_id").cast("string"))
+    rows = rows.withColumn("__key", F.md5(seeded.cast("binary")))
     rows = rows.withColumn("__class", F.floor(F.sqrt("size")))
     # a source as a text that is never null
     rows = rows.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
-    thin = rows.select("doc_id", "source", "size", "__key", "__class", "__source")
-    if "text" in carry:
-        rows = rows.withColumn("__text", F.xxhash64("text"))
+    needed = ["doc_id", "source", "size", "__key", "__class", "__source"]
+    if set(carry) <= set(needed):
+        # without texts the rows are small, and words are counted once
+        rows = store(rows.select(*needed, F.lit(0).alias("__text")), "mix")
     else:
-        rows = store(thin.withColumn("__text", F.lit(0)).select(*dict.fromkeys([*(c for c in carry if c in thin.columns), *thin.columns, "__text"])), "mix") if set(carry) <= set(thin.columns) else rows.withColumn("__text", F.xxhash64("text"))
-        thin = rows.select(*thin.columns)
-    by_class = store(thin.groupBy("__source", "source", "__class").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
+        rows = rows.withColumn("__text", F.xxhash64("text"))
+    thin = rows.select(*needed)
+    by_class = thin.groupBy("__source", "source", "__class")
+    by_class = store(by_class.agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     sizes = by_class.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = store(source_targets(sizes, weights, share))
     runs = max(1, -(-(by_class.agg(F.sum("n")).first()[0] or 0) // RUN_ROWS))
@@ -94,8 +97,10 @@ def mix_sources(
     in_class = Window.partitionBy("__source", "__class").orderBy("__run").rowsBetween(*up_to)
     in_source = Window.partitionBy("__source").orderBy("__class").rowsBetween(*up_to)
     nothing = F.lit(0).cast("long")
-    run_starts = counts.select("__source", "__class", "__run", F.coalesce(F.sum("n").over(in_class), nothing).alias("__a"))
-    class_starts = by_class.select("__source", "__class", F.coalesce(F.sum("n").over(in_source), nothing).alias("__b"))
+    before_run = F.coalesce(F.sum("n").over(in_class), nothing).alias("__a")
+    before_class = F.coalesce(F.sum("n").over(in_source), nothing).alias("__b")
+    run_starts = counts.select("__source", "__class", "__run", before_run)
+    class_starts = by_class.select("__source", "__class", before_class)
     known = targets.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source")
     starts = run_starts.join(class_starts, ["__source", "__class"]).join(known, "__source")
     starts = starts.withColumn("__start", F.col("__a") + F.col("__b")).drop("__a", "__b")
