@@ -29,11 +29,11 @@ from rowferry.operators.keyed import delete_rows
 from rowferry.operators.verify import verify
 from rowferry.plans.spec import JobSpec, describe, masked, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
-from rowferry.session import job_session, size_shuffles
+from rowferry.session import Files, job_session, settled, size_shuffles
 from rowferry.sinks import write_sink
 from rowferry.sinks.files import SEQUENCE_CODECS
 from rowferry.sources import input_file, read_source
-from rowferry.sources.files import file_path
+from rowferry.sources.files import endpoint_path, file_path
 from rowferry.sources.jdbc import is_true
 from rowferry.streaming import run_stream
 
@@ -119,6 +119,18 @@ def _write(df: DataFrame, destination: Mapping[str, object], count: bool) -> int
     return observed.get["rows"]
 
 
+def files_before(session: SparkSession, destination: Mapping[str, object]) -> DataFrame | None:
+    """The files that a file destination holds already, so that an append can be told from what was there."""
+    appends = str(destination.get("savemode", "append")).lower() == "append"
+    if destination["platform"] not in ("filesystem", "s3") or not appends or destination.get("fileformat") in SEQUENCE_CODECS:
+        return None
+    files = Files(session)
+    path = endpoint_path(session, destination)
+    if not files.exists(path) or not files.children(path):
+        return None
+    return settled(session.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path"))
+
+
 def read_back(session: SparkSession, destination: Mapping[str, object], written: DataFrame) -> DataFrame | None:
     """What the destination holds, in the columns and types that were written; None where it cannot be read again."""
     platform, fileformat = destination["platform"], destination.get("fileformat")
@@ -144,7 +156,7 @@ def move(
     """Run one job and raise whatever goes wrong.
 
     `count` asks for the rows written, `check` for a comparison of the result with what the destination holds
-    afterwards, `count_inputs` for the rows of each source. Counting inputs is a job of its own per source, so that
+    afterwards (in a file dataset that is appended to, with the files that are new), `count_inputs` for the rows of each source. Counting inputs is a job of its own per source, so that
     it does not keep filters and column pruning from reaching the scans of the move itself.
     """
     document = expand_inline(spark, document)
@@ -155,11 +167,15 @@ def move(
     run_commands(session, destination, "pre")
     df = apply_sql(session, spec, frames)
     moved = Moved()
+    before = files_before(session, destination) if check and not df.isStreaming else None
     if df.isStreaming:
         run_stream(df, destination)
     else:
         moved.count = _write(df, destination, count)
         stored = read_back(session, destination, df) if check else None
+        if stored is not None and before is not None:
+            new = stored.select("*", F.col("_metadata.file_path").alias("__path"))
+            stored = new.join(before, new["__path"] == before["path"], "left_anti").drop("__path")
         if stored is not None:
             moved.verified = verify(df, stored, "multiset").first()["status"]
         if count_inputs:

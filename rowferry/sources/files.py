@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,7 @@ def stream_files(
     if Files(spark).is_file(path):
         # a stream follows a folder, so a single file becomes its folder with a name filter
         folder, slash, name = path.rpartition("/")
+        name = re.sub(r"([\[\]{}*?\\])", r"\\\1", name)  # taken as it is, not as a pattern
         return reader.option("pathGlobFilter", name).load(folder + slash or ".")
     return reader.load(path)
 

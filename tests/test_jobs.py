@@ -141,7 +141,10 @@ def test_verification_of_any_format(spark, tmp_path, fileformat):
         "destination": files(tmp_path / "o", fileformat, groupbyfields="IntField"),
     }
     assert run_job(spark, document, verify_job=True).verified == "succeeded"
-    # the folder now holds every row twice
+    # an append is compared with the files that it added
+    assert run_job(spark, document, verify_job=True).verified == "succeeded"
+    # the folder holds every row twice, and this write is skipped
+    document["destination"] = {**document["destination"], "savemode": "ignore"}
     assert run_job(spark, document, verify_job=True).verified == "failed"
 
 
@@ -368,3 +371,11 @@ def test_credentials_stay_hidden():
     assert "hidden" not in shown and "shown1" in shown and "shown2" in shown
     error = masked("login with hidden3 to jdbc:x://me:hidden7@h failed: password=hidden8;", given)
     assert "hidden" not in error and "failed" in error
+
+
+@pytest.mark.parametrize("fileformat", ["json", "csv", "parquet"])
+def test_an_append_is_verified_by_its_own_files(spark, tmp_path, fileformat):
+    document = {"source": hello(), "destination": files(tmp_path / "o", fileformat, savemode="append")}
+    for _ in range(2):
+        result = run_job(spark, document, verify_job=True)
+        assert (result.error, result.verified) == (None, "succeeded")
