@@ -334,7 +334,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         for text in utf8(texts.column("text")):
             tokens = text.lower().split()
-            for word in set(tokens) - base.keys():
+            for word in set(tokens).difference(base):
                 c = count[word_key(word)]
                 base[word] = math.log10((c + 0.5) / below)
                 if not c:
@@ -351,7 +351,8 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             flush()
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         arrays = [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)]
-        return pa.Table.from_arrays([texts.column("doc_id").combine_chunks(), *arrays], ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+        arrays = [texts.column("doc_id").combine_chunks(), *arrays]
+        return pa.Table.from_arrays(arrays, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
     placed = rows.mapInArrow(place, "chunk long, doc_id long, text string")
     scored = placed.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(
