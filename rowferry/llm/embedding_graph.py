@@ -9,7 +9,7 @@ from rowferry.llm.common import bounded_batches, components, shared, store
 
 THRESHOLD = 0.95
 # vectors in a shard that one task builds and searches, at most; larger shards are split again
-SHARD_ROWS = 4096
+SHARD_ROWS = 2048
 CENTRES = 32
 # the cosine from which two centres are one
 MERGED = 0.9
@@ -25,6 +25,8 @@ BEAM = 16
 # the range search goes on from nodes this far below the threshold
 SLACK = 0.1
 AUDITED = 200
+# nodes whose neighbours are looked at together, and queries that search together
+OPENED, QUERIES = 1 << 14, 512
 
 
 def unit(column):
@@ -86,7 +88,8 @@ def split(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame, DataFra
     centres = store(sample.groupBy("shard").applyInArrow(fit, "shard string, centre array<double>"), "centres")
     salts = F.ceil(F.col("n") / SHARD_ROWS).cast("int")
     salted = rows.withColumn("salt", F.pmod("hash", salts).cast("int")).select("shard", "salt", "home", "id", "v")
-    copies = centres.join(big, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select("shard", "salt", "centre")
+    copies = centres.join(big, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    copies = copies.select("shard", "salt", "centre")
 
     def place(own: pa.Table, table: pa.Table) -> pa.Table:
         if not own.num_rows:
@@ -163,8 +166,8 @@ def searched(matrix, graph, queries, start: int):
     import numpy as np
 
     n, found = len(matrix), np.zeros((len(queries), len(matrix)), bool)
-    for low in range(0, len(queries), 1024):
-        own = queries[low : low + 1024]
+    for low in range(0, len(queries), QUERIES):
+        own = queries[low : low + QUERIES]
         b = len(own)
         every = np.arange(b)
         seen, near = np.zeros((b, n), bool), np.full((b, n), -2.0)
@@ -204,14 +207,19 @@ def searched(matrix, graph, queries, start: int):
                 score = np.where(wide >= 0, near[every[:, None], wide], -3)
                 order = np.argsort(-score, axis=1, kind="stable")[:, :BEAM]
                 beam = np.take_along_axis(wide, order, 1)
-        q, nodes = np.nonzero(seen & (near >= THRESHOLD - SLACK))
-        while len(q):
+        waiting = [np.nonzero(seen & (near >= THRESHOLD - SLACK))]
+        while waiting:
+            q, nodes = waiting.pop()
+            if len(q) > OPENED:  # some at a time, as each brings all its neighbours
+                waiting.append((q[OPENED:], nodes[OPENED:]))
+                q, nodes = q[:OPENED], nodes[:OPENED]
             next_ = graph[nodes]
             real = next_.ravel() >= 0
             q, nodes = visit(np.repeat(q, graph.shape[1])[real], next_.ravel()[real])
             close = near[q, nodes] >= THRESHOLD - SLACK
-            q, nodes = q[close], nodes[close]
-        found[low : low + 1024] = near >= THRESHOLD
+            if close.any():
+                waiting.append((q[close], nodes[close]))
+        found[low : low + QUERIES] = near >= THRESHOLD
     found[np.arange(len(queries)), queries] = False
     return found
 
@@ -398,7 +406,8 @@ def near_copies(vectors: DataFrame) -> DataFrame:
     counted = store(counted.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links")), "counts")
     links = found.filter("kind = 'edge'").select("a", "b").unionByName(pairs.filter("a < b"))
     roots = components(links)
-    placed = classes.join(roots, classes.id == roots.node, "left").select("id", "v", "n", "first_id", F.coalesce("root", "id").alias("root"))
+    root = F.coalesce("root", "id").alias("root")
+    placed = classes.join(roots, classes.id == roots.node, "left").select("id", "v", "n", "first_id", root)
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     recall = audit(classes, counted)
     known = placed.join(least, "root").join(counted, "id", "left")

@@ -30,7 +30,7 @@ def truth(matrix):
         root = new
 
 
-@pytest.mark.parametrize("rows", [4096, 60])
+@pytest.mark.parametrize("rows", [2048, 60])
 def test_against_all_pairs(spark, monkeypatch, rows):
     monkeypatch.setattr(embedding_graph, "SHARD_ROWS", rows)
     matrix = vectors()
