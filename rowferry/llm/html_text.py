@@ -16,7 +16,10 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 BROKEN_TAG = re.compile(r"</?[a-zA-Z][^<>]*(?:>|\Z)", re.S)
 MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template title textarea iframe svg math head select object".split())
+RAW = set("script style noscript template title textarea iframe svg math select object".split())
+# of these, what runs to the end of the page without an end tag
+TO_END = set("script style textarea title".split())
+HEAD_VOID = set("base link meta".split())
 BLOCK = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hr html li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -33,6 +36,7 @@ ENDS = {
     "tbody": {"thead", "tbody", "tr", "td", "th"},
     "tfoot": {"thead", "tbody", "tr", "td", "th"},
 }
+LISTED = set("ul ol li dl dt dd option fieldset".split())
 BOUNDS = set("article aside body div dl footer form header main nav ol section table td th ul blockquote".split())
 # elements that never hold article text
 ASIDE_TAGS = set("nav footer aside form button input dialog menu".split())
@@ -72,7 +76,7 @@ class Page:
         self.linked, self.in_article = [False], [False]
         self.texts: list[tuple[int, int, str]] = []  # element, block, text
         self.stack, self.block = [0], 0
-        at = 0
+        at, in_head = 0, False
         while at < len(source):
             found = TOKEN.search(source, at)
             self.add(source[at : found.start() if found else len(source)])
@@ -81,22 +85,25 @@ class Page:
             at = found.end()
             if found[2]:
                 tag = found[2].lower()
+                # a head ends with the first tag that may not stand in it, its end tag or not
+                in_head = tag == "head" and not found[1] or in_head and tag in HEAD_VOID | RAW
+                if tag == "head" or in_head and tag in HEAD_VOID:
+                    continue
                 if found[1]:
                     self.close(tag)
                 elif tag in RAW and not found[3].endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                    at = end.end() if end else len(source)
+                    at = end.end() if end else len(source) if tag in TO_END else self.level_end(source, at)
                 elif is_aside(tag, found[3], self.in_article[self.stack[-1]]):
                     self.block += 1
                     at = at if tag in VOID else self.skip(source, at, tag)
                 else:
                     self.open(tag, found[3].endswith("/"))
 
-    @staticmethod
-    def skip(source: str, at: int, tag: str) -> int:
+    def skip(self, source: str, at: int, tag: str) -> int:
         """The place behind an element that was opened before `at`.
 
-        Without an end tag it ends before the next article; if there is none, sections run to the end of the page and
+        Without an end tag it ends before the next article; if there is none, sections end as `level_end` says and
         what stands in other elements stays.
         """
         depth = 1
@@ -106,7 +113,19 @@ class Page:
             if not depth:
                 return found.end()
         article = ARTICLE.search(source, at)
-        return article.start() if article else len(source) if tag in ASIDE_TAGS else at
+        return article.start() if article else self.level_end(source, at) if tag in ASIDE_TAGS else at
+
+    def level_end(self, source: str, at: int) -> int:
+        """Where an element without an end tag ends: before the next block or the end tag of an element around it.
+
+        A list is not such a block, as menus consist of them.
+        """
+        around = {self.tag[i] for i in self.stack}
+        for found in TOKEN.finditer(source, at):
+            tag = (found[2] or "").lower()
+            if (tag in around) if found[1] else (tag in BLOCK - LISTED):
+                return found.start()
+        return len(source)
 
     def add(self, text: str) -> None:
         text = BROKEN_TAG.sub(" ", text) if "<" in text else text

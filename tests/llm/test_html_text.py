@@ -57,3 +57,18 @@ def test_rows(spark):
     found = sorted(map(tuple, extract_text(df).collect()), key=repr)
     assert found == sorted([(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0), (2, None, "", 0)], key=repr)
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_unclosed_containers_keep_the_article():
+    story = " ".join(f"word{i}" for i in range(80))
+    for start in (
+        "<head><title>x</title><meta name=a><body>",
+        "<head><title>x</title>",
+        "<body><div><select><option>one</div>",
+        "<body><object data=x>",
+        "<body><svg><path d='m0'>",
+        "<body><nav><ul><li><a href=/>home</a></ul>",
+        "<body><aside><a href=/>more</a>",
+        "<body><form><input name=q>",
+    ):
+        assert main_text(f"<html>{start}<p>{story}</p><p>{story}</p></body></html>") == f"{story}\n{story}", start
