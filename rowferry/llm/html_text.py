@@ -41,6 +41,7 @@ BOUNDS = set("article aside body div dl footer form header main nav ol section t
 # elements that never hold article text
 ASIDE_TAGS = set("nav footer aside form button input dialog menu".split())
 ARTICLE_TAGS = {"article", "main"}
+HEADING = re.compile("h[1-6]")
 ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 ASIDE_NAMES = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
@@ -48,11 +49,33 @@ ASIDE_NAMES = set(
     "cookie cookies consent gdpr popup modal overlay subscribe newsletter signup login share sharing social related "
     "recommended widget toolbar search pagination pager".split()
 )
+# words that turn a name of them into a mark of the layout or the topic, before and behind it
+LAYOUT = set("has no not with without hide show is".split())
+TOPIC = set("work works research literature studies".split())
+# of a page's unlinked text, the share from which a named element is a wrapper and no aside; readers may write more
+WRAPPER = 2 / 3
+COMMENT_NAMES = set("comment comments disqus respond reply replies".split())
 ASIDE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 
+def aside_names(tag: str, attributes: str) -> set[str]:
+    """The words in an element's class and id that name something beside an article; none for headings."""
+    found: set[str] = set()
+    if not attributes or tag in ("body", "html", "article", "main") or HEADING.fullmatch(tag):
+        return found
+    for name, *values in MARKS.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for compound in next((v for v in values if v), "").lower().split():
+                parts = [part for part in re.split(r"[^a-z0-9]+", compound) if part]
+                for i, part in enumerate(parts):
+                    layout = not LAYOUT.isdisjoint(parts[:i]) or not TOPIC.isdisjoint(parts[i + 1 :])
+                    if part in ASIDE_NAMES and not layout:
+                        found.add(part)
+    return found
+
+
 def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is known by its name or marks not to be part of an article."""
+    """Whether an element is known by its tag, role or marks not to be part of an article."""
     if tag in ASIDE_TAGS or (tag == "header" and not in_article):
         return True
     for name, *values in MARKS.findall(attributes) if attributes else ():
@@ -61,9 +84,6 @@ def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in ASIDE_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            if not ASIDE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return True
     return False
 
 
@@ -74,6 +94,7 @@ class Page:
         self.tag, self.parent = ["html"], [-1]
         self.own = [0]
         self.linked, self.in_article = [False], [False]
+        self.named: dict[int, set[str]] = {}  # elements that their names call asides
         self.texts: list[tuple[int, int, str]] = []  # element, block, text
         self.stack, self.block = [0], 0
         at, in_head = 0, False
@@ -98,7 +119,16 @@ class Page:
                     self.block += 1
                     at = at if tag in VOID else self.skip(source, at, tag)
                 else:
+                    names = aside_names(tag, found[3])
+                    if names and tag not in VOID:
+                        self.block += 1
+                        if not self.ended(source, at, tag):
+                            article = ARTICLE.search(source, at)
+                            at = article.start() if article else at
+                            continue
                     self.open(tag, found[3].endswith("/"))
+                    if names:
+                        self.named[len(self.tag) - 1] = names
 
     def skip(self, source: str, at: int, tag: str) -> int:
         """The place behind an element that was opened before `at`.
@@ -106,14 +136,22 @@ class Page:
         Without an end tag it ends before the next article; if there is none, sections end as `level_end` says and
         what stands in other elements stays.
         """
+        end = self.ended(source, at, tag)
+        if end:
+            return end
+        article = ARTICLE.search(source, at)
+        return article.start() if article else self.level_end(source, at) if tag in ASIDE_TAGS else at
+
+    @staticmethod
+    def ended(source: str, at: int, tag: str) -> int:
+        """The place behind the end tag of an element that was opened before `at`; 0 without one."""
         depth = 1
         for found in re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){re.escape(tag)}\b[^>]*>", re.I | re.S).finditer(source, at):
             if found[1] is not None:
                 depth += -1 if found[1] else 1
             if not depth:
                 return found.end()
-        article = ARTICLE.search(source, at)
-        return article.start() if article else self.level_end(source, at) if tag in ASIDE_TAGS else at
+        return 0
 
     def level_end(self, source: str, at: int) -> int:
         """Where an element without an end tag ends: before the next block or the end tag of an element around it.
@@ -170,6 +208,32 @@ class Page:
             if tag not in BLOCK and self.tag[self.stack[depth]] in BLOCK:
                 return
 
+    def cut(self) -> list[bool]:
+        """Whether each element is in one that its name calls an aside.
+
+        A name does not count for an element that holds the page's only articles, or so much of the unlinked text that
+        it is a wrapper; what is only named for comments is no wrapper.
+        """
+        n = len(self.tag)
+        out = [False] * n
+        if not self.named:
+            return out
+        free = [0 if self.linked[i] else self.own[i] for i in range(n)]
+        holds, within = [tag in ARTICLE_TAGS for tag in self.tag], [i in self.named for i in range(n)]
+        for i in range(1, n):
+            within[i] = within[i] or within[self.parent[i]]
+        apart = any(holds[i] and not within[i] for i in range(n))
+        for i in range(n - 1, 0, -1):
+            free[self.parent[i]] += free[i]
+            holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
+        for i in range(1, n):
+            out[i] = out[self.parent[i]]
+            if i in self.named and not out[i]:
+                wrapper = free[i] >= WRAPPER * free[0] and not self.named[i] <= COMMENT_NAMES
+                only = holds[i] and not apart and not (self.named[i] <= COMMENT_NAMES and free[i] < free[0] / 2)
+                out[i] = not (wrapper or only)
+        return out
+
     def chosen(self) -> list[bool]:
         """Whether each element is in a subtree that is selected.
 
@@ -177,10 +241,10 @@ class Page:
         the body is the threshold. Every element as dense as that gives the element with the largest sum below it. An
         article around a selected element is taken whole.
         """
-        n = len(self.tag)
-        chars, tags, link_chars, link_tags = list(self.own), [1] * n, [0] * n, [int(x) for x in self.linked]
-        for i in range(n):
-            link_chars[i] = self.own[i] if self.linked[i] else 0
+        n, cut = len(self.tag), self.cut()
+        chars = [0 if cut[i] else self.own[i] for i in range(n)]
+        tags, link_tags = [int(not x) for x in cut], [int(x and not y) for x, y in zip(self.linked, cut, strict=True)]
+        link_chars = [chars[i] if self.linked[i] else 0 for i in range(n)]
         for i in range(n - 1, 0, -1):
             up = self.parent[i]
             for count in (chars, tags, link_chars, link_tags):
@@ -215,7 +279,7 @@ class Page:
             if chars[i] and density[i] >= threshold:
                 taken[article[best[i]] if article[best[i]] >= 0 else best[i]] = True
         for i in range(1, n):
-            taken[i] = taken[i] or taken[self.parent[i]]
+            taken[i] = (taken[i] or taken[self.parent[i]]) and not cut[i]
         return taken
 
     def text(self) -> str:

@@ -72,3 +72,26 @@ def test_unclosed_containers_keep_the_article():
         "<body><form><input name=q>",
     ):
         assert main_text(f"<html>{start}<p>{story}</p><p>{story}</p></body></html>") == f"{story}\n{story}", start
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='content has-sidebar'>{}</div>",
+        "<div id='wrapper' class='no-sidebar'>{}</div>",
+        "<div class='sidebar-page banner'>{}</div>",
+        "<div class='with-menu widget'><article>{}</article></div>",
+        "<div class=ad>Buy now, today only.</div><div id='main-search'>{}<div class=ad>Cheap and cheerful offers.</div></div>",
+        "<div><section id='related-work'>{}</section><div class='comments'><p>I read it all.</p></div></div>",
+    ],
+)
+def test_names_of_wrappers_keep_the_article(page):
+    story = " ".join(f"word{i}" for i in range(80))
+    body = f"<h1 class='header'>Title</h1><p>{story}</p><p>{story}</p>"
+    assert main_text(f"<html><body>{page.format(body)}</body></html>") == f"Title\n{story}\n{story}"
+
+
+def test_long_comments_stay_out():
+    story, said = "This is the article. " * 20, "<article class=comment><p>" + "A reader says so. " * 30 + "</p></article>"
+    page = f"<body><article><p>{story}</p></article><div id=comments>{said * 4}</div></body>"
+    assert main_text(page) == story.strip()
