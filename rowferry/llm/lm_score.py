@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rowferry.llm.common import bounded_batches, discard, is_stable, log_gamma, store, utf8
 
-DEPTH = 4
+DEPTH = 5
 # bytes of text that share one dictionary in a task, about
 CHUNK_BYTES = 32_000_000
 # bytes whose strings are looked up at a time

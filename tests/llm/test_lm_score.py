@@ -1,3 +1,4 @@
+import random
 import math
 import zlib
 from collections import Counter
@@ -108,3 +109,12 @@ def test_lookup_and_strings():
     assert (lookup(keys[picked]) == picked).all()
     codes, sizes = strings_of([b"ab", b"", b"c"], 2)
     assert codes.tolist() == [0x61, 0x6162, 0x63] and sizes.tolist() == [2, 0, 1]
+
+
+def test_default_depth_sees_five_bytes_back(spark):
+    """Texts whose byte is that five places before, the first five random."""
+    draw = random.Random(4)
+    starts = ["".join(draw.choice("ab") for _ in range(5)) for _ in range(120)]
+    docs = spark.createDataFrame([(i, s * 40) for i, s in enumerate(starts)], "doc_id long, text string")
+    held = [r for r in score_texts(docs).collect() if r["held_out"]]
+    assert held and max(r["bits_per_byte"] for r in held) < 0.3
