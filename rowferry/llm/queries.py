@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowferry.llm import co_training, toxicity
+from rowferry.llm.conversation_repair import repair_damaged
 from rowferry.llm.embedding_graph import near_copies
 from rowferry.llm.html_text import extract_text
 from rowferry.llm.lm_score import score_texts
@@ -69,6 +70,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -82,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embedding_graph,
         op9_html_text,
         op10_toxicity,
+        op11_conversation_repair,
     )
 }
