@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowferry.llm import co_training, toxicity
 from rowferry.llm.conversation_repair import repair_damaged
 from rowferry.llm.embedding_graph import near_copies
+from rowferry.llm.embedding_whitening import whiten
 from rowferry.llm.html_text import extract_text
 from rowferry.llm.lm_score import score_texts
 from rowferry.llm.oracles import ORACLES
@@ -74,6 +75,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -88,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_text,
         op10_toxicity,
         op11_conversation_repair,
+        op12_embedding_whitening,
     )
 }
