@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowferry.llm import co_training, toxicity
+from rowferry.llm import co_training, language_id, toxicity
 from rowferry.llm.conversation_repair import repair_damaged
 from rowferry.llm.embedding_graph import near_copies
 from rowferry.llm.embedding_whitening import whiten
@@ -79,6 +79,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -94,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
         op11_conversation_repair,
         op12_embedding_whitening,
+        op13_language_id,
     )
 }
