@@ -48,10 +48,13 @@ def discard(*stored: DataFrame) -> None:
         Files(df.sparkSession).delete(df.stored_at)
 
 
-def is_stable(docs: DataFrame) -> bool:
-    """Whether the rows come straight from files, so that every pass numbers them alike."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    return all(line.lstrip(" +-:").startswith(("Relation", "Project", "Filter")) for line in plan.splitlines())
+def numbered(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """The given columns of all rows with `row`, a number of their own, in a stored table.
+
+    Numbers depend on how files are cut into tasks, which changes with the cores at hand, so they are drawn once and read
+    from then on.
+    """
+    return store(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "rows")
 
 
 def bounded_batches(spark: SparkSession) -> None:

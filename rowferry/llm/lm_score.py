@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, discard, is_stable, log_gamma, store, utf8
+from rowferry.llm.common import bounded_batches, discard, log_gamma, store, utf8
 
 DEPTH = 5
 # bytes of text that share one dictionary in a task, about
@@ -58,7 +58,7 @@ def strings_of(texts: list[bytes], depth: int):
 
 
 class Chunks:
-    """Numbers the chunk of each text of a task in turn; every pass over the same partition numbers alike."""
+    """Numbers the chunk of each text of a task in turn; the numbers are stored, as tasks are cut anew by the cores at hand."""
 
     def __init__(self) -> None:
         from pyspark import TaskContext
@@ -170,13 +170,16 @@ class Lookup:
 
 
 def chunk_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """chunk, key, n: every word and byte string of every chunk of `docs` (text, trains)."""
+    """chunk, key, n: every word and byte string of every chunk of `docs` (chunk, text, trains).
+
+    Where a chunk is read by two tasks, both give its keys.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        chunks, number, counts = Chunks(), None, None
+        number, counts = None, None
 
         def rows():
             keys, n = counts.rows()
@@ -186,8 +189,7 @@ def chunk_counts(docs: DataFrame, depth: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["chunk", "key", "n"])
 
         for batch in batches:
-            for text, trains in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                mine = chunks.add(len(text))
+            for mine, text, trains in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 if mine != number:
                     if counts:
                         yield from rows()
@@ -286,16 +288,23 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     n_tokens, n_known, train_tokens, base_score (unigram words, add one half), score (log10 of the text's probability
     in the tree), n_bytes and bits_per_byte (null for an empty text). Null texts are empty, an empty text is one end
     token and has score 0. Rows with a null doc_id train; repeated rows count as often as they stand; without training
-    texts every bit has probability one half. Other columns are ignored. A frame that does not come straight from
-    files is written first, as its chunks are numbered in two passes.
+    texts every bit has probability one half. Other columns are ignored. Chunks are numbered once, in a stored table.
     """
     import pyarrow as pa
 
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = rows if is_stable(rows) else store(rows)
-    counts = store(chunk_counts(rows.select("text", (~held_out(F.col("doc_id"))).alias("trains")), depth), "counts")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = Chunks()
+        for batch in batches:
+            numbers = [chunks.add(len(text)) for text in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", "doc_id", "text"])
+
+    placed = store(rows.mapInArrow(place, "chunk long, doc_id long, text string"), "chunks")
+    marked = placed.select("chunk", "text", (~held_out(F.col("doc_id"))).alias("trains"))
+    counts = store(chunk_counts(marked, depth), "counts")
     sums = store(counts.groupBy("key").agg(F.sum("n").alias("c")), "counts")
     words = sums.filter("key < 0").agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = words["n"] or 0, words["v"] or 0
@@ -305,12 +314,6 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     dictionary = store(counts.select("chunk", "key").join(values, "key").select("chunk", "key", "value"), "dictionary")
     discard(counts, sums)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks()
-        for batch in batches:
-            numbers = [chunks.add(len(text)) for text in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", "doc_id", "text"])
-
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         import numpy as np
 
@@ -354,7 +357,6 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         arrays = [texts.column("doc_id").combine_chunks(), *arrays]
         return pa.Table.from_arrays(arrays, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
-    placed = rows.mapInArrow(place, "chunk long, doc_id long, text string")
     scored = placed.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(
         score, "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long"
     )

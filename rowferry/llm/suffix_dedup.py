@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from rowferry.llm.common import bounded_batches, discard, is_stable, store, utf8
+from rowferry.llm.common import bounded_batches, discard, numbered, store, utf8
 
 # bytes of a string; 128 to 256
 LENGTH = 200
@@ -234,18 +234,16 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), length
     `carry`: n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the remaining bytes, and with `texts` kept,
     the remaining bytes as text, where a character goes if any of its bytes does. Texts shorter than `length` stay as
     they are. Repeated rows are documents of their own, and so repeats of each other. Carried columns that clash with
-    an output column are replaced by it. A frame that does not come straight from files is written first, as its rows
-    are numbered in three passes.
+    an output column are replaced by it. Rows are numbered once, in a stored table that all passes read.
     """
     import pyarrow as pa
 
     bounded_batches(docs.sparkSession)
     out = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
     carry = tuple(c for c in dict.fromkeys(carry) if c not in out)
-    docs = docs if is_stable(docs) else store(docs.select(*dict.fromkeys([*carry, "text"])))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string"), F.struct(*carry).alias("rest"))
-    runs = repeated_runs(numbered.select("row", "text"), length)
-    joined = numbered.join(runs, "row", "left").select("rest", "text", "runs")
+    rows = numbered(docs, F.col("text").cast("string"), F.struct(*carry).alias("rest"))
+    runs = repeated_runs(rows.select("row", "text"), length)
+    joined = rows.join(runs, "row", "left").select("rest", "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,5 +265,5 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), length
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["rest", *out])
 
     kinds = [StructField(name, StringType() if name.startswith("kept") else LongType()) for name in out]
-    schema = StructType([*numbered.select("rest").schema, *kinds])
+    schema = StructType([*rows.select("rest").schema, *kinds])
     return joined.mapInArrow(cut, schema).select("rest.*", *out)

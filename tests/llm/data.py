@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from contextlib import contextmanager
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept int, row double"
 
@@ -25,3 +26,20 @@ def empty(spark):
 
 def labels(spark, pairs):
     return spark.createDataFrame(pairs, "doc_id long, quality int, toxic int")
+
+
+def in_many_files(spark, df, folder, files=40):
+    """The frame as read from many small files."""
+    df.repartition(files).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@contextmanager
+def other_splits(spark, number):
+    """Files dealt to another number of tasks, as when executors come or go."""
+    key = "spark.sql.files.minPartitionNum"
+    spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowferry.llm import lm_score
 from rowferry.llm.common import log_gamma
 from rowferry.llm.lm_score import Lookup, score_texts, strings_of
-from tests.llm.data import documents, empty
+from tests.llm.data import documents, empty, in_many_files, other_splits
 
 DEPTH = 3
 
@@ -87,6 +87,15 @@ def test_against_a_plain_tree(spark, monkeypatch, chunk):
     check(docs, score_texts(docs, DEPTH))
 
 
+def test_splits_may_change_between_passes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 1000)
+    docs = in_many_files(spark, documents(spark), str(tmp_path / "t"))
+    with other_splits(spark, 3):
+        out = score_texts(docs, DEPTH)
+    with other_splits(spark, 40):
+        check(docs, out)
+
+
 def test_without_training_texts(spark):
     docs = spark.createDataFrame([(i, "ab") for i in range(50) if not trains(i)], "doc_id long, text string")
     for r in score_texts(docs, DEPTH).collect():
