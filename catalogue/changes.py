@@ -14,6 +14,7 @@ from rowferry.operators import (
     missing_rows,
     replace_partitions,
 )
+from rowferry.session import Files
 from rowferry.sinks import write_files
 
 # A returned item deletes its order; other items carry a new price.
@@ -228,3 +229,29 @@ def delete_rows_by_command(spark: SparkSession, sf_dir: str) -> DataFrame:
     destination = files(path, "parquet", groupbyfields="o_orderstatus", post_migrate_command=command)
     move(spark, {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}, "destination": destination})
     return spark.read.parquet(path)
+
+
+@query("""
+    SELECT l_orderkey AS id, l_extendedprice AS price, 'items' AS part, TRUE AS kept, 1 AS files FROM lineitem
+    UNION ALL SELECT o_orderkey, o_totalprice, 'orders', FALSE, 1 FROM orders""")
+def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a command of a job: the small files that daily moves left are packed into one; the large file stays as it is."""
+    path = scratch_dir(spark, "packed")
+    text = "SELECT l_orderkey AS id, l_extendedprice AS price, 'items' AS part FROM l"
+    job = {"source": source(sf_dir, "lineitem", "l"), "sql": {"query": text}}
+    move(spark, {**job, "destination": files(path, "parquet", groupbyfields="part")})
+    [(large, size)] = Files(spark).walk(path)
+    text = "SELECT o_orderkey AS id, o_totalprice AS price, 'orders' AS part FROM o WHERE o_orderkey % 3 = "
+    command = {"operation": "compact", "path": path, "targetbytes": size}
+    for day in range(3):
+        destination = files(path, "parquet", groupbyfields="part")
+        if day == 2:
+            destination["post_migrate_command"] = command
+        move(spark, {"source": source(sf_dir, "orders", "o"), "sql": {"query": text + str(day)}, "destination": destination})
+    stored = spark.read.parquet(path)
+    counted = {name.partition("/")[0]: 0 for name, _ in Files(spark).walk(path)}
+    for name, _ in Files(spark).walk(path):
+        counted[name.partition("/")[0]] += 1
+    n_files = F.when(F.col("part") == "items", counted["part=items"]).otherwise(counted["part=orders"]).alias("files")
+    kept = (F.col("_metadata.file_name") == large.rpartition("/")[2]).alias("kept")
+    return stored.select("id", "price", "part", kept, n_files)

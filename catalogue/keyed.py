@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from catalogue.registry import files, query, source, table
 from rowferry import move, scratch_dir
 from rowferry.operators import delete_rows, keyed_write, write_documents
+from rowferry.operators.swap import seal
+from rowferry.session import Files
 
 # columns of a change: the key, a new balance, and a segment that is null for some keys
 CHANGED = """
@@ -100,6 +102,52 @@ def upsert_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_write(stored(spark, sf_dir), changes(spark, sf_dir), "c_custkey", "upsert", ignore_nulls=False)
 
 
+PRICED = """
+    SELECT o_orderkey, o_orderkey % 40 AS slot,
+           COALESCE(n.price, o_totalprice) AS price, o_orderkey % 40 NOT IN (SELECT slot FROM new) AS kept
+    FROM orders o LEFT JOIN new n USING (o_orderkey)
+    UNION ALL SELECT o_orderkey, slot, price, FALSE FROM new WHERE o_orderkey < 0"""
+
+
+@query(f"""
+    WITH new AS (
+        SELECT o_orderkey, o_orderkey % 40 AS slot, -o_totalprice AS price FROM orders
+        WHERE o_totalprice < 20000 AND o_orderkey % 40 < 5
+        UNION ALL SELECT -40 * s_suppkey, 0, s_acctbal FROM supplier) {PRICED}""")
+def keyed_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a job: a few orders change, and only files that hold one of them are written anew; `kept` tells the others."""
+    path = scratch_dir(spark, "keyed")
+    text = "SELECT o_orderkey, o_orderkey % 40 AS slot, o_totalprice AS price FROM o"
+    job = {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}}
+    move(spark, {**job, "destination": files(path, "parquet", groupbyfields="slot")})
+    before = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file")).distinct().collect()
+    text = """
+        SELECT o_orderkey, o_orderkey % 40 AS slot, -o_totalprice AS price FROM o
+        WHERE o_totalprice < 20000 AND o_orderkey % 40 < 5
+        UNION ALL SELECT -40 * s_suppkey, 0, s_acctbal FROM s"""
+    job = {"sources": [source(sf_dir, "orders", "o"), source(sf_dir, "supplier", "s")], "sql": {"query": text}}
+    move(spark, {**job, "destination": files(path, "parquet", savemode="upsert", mappingid="o_orderkey")})
+    kept = F.col("_metadata.file_name").isin([r["file"] for r in before]).alias("kept")
+    return spark.read.parquet(path).select("o_orderkey", F.col("slot").cast("bigint"), "price", kept)
+
+
+@query("""
+    SELECT c_custkey, -c_acctbal AS c_acctbal,
+           CASE WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN 'supplier' ELSE c_name END AS c_name
+    FROM customer""")
+def keyed_after_lost_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rewrite whose driver was lost once its new files were sealed: the next keyed write finishes it first."""
+    path = scratch_dir(spark, "keyed")
+    table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name").write.parquet(path)
+    negated = spark.read.parquet(path).withColumn("c_acctbal", -F.col("c_acctbal"))
+    old = [name for name, _ in Files(spark).walk(path)]
+    seal(spark, path, negated.write.parquet, lambda _: old)
+    text = "SELECT s_suppkey AS c_custkey, 'supplier' AS c_name FROM s JOIN c ON c_custkey = s_suppkey"
+    job = {"sources": [source(sf_dir, "supplier", "s"), source(sf_dir, "customer", "c")], "sql": {"query": text}}
+    move(spark, {**job, "destination": files(path, "parquet", savemode="update", mappingid="c_custkey")})
+    return spark.read.parquet(path)
+
+
 ITEMS = """
     SELECT l_orderkey AS o_orderkey, SUM(l_quantity) AS o_totalprice, MIN(l_returnflag) AS o_orderstatus
     FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY l_orderkey

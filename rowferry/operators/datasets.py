@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
+from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
-from rowferry.session import Files
+from rowferry.operators.swap import BIN, recover, refuse_pending, replace_files
+from rowferry.session import Files, discard, settled
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# a file of this share of the target, or more, is large enough
+SMALL = 0.75
 # delimited files are written again with all the white space that was read
 AS_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -68,12 +71,6 @@ def read_partitioned(
     return df.withColumns(untyped) if untyped else df
 
 
-def beside(path: str, label: str) -> str:
-    """A hidden folder next to a dataset, on the same file system, so that it can be renamed into its place."""
-    folder, slash, name = path.rstrip("/").rpartition("/")
-    return f"{folder}{slash}.{name}-{label}-{uuid.uuid4().hex[:8]}"
-
-
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns from the folder names, outermost first."""
     files, columns = Files(spark), []
@@ -86,6 +83,12 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return columns
 
 
+def partition_folder(spark: SparkSession, values: Mapping[str, object]) -> str:
+    """The folder of a partition below its dataset, for column values outermost first."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(name(c, None if v is None else str(v)) for c, v in values.items())
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,
@@ -94,38 +97,45 @@ def replace_partitions(
     affected: DataFrame | None = None,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace the partitions that occur in the frame and leave the others alone.
+    """Replace the partitions that occur in the frame and leave the others alone, all or nothing.
 
-    `affected` names partitions that were recomputed; those left without rows are dropped. The frame is then
-    staged beside the dataset, so that its rows are computed once for the write and for the check.
+    `affected` names partitions that were recomputed; those left without rows are dropped.
     """
-    columns = list(partition_by)
-    if affected is None:
-        _overwrite_partitions(df, path, fileformat, columns, options)
-        return
-    spark, staged_path = df.sparkSession, beside(path, "staged")
-    _overwrite_partitions(df, staged_path, fileformat, columns)
-    staged = spark.read.schema(df.schema).format(fileformat).option("header", "true").load(staged_path)
-    # as folders know them: null and the empty text are the same partition
-    touched = affected.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
-    # one row per folder to drop; set difference takes null for equal to null
-    kept = staged.select(*[F.col(c).cast("string") for c in columns])
-    _overwrite_partitions(staged, path, fileformat, columns)
-    if Files(spark).exists(path) and partition_columns(spark, path):
-        # folder by folder, a partition of rows at a time on the driver
-        for row in touched.subtract(kept).toLocalIterator():
-            drop_partitions(spark, path, [row.asDict()])
-    Files(spark).delete(staged_path)
-
-
-def _overwrite_partitions(
-    df: DataFrame, path: str, fileformat: str, columns: list[str], options: Mapping[str, str] | None = None
+    columns, spark, base = list(partition_by), df.sparkSession, path.rstrip("/")
+    files = Files(spark)
+    refuse_pending(spark, base)
+    refuse_other_layout(spark, base, columns)
+
+    def old(new: list[str]) -> list[str]:
+        folders = {name.rpartition("/")[0] for name in new}
+        if affected is not None:
+            # as folders know them: null and the empty text are the same partition
+            touched = affected.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+            folders.update(partition_folder(spark, row.asDict()) for row in touched.distinct().toLocalIterator())
+        return [f"{folder}/{name}" for folder in folders for name, _ in files.walk(f"{base}/{folder}")]
+
+    replace_files(spark, base, lambda staged: write_dataset(df, staged, fileformat, columns, options), old)
+
+
+def write_dataset(
+    df: DataFrame, path: str, fileformat: str, columns: Sequence[str] = (), options: Mapping[str, str] | None = None
 ) -> None:
-    writer = df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns)
-    writer = writer.options(**{**AS_READ, **(options or {})}).format(fileformat)
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    """Write files of the size that AQE aims at, a partitioned layout by its columns."""
+    if columns:
+        df = df.hint("rebalance", *columns)
+    writer = df.write.format(fileformat).options(**{**AS_READ, **(options or {})})
     with file_size(df.sparkSession):
-        writer.save(path)
+        (writer.partitionBy(*columns) if columns else writer).save(path)
+
+
+def refuse_other_layout(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    """Raise where a dataset has other partition columns than the rows that come in: it could not be read afterwards."""
+    files = Files(spark)
+    if not files.exists(path) or all(n.startswith(("_", ".")) for n in files.children(path)):
+        return
+    if partition_columns(spark, path) != list(columns):
+        kept = ", ".join(partition_columns(spark, path)) or "nothing"
+        raise ValueError(f"{path} is partitioned by {kept}, the rows to add by {', '.join(columns) or 'nothing'}")
 
 
 def copy_partitions(
@@ -138,8 +148,11 @@ def copy_partitions(
 ) -> None:
     """Replace the destination's partitions by the source's partitions of the same name.
 
-    The source is removed only when the destination's partitions of those names hold as many rows as it.
+    The source is removed only when the destination's partitions of those names hold as many rows as it. A destination
+    with other partition columns is refused.
     """
+    recover(spark, source)
+    recover(spark, destination)
     columns = partition_columns(spark, source)
     if not columns:
         raise ValueError(f"{source} has no partition folders")
@@ -164,8 +177,11 @@ def _copied_as(fileformat: str) -> str:
 def append_copy(
     spark: SparkSession, source: str, destination: str, fileformat: str, options: Mapping[str, str] | None = None
 ) -> None:
-    """Add the rows of one dataset to another, in the partition folders of the source."""
+    """Add the rows of one dataset to another, in the partition folders of the source, which the other has to share."""
+    recover(spark, source)
+    recover(spark, destination)
     fileformat, columns = _copied_as(fileformat), partition_columns(spark, source)
+    refuse_other_layout(spark, destination, columns)
     df = read_partitioned(spark, source, fileformat, options)
     if columns:
         df = df.hint("rebalance", *columns)
@@ -176,8 +192,8 @@ def append_copy(
 
 def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[Mapping[str, object]]) -> int:
     """Delete the partitions that have the given column values, for any of the columns; returns how many folders."""
+    recover(spark, path)
     files, columns, dropped = Files(spark), partition_columns(spark, path), 0
-    folder_name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
 
     def matching(folder: str, rest: list[str], names: Mapping[str, str]) -> Iterator[str]:
         if not names:
@@ -195,7 +211,7 @@ def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[Mapping
         unknown = [c for c in values if c not in columns]
         if unknown or not values:
             raise ValueError(f"{path} is partitioned by {', '.join(columns) or 'nothing'}, not by {', '.join(unknown)}")
-        names = {c: folder_name(c, None if v is None else str(v)) for c, v in values.items()}
+        names = {c: partition_folder(spark, {c: v}) for c, v in values.items()}
         for folder in list(matching(path.rstrip("/"), columns, names)):
             dropped += bool(files.delete(folder))
     return dropped
@@ -220,24 +236,59 @@ def rewrite_dataset(
     partition_by: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a dataset that the frame may read from.
+    """Replace all files of a dataset, from which the frame may read.
 
-    The new content is written beside the old one and takes its place by rename; until then, and when a task or
-    the job fails, the old content stays. Files of a stream's sink belong to its log, so those are refused.
+    The new content is complete before it takes the old one's place, see `swap`. Files of a stream's sink belong to
+    its log, so those are refused.
     """
-    files, base = Files(df.sparkSession), path.rstrip("/")
-    refuse_stream_output(files, base)
-    following, previous = beside(path, "next"), beside(path, "previous")
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fileformat).options(**{**AS_READ, **(options or {})})
-    with file_size(df.sparkSession):
-        (writer.partitionBy(*partition_by) if partition_by else writer).save(following)
-    if files.exists(base):
-        files.rename(base, previous)
-    files.rename(following, base)
-    if files.exists(previous):
-        files.delete(previous)
+    spark, base = df.sparkSession, path.rstrip("/")
+    refuse_stream_output(Files(spark), base)
+    refuse_pending(spark, base)
+    columns = list(partition_by)
+    write = lambda staged: write_dataset(df, staged, fileformat, columns, options)
+    replace_files(spark, base, write, lambda _: [name for name, _ in Files(spark).walk(base)])
+
+
+def file_uri(spark: SparkSession, path: str, name: str) -> str:
+    """A file of a dataset as Spark's `_metadata.file_path` has it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(f"{Files(spark).qualified(path)}/{name}").toUri().toString()
+
+
+def file_name(spark: SparkSession, path: str, uri: str) -> str:
+    """The name below its dataset of a file that `_metadata.file_path` gives."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+    return plain[len(Files(spark).qualified(path)) + 1 :]
+
+
+def file_path() -> Column:
+    """The file of a row, as a scan tells it."""
+    return F.col("_metadata.file_path")
+
+
+def with_file(df: DataFrame) -> DataFrame:
+    """A scan with the file of every row as `__file`."""
+    return df.select("*", file_path().alias("__file"))
+
+
+def files_of(df: DataFrame, uris: Sequence[str]) -> DataFrame:
+    """The rows of a scan that lie in the given files; the others are not read."""
+    return df.where(file_path().isin(list(uris)) if uris else F.lit(False))
+
+
+def packed(sizes: Mapping[str, int], target_bytes: int) -> list[list[str]]:
+    """Files in bins of at most `target_bytes`, the largest first, each into the fullest bin that takes it."""
+    free: list[tuple[int, int]] = []
+    bins: list[list[str]] = []
+    for name, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
+        at = bisect_left(free, (size, -1))
+        if at == len(free):
+            bins.append([name])
+            insort(free, (target_bytes - size, len(bins) - 1))
+        else:
+            left, which = free.pop(at)
+            bins[which].append(name)
+            insort(free, (left - size, which))
+    return bins
 
 
 def compact(
@@ -248,12 +299,34 @@ def compact(
     target_bytes: int = TARGET_FILE_BYTES,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Rewrite small files into larger ones: a given number, or files of about `target_bytes`."""
-    refuse_stream_output(Files(spark), path.rstrip("/"))
-    columns, fileformat = partition_columns(spark, path), _copied_as(fileformat)
-    df = read_partitioned(spark, path, fileformat, options)
-    if filecount and not columns:
-        rewrite_dataset(df.repartition(filecount), path, fileformat, options=options)
+    """Rewrite small files into larger ones; files that are large enough stay as they are.
+
+    Within each partition small files are packed into bins of `target_bytes`, and each bin of several files becomes one.
+    With a `filecount` every partition, or the dataset if it has none, gets that many files; those that have them stay.
+    """
+    base = path.rstrip("/")
+    refuse_stream_output(Files(spark), base)
+    recover(spark, base)
+    columns, fileformat = partition_columns(spark, base), _copied_as(fileformat)
+    folders: dict[str, dict[str, int]] = {}
+    for name, size in Files(spark).walk(base):
+        folders.setdefault(name.rpartition("/")[0], {})[name] = size
+    if filecount:
+        whole = [list(f) for f in folders.values() if len(f) != filecount]
+        bins = {name: i * filecount for i, names in enumerate(whole) for name in names}
+        place = F.col(BIN) + F.pmod("__row", F.lit(filecount))
+    else:
+        small = [{n: s for n, s in f.items() if s < target_bytes * SMALL} for f in folders.values()]
+        several = [names for f in small for names in packed(f, target_bytes) if len(names) > 1]
+        bins = {name: i for i, names in enumerate(several) for name in names}
+        place = F.col(BIN).cast("long")
+    if not bins:
         return
-    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)):
-        rewrite_dataset(df if columns else df.hint("rebalance"), path, fileformat, columns, options)
+    uris = [(file_uri(spark, base, name), number) for name, number in bins.items()]
+    numbers = settled(spark.createDataFrame(uris, f"__file string, {BIN} long"))
+    rows = files_of(read_partitioned(spark, base, fileformat, options), [uri for uri, _ in uris])
+    rows = with_file(rows).withColumn("__row", F.monotonically_increasing_id()).join(numbers, "__file")
+    rows = rows.withColumn(BIN, place).drop("__file", "__row").repartition(len(set(bins.values())) * (filecount or 1), BIN)
+    writer = rows.write.format(fileformat).options(**{**AS_READ, **(options or {})}).partitionBy(BIN, *columns)
+    replace_files(spark, base, writer.save, lambda _: bins)
+    discard(numbers)

@@ -7,21 +7,36 @@ as filters that raise, so a broken rule fails the write before anything is commi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from rowferry.names import column_names
-from rowferry.operators.datasets import partition_columns, read_partitioned, replace_partitions, rewrite_dataset
-from rowferry.operators.delta import rows_in_scope
+from rowferry.operators.datasets import (
+    file_name,
+    files_of,
+    partition_columns,
+    read_partitioned,
+    refuse_other_layout,
+    refuse_stream_output,
+    rewrite_dataset,
+    setting,
+    with_file,
+    write_dataset,
+)
+from rowferry.operators.delta import LISTABLE, rows_in_scope
+from rowferry.operators.swap import recover, replace_files, writing
 from rowferry.session import Files, discard, is_small, settled
 
 MODES = ("index", "create", "update", "upsert")
 # formats that keep column types, so that a stored row can be merged with a new one
 TYPED_FORMATS = ("parquet", "orc", "json", "avro")
 
+# size of a scan from which Spark filters it by a Bloom filter of the other side's keys
+BLOOM_SCAN = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
 _IN_TARGET, _IN_CHANGES = "__in_target", "__in_changes"
 
 
@@ -192,6 +207,46 @@ def write_documents(
     return keyed_write(target, documents, key, "index" if replacedocuments else "upsert")
 
 
+def touched_files(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The files (`__file` of the target's rows) that hold a key of the changes.
+
+    Only the key columns are scanned. The range of the first key reaches the scan, so that files and row groups outside
+    it are not read, and lets Spark build a Bloom filter of the changed keys where the join is shuffled.
+    """
+    spark, first = target.sparkSession, keys[0]
+    changed = fitted(changes.select(*[F.col(f"`{k}`") for k in keys]), target)
+    held = target.select(*[F.col(f"`{k}`") for k in keys], "__file")
+    if isinstance(target.schema[first].dataType, LISTABLE):
+        low, high = changed.agg(F.min(f"`{first}`"), F.max(f"`{first}`")).first()
+        if low is None:
+            return []
+        kind = target.schema[first].dataType
+        inside = F.col(f"`{first}`").between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        held, changed = held.where(inside), changed.where(inside)
+    with setting(spark, BLOOM_SCAN, "0"):
+        found = held.join(changed, list(keys), "left_semi").select("__file").distinct()
+        return [row["__file"] for row in found.toLocalIterator()]
+
+
+def _replace_rows(
+    target: DataFrame,
+    path: str,
+    fileformat: str,
+    touched: Sequence[str] | None,
+    content: Callable[[DataFrame], DataFrame],
+    layout: Sequence[str],
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """Rewrite the touched files (None: all) with what `content` makes of their rows; the other files stay as they are."""
+    spark = target.sparkSession
+    if touched is None:
+        rewrite_dataset(content(target), path, fileformat, layout, options)
+        return
+    rows = content(files_of(target, touched))
+    names = [file_name(spark, path, uri) for uri in touched]
+    replace_files(spark, path, lambda staged: write_dataset(rows, staged, fileformat, layout, options), lambda _: names)
+
+
 def write_keyed_files(
     changes: DataFrame,
     path: str,
@@ -200,29 +255,56 @@ def write_keyed_files(
     mode: str,
     partition_by: str | Sequence[str] = (),
 ) -> None:
-    """Apply a keyed write to a file dataset. The new content is complete before it takes the old one's place.
+    """Apply a keyed write to a file dataset by rewriting the files that hold a changed key, and no others.
 
     The changes are computed once, into the scratch folder. A dataset partitioned by `partition_by` looks for a key
-    within the partition of its change, as if the partition columns were part of the key, and rewrites only the
-    partitions that the changes touch. Without `partition_by` the whole dataset is rewritten in the layout it has.
+    within the partition of its change, as if the partition columns were part of the key. Without `partition_by` the
+    dataset keeps the layout it has. Changes that bring a new column rewrite all files, so that every file has it. The new
+    files are complete before they take the old ones' place, and a lost run is finished or undone by the next one.
     """
     if fileformat not in TYPED_FORMATS:
         raise ValueError(f"keyed modes need one of {', '.join(TYPED_FORMATS)}, not {fileformat!r}")
     spark, layout = changes.sparkSession, column_names(partition_by)
     all_keys = [*layout, *(k for k in column_names(keys) if k not in layout)]
-    changes = settled(changes)
-    if not Files(spark).exists(path):
-        content = keyed_write(spark.createDataFrame([], changes.schema), changes, all_keys, mode)
-        rewrite_dataset(content, path, fileformat, layout)
-    elif layout:
-        target = read_partitioned(spark, path, fileformat)
-        for name in layout:
-            target = target.withColumn(name, F.col(name).cast(changes.schema[name].dataType))
-        touched = rows_in_scope(target, changes, layout)
-        content = keyed_write(touched, changes, all_keys, mode)
-        replace_partitions(content, path, fileformat, layout, affected=changes)
-    else:
-        target = read_partitioned(spark, path, fileformat)
-        content = keyed_write(target, changes, all_keys, mode)
-        rewrite_dataset(content, path, fileformat, partition_columns(spark, path))
-    discard(changes)
+    with writing(spark, path):
+        recover(spark, path)
+        changes = settled(changes)
+        n_files = len(Files(spark).walk(path))
+        if not n_files:
+            content = keyed_write(spark.createDataFrame([], changes.schema), changes, all_keys, mode)
+            rewrite_dataset(content, path, fileformat, layout)
+        else:
+            refuse_stream_output(Files(spark), path)
+            columns = partition_columns(spark, path)
+            if layout:
+                refuse_other_layout(spark, path, layout)
+            target = read_partitioned(spark, path, fileformat)
+            for name in layout:
+                target = target.withColumn(name, F.col(name).cast(changes.schema[name].dataType))
+            part = with_file(target)
+            part = rows_in_scope(part, changes, layout) if layout else part
+            whole = n_files == 1 or any(c not in target.columns for c in changes.columns)
+            touched = None if whole else touched_files(part, changes, all_keys)
+            _replace_rows(target, path, fileformat, touched, lambda rows: keyed_write(rows, changes, all_keys, mode), columns)
+        discard(changes)
+
+
+def delete_keyed_files(
+    selection: DataFrame,
+    path: str,
+    fileformat: str,
+    keys: str | Sequence[str],
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """Delete the rows of a file dataset whose key occurs in the selection; only files that hold one are rewritten."""
+    spark, keys = selection.sparkSession, column_names(keys)
+    with writing(spark, path):
+        recover(spark, path)
+        refuse_stream_output(Files(spark), path)
+        selection = settled(selection.select(*keys).distinct())
+        target = read_partitioned(spark, path, fileformat, options)
+        touched = touched_files(with_file(target), selection, keys)
+        if touched:
+            columns = partition_columns(spark, path)
+            _replace_rows(target, path, fileformat, touched, lambda rows: delete_rows(rows, selection, keys), columns, options)
+        discard(selection)

@@ -14,18 +14,16 @@ from pyspark.sql import functions as F
 
 from rowferry.functions import register_functions
 from rowferry.operators.datasets import (
+    TARGET_FILE_BYTES,
     append_copy,
     compact,
     copy_partitions,
     delete_dataset,
     drop_partitions,
-    partition_columns,
-    read_partitioned,
-    rewrite_dataset,
     text_options,
 )
 from rowferry.operators.keyed import MODES as KEYED_MODES
-from rowferry.operators.keyed import delete_rows
+from rowferry.operators.keyed import delete_keyed_files
 from rowferry.operators.verify import verify
 from rowferry.plans.spec import JobSpec, describe, masked, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
@@ -256,15 +254,13 @@ def _dataset_command(session: SparkSession, endpoint: Mapping[str, object], comm
     elif operation == "delete":
         delete_dataset(session, path("path"))
     elif operation == "compact":
-        count = command.get("filecount")
-        compact(session, path("path"), fileformat, int(count) if count else None, options=options)
+        count, target = command.get("filecount"), int(command.get("targetbytes") or TARGET_FILE_BYTES)
+        compact(session, path("path"), fileformat, int(count) if count else None, target, options)
     elif operation == "drop_partitions":
         drop_partitions(session, path("path"), list(command["partitions"]))
     elif operation == "delete_rows":
-        columns = partition_columns(session, path("path"))
-        stored = read_partitioned(session, path("path"), fileformat, options)
-        left = delete_rows(stored, session.sql(str(command["selection"])), str(command["mappingid"]))
-        rewrite_dataset(left, path("path"), fileformat, columns, options)
+        selection = session.sql(str(command["selection"]))
+        delete_keyed_files(selection, path("path"), fileformat, str(command["mappingid"]), options)
     else:
         raise ValueError(
             f"unknown command operation {operation!r}; use copy, delete, compact, drop_partitions or delete_rows"

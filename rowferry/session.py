@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job starts from; a job's own `properties` override them.
@@ -152,5 +153,55 @@ class Files:
         if not self._fs(source).rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
 
+    def qualified(self, path: str) -> str:
+        """The path with scheme and authority, as a plain text."""
+        return self._fs(path).makeQualified(self._path(path.rstrip("/") or "/")).toString()
+
+    def make_folder(self, path: str) -> None:
+        self._fs(path).mkdirs(self._path(path))
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small file, on the driver."""
+        stream = self._fs(path).create(self._path(path), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def create_text(self, path: str, text: str) -> bool:
+        """Write a small file unless there is one, which is then left as it is: False. One of several callers succeeds."""
+        try:
+            stream = self._fs(path).create(self._path(path), False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.toString() or self.exists(path):
+                return False
+            raise
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return True
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs(path).open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def walk(self, path: str) -> list[tuple[str, int]]:
+        """The data files at any depth below a folder, named from it, with their sizes; none where it does not exist."""
+        if not self.exists(path):
+            return []
+        root, found = self.qualified(path), []
+        listed = self._fs(path).listFiles(self._path(path), True)
+        while listed.hasNext():
+            status = listed.next()
+            name = status.getPath().toString()[len(root) + 1 :]
+            # as Spark's own listing: hidden names are no data
+            if not any(p.startswith(".") or (p.startswith("_") and "=" not in p) for p in name.split("/")):
+                found.append((name, status.getLen()))
+        return found
+
     def children(self, path: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs(path).listStatus(self._path(path))]
