@@ -22,12 +22,11 @@ from rowferry.operators.datasets import (
     drop_partitions,
     text_options,
 )
-from rowferry.operators.keyed import MODES as KEYED_MODES
 from rowferry.operators.keyed import delete_keyed_files
-from rowferry.operators.verify import verify
+from rowferry.operators.verify import digest_sums
 from rowferry.plans.spec import JobSpec, describe, masked, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
-from rowferry.session import Files, job_session, settled, size_shuffles
+from rowferry.session import Files, discard, job_session, settled, size_shuffles
 from rowferry.sinks import write_sink
 from rowferry.sinks.files import SEQUENCE_CODECS
 from rowferry.sources import input_file, read_source
@@ -98,23 +97,30 @@ def transform(spark: SparkSession, document: Mapping[str, object]) -> DataFrame:
     return apply_sql(session, spec, read_sources(session, spec))
 
 
-# destinations whose write runs as one plan of the frame itself, so that a metric can ride along
-COUNTED_IN_PASSING = ("filesystem", "s3", "hive")
+def _write(df: DataFrame, destination: Mapping[str, object], count: bool, check: bool) -> dict[str, object]:
+    """Write, and count the written rows and add up their digests in the same pass, so that nothing is computed twice.
 
-
-def _write(df: DataFrame, destination: Mapping[str, object], count: bool) -> int | None:
-    """Write, and count the written rows in the same pass where the sink allows it."""
-    plain = (
-        destination["platform"] in COUNTED_IN_PASSING
-        and destination.get("fileformat") not in SEQUENCE_CODECS
-        and str(destination.get("savemode", "")).lower() not in KEYED_MODES
-    )
-    if not (count and plain):
+    A sink that may read its rows in part, several times or not at all gets them settled first.
+    """
+    if not (count or check):
         write_sink(df, destination)
-        return df.count() if count else None
+        return {}
+    whole = destination["platform"] != "console" and str(destination.get("savemode", "")).lower() != "ignore"
+    wanted = digest_sums(df.schema) if check else [F.count(F.lit(1)).alias("rows")]
     observed = Observation()
-    write_sink(df.observe(observed, F.count(F.lit(1)).alias("rows")), destination)
-    return observed.get["rows"]
+    seen = df.observe(observed, *wanted)
+    if whole and not is_true(destination.get("documentfromjsonfield", False)):
+        write_sink(seen, destination)
+    else:
+        stored = settled(seen)
+        write_sink(stored, destination)
+        discard(stored)
+    return observed.get
+
+
+def as_written(stored: DataFrame, written: DataFrame) -> DataFrame:
+    """What was read back, in the columns and types that were written; folders keep partition values as text."""
+    return stored.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in written.schema])
 
 
 def files_before(session: SparkSession, destination: Mapping[str, object]) -> DataFrame | None:
@@ -126,7 +132,9 @@ def files_before(session: SparkSession, destination: Mapping[str, object]) -> Da
     path = endpoint_path(session, destination)
     if not files.exists(path) or not files.children(path):
         return None
-    return settled(session.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path"))
+    listed = session.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # named as the rows that are read back name their files
+    return settled(listed.select(F.col("_metadata.file_path").alias("path")))
 
 
 def read_back(session: SparkSession, destination: Mapping[str, object], written: DataFrame) -> DataFrame | None:
@@ -169,13 +177,15 @@ def move(
     if df.isStreaming:
         run_stream(df, destination)
     else:
-        moved.count = _write(df, destination, count)
+        written = _write(df, destination, count, check)
+        moved.count = written.get("rows") if count else None
         stored = read_back(session, destination, df) if check else None
         if stored is not None and before is not None:
             new = stored.select("*", F.col("_metadata.file_path").alias("__path"))
             stored = new.join(before, new["__path"] == before["path"], "left_anti").drop("__path")
         if stored is not None:
-            moved.verified = verify(df, stored, "multiset").first()["status"]
+            found = as_written(stored, df).agg(*digest_sums(df.schema)).first().asDict()
+            moved.verified = "succeeded" if found == written else "failed"
         if count_inputs:
             moved.read = {str(s.get("alias", i)): f.count() for i, (s, f) in enumerate(zip(spec.sources, frames))}
     for df in frames:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import importlib
 import json
 import os
 
@@ -379,3 +380,94 @@ def test_an_append_is_verified_by_its_own_files(spark, tmp_path, fileformat):
     for _ in range(2):
         result = run_job(spark, document, verify_job=True)
         assert (result.error, result.verified) == (None, "succeeded")
+
+
+@pytest.mark.parametrize("name", ["plain", "with space", "per%cent"])
+def test_appends_into_odd_paths_are_verified(spark, tmp_path, name):
+    """Also with partitions of odd names, and with values that are new in every run."""
+    sql = {"query": "SELECT HelloField, uuid() AS u, 'a b%' AS p FROM A"}
+    destination = files(tmp_path / name, "parquet", savemode="append", groupbyfields="p")
+    document = {"source": {**hello(), "alias": "A"}, "sql": sql, "destination": destination}
+    for _ in range(2):
+        result = run_job(spark, document, verify_job=True, precise_counts=True)
+        assert (result.error, result.verified) == (None, "succeeded") and result.count > 0
+
+
+def test_a_change_of_what_was_written_fails_verification(spark, tmp_path, monkeypatch):
+    from rowferry.plans import job
+
+    real = job.read_back
+    monkeypatch.setattr(job, "read_back", lambda *args: real(*args).limit(1).union(real(*args).limit(1)))
+    result = run_job(spark, {"source": hello(), "destination": files(tmp_path / "o", "parquet")}, verify_job=True)
+    assert result.error is None and result.verified == "failed"
+
+
+@pytest.mark.parametrize("sink", ["keyed", "sequence", "console", "ignored", "raw"])
+def test_counts_need_no_second_run(spark, tmp_path, sink):
+    """The rows are counted on their way into any sink: the SQL reads its source once."""
+    counter = spark.sparkContext.accumulator(0)
+    spark.udf.register("seen", lambda x: counter.add(1) or str(x))
+    path = str(tmp_path / "o")
+    if sink == "ignored":
+        spark.range(1).write.parquet(path)
+    destination = {
+        "keyed": files(path, "parquet", savemode="upsert", mappingid="id"),
+        "sequence": files(path, "sequencefile"),
+        "console": {"platform": "console", "numrows": 2},
+        "ignored": files(path, "parquet", savemode="ignore"),
+        "raw": files(path, "json", rowfromjsonstring=True),
+    }[sink]
+    spark.range(50).write.parquet(str(tmp_path / "i"))
+    source = files(tmp_path / "i", "parquet", alias="A")
+    session = job_session(spark)
+    session.udf.register("seen", lambda x: counter.add(1) or str(x))
+    query = "SELECT to_json(struct(seen(id) AS v)) AS j FROM A" if sink == "raw" else "SELECT id, seen(id) AS v FROM A"
+    from rowferry.plans import job
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(job, "prepared_session", lambda *_: session)
+        moved = move(spark, {"source": source, "sql": {"query": query}, "destination": destination}, count=True)
+    assert moved.count == 50 and counter.value == 50
+
+
+def test_sums_need_no_exchange_of_rows(spark, tmp_path):
+    from rowferry.operators.verify import verify
+
+    spark.range(1000).selectExpr("id", "array(id, null) AS a", "map(id, 'x') AS m").write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    plan = verify(df, df, "sums")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    for other, status in (
+        (df.orderBy(F.desc("id")), "succeeded"),
+        (df.where("id != 5"), "failed"),
+        (df.where("id != 5").union(df.where("id = 6")), "failed"),
+        (df.selectExpr("id", "array(null, id) AS a", "m"), "failed"),
+        (df.selectExpr("if(id < 2, 1 - id, id) AS id", "a", "m"), "failed"),
+    ):
+        assert verify(df, other, "sums").first()["status"] == status
+        assert verify(df, other, "multiset").first()["status"] == status
+    assert verify(df.limit(0), df.limit(0), "sums").first()["status"] == "succeeded"
+    nulls = spark.sql("SELECT * FROM VALUES (NULL, 1), (1, NULL) AS t(a, b)")
+    assert verify(nulls.limit(1), nulls.offset(1), "sums").first()["status"] == "failed"
+
+
+@pytest.mark.parametrize("size", [0, 1 << 40])
+def test_comparison_by_ranges(spark, tmp_path, monkeypatch, size):
+    """Both ways give the same findings; by ranges only rows near a difference are joined."""
+    module = importlib.import_module("rowferry.operators.verify")
+    monkeypatch.setattr(module, "is_small", lambda df: size > 0)
+    a = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v", "if(id % 3 = 0, NULL, id) AS n")
+    b = spark.range(20_000).selectExpr("cast(id AS int) AS k", "if(id IN (5, 777), -1, id % 7) AS v", "if(id = 300, 9, id) AS n")
+    b = b.where("k != 42").union(spark.sql("SELECT 90000, 0L, 0L"))
+    found = rows(compare_by_key(a, b, "k"))
+    assert [r[:3] for r in found] == [(42, "missing in destination", None), (5, "different", "v"), (777, "different", "v"), (90000, "missing in source", None)]
+    if not size:
+        same = a.withColumn("v", F.when(F.col("k") == 11, 99).otherwise(F.col("v")))
+        left, right = module._differing(a, same, ["k"], ["v", "n"])
+        assert 1 <= left.count() <= 20 and 1 <= right.count() <= 20
+        left, right = module._differing(a, a, ["k"], ["v", "n"])
+        assert left.count() == right.count() == 0
+    with pytest.raises(Exception, match="null or repeated key: 3"):
+        compare_by_key(a.union(a.where("k = 3")), b, "k").collect()
+    with pytest.raises(Exception, match="null or repeated key: null"):
+        compare_by_key(a, a.union(spark.sql("SELECT NULL, 0L, 0L")), "k").collect()
