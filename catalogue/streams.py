@@ -83,12 +83,40 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE l_orderkey IS NOT NULL OR o_orderdate + INTERVAL 30 DAY < (SELECT w FROM mark)""")
 def stream_stream_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with what shipped within 30 days; an order without any is written once the watermark has passed it."""
-    text = (
-        "SELECT o_orderkey, l_linenumber, l_quantity FROM o LEFT JOIN l ON l_orderkey = o_orderkey "
-        "AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 30 DAYS"
-    )
+    join = {"left": "o", "right": "l", "alias": "j", "leftkeys": "o_orderkey", "rightkeys": "l_orderkey"}
+    join |= {"lefttime": "o_orderdate", "righttime": "l_shipdate", "within": "30 days"}
+    text = "SELECT o_orderkey, l_linenumber, l_quantity FROM j"
     sources = [
         stream(sf_dir, "orders", "o", streamwatermarkfield="o_orderdate", streamwatermarkdelay="10 days"),
         stream(sf_dir, "lineitem", "l", streamwatermarkfield="l_shipdate", streamwatermarkdelay="10 days"),
     ]
-    return spark.read.parquet(streamed(spark, {"sources": sources, "sql": {"query": text}}))
+    document = {"sources": sources, "intervaljoins": [join], "sql": {"query": text}}
+    return spark.read.parquet(streamed(spark, document))
+
+
+@query("""
+    WITH mark AS (
+        SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'view'), MAX(ts) FILTER (WHERE event_type <> 'view'))
+               - INTERVAL 1 HOUR AS w FROM events),
+    v AS (SELECT event_id, ts, event_type = 'view' AS seen FROM events),
+    matched AS (
+        SELECT a.event_id, COUNT(b.event_id) AS n FROM v a JOIN v b
+        ON NOT b.seen AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 40 MINUTE WHERE a.seen GROUP BY a.event_id)
+    SELECT event_id, COALESCE(n, 0) AS n FROM v LEFT JOIN matched USING (event_id)
+    WHERE seen AND (n IS NOT NULL OR ts + INTERVAL 40 MINUTE < (SELECT w FROM mark))""")
+def stream_stream_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event has the one key: views with the other events of the next 40 minutes, dealt by time and salt."""
+    paths = {}
+    for side, kind, names in (("a", "=", ("view", "at", "k")), ("b", "!=", ("other", "until", "h"))):
+        rows = table(spark, sf_dir, "events").where(f"event_type {kind} 'view'")
+        paths[side] = scratch_dir(spark, "hot")
+        rows.selectExpr(f"event_id {names[0]}", f"ts {names[1]}", f"1 AS {names[2]}").write.parquet(paths[side])
+    sources = [
+        files(paths[s], "parquet", alias=s, isstream="true", streamwatermarkfield=t, streamwatermarkdelay="1 hour")
+        for s, t in (("a", "at"), ("b", "until"))
+    ]
+    join = {"left": "a", "right": "b", "alias": "j", "leftkeys": "k", "rightkeys": "h", "lefttime": "at"}
+    join |= {"righttime": "until", "within": "40 minutes", "salts": 2}
+    document = {"sources": sources, "intervaljoins": [join], "sql": {"query": "SELECT view, other FROM j"}}
+    stored = spark.read.parquet(streamed(spark, document))
+    return stored.groupBy(F.col("view").alias("event_id")).agg(F.count("other").alias("n"))

@@ -32,7 +32,7 @@ from rowferry.sinks.files import SEQUENCE_CODECS
 from rowferry.sources import input_file, read_source
 from rowferry.sources.files import endpoint_path, file_path
 from rowferry.sources.jdbc import is_true
-from rowferry.streaming import run_stream
+from rowferry.streaming import interval_join, run_stream
 
 
 @dataclass
@@ -77,6 +77,20 @@ def apply_sql(session: SparkSession, spec: JobSpec, frames: list[DataFrame]) ->
     """The result of the SQL text, or the one source as it is."""
     if spec.sql is None:
         return frames[0]
+    for join in spec.interval_joins:
+        joined = interval_join(
+            session.table(str(join["left"])),
+            session.table(str(join["right"])),
+            str(join["leftkeys"]),
+            str(join["rightkeys"]),
+            str(join["lefttime"]),
+            str(join["righttime"]),
+            str(join["within"]),
+            str(join.get("type", "left")),
+            int(join.get("slices", 4)),
+            int(join.get("salts", 1)),
+        )
+        joined.createOrReplaceTempView(str(join["alias"]))
     query = str(input_file(session, spec.sql["inputfile"]) if spec.sql.get("inputfile") else spec.sql["query"])
     register_functions(session, query)
     return session.sql(query)

@@ -52,6 +52,10 @@ INHERITED = (
 )
 
 
+# what an entry of `intervaljoins` has to name
+INTERVAL_JOIN = ("alias", "left", "right", "leftkeys", "rightkeys", "lefttime", "righttime", "within")
+
+
 class SpecError(ValueError):
     """A specification that cannot be run as written."""
 
@@ -62,6 +66,7 @@ class JobSpec:
     destination: Endpoint
     sql: Mapping[str, object] | None = None
     properties: Mapping[str, object] = field(default_factory=dict)
+    interval_joins: tuple[Mapping[str, object], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -100,7 +105,12 @@ def parse_job(document: Mapping[str, object]) -> JobSpec:
         aliases = [s.get("alias") for s in sources]
         if not all(aliases) or len(set(aliases)) < len(aliases):
             raise SpecError("with sql every source needs an alias of its own")
-    return JobSpec(tuple(sources), destination, sql, document.get("properties", {}))
+    joins = tuple(document.get("intervaljoins") or ())
+    for join in joins:
+        lacking = [k for k in INTERVAL_JOIN if not join.get(k)]
+        if lacking or sql is None:
+            raise SpecError(f"an interval join needs {', '.join(lacking) or 'a sql query that reads it'}")
+    return JobSpec(tuple(sources), destination, sql, document.get("properties", {}), joins)
 
 
 def load_document(spark: SparkSession, given: str | Mapping[str, object]) -> dict[str, object]:

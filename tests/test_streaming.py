@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import glob
 import os
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from rowferry import job_session, move, run_job
+from rowferry import SpecError, job_session, move, run_job
+from rowferry.plans.spec import parse_job
 from rowferry.sources import read_source
-from rowferry.streaming import start_stream
+from rowferry.streaming import interval_join, start_stream
 from tests.conftest import rows
 
 SCHEMA = "id int, at timestamp, v string"
@@ -148,3 +151,65 @@ def test_jobs_after_a_stream_run(spark, tmp_path):
         assert running.isActive
     finally:
         running.stop()
+
+
+def hot_streams(spark, tmp_path, n=3000):
+    """One key has all rows; a third of the left rows meets nothing."""
+    left = spark.range(n).selectExpr("id AS a", "1 AS k", "timestamp_seconds(1700000000 + id * 30) AS at")
+    right = spark.range(n).where("id % 3 = 1").selectExpr("id AS b", "1 AS h", "timestamp_seconds(1700000000 + id * 30 + 20) AS until")
+    for df, name in ((left, "l"), (right, "r")):
+        df.write.parquet(str(tmp_path / name))
+    return left, right
+
+
+@pytest.mark.parametrize(("how", "slices", "salts"), [("left", 4, 1), ("left", 1, 3), ("inner", 7, 2)])
+def test_interval_join_agrees_with_a_plain_join(spark, how, slices, salts):
+    draw = random.Random(slices)
+    left = [(i, draw.choice([1, 1, 1, 2, None]), datetime(2024, 1, 1) + timedelta(seconds=draw.randint(-9000, 9000))) for i in range(150)]
+    right = [(i, draw.choice([1, 1, 2, 3, None]), datetime(2024, 1, 1) + timedelta(seconds=draw.randint(-9000, 9000))) for i in range(150)]
+    right += [(900 + i, *left[i][1:]) for i in range(5)]
+    right += [(800 + i, left[i][1], left[i][2] + timedelta(minutes=20)) for i in range(5)]
+    a = spark.createDataFrame(left, "a int, k int, at timestamp")
+    b = spark.createDataFrame(right, "b int, h int, until timestamp")
+    got = interval_join(a, b, "k", "h", "at", "until", "20 minutes", how, slices, salts)
+    assert got.columns == ["a", "k", "at", "b", "h", "until"]
+    near = (F.col("k") == F.col("h")) & F.col("until").between(F.col("at"), F.col("at") + F.expr("INTERVAL 20 MINUTES"))
+    assert rows(got) == rows(a.join(b, near, how))
+
+
+def test_interval_join_refuses_what_it_cannot_do(spark):
+    a = spark.sql("SELECT 1 AS k, now() AS at")
+    with pytest.raises(ValueError, match="columns k"):
+        interval_join(a, a.withColumnRenamed("at", "until"), "k", "k", "at", "until", "1 hour")
+    b = a.toDF("h", "until")
+    with pytest.raises(ValueError, match="fixed length"):
+        interval_join(a, b, "k", "h", "at", "until", "1 month")
+    with pytest.raises(ValueError, match="inner or left"):
+        interval_join(a, b, "k", "h", "at", "until", "1 hour", "full")
+
+
+def test_state_of_a_hot_key_is_in_many_tasks(spark, tmp_path):
+    left, right = hot_streams(spark, tmp_path)
+    sources = [
+        files(tmp_path / name, "parquet", alias=name, isstream="true", streamwatermarkfield=time, streamwatermarkdelay="2 days")
+        for name, time in (("l", "at"), ("r", "until"))
+    ]
+    join = {"left": "l", "right": "r", "alias": "j", "leftkeys": "k", "rightkeys": "h", "lefttime": "at", "righttime": "until", "within": "1 minute"}
+    job = {
+        "sources": sources,
+        "intervaljoins": [join],
+        "sql": {"query": "SELECT a, b FROM j"},
+        "destination": files(tmp_path / "out", "parquet", trigger="available_now"),
+    }
+    move(spark, job)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    near = F.col("until").between(F.col("at"), F.col("at") + F.expr("INTERVAL 1 MINUTE"))
+    assert rows(got.where("b IS NOT NULL")) == rows(left.join(right, near).select("a", "b"))
+    state = spark.read.format("statestore").option("joinSide", "left").load(str(tmp_path / "out" / "_checkpoint"))
+    held = {r["partition_id"]: r["count"] for r in state.groupBy("partition_id").count().collect()}
+    assert len(held) >= 6 and max(held.values()) < sum(held.values()) / 2
+
+
+def test_an_interval_join_has_to_be_read(spark):
+    with pytest.raises(SpecError, match="interval join needs left"):
+        parse_job({"source": {"platform": "filesystem", "alias": "a"}, "destination": {"platform": "console"}, "sql": {"query": "x"}, "intervaljoins": [{"alias": "j"}]})
