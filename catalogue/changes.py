@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import files, query, source, table
+from catalogue.registry import dated, files, query, source, table
 from rowferry import move, scratch_dir
 from rowferry.operators import (
     append_copy,
@@ -255,3 +255,61 @@ def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_files = F.when(F.col("part") == "items", counted["part=items"]).otherwise(counted["part=orders"]).alias("files")
     kept = (F.col("_metadata.file_name") == large.rpartition("/")[2]).alias("kept")
     return stored.select("id", "price", "part", kept, n_files)
+
+
+@query("""
+    WITH log AS (
+        SELECT o_orderkey AS id, l_extendedprice AS price, l_shipdate AS updated, o_orderpriority AS part,
+               l_returnflag = 'R' AS gone
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')),
+    stacked AS (
+        SELECT o_orderkey AS id, o_totalprice AS price, o_orderdate AS updated, o_orderpriority AS part, FALSE AS gone
+        FROM orders
+        UNION ALL SELECT id, price, CASE WHEN gone THEN TIMESTAMP '3000-01-01 00:00:00' ELSE updated END, part, gone FROM log),
+    ranked AS (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY gone DESC, updated DESC, price DESC) AS rn FROM stacked)
+    SELECT id, price, STRFTIME(updated, '%Y-%m-%d') AS updated, part, part NOT IN ('1-URGENT', '3-MEDIUM') AS kept
+    FROM ranked WHERE rn = 1 AND NOT gone""")
+def cdc_compact_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a command of a job: a change log is merged into a partitioned dataset; `kept` tells files that stayed."""
+    path = scratch_dir(spark, "compacted")
+    text = "SELECT o_orderkey AS id, o_totalprice AS price, o_orderdate AS updated, o_orderpriority AS part FROM o"
+    job = {"source": source(sf_dir, "orders", "o"), "sql": {"query": text}}
+    move(spark, {**job, "destination": files(path, "parquet", groupbyfields="part")})
+    before = [name.rpartition("/")[2] for name, _ in Files(spark).walk(path)]
+    command = {
+        "operation": "compact_changes",
+        "path": path,
+        "changes": "SELECT * FROM log",
+        "mappingid": "id",
+        "scope": "part",
+        "updatedfield": "updated",
+        "deletedwhen": "operation = 1",
+        "dropdeletes": True,
+        "orderby": ["price"],
+    }
+    log = """
+        SELECT o_orderkey AS id, l_extendedprice AS price, l_shipdate AS updated, o_orderpriority AS part,
+               if(l_returnflag = 'R', 1, 2) AS operation
+        FROM l JOIN o ON l_orderkey = o_orderkey WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')"""
+    staged = scratch_dir(spark, "log")
+    sources = [source(sf_dir, "orders", "o"), source(sf_dir, "lineitem", "l")]
+    move(spark, {"sources": sources, "sql": {"query": log}, "destination": files(staged, "parquet")})
+    counted = {"platform": "console", "post_migrate_command": command}
+    job = {"source": files(staged, "parquet", alias="log"), "sql": {"query": "SELECT count(*) AS n FROM log"}}
+    move(spark, {**job, "destination": counted})
+    kept = F.col("_metadata.file_name").isin(before).alias("kept")
+    return spark.read.parquet(path).select("id", "price", F.date_format("updated", "yyyy-MM-dd").alias("updated"), "part", kept)
+
+
+@query("""
+    SELECT event_id, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events
+    WHERE ts > TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-25 00:00:00'""")
+def watermark_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a job that runs three times: each run moves what came since the last one, and every row once."""
+    path, state = scratch_dir(spark, "moved"), scratch_dir(spark, "state")
+    mark = {"path": state, "name": "events", "start": "2024-01-05 00:00:00", "column": "ts"}
+    for until in ("2024-01-11 00:00:00", "2024-01-11 07:30:00", "2024-01-25 00:00:00"):
+        job = {"source": source(sf_dir, "events"), "watermark": {**mark, "until": until}}
+        move(spark, {**job, "destination": files(path, "parquet", savemode="append")})
+    return dated(spark.read.parquet(path).select("event_id", "ts"), "ts")

@@ -151,3 +151,18 @@ def log_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = log_events(table(spark, sf_dir, "events"), "ts")
     fields = F.from_json("message", "event_id bigint, user_id bigint, event_type string, value double")
     return shaped.select("timestamp", fields.alias("m")).select("timestamp", "m.*")
+
+
+@query("""
+    SELECT EPOCH_US(ts) // 1000 AS timestamp, event_id, user_id, event_type, value FROM events
+    WHERE event_type <> 'view'""")
+def log_events_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a destination of a job: rows become log events, with their time from a text column and its pattern."""
+    text = """
+        SELECT event_id, user_id, event_type, value, date_format(ts, "dd.MM.yyyy HH:mm:ss.SSS") AS at FROM e
+        WHERE event_type != 'view'"""
+    shape = {"logevents": True, "timestamp_column": "at", "timestamp_format": "dd.MM.yyyy HH:mm:ss.SSS"}
+    path = moved(spark, {"source": source(sf_dir, "events", "e"), "sql": {"query": text}}, "json", **shape)
+    shaped = spark.read.schema("timestamp bigint, message string").json(path)
+    fields = F.from_json("message", "event_id bigint, user_id bigint, event_type string, value double")
+    return shaped.select("timestamp", fields.alias("m")).select("timestamp", "m.*")

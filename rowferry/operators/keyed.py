@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from rowferry.names import column_names
+from rowferry.operators.changes import compact_changes
 from rowferry.operators.datasets import (
     file_name,
     files_of,
@@ -308,3 +309,39 @@ def delete_keyed_files(
             columns = partition_columns(spark, path)
             _replace_rows(target, path, fileformat, touched, lambda rows: delete_rows(rows, selection, keys), columns, options)
         discard(selection)
+
+
+def compact_keyed_files(
+    changes: DataFrame,
+    path: str,
+    fileformat: str,
+    keys: str | Sequence[str],
+    scope: str | Sequence[str],
+    updated_at: str,
+    deleted: str,
+    drop_deletes: bool = False,
+    tie_break: Sequence[str] = (),
+) -> None:
+    """Merge a change log into a file dataset, see `compact_changes`; files without a row in its scope stay as they are.
+
+    `deleted` is a SQL condition on the log. The log's columns are brought to the dataset's types, and a value that does not
+    fit fails the move. Where the scope are the partition columns, exactly the partitions that the log names are rewritten.
+    Of rows that are equally new, `tie_break` decides: column names, the greatest value first.
+    """
+    spark, scope = changes.sparkSession, column_names(scope)
+    with writing(spark, path):
+        recover(spark, path)
+        refuse_stream_output(Files(spark), path)
+        changes = settled(changes.withColumn("__gone", F.expr(deleted).cast("boolean")))
+        base = read_partitioned(spark, path, fileformat)
+        log = fitted(changes, base)
+        found = rows_in_scope(with_file(base), log, scope).select("__file").distinct()
+        touched = [row["__file"] for row in found.toLocalIterator()]
+
+        def content(rows: DataFrame) -> DataFrame:
+            order = [F.desc(name) for name in tie_break]
+            merged = compact_changes(rows, log, keys, scope, updated_at, F.col("__gone"), drop_deletes, order)
+            return rows_in_scope(rows, log, scope, "left_anti").select(*rows.columns).unionByName(merged)
+
+        _replace_rows(base, path, fileformat, touched, content, partition_columns(spark, path))
+        discard(changes)

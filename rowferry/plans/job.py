@@ -22,12 +22,13 @@ from rowferry.operators.datasets import (
     drop_partitions,
     text_options,
 )
-from rowferry.operators.keyed import delete_keyed_files
+from rowferry.operators.delta import WatermarkState
+from rowferry.operators.keyed import compact_keyed_files, delete_keyed_files
 from rowferry.operators.verify import digest_sums
 from rowferry.plans.spec import JobSpec, describe, masked, parse_job
 from rowferry.plans.templates import expand_inline, expand_inline_jdbc
-from rowferry.session import Files, discard, job_session, settled, size_shuffles
-from rowferry.sinks import write_sink
+from rowferry.session import Files, Written, discard, job_session, settled, size_shuffles
+from rowferry.sinks import log_events, write_sink
 from rowferry.sinks.files import SEQUENCE_CODECS
 from rowferry.sources import input_file, read_source
 from rowferry.sources.files import endpoint_path, file_path
@@ -47,6 +48,7 @@ class JobResult:
     verified: str = "NA"
     error: str | None = None
     read: dict[str, int] | None = None
+    size: int | None = None
 
 
 @dataclass
@@ -54,18 +56,25 @@ class Moved:
     count: int | None = None
     verified: str = "NA"
     read: dict[str, int] | None = None
+    size: int | None = None
+
+
+# a half-open window of time
+Window = tuple[datetime, datetime]
 
 
 def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def read_sources(session: SparkSession, spec: JobSpec) -> list[DataFrame]:
-    """Read the sources in order and register them under their aliases."""
+def read_sources(session: SparkSession, spec: JobSpec, window: Window | None = None) -> list[DataFrame]:
+    """Read the sources in order and register them under their aliases; a watermark's source within its window."""
     frames = []
     for source in spec.sources:
         run_commands(session, source, "pre")
         df = read_source(session, expand_inline_jdbc(session, source))
+        if window and source.get("alias") == spec.watermark.get("source", source.get("alias")):
+            df = watermark_state(session, spec).select(df, str(spec.watermark["column"]), window)
         if source.get("alias"):
             df.createOrReplaceTempView(str(source["alias"]))
         frames.append(df)
@@ -73,6 +82,21 @@ def read_sources(session: SparkSession, spec: JobSpec) -> list[DataFrame]:
     return frames
 
 
+def watermark_state(session: SparkSession, spec: JobSpec) -> WatermarkState:
+    mark = spec.watermark
+    return WatermarkState(session, str(mark["path"]), str(mark["name"]), datetime.fromisoformat(str(mark["start"])))
+
+
+def claimed_window(session: SparkSession, spec: JobSpec) -> Window | None:
+    """The window of time that this run of the job moves, claimed against others; None for a job without watermark."""
+    if not spec.watermark:
+        return None
+    until = spec.watermark.get("until")
+    stale = spec.watermark.get("staleseconds")
+    upper = datetime.fromisoformat(str(until)) if until else now()
+    return watermark_state(session, spec).claim(upper, float(stale) if stale else None)
+
+
 def apply_sql(session: SparkSession, spec: JobSpec, frames: list[DataFrame]) -> DataFrame:
     """The result of the SQL text, or the one source as it is."""
     if spec.sql is None:
@@ -182,16 +206,35 @@ def move(
     document = expand_inline(spark, document)
     spec = parse_job(document)
     session = prepared_session(spark, spec)
-    frames = read_sources(session, spec)
+    window = claimed_window(session, spec)
+    try:
+        moved = _move(session, spec, window, count, check, count_inputs)
+    except BaseException:
+        if window:
+            watermark_state(session, spec).release(window)
+        raise
+    if window:
+        watermark_state(session, spec).close(window)
+    return moved
+
+
+def _move(
+    session: SparkSession, spec: JobSpec, window: Window | None, count: bool, check: bool, count_inputs: bool
+) -> Moved:
+    frames = read_sources(session, spec, window)
     destination = expand_inline_jdbc(session, spec.destination)
     run_commands(session, destination, "pre")
     df = apply_sql(session, spec, frames)
+    if is_true(destination.get("logevents", False)):
+        df = log_events(df, destination.get("timestamp_column"), destination.get("timestamp_format"))
     moved = Moved()
     before = files_before(session, destination) if check and not df.isStreaming else None
     if df.isStreaming:
         run_stream(df, destination)
     else:
-        written = _write(df, destination, count, check)
+        with Written(session) as output:
+            written = _write(df, destination, count, check)
+        moved.size = output.bytes
         moved.count = written.get("rows") if count else None
         stored = read_back(session, destination, df) if check else None
         if stored is not None and before is not None:
@@ -228,7 +271,7 @@ def run_job(
     status = "Failed" if error else "Completed"
     end = now()
     return JobResult(
-        uuid.uuid4().hex, sources, destination, start, end, status, moved.count, moved.verified, error, moved.read
+        uuid.uuid4().hex, sources, destination, start, end, status, moved.count, moved.verified, error, moved.read, moved.size
     )
 
 
@@ -246,7 +289,7 @@ def commands(endpoint: Mapping[str, object], when: str) -> list[object]:
 
 
 def run_commands(session: SparkSession, endpoint: Mapping[str, object], when: str) -> None:
-    """Run commands in order: Spark SQL statements, or operations on datasets (copy, delete, compact, drop, delete rows)."""
+    """Run commands in order: Spark SQL statements, or operations on datasets."""
     for command in commands(endpoint, when):
         if isinstance(command, str):
             session.sql(command)
@@ -282,10 +325,23 @@ def _dataset_command(session: SparkSession, endpoint: Mapping[str, object], comm
         compact(session, path("path"), fileformat, int(count) if count else None, target, options)
     elif operation == "drop_partitions":
         drop_partitions(session, path("path"), list(command["partitions"]))
+    elif operation == "compact_changes":
+        compact_keyed_files(
+            session.sql(str(command["changes"])),
+            path("path"),
+            fileformat,
+            str(command["mappingid"]),
+            str(command["scope"]),
+            str(command["updatedfield"]),
+            str(command["deletedwhen"]),
+            is_true(command.get("dropdeletes", False)),
+            [str(t) for t in command.get("orderby") or ()],
+        )
     elif operation == "delete_rows":
         selection = session.sql(str(command["selection"]))
         delete_keyed_files(selection, path("path"), fileformat, str(command["mappingid"]), options)
     else:
         raise ValueError(
-            f"unknown command operation {operation!r}; use copy, delete, compact, drop_partitions or delete_rows"
+            f"unknown command operation {operation!r}; "
+            "use copy, delete, compact, compact_changes, drop_partitions or delete_rows"
         )

@@ -118,17 +118,17 @@ class _History:
 
     def job_started(self, number: int, job: Mapping[str, object]) -> None:
         """A row when a job starts, so that a lost driver leaves a trace of it."""
-        self._append_job(number, *described(job), now(), None, None, "Started")
+        self._append_job(number, *described(job), now(), None, None, None, "Started")
 
     def job_ended(self, number: int, r: JobResult) -> None:
-        self._append_job(number, r.sources, r.destination, r.start, r.end, r.count, r.status)
+        self._append_job(number, r.sources, r.destination, r.start, r.end, r.count, r.size, r.status)
 
-    def _append_job(self, number: int, sources: str, destination: str, start, end, count, status: str) -> None:
+    def _append_job(self, number: int, sources: str, destination: str, start, end, count, size, status: str) -> None:
         if not self._path:
             return
         mapping = json.dumps({"sources": sources, "destination": destination})
         minutes = elapsed_minutes(start, end, status)
-        row = (str(number), self._run_id, mapping, start, end, minutes, count, None, status)
+        row = (str(number), self._run_id, mapping, start, end, minutes, count, size, status)
         with self._lock:  # appends to one folder must not overlap
             append_history(self._spark, f"{self._path}/jobs", [row], JOB_SCHEMA)
 

@@ -55,6 +55,9 @@ INHERITED = (
 # what an entry of `intervaljoins` has to name
 INTERVAL_JOIN = ("alias", "left", "right", "leftkeys", "rightkeys", "lefttime", "righttime", "within")
 
+# and what a `watermark` has to
+WATERMARK = ("path", "name", "start", "column")
+
 
 class SpecError(ValueError):
     """A specification that cannot be run as written."""
@@ -67,6 +70,7 @@ class JobSpec:
     sql: Mapping[str, object] | None = None
     properties: Mapping[str, object] = field(default_factory=dict)
     interval_joins: tuple[Mapping[str, object], ...] = ()
+    watermark: Mapping[str, object] | None = None
 
 
 @dataclass(frozen=True)
@@ -110,7 +114,14 @@ def parse_job(document: Mapping[str, object]) -> JobSpec:
         lacking = [k for k in INTERVAL_JOIN if not join.get(k)]
         if lacking or sql is None:
             raise SpecError(f"an interval join needs {', '.join(lacking) or 'a sql query that reads it'}")
-    return JobSpec(tuple(sources), destination, sql, document.get("properties", {}), joins)
+    watermark = document.get("watermark")
+    if watermark is not None:
+        lacking = [k for k in WATERMARK if not watermark.get(k)]
+        if lacking:
+            raise SpecError(f"a watermark needs {', '.join(lacking)}")
+        if len(sources) > 1 and watermark.get("source") not in [s.get("alias") for s in sources]:
+            raise SpecError("a watermark needs the alias of one of several sources as its source")
+    return JobSpec(tuple(sources), destination, sql, document.get("properties", {}), joins, watermark)
 
 
 def load_document(spark: SparkSession, given: str | Mapping[str, object]) -> dict[str, object]:

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job starts from; a job's own `properties` override them.
@@ -120,6 +120,43 @@ def discard(*stored: DataFrame) -> None:
         Files(df.sparkSession).delete(df.stored_at)
 
 
+class Written:
+    """The bytes that Spark's tasks wrote, to files or tables, while a block ran in this thread; None if none is known.
+
+    Jobs are told apart by a group of their own, so that blocks of other threads are not counted. Tables that the work
+    itself needed count as well.
+    """
+
+    GROUP = "spark.jobGroup.id"
+
+    def __init__(self, spark: SparkSession):
+        self._context, self._group = spark.sparkContext, f"rowferry-{uuid.uuid4().hex}"
+        self.bytes: int | None = None
+
+    def __enter__(self) -> Written:
+        self._before = self._context.getLocalProperty(self.GROUP)
+        self._context.setLocalProperty(self.GROUP, self._group)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._context.setLocalProperty(self.GROUP, self._before)
+        scala = self._context._jsc.sc()
+        store, total = scala.statusStore(), 0
+        tracker = self._context.statusTracker()
+        try:
+            scala.listenerBus().waitUntilEmpty(10_000)
+            stages = {s for job in tracker.getJobIdsForGroup(self._group) for s in tracker.getJobInfo(job).stageIds}
+        except (AttributeError, Py4JError):
+            return
+        for stage in stages:
+            try:
+                total += store.lastStageAttempt(stage).outputBytes()
+            except Py4JError:
+                # skipped, as its output was there
+                continue
+        self.bytes = total or None
+
+
 class Files:
     """Metadata operations on a Hadoop path; no data passes through the driver."""
 

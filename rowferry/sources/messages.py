@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,28 +56,66 @@ def registry_header(schema_id: int) -> Column:
     return F.unhex(F.lit(f"00{schema_id:08X}"))
 
 
-def from_registry_avro(column: Column, schema: str) -> Column:
-    """Avro column without its registry header. Needs the spark-avro package on the cluster."""
+def from_registry_avro(column: Column, schema: str, reader: str | None = None) -> Column:
+    """Avro column without its registry header, in the shape of the reader's schema where one is given.
+
+    Needs the spark-avro package on the cluster.
+    """
     from pyspark.sql.avro.functions import from_avro
 
-    return from_avro(F.substring(column, REGISTRY_HEADER_BYTES + 1, 2147483647), schema)
+    options = {"avroSchema": reader} if reader else {}
+    return from_avro(F.substring(column, REGISTRY_HEADER_BYTES + 1, 2147483647), schema, options)
+
+
+# what decodes a column with its header by a schema, and by a reader's schema where that is another one
+Decoder = Callable[..., Column]
+
+
+def schema_id(column: Column) -> Column:
+    """The schema id in the five bytes before an Avro message; null where they are no such header."""
+    header = F.hex(F.substring(column, 1, REGISTRY_HEADER_BYTES))
+    return F.when(header.rlike("^00[0-9A-F]{8}$"), F.conv(F.substring(header, 3, 8), 16, 10).cast("long"))
+
+
+def from_registry_ids(column: Column, schemas: Mapping[object, str], decode: Decoder | None = None) -> Column:
+    """Avro messages of several schemas in one topic: each row by the schema that its header names.
+
+    `schemas` maps ids to Avro schemas; the last one is the reader's, so that older messages come in its shape. An id
+    that is not among them, or a message without header, fails the read.
+    """
+    decode = decode or from_registry_avro
+    number = schema_id(column)
+    reader = list(schemas.values())[-1]
+    message = F.concat(F.lit("no schema for the id of a message: "), F.coalesce(number.cast("string"), F.lit("no header")))
+    decoded = F.raise_error(message)
+    for key, schema in schemas.items():
+        # a decoder must not meet messages of other schemas
+        own = F.when(number == int(key), column)
+        decoded = F.when(number == int(key), decode(own, schema) if schema == reader else decode(own, schema, reader)).otherwise(decoded)
+    return F.when(column.isNotNull(), decoded)
 
 
 def decode_messages(
     frame: DataFrame,
     keyformat: str = "avro",
     valueformat: str = "avro",
-    keyschema: str | None = None,
-    valueschema: str | None = None,
+    keyschema: str | Mapping[object, str] | None = None,
+    valueschema: str | Mapping[object, str] | None = None,
+    decode: Decoder | None = None,
 ) -> DataFrame:
-    """Replace the binary key and value; the other columns keep their order and come first."""
+    """Replace the binary key and value; the other columns keep their order and come first.
+
+    An Avro schema is one for all messages, or a map from the ids in their headers to schemas.
+    """
 
-    def decoded(name: str, message_format: str, schema: str | None) -> Column:
+    def decoded(name: str, message_format: str, schema: str | Mapping[object, str] | None) -> Column:
         if message_format != "avro":
             return F.col(name).cast("string").alias(name)
-        if schema is None:
+        if not schema:
             raise ValueError(f"an avro {name} needs its schema ({name}schema)")
-        return from_registry_avro(F.col(name), schema).alias(name)
+        if isinstance(schema, Mapping):
+            return from_registry_ids(F.col(name), schema, decode).alias(name)
+        return (decode or from_registry_avro)(F.col(name), schema).alias(name)
 
     kept = [F.col(f"`{c}`") for c in frame.columns if c not in ("key", "value")]
     return frame.select(*kept, decoded("key", keyformat, keyschema), decoded("value", valueformat, valueschema))

@@ -1,0 +1,182 @@
+"""Watermarks, change compaction, sizes, ranges of JDBC scans and Avro by schema id."""
+
+from __future__ import annotations
+
+import glob
+import os
+import sqlite3
+import threading
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowferry import SpecError, job_session, move, run_jobs
+from rowferry.operators.delta import WatermarkState, WindowTaken
+from rowferry.operators.keyed import compact_keyed_files
+from rowferry.plans.spec import parse_job
+from rowferry.session import Written
+from rowferry.sources.jdbc import bounds_query, finds_ranges, range_predicates, read_jdbc
+from rowferry.sources.messages import decode_messages, schema_id
+from tests.conftest import rows
+
+
+def files(path, fileformat="parquet", **options):
+    return {"platform": "filesystem", "path": str(path), "fileformat": fileformat, **options}
+
+
+def at(day):
+    return datetime(2024, 1, day)
+
+
+def moving(tmp_path, until, **mark):
+    watermark = {"path": str(tmp_path / "state"), "name": "a/b", "start": "2024-01-01", "column": "at", "until": str(until), **mark}
+    return {"source": files(tmp_path / "in"), "watermark": watermark, "destination": files(tmp_path / "out", savemode="append")}
+
+
+def test_two_movers_move_every_row_once(spark, tmp_path):
+    spark.range(1, 300).selectExpr("id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS at").write.parquet(str(tmp_path / "in"))
+    outcomes = []
+
+    def run():
+        try:
+            outcomes.append(move(spark, moving(tmp_path, at(9)), count=True).count)
+        except (WindowTaken, ValueError) as error:
+            outcomes.append(type(error).__name__)
+
+    threads = [threading.Thread(target=run) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert outcomes.count(192) == 1 and len([o for o in outcomes if o in ("WindowTaken", "ValueError")]) == 3
+    move(spark, moving(tmp_path, at(20)))
+    got = [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == list(range(1, 300))
+
+
+def test_a_failed_move_releases_its_window(spark, tmp_path):
+    spark.range(5).selectExpr("id", "timestamp_ntz'2024-01-02' AS at").write.parquet(str(tmp_path / "in"))
+    job = moving(tmp_path, at(3))
+    broken = {**job, "source": {**job["source"], "alias": "A"}, "sql": {"query": "SELECT raise_error('broken') AS x FROM A"}}
+    with pytest.raises(Exception, match="broken"):
+        move(spark, broken)
+    assert move(spark, job, count=True).count == 5
+    with pytest.raises(ValueError, match="already"):
+        move(spark, job)
+
+
+def test_a_lost_claim_can_be_taken_over(spark, tmp_path):
+    spark.range(5).selectExpr("id", "timestamp_ntz'2024-01-02' AS at").write.parquet(str(tmp_path / "in"))
+    WatermarkState(spark, str(tmp_path / "state"), "a/b", at(1)).claim(at(2))
+    with pytest.raises(WindowTaken, match="is being moved"):
+        move(spark, moving(tmp_path, at(3)))
+    with pytest.raises(WindowTaken):
+        move(spark, moving(tmp_path, at(3), staleseconds=3600))
+    assert move(spark, moving(tmp_path, at(3), staleseconds=1e-6), count=True).count == 5
+
+
+def test_watermark_specification():
+    job = {"source": {"platform": "console"}, "destination": {"platform": "console"}}
+    with pytest.raises(SpecError, match="a watermark needs path, column"):
+        parse_job({**job, "source": {"platform": "filesystem"}, "watermark": {"name": "n", "start": "s"}})
+    two = [{"platform": "filesystem", "alias": a} for a in "ab"]
+    mark = dict.fromkeys(("path", "name", "start", "column"), "x")
+    with pytest.raises(SpecError, match="alias of one"):
+        parse_job({**job, "source": two[0], "sources": two[1:], "sql": {"query": "q"}, "watermark": mark})
+
+
+@pytest.mark.parametrize("scope", ["p", "day"])
+def test_compaction_of_a_dataset(spark, folder, scope):
+    """The scope may be the partition columns or any others; what is outside it stays."""
+    base = spark.range(60).selectExpr("id", "id AS price", "cast(date'2024-01-01' + cast(id AS int) AS timestamp) AS updated", "id div 10 AS p", "id div 5 AS day")
+    base.repartition(6, "p").write.partitionBy("p").parquet(folder)
+    before = {os.path.relpath(f, folder) for f in glob.glob(f"{folder}/p=*/*.parquet")}
+    log = [(3, 100, at(31), 0, 0, False), (3, 101, datetime(2023, 1, 1), 0, 0, False), (4, 0, at(1), 0, 0, True), (900, 5, at(2), 0, 1, None)]
+    log = spark.createDataFrame(log, "id int, price int, updated timestamp, p int, day int, gone boolean")
+    compact_keyed_files(log, folder, "parquet", "id", scope, "updated", "gone", drop_deletes=True, tie_break=["price"])
+    kept = before & {os.path.relpath(f, folder) for f in glob.glob(f"{folder}/p=*/*.parquet")}
+    assert len(kept) == 5
+    got = {r["id"]: (r["price"], r["p"], r["day"]) for r in spark.read.parquet(folder).collect()}
+    want = {i: (i, i // 10, i // 5) for i in range(60)} | {3: (100, 0, 0), 900: (5, 0, 1)}
+    del want[4]
+    assert got == want
+
+
+def test_sizes_in_the_history(spark, tmp_path):
+    spark.range(4000).write.parquet(str(tmp_path / "in"))
+    jobs = [{"source": files(tmp_path / "in"), "destination": files(tmp_path / f"out{i}", coalescefilecount=i + 1)} for i in range(3)]
+    results = run_jobs(spark, {"migrations": jobs, "parallelmigrations": True, "precisecounts": True}, str(tmp_path / "history"))
+    written = [sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/out{i}/*.parquet")) for i in range(3)]
+    assert [r.size for r in results] == written and [r.count for r in results] == [4000] * 3
+    history = spark.read.parquet(str(tmp_path / "history" / "jobs")).where("Status = 'Completed'")
+    assert sorted(r["Size"] for r in history.collect()) == sorted(written)
+    with Written(spark) as nothing:
+        spark.range(3).count()
+    assert nothing.bytes is None
+
+
+def test_ranges_hold_every_row_once():
+    """The generated SQL against a small database in this process."""
+    database = sqlite3.connect(":memory:")
+    database.execute("CREATE TABLE t (k INTEGER, v TEXT)")
+    keys = [None, None, *([7] * 40), *range(100), *range(5000, 5010)]
+    database.executemany("INSERT INTO t VALUES (?, ?)", [(k, str(i)) for i, k in enumerate(keys)])
+    lows = [r[0] for r in database.execute(bounds_query("t", "k", 8, "postgres"))]
+    predicates = range_predicates("k", lows)
+    parts = [database.execute(f"SELECT v FROM t WHERE {p}").fetchall() for p in predicates]
+    assert sorted(v for part in parts for v in part) == sorted((str(i),) for i in range(len(keys)))
+    # of equal size, but for the key that alone is larger
+    assert len(parts) >= 6 and sorted(len(p) for p in parts)[-2] <= 30
+    assert range_predicates("k", []) == range_predicates("k", [4]) == ["1 = 1"]
+    assert "QUANTILE(4, k)" in bounds_query("t", "k", 4, "teradata")
+
+
+def test_range_literals():
+    assert range_predicates("k", ["o'x", "a"]) == ["k < 'o''x' OR k IS NULL", "k >= 'o''x'"]
+    assert range_predicates("k", [date(2024, 1, 2), date(2024, 1, 1)])[1] == "k >= DATE '2024-01-02'"
+    assert range_predicates("k", [datetime(2024, 1, 2), at(1)])[1] == "k >= TIMESTAMP '2024-01-02 00:00:00'"
+    assert range_predicates("k", [Decimal("1.50"), Decimal("1.5"), Decimal(2)]) == ["k < 2 OR k IS NULL", "k >= 2"]
+
+
+def test_ranges_are_asked_for(spark, tmp_path, monkeypatch):
+    endpoint = {"platform": "mysql", "url": "jdbc:x", "table": "t", "primarykey": "k", "numPartitions": 4, "format": "parquet"}
+    assert finds_ranges(endpoint) and not finds_ranges({**endpoint, "lowerBound": 0, "upperBound": 5})
+    with pytest.raises(ValueError, match="numPartitions alone"):
+        from rowferry.sources.jdbc import jdbc_read_options
+
+        jdbc_read_options({**endpoint, "lowerBound": 0, "numPartitions": ""})
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    # the stand-in answers every query with the same three rows: as bounds, and as the rows of each range
+    got = read_jdbc(spark, {**endpoint, "jdbcoptions": {"path": str(tmp_path / "t")}})
+    assert got.count() == 9
+
+
+def framed(number, text):
+    return bytearray(b"\0" + number.to_bytes(4, "big") + text.encode())
+
+
+def decoder(column, schema, reader=None):
+    """Stands for the Avro package: the message's text behind its header, and the schemas it was read by."""
+    return F.concat(F.substring(column, 6, 99).cast("string"), F.lit(f"/{schema}/{reader or schema}"))
+
+
+def test_messages_of_several_schemas(spark):
+    data = [(framed(7, "k1"), framed(300, "a")), (framed(7, "k2"), framed(9, "b")), (None, None)]
+    df = spark.createDataFrame(data, "key binary, value binary")
+    got = decode_messages(df, keyschema="ks", valueschema={"9": "old", "300": "new"}, decode=decoder)
+    assert [tuple(r) for r in got.collect()] == [("k1/ks/ks", "a/new/new"), ("k2/ks/ks", "b/old/new"), (None, None)]
+    assert [r[0] for r in df.select(schema_id(F.col("value"))).collect()] == [300, 9, None]
+    for bad, message in ((framed(8, "c"), "no schema for the id of a message: 8"), (bytearray(b"{}"), "no header")):
+        df = spark.createDataFrame([(None, bad)], "key binary, value binary")
+        with pytest.raises(Exception, match=message):
+            decode_messages(df, "string", valueschema={"9": "old"}, decode=decoder).collect()
+
+
+def test_log_events_of_a_stream(spark, tmp_path):
+    spark.range(3).selectExpr("id", "timestamp_seconds(id) AS at").write.parquet(str(tmp_path / "in"))
+    destination = files(tmp_path / "out", "json", trigger="available_now", logevents="true", timestamp_column="at")
+    move(spark, {"source": files(tmp_path / "in", isstream="true"), "destination": destination})
+    got = job_session(spark).read.schema("timestamp long, message string").json(str(tmp_path / "out"))
+    assert [r[0] for r in rows(got)] == [0, 1000, 2000] and "id" in got.first()["message"]
