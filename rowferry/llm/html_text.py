@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -38,11 +39,11 @@ ENDS = {
 }
 LISTED = set("ul ol li dl dt dd option fieldset".split())
 BOUNDS = set("article aside body div dl footer form header main nav ol section table td th ul blockquote".split())
-# elements that never hold article text
-ASIDE_TAGS = set("nav footer aside form button input dialog menu".split())
+# elements that never hold article text, and those that hold none unless they are wrapped around the page
+ASIDE_TAGS = set("nav footer aside button input menu".split())
+WRAP_TAGS = set("form dialog".split())
 ARTICLE_TAGS = {"article", "main"}
 HEADING = re.compile("h[1-6]")
-ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 ASIDE_NAMES = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer header masthead comment comments disqus respond reply replies notice notices "
@@ -54,6 +55,13 @@ LAYOUT = set("has no not with without hide show is".split())
 TOPIC = set("work works research literature studies".split())
 # of a page's unlinked text, the share from which a named element is a wrapper and no aside; readers may write more
 WRAPPER = 2 / 3
+# a wrapper leaves no more than this share of its own text outside it, or holds so many blocks and is no notice or advert
+OUTSIDE, BLOCKS = 0.02, 4
+NOTICE_NAMES = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion notice notices cookie cookies consent "
+    "gdpr popup modal overlay subscribe newsletter signup login".split()
+)
+ANY_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*>", re.S)
 COMMENT_NAMES = set("comment comments disqus respond reply replies".split())
 ASIDE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
@@ -80,13 +88,45 @@ def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     for name, *values in MARKS.findall(attributes) if attributes else ():
         name, value = name.lower(), next((v for v in values if v), "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "aria-hidden" and value == "true":
             return True
         if name == "role" and value in ASIDE_ROLES:
             return True
     return False
 
 
+def wrap_names(tag: str, attributes: str) -> set[str]:
+    """What makes an element an aside unless the page stands in it, as forms and containers hidden for scripts may do."""
+    if tag in ("body", "html", *ARTICLE_TAGS) or HEADING.fullmatch(tag):
+        return set()
+    hidden = attributes and any(name.lower() == "hidden" for name, *_ in MARKS.findall(attributes))
+    return ({tag} if tag in WRAP_TAGS else set()) | ({"hidden"} if hidden else set())
+
+
+class Ends:
+    """Where the elements of a source end and its articles begin, by one pass over its tags."""
+
+    def __init__(self, source: str):
+        self.behind: dict[int, int] = {}
+        self.articles: list[int] = []
+        waiting: dict[str, list[int]] = {}
+        for found in ANY_TAG.finditer(source):
+            if not found[2]:
+                continue
+            tag = found[2].lower()
+            if not found[1]:
+                waiting.setdefault(tag, []).append(found.start())
+                if tag in ARTICLE_TAGS:
+                    self.articles.append(found.start())
+            elif waiting.get(tag):
+                self.behind[waiting[tag].pop()] = found.end()
+
+    def article(self, at: int) -> int | None:
+        """The next article from a place on."""
+        i = bisect_left(self.articles, at)
+        return self.articles[i] if i < len(self.articles) else None
+
+
 class Page:
     """The elements of a page in page order with what they hold: characters, tags, linked characters, linked tags."""
 
@@ -97,6 +137,8 @@ class Page:
         self.named: dict[int, set[str]] = {}  # elements that their names call asides
         self.texts: list[tuple[int, int, str]] = []  # element, block, text
         self.stack, self.block = [0], 0
+        self.ends = Ends(source)
+        endless: set[str] = set()  # raw elements that have no end tag any more
         at, in_head = 0, False
         while at < len(source):
             found = TOKEN.search(source, at)
@@ -113,45 +155,38 @@ class Page:
                 if found[1]:
                     self.close(tag)
                 elif tag in RAW and not found[3].endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                    end = None
+                    if tag not in endless:
+                        end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                    endless.update(() if end else (tag,))
                     at = end.end() if end else len(source) if tag in TO_END else self.level_end(source, at)
                 elif is_aside(tag, found[3], self.in_article[self.stack[-1]]):
                     self.block += 1
-                    at = at if tag in VOID else self.skip(source, at, tag)
+                    at = at if tag in VOID else self.skip(source, at, tag, found.start())
+                elif tag == "br":
+                    self.texts.append((self.stack[-1], self.block, " "))
                 else:
-                    names = aside_names(tag, found[3])
-                    if names and tag not in VOID:
+                    names = aside_names(tag, found[3]) | wrap_names(tag, found[3])
+                    if tag == "hr" or names and tag not in VOID:
                         self.block += 1
-                        if not self.ended(source, at, tag):
-                            article = ARTICLE.search(source, at)
-                            at = article.start() if article else at
-                            continue
+                    if names and tag not in VOID and found.start() not in self.ends.behind:
+                        article = self.ends.article(at)
+                        at = at if article is None else article
+                        continue
                     self.open(tag, found[3].endswith("/"))
                     if names:
                         self.named[len(self.tag) - 1] = names
 
-    def skip(self, source: str, at: int, tag: str) -> int:
-        """The place behind an element that was opened before `at`.
+    def skip(self, source: str, at: int, tag: str, start: int) -> int:
+        """The place behind an element whose opening tag stands from `start` to `at`.
 
         Without an end tag it ends before the next article; if there is none, sections end as `level_end` says and
         what stands in other elements stays.
         """
-        end = self.ended(source, at, tag)
-        if end:
-            return end
-        article = ARTICLE.search(source, at)
-        return article.start() if article else self.level_end(source, at) if tag in ASIDE_TAGS else at
-
-    @staticmethod
-    def ended(source: str, at: int, tag: str) -> int:
-        """The place behind the end tag of an element that was opened before `at`; 0 without one."""
-        depth = 1
-        for found in re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){re.escape(tag)}\b[^>]*>", re.I | re.S).finditer(source, at):
-            if found[1] is not None:
-                depth += -1 if found[1] else 1
-            if not depth:
-                return found.end()
-        return 0
+        if start in self.ends.behind:
+            return self.ends.behind[start]
+        article = self.ends.article(at)
+        return article if article is not None else self.level_end(source, at) if tag in ASIDE_TAGS else at
 
     def level_end(self, source: str, at: int) -> int:
         """Where an element without an end tag ends: before the next block or the end tag of an element around it.
@@ -211,8 +246,9 @@ class Page:
     def cut(self) -> list[bool]:
         """Whether each element is in one that its name calls an aside.
 
-        A name does not count for an element that holds the page's only articles, or so much of the unlinked text that
-        it is a wrapper; what is only named for comments is no wrapper.
+        A name does not count for an element that holds the page's only articles, or is a wrapper: it holds most of the
+        unlinked text, and either hardly any stands outside it and other such elements, or it has several blocks and is not
+        named for a notice or an advert. What is only named for comments is no wrapper.
         """
         n = len(self.tag)
         out = [False] * n
@@ -223,13 +259,23 @@ class Page:
         for i in range(1, n):
             within[i] = within[i] or within[self.parent[i]]
         apart = any(holds[i] and not within[i] for i in range(n))
+        outside = sum(f for f, w in zip(free, within, strict=True) if not w)
+        held: dict[int, set[int]] = {i: set() for i in self.named}
+        owner = [0] * n  # the innermost named element around each
+        for i in range(1, n):
+            owner[i] = i if i in held else owner[self.parent[i]]
+        for node, block, text in self.texts:
+            if owner[node] and text.strip() and not self.linked[node]:
+                held[owner[node]].add(block)
         for i in range(n - 1, 0, -1):
             free[self.parent[i]] += free[i]
             holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
         for i in range(1, n):
             out[i] = out[self.parent[i]]
             if i in self.named and not out[i]:
-                wrapper = free[i] >= WRAPPER * free[0] and not self.named[i] <= COMMENT_NAMES
+                most = free[i] >= WRAPPER * free[0] and not self.named[i] <= COMMENT_NAMES
+                several = len(held[i]) >= BLOCKS and self.named[i].isdisjoint(NOTICE_NAMES)
+                wrapper = most and (outside <= OUTSIDE * free[i] or several)
                 only = holds[i] and not apart and not (self.named[i] <= COMMENT_NAMES and free[i] < free[0] / 2)
                 out[i] = not (wrapper or only)
         return out

@@ -1,5 +1,7 @@
 import random
 
+import time
+
 import pytest
 
 from rowferry.llm.html_text import extract_text, main_text
@@ -95,3 +97,100 @@ def test_long_comments_stay_out():
     story, said = "This is the article. " * 20, "<article class=comment><p>" + "A reader says so. " * 30 + "</p></article>"
     page = f"<body><article><p>{story}</p></article><div id=comments>{said * 4}</div></body>"
     assert main_text(page) == story.strip()
+
+
+STORY = " ".join(f"word{i}" for i in range(60))
+
+
+def test_line_breaks_are_white_space():
+    assert main_text("<p>one<br>two<br/>three</p>") == "one two three"
+    assert main_text(f"<div>{STORY}<hr>{STORY}</div>") == f"{STORY}\n{STORY}"
+
+
+@pytest.mark.parametrize("wrapper", ["<form action=x>{}</form>", "<dialog open>{}</dialog>", "<div hidden>{}</div>", "<div hidden=''><form>{}</form></div>"])
+def test_pages_inside_a_form_or_hidden_container(wrapper):
+    body = f"<h1>Title</h1><p>{STORY}</p><nav><a href=/>home</a></nav><p>{STORY}</p>"
+    assert main_text(f"<html><body>{wrapper.format(body)}</body></html>") == f"Title\n{STORY}\n{STORY}"
+
+
+@pytest.mark.parametrize("name", ["notice", "cookie-notice", "ad", "newsletter-popup"])
+@pytest.mark.parametrize("parts", [1, 6])
+def test_large_notices_are_no_page(name, parts):
+    said = "".join(f"<p>{' '.join(f'n{i}' for i in range(300))}</p>" for _ in range(parts))
+    for page in (f"<p>{STORY}</p><div class={name}>{said}</div>", f"<div class={name}>{said}</div><div><p>{STORY}</p></div>"):
+        assert main_text(f"<html><body>{page}</body></html>") == STORY
+
+
+def test_hidden_and_form_parts_stay_out():
+    page = f"<body><p>{STORY}</p><p>{STORY}</p><div hidden>not shown here</div><form>Name <p>and more fields</p></form></body>"
+    assert main_text(page) == f"{STORY}\n{STORY}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<nav>" * 20000 + "x", "<nav>" * 20000 + "</nav>" * 20000 + "<p>x", "<select>" * 20000, "<div class=ad>" * 20000 + "x", "<svg>" * 20000 + "<p>y"],
+)
+def test_hostile_pages_take_little_time(page):
+    start = time.time()
+    main_text(page)
+    assert time.time() - start < 3
+
+
+def recursive(node, share):
+    """Densities of a small tree (tag, text, children), from the leaves up, by their definition."""
+    import math
+
+    tag, text, children = node
+    below = [recursive(c, share) for c in children]
+    linked = tag == "a"
+    chars = len(text) + sum(b["chars"] for b in below)
+    tags = 1 + sum(b["tags"] for b in below)
+    link_chars = chars if linked else sum(b["link_chars"] for b in below)
+    link_tags = tags if linked else sum(b["link_tags"] for b in below)
+    density = 0.0
+    if chars:
+        odds = chars / max(link_chars, 1) * tags / max(link_tags, 1)
+        base = math.log(chars / max(chars - link_chars, 1) * link_chars + share * chars + math.e)
+        density = chars / tags * max(math.log(odds) / math.log(max(base, 1.000001) + 1e-9), 0)
+    total = sum(b["density"] for b in below)
+    found = {"chars": chars, "tags": tags, "link_chars": link_chars, "link_tags": link_tags, "density": density, "sum": total}
+    best = max([found, *(b["best"] for b in below)], key=lambda b: b["sum"])
+    return {**found, "best": best}
+
+
+def test_selected_subtree_is_that_of_a_recursive_search():
+    """Pages without names or articles: the element with the greatest sum of its children's densities is in the result."""
+    draw = random.Random(6)
+
+    def tree(depth):
+        n = draw.randint(0, 4) if depth else 0
+        tag = draw.choice(["div", "section", "div", "span"]) if depth else draw.choice(["b", "a", "i"])
+        return tag, " ".join(f"x{draw.randint(100, 999)}" for _ in range(draw.choice([0, 0, 3, 25]))), [tree(depth - 1) for _ in range(n)]
+
+    def source(node):
+        return f"<{node[0]}>{node[1]}{''.join(map(source, node[2]))}</{node[0]}>"
+
+    def words(node):
+        return [*node[1].split(), *(w for c in node[2] for w in words(c))]
+
+    def links(node, linked=False):
+        linked = linked or node[0] == "a"
+        return (len(node[1]) if linked else 0) + sum(links(c, linked) for c in node[2])
+
+    checked = 0
+    for _ in range(60):
+        body = ("body", "", [tree(4) for _ in range(3)])
+        size = recursive(body, 0)["chars"]
+        if not size:
+            continue
+        found = main_text(f"<html>{source(body)}</html>")
+        best = recursive(body, links(body) / size)["best"]
+        # the subtree itself, found again by its sums
+        def holders(node):
+            own = recursive(node, links(body) / size)
+            return [node] * (own["sum"] == best["sum"] and own["sum"] > 0) + [h for c in node[2] for h in holders(c)]
+
+        for node in holders(body)[-1:]:
+            assert all(word in found for word in words(node))
+            checked += 1
+    assert checked > 20
