@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, stage, table
-from rowferry import scratch_dir
+from catalogue.registry import files, query, stage, table
+from rowferry import scratch_dir, transform
 from rowferry.sources import parse_documents, read_json_documents, stage_documents, to_json_documents
 
 
@@ -47,3 +47,36 @@ def doc_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_documents(_mixed(spark, sf_dir))
     return parsed.select("_id", "name", "segment", "account.balance")
+
+
+CLASHING = """
+    SELECT c_custkey AS _id, CAST(c_nationkey AS VARCHAR) AS v, NULL AS note, NULL::BIGINT AS n FROM customer
+    UNION ALL SELECT -1 - s_suppkey, s_name, 'x' || s_suppkey, s_nationkey FROM supplier"""
+
+
+def _clashing(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """A job over JSON files in which `v` is a number here and a text there, and two fields only come with suppliers."""
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey _id", "c_nationkey v")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "-1 - s_suppkey _id", "s_name v", "struct(concat('x', s_suppkey) note, array(s_nationkey) n) more"
+    )
+    both = to_json_documents(customers).union(to_json_documents(suppliers))
+    lines = stage(spark, both.withColumnRenamed("jsonfield", "value"), "text")
+    return transform(spark, {"source": files(lines, "json", mixedtypes=True, **options)})
+
+
+@query(CLASHING)
+def doc_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _clashing(spark, sf_dir)
+    v = F.col("v").cast("string").alias("v")
+    return parsed.where("_rescued IS NULL").select("_id", v, "more.note", F.col("more.n")[0].alias("n"))
+
+
+@query(CLASHING)
+def doc_sampled_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of a few documents: what does not fit it is found among the rescued fields."""
+    parsed = _clashing(spark, sf_dir, samplesize=20)
+    whole = F.to_json(F.struct(*[c for c in parsed.columns if c != "_rescued"]))
+    get = lambda path: F.coalesce(F.get_json_object(whole, path), F.get_json_object(F.to_json("_rescued"), path))
+    n = get("$.more.n[0]").cast("bigint").alias("n")
+    return parsed.select(get("$._id").cast("bigint").alias("_id"), get("$.v").alias("v"), get("$.more.note").alias("note"), n)

@@ -12,6 +12,7 @@ from rowferry.sources.catalog import read_catalog
 from rowferry.sources.connectors import FORMATS, read_connector
 from rowferry.sources.documents import (
     parse_documents,
+    parse_mixed_documents,
     read_json_documents,
     stage_documents,
     to_json_documents,
@@ -26,6 +27,7 @@ __all__ = [
     "PLATFORMS",
     "decode_messages",
     "parse_documents",
+    "parse_mixed_documents",
     "read_connector",
     "read_files",
     "read_jdbc",
@@ -88,5 +90,10 @@ def _read_file_endpoint(spark: SparkSession, endpoint: Mapping[str, object], str
         "mergeschema": is_true(endpoint.get("mergeschema", False)),
         "sparkoptions": {k: str(v) for k, v in (endpoint.get("sparkoptions") or {}).items()},
     }
+    if is_true(endpoint.get("mixedtypes", False)):
+        if streaming or str(endpoint["fileformat"]) != "json":
+            raise ValueError("mixedtypes reads JSON files as a batch")
+        sample = endpoint.get("samplesize")
+        return parse_mixed_documents(read_json_documents(spark, path), samplesize=int(sample) if sample else None)
     read = stream_files if streaming else read_files
     return read(spark, path, str(endpoint["fileformat"]), endpoint.get("schema"), **options)

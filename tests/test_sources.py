@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import os
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from rowferry import job_session
-from rowferry.sources import parse_documents, read_source, stage_documents, to_json_documents
+from rowferry.sources import parse_documents, parse_mixed_documents, read_source, stage_documents, to_json_documents
 from rowferry.sources.connectors import connector_options, mongodb_uri
 from rowferry.sources.files import endpoint_path, file_options, file_path
 from rowferry.sources.jdbc import connection, jdbc_read_options
@@ -198,3 +200,44 @@ def test_connector_options():
 
 def test_registry_header(spark):
     assert bytes(spark.range(1).select(registry_header(258)).first()[0]) == b"\x00\x00\x00\x01\x02"
+
+
+MIXED = [
+    '{"a":1,"b":{"c":"x","d e":[1,2]},"n":null,"OBJECT<":"VOID"}',
+    '{"a":"t","b":{"c":2.5},"f":1.5,"g":[]}',
+    '{"a":true,"g":[{"h":1}],"z":"2024-01-01","big":123456789012345678901234567890}',
+    "{}",
+]
+
+
+def document_of(row, columns):
+    """The fields of a parsed document, typed or rescued, as plain values without nulls."""
+    def clean(value):
+        if isinstance(value, dict):
+            return {k: clean(v) for k, v in value.items() if clean(v) is not None}
+        return [clean(v) for v in value] if isinstance(value, list) else value
+
+    kept = json.loads(row["whole"], parse_float=str)
+    rescued = kept.pop("_rescued", None) or {}
+    return clean({**kept, **rescued})
+
+
+@pytest.mark.parametrize("samplesize", [None, 1, 2])
+def test_no_field_of_mixed_documents_is_lost(spark, samplesize):
+    df = spark.createDataFrame([(t,) for t in MIXED], "jsonfield string").coalesce(1)
+    parsed = parse_mixed_documents(df, samplesize=samplesize)
+    if not samplesize:
+        kinds = {f.name: f.dataType.simpleString() for f in parsed.schema}
+        assert kinds["a"] == "variant" and kinds["b"] == "struct<c:variant,d e:array<bigint>>" and kinds["n"] == "variant"
+        assert parsed.where("_rescued IS NOT NULL").count() == 0
+    rows_found = parsed.select(F.to_json(F.struct("*")).alias("whole")).collect()
+    want = [document_of({"whole": t}, None) for t in MIXED]
+    assert [document_of(r, parsed.columns) for r in rows_found] == want
+
+
+def test_documents_that_are_no_objects(spark):
+    df = spark.createDataFrame([("[1]",), ('{"a":1}',), ("null",)], "jsonfield string")
+    assert parse_mixed_documents(df).select(F.to_json("value")).collect()[0][0] == "[1]"
+    with pytest.raises(Exception, match="MALFORMED"):
+        parse_mixed_documents(spark.createDataFrame([("{x",)], "jsonfield string")).collect()
+    assert parse_mixed_documents(df.limit(0)).count() == 0
