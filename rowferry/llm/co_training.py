@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, shared, utf8
+from rowferry.llm.common import bounded_batches, discard, shared, store, utf8
 
-# rows that the classifiers are fitted on, at most: labelled ones, and unlabelled ones that get pseudo-labels
-LABELLED_SAMPLE, POOL = 12_000, 12_000
+# rows that the classifiers are fitted on, at most: labelled ones, and pseudo-labelled ones of a view, a mark and a round
+LABELLED_SAMPLE, TAUGHT = 12_000, 800
 CALIBRATION = 0.25
 ROUNDS = 5
-# of the pool, the share that a classifier labels for the other one in a round, and how sure it must be
+# of all unlabelled rows, the share that a classifier labels for the other one in a round, and how sure it must be
 SHARE, SURE = 0.05, 0.95
+# steps between SURE and certainty in which rows are counted
+STEPS = 1000
 BINS = 10
 SOURCE_BUCKETS, LANGUAGE_BUCKETS = 64, 16
 # classes of bytes whose shares are features: upper case, digits, white space, punctuation, symbols, beyond ASCII
@@ -152,36 +155,37 @@ class CoTrained:
         """The inputs of the content view and of the metadata view."""
         return (numbers[:, :CONTENT], categories[:, :0]), (numbers[:, CONTENT:], categories)
 
-    def fit(self, labelled, marks, pool) -> None:
-        """Each round both views are fitted on their labels and name, for the other view, the surest of the pool."""
+    def fit(self, labelled, marks, surest: Callable[[CoTrained], list[list[tuple]]]) -> None:
+        """Each round both views are fitted on their labels and name, for the other view, the surest unlabelled rows.
+
+        `surest` gives, by view and mark, those rows as (key, numbers, categories).
+        """
         import numpy as np
 
-        numbers, categories = (np.concatenate([labelled[i], pool[i]]) for i in (0, 1))
+        numbers, categories = labelled
         views, inputs = (self.content, self.meta), self.parts(numbers, categories)
         cut = int(len(marks) * CALIBRATION)
-        known = np.full(len(numbers), -1)
-        known[cut : len(marks)] = marks[cut:]
-        own = [known.copy(), known.copy()]
-        first = len(marks)
-        most = max(1, int(SHARE * (len(numbers) - first)))
-        good = marks.mean() if len(marks) else 0.5
+        taught: list[dict] = [{}, {}]
         for view, (x, _) in zip(views, inputs, strict=True):
             view.bins(x)
         for round_ in range(ROUNDS + 1):
-            for view, (x, c), labels in zip(views, inputs, own, strict=True):
-                rows = np.flatnonzero(labels >= 0)
-                view.fit(x[rows], c[rows], labels[rows].astype(float))
+            for i, (view, (x, c)) in enumerate(zip(views, inputs, strict=True)):
+                more = list(taught[i].values())
+                part = self.parts(
+                    np.array([r[0] for r in more], float).reshape(-1, CONTENT + META),
+                    np.array([r[1] for r in more], np.int64).reshape(-1, 2),
+                )[i]
+                labels = np.concatenate([marks[cut:], [r[2] for r in more]]).astype(float)
+                view.fit(np.concatenate([x[cut:], part[0]]), np.concatenate([c[cut:], part[1]]), labels)
                 view.calibrate(view.raw(x[:cut], c[:cut]), marks[:cut].astype(float))
-            if round_ == ROUNDS or first == len(numbers):
+            if round_ == ROUNDS:
                 break
-            for i, (view, (x, c)) in enumerate(zip(views, inputs, strict=True)):
-                chance = view.chance(x[first:], c[first:])
-                free = own[1 - i][first:] < 0
-                for mark, sure, quota in ((1, chance, good), (0, 1 - chance, 1 - good)):
-                    rows = np.flatnonzero(free & (sure >= SURE))
-                    rows = rows[np.argsort(-sure[rows], kind="stable")][: max(1, int(most * quota))]
-                    own[1 - i][first + rows] = mark
-                    self.taught[1 - i] += len(rows)
+            for i, by_mark in enumerate(surest(self)):
+                for mark, rows in enumerate(by_mark):
+                    for key, x, c in rows:
+                        # the first label of a row stays
+                        taught[1 - i].setdefault(key, (x, c, mark))
+        self.taught = [len(t) for t in taught]
         scores = self.logits(numbers[:cut], categories[:cut])
         self.mix = platt(scores, marks[:cut].astype(float))
 
@@ -223,40 +227,94 @@ def inputs_of(docs: DataFrame) -> DataFrame:
     return docs.select(*(F.col(c).cast(t) for c, t in kinds.items()))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
-    """Both classifiers, fitted on at most LABELLED_SAMPLE labelled and POOL unlabelled rows that are not held out.
+def features_of(rows: DataFrame, *carry: str) -> DataFrame:
+    """The given columns with x and c, the numbers and categories of documents."""
+    import pyarrow as pa
 
-    The rows are those with the smallest hashes of their ids; only their features come to the driver.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers, categories = batch_features(batch)
+            columns = [*batch.columns[5:], pa.array(numbers.tolist(), pa.list_(pa.float64())), pa.array(categories.tolist(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, [*carry, "x", "c"])
+
+    inputs = ("doc_id", "text", "lang", "source", "n_chars")
+    kinds = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in carry)
+    return rows.select(*inputs, *carry).mapInArrow(run, f"{kinds}, x array<double>, c array<long>")
+
+
+def sure_of(free: DataFrame, model: CoTrained) -> DataFrame:
+    """All unlabelled rows with s, how sure each view is of each mark: content 0, content 1, metadata 0, metadata 1."""
     import numpy as np
     import pyarrow as pa
 
-    bounded_batches(docs.sparkSession)
-    fit = ~held_out(F.col("doc_id"))
-    marks = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("mark"))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    known = marks.filter(fit).orderBy(*order).limit(LABELLED_SAMPLE)
-    ids = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    free = ids.filter(fit).join(marks, "doc_id", "left_anti").orderBy(*order).limit(POOL)
-    # at most LABELLED_SAMPLE + POOL ids
-    picked = F.broadcast(known.unionByName(free.withColumn("mark", F.lit(-1))))
-    rows = inputs_of(docs).join(picked, "doc_id")
+    sent = shared(free.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = sent()
         for batch in batches:
-            numbers, categories = batch_features(batch)
-            columns = [batch.column(0), batch.column(5), pa.array(numbers.tolist()), pa.array(categories.tolist())]
-            yield pa.RecordBatch.from_arrays([columns[0], columns[1].cast(pa.int64()), *columns[2:]], ["doc_id", "mark", "x", "c"])
-
-    got = rows.mapInArrow(run, "doc_id long, mark long, x array<double>, c array<long>").collect()
-    got = sorted(got, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["x"], r["c"]))
-    split = [[r for r in got if r["mark"] >= 0], [r for r in got if r["mark"] < 0]]
-    parts = [
-        (np.array([r["x"] for r in x], float).reshape(-1, CONTENT + META), np.array([r["c"] for r in x], np.int64).reshape(-1, 2))
-        for x in split
-    ]
+            numbers = batch.column(1).flatten().to_numpy().reshape(-1, CONTENT + META)
+            categories = batch.column(2).flatten().to_numpy().reshape(-1, 2)
+            chance = [v.chance(*part) for v, part in zip((fitted.content, fitted.meta), fitted.parts(numbers, categories), strict=True)]
+            sure = np.stack([1 - chance[0], chance[0], 1 - chance[1], chance[1]], 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sure.tolist(), pa.list_(pa.float64()))], ["key", "x", "c", "s"])
+
+    return free.mapInArrow(run, "key long, x array<double>, c array<long>, s array<double>")
+
+
+def named(free: DataFrame, n_free: int, good: float, model: CoTrained) -> list[list[tuple]]:
+    """By view and mark the surest of all unlabelled rows: SHARE of them, as the marks are shared out among the labels.
+
+    How many rows are how sure is counted over all of them; of those that are sure enough, the TAUGHT with the smallest keys teach.
+    """
+    sure = sure_of(free, model)
+    step = lambda j: F.floor((F.col("s")[j] - SURE) / (1 - SURE) * STEPS).alias("step")
+    counts = sure.select(F.explode(F.array(*[F.struct(F.lit(j).alias("j"), step(j)) for j in range(4)])).alias("e"))
+    counts = counts.select("e.*").filter("step >= 0").groupBy("j", "step").count().collect()
+    found: list[list[tuple]] = []
+    parts = []
+    for j in range(4):
+        most = max(1, int(SHARE * n_free * (good if j % 2 else 1 - good)))
+        least, above = 0, 0
+        for row in sorted((r for r in counts if r["j"] == j), key=lambda r: -r["step"]):
+            least, above = row["step"], above + row["count"]
+            if above >= most:
+                break
+        taken = sure.filter(step(j) >= least).orderBy("key").limit(TAUGHT)
+        parts.append(taken.select(F.lit(j).alias("j"), "key", "x", "c"))
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    for view in range(2):
+        marks = [sorted((r["key"], r["x"], r["c"]) for r in rows if r["j"] == 2 * view + mark) for mark in (0, 1)]
+        found.append(marks)
+    return found
+
+
+def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
+    """Both classifiers, from labelled and all unlabelled rows that are not held out.
+
+    The driver fits them on at most LABELLED_SAMPLE labelled rows, those with the smallest hashes of their ids and texts, and on
+    what the views name; every unlabelled row is scored by both views in every round. Rows without doc_id take no part;
+    repeated rows and ids count as rows of their own. Where nothing is unlabelled, the views learn from labels alone.
+    """
+    import numpy as np
+
+    bounded_batches(docs.sparkSession)
+    fit = ~held_out(F.col("doc_id"))
+    marks = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("long").alias("mark"))
+    rows = inputs_of(docs).filter("doc_id IS NOT NULL").filter(fit).withColumn("key", F.xxhash64("doc_id", "text"))
+    known = rows.join(marks, "doc_id").orderBy("key", "doc_id").limit(LABELLED_SAMPLE)
+    got = features_of(known, "key", "mark").collect()
+    got = sorted(got, key=lambda r: (zlib.crc32(str(r["key"]).encode()), r["key"], r["x"], r["c"]))
+    labelled = (
+        np.array([r["x"] for r in got], float).reshape(-1, CONTENT + META),
+        np.array([r["c"] for r in got], np.int64).reshape(-1, 2),
+    )
+    given = np.array([r["mark"] for r in got], np.int64)
+    free = store(features_of(rows.join(marks.select("doc_id"), "doc_id", "left_anti"), "key"), "features")
+    n_free = free.count()
+    good = float(given.mean()) if len(given) else 0.5
     model = CoTrained()
-    model.fit(parts[0], np.array([r["mark"] for r in split[0]], np.int64), parts[1])
+    model.fit(labelled, given, lambda m: named(free, n_free, good, m) if n_free and 0 < good < 1 else [[[], []], [[], []]])
+    discard(free)
     return model
 
 

@@ -232,8 +232,12 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
         return []
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     most = max(SAMPLE // len(sizes), 1)
-    chosen = texts.filter(F.col("lang").isin([r["lang"] for r in sizes])).withColumn("rank", rank)
-    chosen = chosen.filter(F.col("rank") <= most).select("lang", "h")
+    # twice as many by the hash alone, so that a task ranks few rows however many a language has
+    low = F.lit(False)
+    for r in sizes:
+        share, own = (2 * most + 100) / r["count"], F.col("lang") == r["lang"]
+        low = low | (own if share >= 1 else own & (F.col("h") < F.lit(int((share - 0.5) * 2**64))))
+    chosen = texts.filter(low).withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", "h")
     # at most SAMPLE rows, or one a language
     assert most * len(sizes) <= BROADCAST_ROWS
     found = known.join(F.broadcast(chosen), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))

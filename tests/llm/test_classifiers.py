@@ -1,6 +1,9 @@
+import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rowferry.llm import co_training, toxicity
 from tests.llm.data import documents, empty, labels
@@ -89,3 +92,67 @@ def test_held_out_rows_do_not_train(spark, module):
     score = module.score_quality if module is co_training else module.score_toxicity
     results = [sorted((r["doc_id"], r["score"]) for r in score(docs, module.train(docs, m)).collect()) for m in (marks, flipped)]
     assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("taught", [5, 10**6])
+def test_the_surest_of_all_unlabelled_rows_are_named(spark, monkeypatch, taught):
+    """A round against a plain loop over all rows."""
+    monkeypatch.setattr(co_training, "TAUGHT", taught)
+    docs, marks = corpus(spark, 900)
+    model = co_training.train(docs, marks.filter("doc_id % 7 < 3"))
+    rows = co_training.inputs_of(docs).withColumn("key", F.col("doc_id"))
+    free = co_training.features_of(rows, "key")
+    n, good = free.count(), 0.7
+    found = co_training.named(free, n, good, model)
+    sure = {r["key"]: r["s"] for r in co_training.sure_of(free, model).collect()}
+    whole = {r["key"]: (r["x"], r["c"]) for r in free.collect()}
+    for key, (x, c) in list(whole.items())[:50]:
+        by_view = model.parts(np.array([x]), np.array([c]))
+        chance = [v.chance(*p)[0] for v, p in zip((model.content, model.meta), by_view, strict=True)]
+        assert sure[key] == pytest.approx([1 - chance[0], chance[0], 1 - chance[1], chance[1]])
+    for j in range(4):
+        most = max(1, int(co_training.SHARE * n * (good if j % 2 else 1 - good)))
+        step = {k: math.floor((s[j] - co_training.SURE) / (1 - co_training.SURE) * co_training.STEPS) for k, s in sure.items()}
+        ranked = sorted((s for s in step.values() if s >= 0), reverse=True)
+        want = sorted(k for k, s in step.items() if ranked and s >= ranked[: most][-1])[:taught]
+        got = found[j // 2][j % 2]
+        assert [k for k, _, _ in got] == want and all((x, c) == whole[k] for k, x, c in got)
+
+
+def test_repeated_ids_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(co_training, "LABELLED_SAMPLE", 30)
+    monkeypatch.setattr(toxicity, "TOXIC_SAMPLE", 10)
+    monkeypatch.setattr(toxicity, "OTHER_SAMPLE", 10)
+    docs, _ = corpus(spark, 40)
+    many = docs.crossJoin(spark.range(20)).selectExpr("doc_id % 3 AS doc_id", "concat(text, id) AS text", "lang", "source", "n_chars")
+    marks = labels(spark, [(0, 1, 0), (1, 0, 1), (2, 1, 0)])
+    fitted = []
+    monkeypatch.setattr(co_training.CoTrained, "fit", lambda self, x, m, s: fitted.append(len(m)))
+    co_training.train(many, marks)
+    monkeypatch.setattr(toxicity.Classifier, "fit", lambda self, t, m: fitted.append(len(t)))
+    monkeypatch.setattr(toxicity.Classifier, "calibrate", lambda *a: fitted.append(len(a[1])))
+    toxicity.train(many, marks)
+    assert 0 < fitted[0] <= 30 and 0 < fitted[1] + fitted[2] <= 20
+
+
+def test_pooled_filters_against_plain_loops():
+    model, draw = toxicity.Classifier(), np.random.default_rng(3)
+    texts = [[f"w{i}".encode() for i in draw.integers(0, 30, n)] for n in (1, 2, 3, 9, 40)]
+    vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    projected = np.concatenate([np.zeros((1, model.filters.shape[1]), np.float32), model.project(list(vocabulary))])
+    ids = np.concatenate([np.append([vocabulary[w] for w in t], (0, 0)) for t in texts]).astype(np.int64)
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes + 2) - 2
+    best = model.pooled(projected, ids, ends - sizes, ends)
+    for row, text in zip(best, texts, strict=True):
+        vectors = [sum(model.embedding[b] for b in toxicity.buckets_of(w)) for w in text]
+        at, j = 0, 0
+        for width in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                values = []
+                for start in range(len(text)):
+                    window = vectors[start : start + width]
+                    values.append(sum(v @ model.filters[:, at + k * toxicity.FILTERS + f] for k, v in enumerate(window)))
+                assert row[j] == pytest.approx(max(values) + model.bias[j], abs=1e-5)
+                j += 1
+            at += width * toxicity.FILTERS
