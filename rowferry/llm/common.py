@@ -6,6 +6,7 @@ import pickle
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,11 +50,26 @@ def discard(*stored: DataFrame) -> None:
 
 
 def numbered(docs: DataFrame, *columns: Column | str) -> DataFrame:
-    """The given columns of all rows with `row`, a number of their own, in a stored table.
+    """The given columns of all rows with `row`, a number of their own that is the same in every pass.
 
-    Numbers depend on how files are cut into tasks, which changes with the cores at hand, so they are drawn once and read
-    from then on.
+    How files are cut into tasks changes with the cores at hand, so a row of a Parquet file is numbered by its file and its
+    place there. Any other frame is stored with its numbers and read from then on.
     """
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    scanned = all(line.lstrip(" +-:").startswith(("Relation", "Project", "Filter")) for line in plan.splitlines())
+    if scanned and "rand" not in plan:
+        try:
+            placed = docs.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"), *columns)
+        except AnalysisException:
+            placed = None
+        if placed is not None:
+            # names of files alone, read without any column
+            names = placed.select("__file").distinct().limit(BROADCAST_ROWS + 1).collect()
+            if len(names) <= BROADCAST_ROWS:
+                pairs = [(r["__file"], i << 40) for i, r in enumerate(sorted(names))]
+                first = docs.sparkSession.createDataFrame(pairs, "__file string, __first long")
+                rows = placed.join(F.broadcast(first), "__file").withColumn("row", F.col("__first") + F.col("__at"))
+                return rows.select("row", *placed.columns[2:])
     return store(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "rows")
 
 

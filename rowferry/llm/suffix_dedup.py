@@ -234,7 +234,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), length
     `carry`: n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the remaining bytes, and with `texts` kept,
     the remaining bytes as text, where a character goes if any of its bytes does. Texts shorter than `length` stay as
     they are. Repeated rows are documents of their own, and so repeats of each other. Carried columns that clash with
-    an output column are replaced by it. Rows are numbered once, in a stored table that all passes read.
+    an output column are replaced by it. Rows are numbered alike in every pass.
     """
     import pyarrow as pa
 
