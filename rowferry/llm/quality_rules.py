@@ -28,8 +28,9 @@ CUTOFFS = {
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MIN_WORDS = 50
-# terms of a binomial tail that are summed one by one; what lies beyond them is bounded from above
-TAIL_TERMS = 500
+# terms of a binomial tail that are summed: so many, and so many times the root of the number of draws; a term that many
+# standard deviations below the first one is nothing in double precision
+TAIL_TERMS, TAIL_WIDTH = 500, 40
 
 
 def repeated_words(words: Column) -> Column:
@@ -92,23 +93,23 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """An upper bound of P(X <= k) for X of Binomial(n, p), exact up to rounding where the tail has few terms.
+    """P(X <= k) for X of Binomial(n, p), exact up to rounding below the mean; 1 from there on, an upper bound.
 
-    Below the mean each term is a falling share of the one above it, which bounds what lies beyond TAIL_TERMS.
+    Each term is a falling share of the one above it, and all terms that count in double precision are summed.
     """
     ratio = lambda i: i * (1 - p) / ((n - i + 1) * p)  # noqa: E731  of the term of i - 1 to that of i
     start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    steps = F.sequence(F.lit(0), F.least(k, F.lit(TAIL_TERMS)).cast("int"))
+    width = F.ceil(F.sqrt(n.cast("double")) * TAIL_WIDTH) + TAIL_TERMS
+    steps = F.sequence(F.lit(0), F.least(k.cast("long"), width).cast("int"))
 
     def add(state: Column, j: Column) -> Column:
         term = state["term"] * ratio(k - j)
         return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
 
     folded = F.aggregate(steps, start, add)
-    rest = folded["term"] / F.greatest(1 - ratio(k), F.lit(1e-9))
     log_top = log_gamma(n + 1.0) - log_gamma(k + 1.0) - log_gamma(n - k + 1.0)
     log_top = log_top + k * F.ln(F.lit(p)) + (n - k) * F.ln(F.lit(1 - p))
-    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.exp(log_top) * (folded["total"] + rest), F.lit(1.0)))
+    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.exp(log_top) * folded["total"], F.lit(1.0)))
 
 
 def tests(measures: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK) -> DataFrame:

@@ -35,7 +35,7 @@ def test_counts(spark):
     assert quality_rules(empty(spark), labels(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("k, n, p", [(0, 10, 0.05), (3, 100, 0.1), (0, 1, 0.5), (2, 5000, 0.01), (900, 10000, 0.1), (10, 20, 0.1)])
+@pytest.mark.parametrize("k, n, p", [(0, 10, 0.05), (3, 100, 0.1), (0, 1, 0.5), (2, 5000, 0.01), (900, 10000, 0.1), (10, 20, 0.1), (6000, 70000, 0.09), (99000, 10**6, 0.1)])
 def test_binomial_tail(spark, k, n, p):
     row = spark.range(1).select(binomial_tail(F.lit(k), F.lit(n), p).alias("t")).first()
     exact = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))
