@@ -300,16 +300,19 @@ def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
     bounded_batches(docs.sparkSession)
     fit = ~held_out(F.col("doc_id"))
     marks = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("long").alias("mark"))
-    rows = inputs_of(docs).filter("doc_id IS NOT NULL").filter(fit).withColumn("key", F.xxhash64("doc_id", "text"))
-    known = rows.join(marks, "doc_id").orderBy("key", "doc_id").limit(LABELLED_SAMPLE)
-    got = features_of(known, "key", "mark").collect()
+    rows = inputs_of(docs).filter("doc_id IS NOT NULL").filter(fit).withColumns({"key": F.xxhash64("doc_id", "text"), "id": F.col("doc_id")})
+    # features before the joins, so that no text is shuffled
+    seen = store(features_of(rows, "key", "id"), "features")
+    marks = marks.withColumnRenamed("doc_id", "id")
+    got = seen.join(marks, "id").orderBy("key", "id").limit(LABELLED_SAMPLE).collect()
     got = sorted(got, key=lambda r: (zlib.crc32(str(r["key"]).encode()), r["key"], r["x"], r["c"]))
     labelled = (
         np.array([r["x"] for r in got], float).reshape(-1, CONTENT + META),
         np.array([r["c"] for r in got], np.int64).reshape(-1, 2),
     )
     given = np.array([r["mark"] for r in got], np.int64)
-    free = store(features_of(rows.join(marks.select("doc_id"), "doc_id", "left_anti"), "key"), "features")
+    free = store(seen.join(marks.select("id"), "id", "left_anti").select("key", "x", "c"), "features")
+    discard(seen)
     n_free = free.count()
     good = float(given.mean()) if len(given) else 0.5
     model = CoTrained()
