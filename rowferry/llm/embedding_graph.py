@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, components, shared, store
+from rowferry.llm.common import bounded_batches, components, discard, shared, store
 
 THRESHOLD = 0.95
 # vectors in a shard that one task builds and searches, at most; larger shards are split again
 SHARD_ROWS = 2048
 CENTRES = 32
-# the cosine from which two centres are one
-MERGED = 0.9
 # vectors that the centres of a split are fitted on, about
 SAMPLE_ROWS = 4096
-# a vector also goes to its second centre if that is farther by no more than this
-OVERLAP = 0.35
-# a shard of which a split leaves more than this share together is dense, and compared in blocks instead
+# two clusters of a sample are one, and a shard is proved dense, if this share of the pairs is linked
+PROVED = 0.25
+# a dense shard of which a split leaves more than this share together is compared in blocks instead
 DENSE = 0.8
+# splits after which a shard that does not fall apart is compared in blocks, and after which every one is
+TRIED_SPLITS, MOST_SPLITS = 6, 12
+# independent partitionings: at least, at most, and the audited recall from which no more are added
+LEAST_RUNS, MOST_RUNS, TARGET = 2, 5, 0.97
 # edges of a node after pruning, candidates before it, and the factor by which a detour may be longer
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 BEAM = 16
 # the range search goes on from nodes this far below the threshold
 SLACK = 0.1
-AUDITED = 200
+# vectors that the audit compares with all others
+AUDITED = 1000
 # nodes whose neighbours are looked at together, and queries that search together
 OPENED, QUERIES = 1 << 14, 512
 
@@ -41,66 +44,96 @@ def unit(column):
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
-def centres_of(matrix, k: int):
-    """Spherical k-means: unit centres, at most k, of which none is nearer to another than MERGED, so that a dense ball
-    keeps one centre."""
+def centres_of(matrix, run: int):
+    """k-means by Euclidean distance, so that a direction that all vectors share does not matter: centres, and whether the
+    vectors are a dense ball.
+
+    Clusters whose vectors are mostly linked with each other keep one centre, so that a dense ball is not cut up. Later
+    runs stop early, so that their borders lie elsewhere.
+    """
     import numpy as np
 
-    random = np.random.default_rng(len(matrix))
-    centres = matrix[random.choice(len(matrix), min(k, len(matrix)), replace=False)]
-    for _ in range(10):
-        mine = (matrix @ centres.T).argmax(axis=1)
+    random = np.random.default_rng([len(matrix), run])
+    centres = matrix[random.choice(len(matrix), min(CENTRES, len(matrix)), replace=False)]
+    for _ in range(2 if run else 8):
+        mine = nearness(matrix, centres).argmax(axis=1)
         sums = np.zeros_like(centres)
         np.add.at(sums, mine, matrix)
-        norms = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(norms > 1e-12, sums / np.maximum(norms, 1e-12), centres)
+        size = np.bincount(mine, minlength=len(centres))[:, None]
+        centres = np.where(size > 0, sums / np.maximum(size, 1), centres)
+    mine = nearness(matrix, centres).argmax(axis=1)
+    member = np.zeros((len(matrix), len(centres)), np.float32)
+    member[np.arange(len(matrix)), mine] = 1
+    links = np.zeros((len(centres), len(centres)))
+    for low in range(0, len(matrix), 512):
+        near = (matrix[low : low + 512] @ matrix.T >= THRESHOLD).astype(np.float32)
+        links += member[low : low + 512].T @ (near @ member)
+    size = member.sum(axis=0)
+    share = links / np.maximum(np.outer(size, size), 1)
     kept: list[int] = []
-    for i in range(len(centres)):
-        if not kept or (centres[kept] @ centres[i]).max() < MERGED:
+    for i in np.argsort(-size, kind="stable").tolist():
+        if size[i] and not (share[i, kept] >= PROVED).any():
             kept.append(i)
-    return centres[kept]
+    return centres[kept], links.sum() >= PROVED * len(matrix) ** 2
+
 
+def nearness(matrix, centres):
+    """A value that falls as the distance of a row to a centre grows, for every row and centre."""
+    return matrix @ centres.T - (centres**2).sum(axis=1) / 2
 
-def split(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+
+def split(members: DataFrame, level: int, run: int, spent: list[DataFrame]) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Members (shard, home, id, v) as finished, dense and still too large shards.
 
     Large shards are split by centres fitted on a hashed sample of their members. Members meet the centres in groups of
-    shard and salt, so that no group is larger than a shard may be.
+    shard and salt, so that no group is larger than a shard may be. A member also goes to its second centre where a
+    vector linked with it can have that as its first. `spent` takes the tables stored on the way.
     """
     import numpy as np
     import pyarrow as pa
 
+    reach = float(np.sqrt(2 - 2 * THRESHOLD))
     sizes = members.groupBy("shard").agg(F.count("*").alias("n"), F.count_if("home").alias("n_home"))
     sizes = store(sizes, "sizes")
+    spent.append(sizes)
     big = sizes.filter(F.col("n") > SHARD_ROWS)
     done = members.join(big.select("shard"), "shard", "left_anti")
     if big.isEmpty():
         return done, None, None
-    rows = members.join(big, "shard").withColumn("hash", F.xxhash64("id", F.lit(level)))
+    if level >= MOST_SPLITS:
+        return done, members.join(big.select("shard"), "shard", "left_semi"), None
+    rows = members.join(big, "shard").withColumn("hash", F.xxhash64("id", F.lit(level), F.lit(run)))
     fraction = F.shiftrightunsigned("hash", 11) / float(1 << 53)
     sample = rows.filter(fraction < SAMPLE_ROWS / F.col("n")).select("shard", "v")
 
     def fit(table: pa.Table) -> pa.Table:
-        centres = centres_of(unit(table.column("v")), CENTRES)
-        name = table.column("shard")[0].as_py()
-        return pa.table({"shard": [name] * len(centres), "centre": centres.tolist()})
+        centres, dense = centres_of(unit(table.column("v")), run)
+        k = len(centres)
+        shard = [table.column("shard")[0].as_py()] * k
+        return pa.table({"shard": shard, "number": range(k), "centre": centres.tolist(), "proved": [bool(dense)] * k})
 
-    centres = store(sample.groupBy("shard").applyInArrow(fit, "shard string, centre array<double>"), "centres")
+    schema = "shard string, number long, centre array<double>, proved boolean"
+    centres = store(sample.groupBy("shard").applyInArrow(fit, schema), "centres")
     salts = F.ceil(F.col("n") / SHARD_ROWS).cast("int")
     salted = rows.withColumn("salt", F.pmod("hash", salts).cast("int")).select("shard", "salt", "home", "id", "v")
     copies = centres.join(big, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    copies = copies.select("shard", "salt", "centre")
+    copies = copies.select("shard", "salt", "number", "centre")
 
     def place(own: pa.Table, table: pa.Table) -> pa.Table:
         if not own.num_rows:
             return own.select(["shard", "home", "id", "v"])
-        near = unit(own.column("v")) @ unit(table.column("centre")).T
-        order = np.argsort(-near, axis=1)[:, :2]
-        distance = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(near, order, 1), 0))
+        # centres are means of unit vectors, and stay as they are
+        table = table.sort_by("number")
+        flat = table.column("centre").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        centre = flat.reshape(table.num_rows, -1)
+        near = nearness(unit(own.column("v")), centre)
+        order = np.argsort(-near, axis=1, kind="stable")[:, :2]
         rank = np.zeros(len(near), np.int64)
         at = np.arange(len(near))
         if order.shape[1] > 1:
-            extra = np.flatnonzero(distance[:, 1] - distance[:, 0] <= OVERLAP)
+            lead = np.take_along_axis(near, order, 1)
+            apart = np.linalg.norm(centre[order[:, 0]] - centre[order[:, 1]], axis=1)
+            extra = np.flatnonzero(lead[:, 0] - lead[:, 1] <= reach * apart)  # the distance to the plane between both
             at, rank = np.concatenate([at, extra]), np.concatenate([rank, np.ones(len(extra), np.int64)])
         up = own.column("shard")[0].as_py()
         names = [f"{up}.{c}" for c in order[at, rank].tolist()]
@@ -112,13 +145,16 @@ def split(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame, DataFra
     placed = salted.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(place, schema)
     placed = store(placed.select("shard", "home", "id", "v"), "members")
     # a shard stays whole if most of its home members went one way
+    up = F.substring_index("shard", ".", level + 1).alias("up")
     ways = placed.filter("home").groupBy("shard").agg(F.count("*").alias("n"))
-    ways = ways.withColumn("up", F.substring_index("shard", ".", level + 1)).groupBy("up").agg(F.max("n").alias("most"))
-    whole = ways.join(big, ways.up == big.shard).filter(F.col("most") > DENSE * F.col("n_home")).select("shard")
-    whole = store(whole, "dense")
-    dense = members.join(whole, "shard")
-    split_up = placed.withColumn("up", F.substring_index("shard", ".", level + 1))
-    split_up = split_up.join(whole.select(F.col("shard").alias("up")), "up", "left_anti").drop("up")
+    ways = ways.groupBy(up).agg(F.max("n").alias("most"))
+    proved = centres.groupBy("shard").agg(F.max("proved").alias("proved"))
+    whole = ways.join(big, ways.up == big.shard).drop("up").join(proved, "shard")
+    stuck = F.col("proved") | F.lit(level >= TRIED_SPLITS)
+    whole = store(whole.filter((F.col("most") > DENSE * F.col("n_home")) & stuck).select("shard"), "dense")
+    spent += [centres, placed, whole]
+    dense = members.join(whole, "shard", "left_semi")
+    split_up = placed.select("*", up).join(whole.select(F.col("shard").alias("up")), "up", "left_anti").drop("up")
     return done, dense, split_up
 
 
@@ -239,35 +275,56 @@ def roots_of(linked):
 
 
 RESULT = "kind string, a long, b long, n long"
+# what a task knows of a member: its copies, its home shard in every run, and all its shards
+MARKS = ("n", "homes", "seen")
+
+
+def met(table):
+    """For each run, a matrix that tells whether the column's member is in the home shard of the row's member."""
+    import numpy as np
+
+    homes = np.array(table.column("homes").to_pylist(), np.int64)
+    seen = table.column("seen").combine_chunks()
+    width = np.diff(seen.offsets.to_numpy())
+    shards, at = np.unique(seen.flatten().to_numpy(), return_inverse=True)
+    inside = np.zeros((len(homes), len(shards)), bool)
+    inside[np.repeat(np.arange(len(homes)), width), at] = True
+    return [inside[:, np.searchsorted(shards, homes[:, run])].T for run in range(homes.shape[1])]
+
 
+def results(table, linked):
+    """Rows of links of a shard: `count` a has n direct links more, `edge` a and b are connected.
 
-def results(ids, home, copies, linked):
-    """Rows of links of a shard: `count` a has n direct links at home, `edge` a and b are connected, `pair` a (home) is
-    linked to b, which is at home elsewhere. linked: members by members; only rows and columns that count are set."""
+    linked: members by members, set where a search from the row found the column. Every home member counts what it found.
+    A visitor is counted a home member only where its own home shard has not got that. Pairs that met in an earlier
+    run were counted there, so a link counts once, and no pair has to be written.
+    """
     import numpy as np
     import pyarrow as pa
 
-    inside = linked & home[:, None] & home[None, :]
-    inside |= inside.T
-    counts = inside @ copies
-    root = roots_of(inside)
+    ids, home, copies = (table.column(c).to_numpy() for c in ("id", "home", "n"))
+    both = linked & home[:, None]
+    both |= (both & home[None, :]).T
+    root = roots_of(both | both.T)
     moved = np.flatnonzero(root != np.arange(len(root)))
-    a, b = np.nonzero(linked & home[:, None] & ~home[None, :])
+    *earlier, now = met(table)
+    for before in earlier:
+        both &= ~(before | before.T)
+    counts = both @ copies + (both & ~home[None, :] & ~now.T).T @ copies
     some = np.flatnonzero(counts)
-    kinds = ["count"] * len(some) + ["edge"] * len(moved) + ["pair"] * len(a)
     zero = np.zeros(len(some), np.int64)
     return pa.table(
         {
-            "kind": pa.array(kinds, pa.string()),
-            "a": np.concatenate([ids[some], ids[moved], ids[a]]).astype(np.int64),
-            "b": np.concatenate([zero, ids[root[moved]], ids[b]]).astype(np.int64),
-            "n": np.concatenate([counts[some], np.zeros(len(moved)), copies[b]]).astype(np.int64),
+            "kind": pa.array(["count"] * len(some) + ["edge"] * len(moved), pa.string()),
+            "a": np.concatenate([ids[some], ids[moved]]).astype(np.int64),
+            "b": np.concatenate([zero, ids[root[moved]]]).astype(np.int64),
+            "n": np.concatenate([counts[some], np.zeros(len(moved))]).astype(np.int64),
         }
     )
 
 
 def graph_edges(members: DataFrame) -> DataFrame:
-    """node and its neighbours over all shards: the shards' adjacency lists, united."""
+    """Pairs of node and neighbour of the shards' graphs."""
     import numpy as np
     import pyarrow as pa
 
@@ -276,8 +333,11 @@ def graph_edges(members: DataFrame) -> DataFrame:
         node, slot = np.nonzero(graph >= 0)
         return pa.table({"node": ids[node], "neighbour": ids[graph[node, slot]]})
 
-    edges = members.groupBy("shard").applyInArrow(build, "node long, neighbour long")
-    # a link is walked both ways
+    return members.select("shard", "id", "v").groupBy("shard").applyInArrow(build, "node long, neighbour long")
+
+
+def united(edges: DataFrame) -> DataFrame:
+    """node and its neighbours over all shards of all runs; a link is walked both ways."""
     both = edges.unionByName(edges.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour")))
     return both.groupBy("node").agg(F.collect_set("neighbour").alias("next"))
 
@@ -289,7 +349,7 @@ def searched_shards(members: DataFrame, edges: DataFrame) -> DataFrame:
 
     def search(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        ids, home, copies = (table.column(c).to_numpy() for c in ("id", "home", "n"))
+        ids, home = table.column("id").to_numpy(), table.column("home").to_numpy()
         matrix, lists = unit(table.column("v")), table.column("next").to_pylist()
         rows = [np.asarray(x or [], np.int64) for x in lists]
         flat = np.concatenate(rows)
@@ -304,9 +364,9 @@ def searched_shards(members: DataFrame, edges: DataFrame) -> DataFrame:
         queries = np.flatnonzero(home)
         linked = np.zeros((len(ids), len(ids)), bool)
         linked[queries] = searched(matrix, graph, queries, medoid)
-        return results(ids, home, copies, linked)
+        return results(table, linked)
 
-    rows = members.join(edges, members.id == edges.node, "left").select("shard", "home", "id", "n", "v", "next")
+    rows = members.join(edges, members.id == edges.node, "left").select("shard", "home", "id", "v", "next", *MARKS)
     return rows.groupBy("shard").applyInArrow(search, RESULT)
 
 
@@ -323,24 +383,25 @@ def compared_blocks(members: DataFrame) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        ids, home, copies, block, i, j = (table.column(c).to_numpy() for c in ("id", "home", "n", "block", "i", "j"))
+        block, i, j = (table.column(c).to_numpy() for c in ("block", "i", "j"))
         matrix = unit(table.column("v"))
         linked = matrix @ matrix.T >= THRESHOLD
         linked &= (block[:, None] != block[None, :]) | (i[0] == j[0])
         np.fill_diagonal(linked, False)
-        return results(ids, home, copies, linked)
+        return results(table, linked)
 
     return rows.drop("blocks", "other").groupBy("shard", "i", "j").applyInArrow(compare, RESULT)
 
 
-def audit(classes: DataFrame, counted: DataFrame) -> float:
-    """The share of links that were found, for AUDITED vectors by hash against brute force over all vectors."""
+def audit(classes: DataFrame, counted: DataFrame) -> float | None:
+    """The mean share of a vector's links that were found, over those of AUDITED vectors by hash that have links by brute
+    force over all vectors; null if none has."""
     import numpy as np
     import pyarrow as pa
 
     asked = classes.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(AUDITED).collect()
     if not asked:
-        return 1.0
+        return None
     by_size: dict[int, list] = {}
     for row in asked:
         by_size.setdefault(len(row["v"]), []).append(row)
@@ -358,8 +419,35 @@ def audit(classes: DataFrame, counted: DataFrame) -> float:
                     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["id", "n"])
 
     real = classes.select("id", "n", "v").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("real"))
-    both = real.join(counted, "id", "left").agg(F.sum("real").alias("real"), F.sum("n_links").alias("found")).first()
-    return (both["found"] or 0) / both["real"] if both["real"] else 1.0
+    found = F.coalesce("n_links", F.lit(0)) / F.col("real")
+    return real.filter("real > 0").join(counted, "id", "left").agg(F.avg(found).alias("recall")).first()["recall"]
+
+
+def partitioned(classes: DataFrame, run: int) -> DataFrame:
+    """Members (shard, home, id, v) of overlapping shards of all classes, stored; `dense` marks shards to compare in blocks."""
+    size = F.concat(F.lit("d"), F.size("v")).alias("shard")
+    members = classes.select(size, F.lit(True).alias("home"), "id", "v")
+    shards, spent = None, []
+    for level in range(MOST_SPLITS + 1):
+        done, dense, members = split(members, level, run, spent)
+        for part, mark in ((done, False), (dense, True)):
+            if part is not None:
+                part = part.select("shard", "home", "id", "v", F.lit(mark).alias("dense"))
+                shards = part if shards is None else shards.unionByName(part)
+        if members is None:
+            break
+    shards = store(shards, "shards")
+    discard(*spent)
+    return shards
+
+
+def marked(members: DataFrame, marks: DataFrame, run: int) -> DataFrame:
+    """The marks with the home and all shards of one more run."""
+    shard = F.xxhash64("shard", F.lit(run))
+    own = members.select("id", "home", shard.alias("at")).groupBy("id")
+    own = own.agg(F.max(F.when(F.col("home"), F.col("at"))).alias("at"), F.collect_list("at").alias("more"))
+    homes, seen = F.concat("homes", F.array("at")).alias("homes"), F.concat("seen", "more").alias("seen")
+    return marks.join(own, "id").select("id", "n", homes, seen)
 
 
 def near_copies(vectors: DataFrame) -> DataFrame:
@@ -370,7 +458,10 @@ def near_copies(vectors: DataFrame) -> DataFrame:
     class's other copies. Vectors that are null, empty or zero or hold null or non-finite components link with nothing;
     vectors of different lengths do not link. component_id is the smallest vec_id reachable, itself included; kept
     tells whether it is the vector's own. Rows with a null vec_id are searched alike and are kept only if nothing they
-    reach has an id. Repeated rows are copies of each other. recall: the audited share of links found. Other columns are ignored.
+    reach has an id. Repeated rows are copies of each other. Other columns are ignored.
+
+    Independent partitionings into overlapping shards are built and searched, their adjacency lists united, until the
+    audit finds TARGET of the links, MOST_RUNS at most. recall: what the last audit found; null if no audited vector has links.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -381,39 +472,33 @@ def near_copies(vectors: DataFrame) -> DataFrame:
     good = rows.filter(fine)
     classes = good.groupBy("v").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("n"))
     classes = store(store(classes, "classes").withColumn("id", F.monotonically_increasing_id()), "classes")
-    members = classes.select(F.concat(F.lit("d"), F.size("v")).alias("shard"), F.lit(True).alias("home"), "id", "v")
-    finished, dense = [], []
-    for level in range(64):
-        done, thick, left = split(members, level)
-        finished.append(done)
-        if left is None:
-            break
-        dense.append(thick)
-        members = left
-    members = finished[0]
-    for more in finished[1:]:
-        members = members.unionByName(more)
-    members = members.join(classes.select("id", "n"), "id")
-    edges = store(graph_edges(members.drop("n")), "graph")
-    found = searched_shards(members, edges)
-    for thick in dense:
-        found = found.unionByName(compared_blocks(thick.join(classes.select("id", "n"), "id")))
-    found = store(found, "links")
-    pairs = found.filter("kind = 'pair'").select("a", "b")
-    pairs = store(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "pairs")
-    weighed = pairs.join(classes.select(F.col("id").alias("b"), "n"), "b").select("a", "n")
-    counted = found.filter("kind = 'count'").select("a", "n").unionByName(weighed)
-    counted = store(counted.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links")), "counts")
-    links = found.filter("kind = 'edge'").select("a", "b").unionByName(pairs.filter("a < b"))
+    none = F.array().cast("array<long>")
+    marks = classes.select("id", "n", none.alias("homes"), none.alias("seen"))
+    edges = links = counts = None
+    for run in range(MOST_RUNS):
+        shards = partitioned(classes, run)
+        marks = store(marked(shards, marks, run), "marks")
+        more = store(graph_edges(shards.filter("NOT dense")), "graph")
+        edges = more if edges is None else edges.unionByName(more)
+        members = shards.join(marks, "id")
+        found = searched_shards(members.filter("NOT dense"), united(edges))
+        found = store(found.unionByName(compared_blocks(members.filter("dense").drop("dense"))), "links")
+        discard(shards)
+        count, edge = found.filter("kind = 'count'").select("a", "n"), found.filter("kind = 'edge'").select("a", "b")
+        counts, links = (count, edge) if run == 0 else (counts.unionByName(count), links.unionByName(edge))
+        counted = store(counts.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links")), "counts")
+        if run + 1 >= LEAST_RUNS:
+            recall = audit(classes, counted)
+            if recall is None or recall >= TARGET:
+                break
     roots = components(links)
     root = F.coalesce("root", "id").alias("root")
     placed = classes.join(roots, classes.id == roots.node, "left").select("id", "v", "n", "first_id", root)
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    recall = audit(classes, counted)
     known = placed.join(least, "root").join(counted, "id", "left")
     known = known.select("v", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     out = good.join(known, "v").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~fine).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = out.unionByName(alone)
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull())
-    return out.select("vec_id", "n_links", "component_id", kept.alias("kept"), F.lit(recall).alias("recall"))
+    return out.select("vec_id", "n_links", "component_id", kept.alias("kept"), F.lit(recall).cast("double").alias("recall"))

@@ -45,6 +45,37 @@ def test_against_all_pairs(spark, monkeypatch, rows):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+def planted(n, d=64, common=0.0, copies=400, seed=3):
+    """Unstructured vectors, some with one near copy, and a direction that all may share."""
+    random = np.random.default_rng(seed)
+    base = random.normal(size=(n, d)) + common * np.ones(d)
+    noise = random.normal(size=(copies, d))
+    own = base[:copies]
+    noise *= 0.3 * np.linalg.norm(own, axis=1, keepdims=True) / np.linalg.norm(noise, axis=1, keepdims=True)
+    return np.concatenate([base, own + noise]).astype(np.float32)
+
+
+@pytest.mark.parametrize("common", [0.0, 2.3])
+def test_recall_over_many_shards(spark, monkeypatch, common):
+    monkeypatch.setattr(embedding_graph, "SHARD_ROWS", 256)
+    compared = []
+    blocks = embedding_graph.compared_blocks
+    monkeypatch.setattr(embedding_graph, "compared_blocks", lambda members: compared.append(members.count()) or blocks(members))
+    matrix = planted(4000, common=common)
+    links, root = truth(matrix)
+    assert links.sum() >= 300
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(matrix)], SCHEMA)
+    found = {r["vec_id"]: r for r in near_copies(df).collect()}
+    n = np.array([found[i]["n_links"] for i in range(len(matrix))])
+    assert (n <= links).all() and n.sum() >= 0.95 * links.sum()
+    assert not sum(compared)
+
+
+def test_audit_without_links(spark):
+    df = spark.createDataFrame([(i, np.eye(8)[i].tolist(), 1) for i in range(8)], SCHEMA)
+    assert {r["recall"] for r in near_copies(df).collect()} == {None}
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0])]
