@@ -20,7 +20,7 @@ DENSE = 0.8
 # splits after which a shard that does not fall apart is compared in blocks, and after which every one is
 TRIED_SPLITS, MOST_SPLITS = 6, 12
 # independent partitionings: at least, at most, and the audited recall from which no more are added
-LEAST_RUNS, MOST_RUNS, TARGET = 2, 5, 0.97
+LEAST_RUNS, MOST_RUNS, TARGET = 2, 8, 0.97
 # edges of a node after pruning, candidates before it, and the factor by which a detour may be longer
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 BEAM = 16
