@@ -111,7 +111,7 @@ def apply_sql(session: SparkSession, spec: JobSpec, frames: list[DataFrame]) ->
             str(join["righttime"]),
             str(join["within"]),
             str(join.get("type", "left")),
-            int(join.get("slices", 4)),
+            float(join.get("slices", 0.125)),
             int(join.get("salts", 1)),
         )
         joined.createOrReplaceTempView(str(join["alias"]))

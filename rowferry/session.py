@@ -20,14 +20,17 @@ JOB_DEFAULTS = {
     # split skewed join partitions even when that adds a shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-# Settings a job starts from where the given session leaves them unset: stream state is kept outside the heap, and a
-# batch checkpoints only what it changed.
+# Settings a job starts from where the given session leaves them unset: stream state is kept outside the heap, the state
+# of a join in one store for each task, and a batch checkpoints only what it changed, densely packed.
 STREAM_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # settings of a session or job: bytes that a shuffle partition should hold, and the most partitions of a shuffle; every

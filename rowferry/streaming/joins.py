@@ -27,15 +27,16 @@ def interval_join(
     right_time: str,
     within: str,
     how: str = "left",
-    slices: int = 4,
+    slices: float = 0.125,
     salts: int = 1,
 ) -> DataFrame:
     """Rows of the left stream with those of the right that have its key and come at most `within` after it.
 
     Time is cut into buckets, `slices` to the interval. A left row lies in the bucket of its time; a right row is copied
     to all buckets whose left rows it may meet. The bucket is part of the join key, so that the state of one key is dealt
-    to as many tasks as it has buckets. With `salts` left rows are dealt further, by a hash of the row, and right rows
-    are copied that often. As every left row lies in one place, matches are not repeated and an outer join gives its one
+    to as many tasks as it has buckets. With less than one slice a bucket spans several intervals and the state holds a
+    right row 1 + `slices` times on average, with whole slices `slices` + 1 times. With `salts` left rows are dealt
+    further, by a hash of the row, and right rows are copied that often. As every left row lies in one place, matches are not repeated and an outer join gives its one
     row without a match, once the watermark has passed. Both times are timestamps and should have a watermark; the streams
     have no column names in common. Static frames are joined the same way.
     """
@@ -46,14 +47,17 @@ def interval_join(
         raise ValueError(f"both streams have the columns {', '.join(clash)}; rename them")
     whole = seconds_of(left.sparkSession, within)
     width = max(math.ceil(whole / slices), 1)
-    reach = math.ceil(whole / width)
-    bucket = lambda c: F.floor(F.unix_seconds(F.col(f"`{c}`")) / width)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
-    near = left.select("*", bucket(left_time).alias("__bucket"), salt.alias("__salt"))
-    last = bucket(right_time)
-    far = right.select("*", F.explode(F.sequence(last - reach, last)).alias("__at"))
-    far = far.select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])).alias("__copy"))
-    same: Column = (F.col("__bucket") == F.col("__at")) & (F.col("__salt") == F.col("__copy"))
+    second = lambda c: F.unix_seconds(F.col(f"`{c}`"))
+    bucket = lambda seconds: F.floor(seconds / width)
+    near = left.withColumn("__bucket", bucket(second(left_time)))
+    reached = F.sequence(bucket(second(right_time) - whole), bucket(second(right_time)))
+    far = right.withColumn("__at", F.explode(reached))
+    same: Column = F.col("__bucket") == F.col("__at")
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+        near = near.withColumn("__salt", salt)
+        far = far.withColumn("__copy", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
+        same = same & (F.col("__salt") == F.col("__copy"))
     for a, b in zip(column_names(left_keys), column_names(right_keys), strict=True):
         same = same & (F.col(f"`{a}`") == F.col(f"`{b}`"))
     start, end = F.col(f"`{left_time}`"), F.col(f"`{right_time}`")

@@ -213,3 +213,15 @@ def test_state_of_a_hot_key_is_in_many_tasks(spark, tmp_path):
 def test_an_interval_join_has_to_be_read(spark):
     with pytest.raises(SpecError, match="interval join needs left"):
         parse_job({"source": {"platform": "filesystem", "alias": "a"}, "destination": {"platform": "console"}, "sql": {"query": "x"}, "intervaljoins": [{"alias": "j"}]})
+
+
+def test_state_holds_few_copies_of_right_rows(spark, tmp_path):
+    _, right = hot_streams(spark, tmp_path)
+    a, b = (
+        spark.readStream.schema(schema).parquet(str(tmp_path / name)).withWatermark(time, "2 days")
+        for name, schema, time in (("l", "a long, k int, at timestamp", "at"), ("r", "b long, h int, until timestamp", "until"))
+    )
+    joined = interval_join(a, b, "k", "h", "at", "until", "1 minute")
+    start_stream(joined, files(tmp_path / "out", "parquet", trigger="available_now")).awaitTermination()
+    state = spark.read.format("statestore").option("joinSide", "right").load(str(tmp_path / "out" / "_checkpoint"))
+    assert right.count() <= state.count() <= 1.2 * right.count()
