@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from rowferry.operators import (
 from rowferry.session import Files
 from rowferry.sinks import write_files
 
+# bytes of the given line items that make up one file of `compact_packed`
+SLICE_BYTES = 16 * 1024 * 1024
+
 # A returned item deletes its order; other items carry a new price.
 CHANGE_LOG = """
     SELECT o_orderkey, l_extendedprice AS price, o_orderdate AS created, l_shipdate AS updated,
@@ -235,26 +240,30 @@ def delete_rows_by_command(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT l_orderkey AS id, l_extendedprice AS price, 'items' AS part, TRUE AS kept, 1 AS files FROM lineitem
     UNION ALL SELECT o_orderkey, o_totalprice, 'orders', FALSE, 1 FROM orders""")
 def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As a command of a job: the small files that daily moves left are packed into one; the large file stays as it is."""
+    """As a command of a job: the small files that daily moves left are packed into one; the large file stays as it is.
+
+    Tables above the size of one file are cut into slices, folders that have one large file each.
+    """
     path = scratch_dir(spark, "packed")
-    text = "SELECT l_orderkey AS id, l_extendedprice AS price, 'items' AS part FROM l"
-    job = {"source": source(sf_dir, "lineitem", "l"), "sql": {"query": text}}
-    move(spark, {**job, "destination": files(path, "parquet", groupbyfields="part")})
-    [(large, size)] = Files(spark).walk(path)
-    text = "SELECT o_orderkey AS id, o_totalprice AS price, 'orders' AS part FROM o WHERE o_orderkey % 3 = "
-    command = {"operation": "compact", "path": path, "targetbytes": size}
+    slices = 1 + Files(spark).size(f"{sf_dir}/lineitem.parquet") // SLICE_BYTES
+    text = "SELECT {0}_orderkey AS id, {1} AS price, '{2}' AS part, pmod(xxhash64({0}_orderkey), {3}) AS slice FROM {0}"
+    # a slice is written by one task, so that it is one file; rebalanced ones are split
+    destination = files(path, "parquet", groupbyfields="part,slice", rebalance="false")
+    items = text.format("l", "l_extendedprice", "items", slices) + " DISTRIBUTE BY slice"
+    move(spark, {"source": source(sf_dir, "lineitem", "l"), "sql": {"query": items}, "destination": destination})
+    large = Files(spark).walk(path)
+    command = {"operation": "compact", "path": path, "targetbytes": min(size for _, size in large)}
     for day in range(3):
-        destination = files(path, "parquet", groupbyfields="part")
         if day == 2:
-            destination["post_migrate_command"] = command
-        move(spark, {"source": source(sf_dir, "orders", "o"), "sql": {"query": text + str(day)}, "destination": destination})
+            destination = {**destination, "post_migrate_command": command}
+        orders = text.format("o", "o_totalprice", "orders", slices) + f" WHERE o_orderkey % 3 = {day} DISTRIBUTE BY slice"
+        move(spark, {"source": source(sf_dir, "orders", "o"), "sql": {"query": orders}, "destination": destination})
     stored = spark.read.parquet(path)
-    counted = {name.partition("/")[0]: 0 for name, _ in Files(spark).walk(path)}
-    for name, _ in Files(spark).walk(path):
-        counted[name.partition("/")[0]] += 1
-    n_files = F.when(F.col("part") == "items", counted["part=items"]).otherwise(counted["part=orders"]).alias("files")
-    kept = (F.col("_metadata.file_name") == large.rpartition("/")[2]).alias("kept")
-    return stored.select("id", "price", "part", kept, n_files)
+    counted = Counter(tuple(f.partition("=")[2] for f in name.split("/")[:2]) for name, _ in Files(spark).walk(path))
+    n_files = spark.createDataFrame([(*k, n) for k, n in counted.items()], "part string, slice string, files int")
+    stored = stored.withColumn("__name", F.col("_metadata.file_name")).join(F.broadcast(n_files), ["part", "slice"])
+    kept = F.col("__name").isin([name.rpartition("/")[2] for name, _ in large]).alias("kept")
+    return stored.select("id", "price", "part", kept, "files")
 
 
 @query("""
