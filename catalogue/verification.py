@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import moved, query, source, table
 from rowferry.operators import compare_by_key, latest_status, time_alerts, verify
+from rowferry.session import Files
+
+# bytes of the given line items that make up one file of a copy
+COPY_BYTES = 64 * 1024 * 1024
 
 
 @query("""
@@ -66,9 +70,13 @@ def compared_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT COUNT(*) AS source_count, COUNT(*) AS destination_count, 'succeeded' AS status FROM lineitem
     UNION ALL SELECT COUNT(*), COUNT(*), 'failed' FROM lineitem""")
 def verify_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without an exchange of rows: line items in another order, and with two prices that changed places."""
+    """Without an exchange of rows: line items in another order, and with two prices that changed places.
+
+    The copy has three files and one more for every COPY_BYTES of the table, so that a task's share stays the same.
+    """
     items = table(spark, sf_dir, "lineitem")
-    copied = spark.read.parquet(moved(spark, {"source": source(sf_dir, "lineitem")}, coalescefilecount=3))
+    count = 3 + Files(spark).size(f"{sf_dir}/lineitem.parquet") // COPY_BYTES
+    copied = spark.read.parquet(moved(spark, {"source": source(sf_dir, "lineitem")}, coalescefilecount=count))
     swapped = F.when(F.col("l_quantity") == 1, F.col("l_tax")).otherwise(F.col("l_discount"))
     back = F.when(F.col("l_quantity") == 1, F.col("l_discount")).otherwise(F.col("l_tax"))
     other = items.withColumns({"l_discount": swapped, "l_tax": back})
