@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
 from rowferry.operators.swap import BIN, recover, refuse_pending, replace_files
-from rowferry.session import Files, discard, settled
+from rowferry.session import OPEN_FILES, Files, discard, settled
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # a file of this share of the target, or more, is large enough
@@ -36,12 +36,27 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 @contextmanager
 def file_size(spark: SparkSession, target_bytes: int = TARGET_FILE_BYTES) -> Iterator[None]:
-    """The size AQE aims at for rebalanced writes inside the block, unless the session names one."""
+    """The size AQE aims at for rebalanced writes inside the block, unless the session names one; folders written unsorted."""
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with open_files(spark):
+        if spark.conf.get(key, None) is not None:
+            yield
+        else:
+            with setting(spark, key, str(target_bytes)):
+                yield
+
+
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside the block keep a file open per folder instead of sorting, unless the session says how many.
+
+    A task's rows are small when packed for the exchange and may be very many; a sort would hold them all.
+    """
+    key, most = OPEN_FILES
     if spark.conf.get(key, None) is not None:
         yield
     else:
-        with setting(spark, key, str(target_bytes)):
+        with setting(spark, key, most):
             yield
 
 
@@ -328,5 +343,6 @@ def compact(
     rows = with_file(rows).withColumn("__row", F.monotonically_increasing_id()).join(numbers, "__file")
     rows = rows.withColumn(BIN, place).drop("__file", "__row").repartition(len(set(bins.values())) * (filecount or 1), BIN)
     writer = rows.write.format(fileformat).options(**{**AS_READ, **(options or {})}).partitionBy(BIN, *columns)
-    replace_files(spark, base, writer.save, lambda _: bins)
+    with open_files(spark):
+        replace_files(spark, base, writer.save, lambda _: bins)
     discard(numbers)

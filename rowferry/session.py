@@ -20,9 +20,12 @@ JOB_DEFAULTS = {
     # split skewed join partitions even when that adds a shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# A task that writes to up to as many partition folders keeps their files open; with more it sorts its rows by folder.
+OPEN_FILES = ("spark.sql.maxConcurrentOutputFileWriters", "16")
 # Settings a job starts from where the given session leaves them unset: stream state is kept outside the heap, the state
-# of a join in one store for each task, and a batch checkpoints only what it changed, densely packed.
-STREAM_DEFAULTS = {
+# of a join in one store for each task, and a batch checkpoints only what it changed, densely packed; partitioned writes
+# hold no rows in memory.
+UNSET_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -31,6 +34,7 @@ STREAM_DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
     "spark.sql.streaming.stateStore.compression.codec": "zstd",
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    OPEN_FILES[0]: OPEN_FILES[1],
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # settings of a session or job: bytes that a shuffle partition should hold, and the most partitions of a shuffle; every
@@ -49,7 +53,7 @@ def job_session(spark: SparkSession, properties: Mapping[str, object] | None = N
         # static settings are the same in every session of an application, so what differs can be set
         if key.startswith("spark.sql.") and fresh.get(key) != value:
             session.conf.set(key, value)
-    unset = {key: value for key, value in STREAM_DEFAULTS.items() if key not in given}
+    unset = {key: value for key, value in UNSET_DEFAULTS.items() if key not in given}
     for key, value in {**JOB_DEFAULTS, **unset, **(properties or {})}.items():
         session.conf.set(key, str(value).lower() if isinstance(value, bool) else str(value))
     return session
