@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from rowferry.names import column_names
 
+# times keep their microseconds on the way through Python
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def seconds_of(spark: SparkSession, interval: str) -> int:
     """The seconds of an interval such as `30 days`; months have no fixed length."""
@@ -38,10 +43,12 @@ def interval_join(
     right row 1 + `slices` times on average, with whole slices `slices` + 1 times. With `salts` left rows are dealt
     further, by a hash of the row, and right rows are copied that often. As every left row lies in one place, matches are not repeated and an outer join gives its one
     row without a match, once the watermark has passed. Both times are timestamps and should have a watermark; the streams
-    have no column names in common. Static frames are joined the same way.
+    have no column names in common. Static frames are joined the same way. `count` gives `interval_counts`, streams only.
     """
+    if how == "count":
+        return interval_counts(left, right, left_keys, right_keys, left_time, right_time, within, slices)
     if how not in ("inner", "left"):
-        raise ValueError(f"an interval join is inner or left, not {how!r}")
+        raise ValueError(f"an interval join is inner or left, or a count, not {how!r}")
     clash = sorted(set(left.columns) & set(right.columns))
     if clash:
         raise ValueError(f"both streams have the columns {', '.join(clash)}; rename them")
@@ -64,3 +71,83 @@ def interval_join(
     same = same & (end >= start) & (end <= start + F.expr(f"INTERVAL {whole} SECONDS"))
     how = "left_outer" if how == "left" else how
     return near.join(far, same, how).drop("__bucket", "__salt", "__at", "__copy")
+
+
+def interval_counts(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: str | Sequence[str],
+    right_keys: str | Sequence[str],
+    left_time: str,
+    right_time: str,
+    within: str,
+    slices: float = 0.125,
+) -> DataFrame:
+    """Rows of the left stream with `n`, how many rows of the right have their key and come at most `within` after them.
+
+    For streams where a key is so hot that the pairs of `interval_join` would grow with the square of its rows: a bucket
+    of a key holds the sorted times of its right rows, in which each left row finds its count. A left row comes again
+    for matches of a later micro-batch, so its counts are to be added up; with zero it comes once, if the watermark
+    passes it without a match. Both streams need a watermark. Left rows without a time are left out.
+    """
+    whole = seconds_of(left.sparkSession, within)
+    width = max(math.ceil(whole / slices), 1)
+    bucket = lambda c, back=0: F.floor((F.unix_seconds(F.col(f"`{c}`")) - back) / width)
+    keys = lambda names: F.struct(*[F.col(f"`{n}`").alias(f"k{i}") for i, n in enumerate(column_names(names))])
+    row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    near = left.select(
+        F.col(f"`{left_time}`").alias("time"), keys(left_keys).alias("key"), bucket(left_time).alias("bucket"),
+        F.to_json(row, MICROSECONDS).alias("row"),
+    ).filter("time IS NOT NULL")
+    reached = F.explode(F.sequence(bucket(right_time, whole), bucket(right_time)))
+    far = right.select(
+        F.col(f"`{right_time}`").alias("time"), keys(right_keys).alias("key"), reached.alias("bucket"),
+        F.lit(None).cast("string").alias("row"),
+    )
+    # null keys and times meet nothing: such left rows have a group of their own, such right rows go
+    known = lambda names: F.greatest(*[F.col(f"key.k{i}").isNull() for i, _ in enumerate(column_names(names))], F.lit(False))
+    far = far.filter(~known(right_keys))
+    both = near.unionByName(far).withColumn("at", F.unix_micros(F.col("time").cast("timestamp")))
+    reach = whole * 1_000_000
+
+    def count(_, batches, state):
+        import pickle
+
+        import numpy as np
+        import pandas as pd
+
+        rows, starts, met, times = pickle.loads(state.get[0]) if state.exists else ([], *([np.zeros(0, np.int64)] * 3))
+        out_rows, out_counts = [], []
+        if not state.hasTimedOut:
+            parts = [(b["row"].to_numpy(object), b["at"].to_numpy()) for b in batches]
+            given, at = (np.concatenate(x) for x in zip(*parts))
+            is_left = np.array([r is not None for r in given], bool)
+            new = np.sort(at[~is_left])
+            held = np.sort(np.concatenate([times, new]))
+            rows = [*rows, *given[is_left]]
+            old, starts = len(starts), np.concatenate([starts, at[is_left]])
+            within = lambda sorted_, t: np.searchsorted(sorted_, t + reach, "right") - np.searchsorted(sorted_, t)
+            found = np.concatenate([within(new, starts[:old]), within(held, starts[old:])])
+            met, times = np.concatenate([met, np.zeros(len(starts) - old, np.int64)]) + found, held
+            hit = np.flatnonzero(found)
+            out_rows += [rows[i] for i in hit]
+            out_counts += found[hit].tolist()
+        mark = state.getCurrentWatermarkMs()
+        passed = starts + reach < mark * 1000
+        for i in np.flatnonzero(passed & (met == 0)):
+            out_rows.append(rows[i])
+            out_counts.append(0)
+        rows = [rows[i] for i in np.flatnonzero(~passed)]
+        starts, met, times = starts[~passed], met[~passed], times[times >= mark * 1000]
+        if len(rows) or len(times):
+            state.update((pickle.dumps((rows, starts, met, times)),))
+            last = int(starts.min() + reach if len(rows) else times.max()) // 1000 + 1
+            state.setTimeoutTimestamp(max(last, mark + 1))
+        else:
+            state.remove()
+        yield pd.DataFrame({"row": out_rows, "n": out_counts})
+
+    counted = both.groupBy("key", "bucket").applyInPandasWithState(
+        count, "row string, n long", "held binary", "append", "EventTimeTimeout"
+    )
+    return counted.select(F.from_json("row", left.schema, MICROSECONDS).alias("row"), "n").select("row.*", "n")

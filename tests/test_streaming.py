@@ -225,3 +225,30 @@ def test_state_holds_few_copies_of_right_rows(spark, tmp_path):
     start_stream(joined, files(tmp_path / "out", "parquet", trigger="available_now")).awaitTermination()
     state = spark.read.format("statestore").option("joinSide", "right").load(str(tmp_path / "out" / "_checkpoint"))
     assert right.count() <= state.count() <= 1.2 * right.count()
+
+
+def test_interval_counts_over_two_runs(spark, tmp_path):
+    """Counts of a hot key add up over runs, and a row without a match comes once the watermark has passed it."""
+    join = {"left": "l", "right": "r", "alias": "j", "leftkeys": "k", "rightkeys": "h", "lefttime": "at", "righttime": "until"}
+    job = {
+        "sources": [
+            files(tmp_path / name, "parquet", alias=name, isstream="true", schema=schema, streamwatermarkfield=time, streamwatermarkdelay="1 hour")
+            for name, schema, time in (("l", "a long, k int, at timestamp", "at"), ("r", "b long, h int, until timestamp", "until"))
+        ],
+        "intervaljoins": [{**join, "within": "10 minutes", "type": "count"}],
+        "sql": {"query": "SELECT a, at, n FROM j"},
+        "destination": files(tmp_path / "out", "parquet", trigger="available_now"),
+    }
+    left = spark.range(600).selectExpr("id AS a", "if(id = 7, NULL, 1) AS k", "timestamp_micros(1700000000000000 + id * 30000001) AS at")
+    right = spark.range(600).where("id % 97 < 5").selectExpr("id AS b", "1 AS h", "timestamp_micros(1700000000000000 + id * 30000001 + 600000000) AS until")
+    for low, high in ((0, 300), (300, 600)):
+        left.where(f"a >= {low} AND a < {high}").write.mode("append").parquet(str(tmp_path / "l"))
+        right.where(f"b >= {low} AND b < {high}").write.mode("append").parquet(str(tmp_path / "r"))
+        move(spark, job)
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("a", "at").agg(F.sum("n").alias("n"))
+    near = (F.col("k") == F.col("h")) & F.col("until").between(F.col("at"), F.col("at") + F.expr("INTERVAL 10 MINUTES"))
+    wanted = left.join(right, near, "left").groupBy("a", "at").agg(F.count("b").alias("n"))
+    # the watermark stands an hour before the earlier of the last times, in whole milliseconds
+    last = min(left.agg(F.max("at")).first()[0], right.agg(F.max("until")).first()[0]) - timedelta(hours=1)
+    last = last.replace(microsecond=last.microsecond // 1000 * 1000)
+    assert rows(got) == rows(wanted.where((F.col("n") > 0) | (F.col("at") + F.expr("INTERVAL 10 MINUTES") < F.lit(last))))
