@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowferry.llm.common import numbered, store
-from rowferry.llm.near_text import similar_groups
+from rowferry.llm.near_text import SHINGLE, similar_groups
 from rowferry.llm.quality_rules import quality_rules
 from rowferry.llm.queries import VOCABULARY, table
 from rowferry.llm.sentencepiece_codec import Vocabulary, encode
+from rowferry.llm.simhash import simhash_groups
 from rowferry.llm.source_mix import mix_sources
 from rowferry.llm.suffix_dedup import remove_repeats
 
@@ -25,11 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest doc_id; rows without an id come last.
 
-    Near copies share 0.8 or more of their five-word shingles; op6's three words and two bits are its own contract.
-    Rows are numbered, so that repeated rows and repeated ids are told apart.
+    Near copies share 0.8 or more of their five-word shingles. SimHash, op6's operator with five words, gives candidates:
+    each row of a component with the first one. As two bits of 64 leave out most pairs of that similarity, bands of
+    MinHashes give the others, and the exact similarity decides on both. Rows are numbered, so that repeated rows and
+    repeated ids are told apart.
     """
     rows = numbered(docs, *COLUMNS)
-    groups = similar_groups(rows.select(F.col("row").alias("doc_id"), "text"))
+    texts = rows.select(F.col("row").alias("doc_id"), "text")
+    prints = store(simhash_groups(texts, SHINGLE).select("doc_id", "component_id"), "simhash")
+    pairs = prints.filter("doc_id != component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+    groups = similar_groups(texts, pairs)
     ids = rows.select("row", F.col("doc_id").isNull().alias("last"), "doc_id")
     placed = groups.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
     first = placed.groupBy("component_id").agg(F.min(F.struct("last", "doc_id", "row")).alias("first"))

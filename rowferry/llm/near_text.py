@@ -144,15 +144,15 @@ def close_pairs(sets: DataFrame, ids: DataFrame) -> DataFrame:
     return pairs
 
 
-def similar_groups(docs: DataFrame) -> DataFrame:
+def similar_groups(docs: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """doc_id and component_id for every row of `docs` (doc_id long, unique and not null, text), read several times.
 
     Rows are linked whose sets of SHINGLE-word shingles (A to Z lower-cased) have a Jaccard similarity of SIMILARITY or
     more; shorter texts are one shingle, and those without words, null or empty, are equal. component_id is the smallest
     doc_id that links can reach. A very long text is one set, held by one task at a time. An empty table gives no rows.
 
-    Equal sets are one class. Classes that share a band are candidates. First each meets two others of its bucket; what
-    that links is one component. Classes of buckets whose components are still apart are then joined with each other by
+    Equal sets are one class. Classes that share a band are candidates, and so are the pairs (a, b) of doc_ids that the
+    caller found. First these are compared, and each class meets two others of its bucket; what that links is one component. Classes of buckets whose components are still apart are then joined with each other by
     prefixes of rare shingles, so that neither a large group of near copies nor many texts with a passage in common make
     all their pairs, and no pair is left out.
     """
@@ -172,7 +172,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     tried = tried.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     tried = tried.join(marked.select(F.col("id").alias("a"), "m"), "a")
     tried = tried.join(marked.select(F.col("id").alias("b"), F.col("m").alias("w")), "b")
-    tried = store(tried.filter(alike("m", "w")).select("a", "b"), "pairs")
+    tried = tried.filter(alike("m", "w")).select("a", "b")
+    if candidates is not None:
+        class_of = names.join(marked.select("x", "y", "id"), ["x", "y"])
+        given = candidates.join(class_of.select(F.col("doc_id").alias("a"), F.col("id").alias("p")), "a")
+        given = given.join(class_of.select(F.col("doc_id").alias("b"), F.col("id").alias("q")), "b").filter("p != q")
+        tried = tried.unionByName(given.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))).distinct()
+    tried = store(tried, "pairs")
     sets = shingle_sets(docs, tried.select(F.explode(F.array("a", "b")).alias("id")))
     links = verified(tried, sets)
     discard(sets, tried)

@@ -1,8 +1,11 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from rowferry.llm import near_text
 from rowferry.llm.near_text import SIMILARITY, shingles_of, similar_groups
+from rowferry.llm.simhash import simhash_groups
 
 
 def near_texts():
@@ -79,3 +82,21 @@ def test_awkward_rows(spark):
     found = {r["doc_id"]: r["component_id"] for r in similar_groups(docs).collect()}
     assert [found[i] for i in range(len(texts))] == brute_force(texts)
     assert similar_groups(docs.limit(0)).count() == 0
+
+
+def test_simhash_gives_candidates_and_similarity_decides(spark, monkeypatch):
+    """Without any candidate of the bands: texts of one SimHash component are compared, and linked where they are similar."""
+    monkeypatch.setattr(near_text, "alike", lambda a, b: F.lit(False))
+    monkeypatch.setattr(near_text, "close_pairs", lambda sets, ids: sets.selectExpr("id AS a", "id AS b").filter("a < 0"))
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    long = " ".join(word() for _ in range(4000))
+    # one line so often that it decides the fingerprint, whatever stands after it
+    line = " ".join([word() for _ in range(9)] * 1500)
+    texts = [long, f"{long} end", f"{line} {word()} {word()}", f"{line} {' '.join(word() for _ in range(20))}"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    groups = {r["doc_id"]: r["component_id"] for r in simhash_groups(docs, 5).collect()}
+    assert groups == {0: 0, 1: 0, 2: 2, 3: 2}
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, "").collect())
+    assert kept == [0, 2, 3]
