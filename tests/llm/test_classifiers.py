@@ -156,3 +156,61 @@ def test_pooled_filters_against_plain_loops():
                 assert row[j] == pytest.approx(max(values) + model.bias[j], abs=1e-5)
                 j += 1
             at += width * toxicity.FILTERS
+
+
+def test_all_labelled_rows_teach(spark, monkeypatch):
+    """Words that no row of the start's sample has, in many shards, long texts too."""
+    monkeypatch.setattr(toxicity, "TOXIC_SAMPLE", 20)
+    monkeypatch.setattr(toxicity, "OTHER_SAMPLE", 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 300)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 200_000, raising=False)
+    docs, marks = corpus(spark, 3000)
+    # two of three toxic texts have a word that comes in long texts alone
+    docs = docs.withColumn("text", F.expr("IF(doc_id % 15 > 0 AND doc_id % 5 = 0, concat(repeat('ta no lu ', 40), regexp_replace(text, '(?i)(glorp|snark|quxi)[a-z]*', 'vexed')), text)"))
+    truth = {r["doc_id"]: r["toxic"] for r in marks.collect()}
+    model = toxicity.train(docs, marks)
+    assert accuracy(toxicity.score_toxicity(docs, model), truth) > 0.95
+    again = toxicity.train(docs.repartition(5), marks)
+    assert accuracy(toxicity.score_toxicity(docs, again), truth) > 0.95
+
+
+def test_rounds_see_every_row(spark, tmp_path):
+    docs, marks = corpus(spark, 300)
+    rows = docs.join(marks.filter("toxic IS NOT NULL").dropDuplicates(["doc_id"]), "doc_id").selectExpr("doc_id AS row", "text", "toxic AS mark")
+    n = {(r["bucket"], r["mark"]): r["n"] for r in toxicity.class_counts(rows).collect()}
+    want = {}
+    for r in rows.collect():
+        for b in {b for w in toxicity.words_of(r["text"].encode()) for b in toxicity.buckets_of(w)}:
+            want[b, r["mark"]] = want.get((b, r["mark"]), 0) + 1
+    assert n == want
+    # a single shard takes the steps of a plain epoch
+    model = toxicity.learn(toxicity.Classifier(), rows)
+    plain, taken = toxicity.Classifier(), sorted(rows.collect())
+    seen = np.zeros((2, toxicity.BUCKETS), np.float32)
+    for (b, mark), k in want.items():
+        seen[mark, b] = k
+    y = np.array([r["mark"] for r in taken])
+    plain.lean(seen, (y == 0).sum(), y.sum())
+    texts = [toxicity.words_of(r["text"].encode()) for r in taken]
+    words = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    table = np.array([[0] * 4, *map(toxicity.buckets_of, words)])
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (y == 0).sum()) * len(y)
+    for number in range(toxicity.ROUNDS):
+        order = np.random.default_rng([toxicity.SEED, number]).permutation(len(y))
+        plain.epoch([np.array([words[w] for w in t] or [0]) for t in texts], table, y.astype(np.float32), weight, order)
+    assert np.abs(model.embedding - plain.embedding).max() < 1e-3 and np.abs(model.filters - plain.filters).max() < 1e-3
+
+
+def test_thresholds_from_all_rows(spark):
+    docs, marks = corpus(spark, 900)
+    model = toxicity.train(docs, marks)
+    rows = docs.join(marks.filter("toxic IS NOT NULL"), "doc_id").selectExpr("text", "lang", "toxic AS mark")
+    toxicity.calibrate_all(model, rows, 0.2)
+    found = rows.collect()
+    score = model.score([toxicity.words_of(r["text"].encode()) for r in found], {})
+    for lang in ("en", "fr"):
+        s = np.array([x for x, r in zip(score, found, strict=True) if r["lang"] == lang])
+        t = np.array([r["mark"] for r in found if r["lang"] == lang])
+        f1 = lambda c: 2 * ((s >= c) & (t == 1)).sum() / ((s >= c).sum() + t.sum())  # noqa: E731,B023
+        # cuts lie at ends of steps of the logits
+        assert f1(model.thresholds[lang]) > max(map(f1, s)) - 0.01
