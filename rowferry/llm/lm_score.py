@@ -5,28 +5,34 @@ with a Krichevsky-Trofimov estimate of its counts; a node weighs its own estimat
 contexts below it by the probabilities that both gave the training bytes. The trained tree gives every string of
 `depth` + 1 bytes a fixed probability for its last byte, so a text's score is a sum over its strings.
 
-The corpus is worked on in chunks of texts of bounded size. A chunk counts its words and byte strings; Spark adds the
-counts up, builds the tree level by level, and gives every chunk the values of just those words and strings that it
-holds. No task or driver ever holds the whole model.
+The corpus is worked on in chunks of texts of bounded size. A chunk counts its words and byte strings and gives them out in
+buckets by the bytes before the last one, packed. A bucket has whole subtrees: it adds its counts up, weighs two levels of the tree and
+hands the sums of the level above on, where the next two are weighed in the same way. Then the estimates come down
+again, and a bucket gives every chunk the values of just those words and strings that the chunk holds. No task or
+driver ever holds the whole model. Strings that are not trained on have nodes without counts, which change nothing.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, discard, log_gamma, store, utf8
+from rowferry.llm.common import bounded_batches, discard, numbered, store, utf8
 
 DEPTH = 5
 # bytes of text that share one dictionary in a task, about
 CHUNK_BYTES = 32_000_000
 # bytes whose strings are looked up at a time
 TILE = 1 << 21
-END = "end"
+# bytes of text for which there is one more bucket, and the least number of buckets
+BUCKET_BYTES, BUCKETS_LEAST = 32_000_000, 24
+# keys of a bucket that are added up at a time
+MERGED_KEYS = 4_000_000
+# logarithms of the gamma function that are looked up
+TABLE = 1 << 12
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,22 +63,6 @@ def strings_of(texts: list[bytes], depth: int):
     return code[real], sizes
 
 
-class Chunks:
-    """Numbers the chunk of each text of a task in turn; the numbers are stored, as tasks are cut anew by the cores at hand."""
-
-    def __init__(self) -> None:
-        from pyspark import TaskContext
-
-        self.number, self.size = TaskContext.get().partitionId() << 24, 0
-
-    def add(self, n_bytes: int) -> int:
-        number = self.number
-        self.size += n_bytes + 64
-        if self.size >= CHUNK_BYTES:
-            self.number, self.size = number + 1, 0
-        return number
-
-
 class ChunkCounts:
     """Counts of the words and byte strings of one chunk: what training texts have, and zero for what others add."""
 
@@ -113,7 +103,7 @@ class ChunkCounts:
         return keys, counts
 
     def rows(self):
-        """Keys and counts of the chunk."""
+        """Sorted keys and counts of the chunk."""
         import numpy as np
 
         self.count()
@@ -123,7 +113,9 @@ class ChunkCounts:
             found[word_key(word)] += n
         words = np.fromiter(found.keys(), np.int64, len(found))
         numbers = np.fromiter(found.values(), np.int64, len(found))
-        return np.concatenate([[-1], words, keys]), np.concatenate([[self.ends], numbers, counts])
+        keys, counts = np.concatenate([[-1], words, keys]), np.concatenate([[self.ends], numbers, counts])
+        order = np.argsort(keys)
+        return keys[order], counts[order]
 
 
 class Lookup:
@@ -169,116 +161,269 @@ class Lookup:
         return out
 
 
-def chunk_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """chunk, key, n: every word and byte string of every chunk of `docs` (chunk, text, trains).
+def pack(values) -> bytes:
+    """Numbers of eight bytes as compressed planes of their differences' bytes."""
+    import numpy as np
+    import pyarrow as pa
 
-    Where a chunk is read by two tasks, both give its keys.
-    """
+    steps = np.diff(values.view(np.int64), prepend=0)
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, size: int):
+    import numpy as np
     import pyarrow as pa
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    planes = np.frombuffer(pa.decompress(data, size * 8, codec="zstd", asbytes=True), np.uint8).reshape(8, size)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
+def cut_below(depth: int) -> int:
+    """The level whose contexts deal the level `depth` to buckets: two shorter, and one byte before none."""
+    return depth - 2 if depth > 2 else int(depth > 1)
+
+
+def bucket_of(context, buckets: int):
+    """Of a context of at most four bytes, as a number or column."""
+    return context * 0x5851F42D % 0x7FFFFFFF % buckets
+
+
+def reversed_contexts(codes, depth: int):
+    """The contexts of strings with the last byte highest, so that a shorter context is a beginning."""
+    out = codes * 0
+    for i in range(1, depth + 1):
+        out = out << 8 | (codes >> 8 * i & 255)
+    return out
+
+
+def buckets_of(keys, depth: int, buckets: int):
+    """Buckets of strings and words."""
+    import numpy as np
+
+    context = reversed_contexts(keys, depth) >> 8 * (depth - cut_below(depth))
+    return bucket_of(np.where(keys < 0, -keys & 0xFFFFFF, context), buckets)
+
+
+def chunk_counts(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """bucket, chunk, size, keys, counts: the words and byte strings of every chunk of `docs` (chunk, text, trains), packed."""
+    import pyarrow as pa
+
+    def run(rows: pa.Table) -> pa.Table:
         import numpy as np
 
-        number, counts = None, None
+        counts = ChunkCounts(depth)
+        for text, trains in zip(utf8(rows.column("text")), rows.column("trains").to_pylist(), strict=True):
+            counts.add(text, trains)
+        keys, n = counts.rows()
+        at = buckets_of(keys, depth, buckets)
+        order = np.argsort(at, kind="stable")
+        keys, n, at = keys[order], n[order], at[order]
+        starts = np.flatnonzero(np.diff(at, prepend=-1))
+        parts = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(at)], strict=True)]
+        number = rows.column("chunk")[0].as_py()
+        out = [(int(at[p.start]), number, p.stop - p.start, pack(keys[p]), pack(n[p])) for p in parts]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.Table.from_arrays(columns, ["bucket", "chunk", "size", "keys", "counts"])
+
+    return docs.groupBy("chunk").applyInArrow(run, "bucket long, chunk long, size long, keys binary, counts binary")
+
+
+def sums_of(rows):
+    """Sorted keys of a bucket and their counts in all chunks, from packed rows."""
+    import numpy as np
 
-        def rows():
-            keys, n = counts.rows()
-            for low in range(0, len(keys), 1 << 17):
-                part = slice(low, low + (1 << 17))
-                columns = [pa.array(np.full(len(keys[part]), number, np.int64)), pa.array(keys[part]), pa.array(n[part])]
-                yield pa.RecordBatch.from_arrays(columns, ["chunk", "key", "n"])
+    done, waiting, size = (np.zeros(0, np.int64),) * 2, [], 0
 
-        for batch in batches:
-            for mine, text, trains in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                if mine != number:
-                    if counts:
-                        yield from rows()
-                    number, counts = mine, ChunkCounts(depth)
-                counts.add(text, trains)
-        if counts:
-            yield from rows()
+    def merged():
+        keys, where = np.unique(np.concatenate([done[0], *(k for k, _ in waiting)]), return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, where, np.concatenate([done[1], *(c for _, c in waiting)]))
+        return keys, counts
 
-    return docs.mapInArrow(run, "chunk long, key long, n long")
+    for n, keys, counts in zip(*(rows.column(c).to_pylist() for c in ("size", "keys", "counts")), strict=True):
+        waiting.append((unpack(keys, n), unpack(counts, n)))
+        size += n
+        if size >= MERGED_KEYS:
+            done, waiting, size = merged(), [], 0
+    return merged()
 
 
-def log_kt(n0: Column, n1: Column) -> Column:
-    """ln of the Krichevsky-Trofimov probability of n0 zeros and n1 ones, whatever their order."""
-    n0, n1 = n0.cast("double"), n1.cast("double")
-    return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - log_gamma(n0 + n1 + 1.0) - math.log(math.pi)
+def log_gamma_of(n, half: bool):
+    """ln of the gamma function at n + 1/2 or n + 1 for whole n from 0 on."""
+    import numpy as np
+
+    add = 0.5 if half else 1.0
+    table = np.array([math.lgamma(i + add) for i in range(min(TABLE, int(n.max()) + 1))])
+    z = np.maximum(n, TABLE) + add
+    series = (z - 0.5) * np.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z**3)
+    return np.where(n < TABLE, table[np.minimum(n, len(table) - 1)], series)
 
 
-def tree_levels(counts: DataFrame, depth: int) -> list[DataFrame]:
-    """Per depth 0 to `depth` the nodes (context, node) with p, the probability of a one where no longer context is known.
+def rise(key, n0, n1, below, deep: int, cut: int):
+    """The levels from `deep` to above `cut`, and the nodes of the level `cut`: key, n0, n1 and below.
 
-    counts: code (the bytes as one number, the last byte lowest) and c, its count in training texts. From the longest
-    contexts up every level adds the counts of the one below it and weighs; then from the shortest down every node adds
-    its estimate to the mixture so far. `rest` is the weight that longer contexts share.
+    Sorted keys: the node, then the context with its last byte first. A level has for each node its weight, its estimate and the place
+    of its node on the next level. below: what the longer contexts gave, minus infinity where there are none.
     """
-    byte = F.col("code").bitwiseAND(F.lit(255))
-    decisions = F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda j: F.struct(
-            (F.call_function("shiftleft", F.lit(1), j) + F.call_function("shiftright", byte.cast("int"), 8 - j)).alias("node"),
-            F.call_function("shiftright", byte.cast("int"), 7 - j).bitwiseAND(F.lit(1)).alias("bit"),
-        ),
-    )
-    rows = counts.filter("c > 0").select(F.shiftright("code", 8).alias("context"), "c", F.inline(decisions))
-    level = rows.groupBy("context", "node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("c")).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("bit") == 1, F.col("c")).otherwise(0)).alias("n1"),
-    )
-    level = store(level.withColumn("weighed", log_kt(F.col("n0"), F.col("n1"))).withColumn("own", F.lit(1.0)), "tree")
-    up = [level]
-    for d in range(depth - 1, -1, -1):
-        shorter = F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1).cast("long")).alias("context")
-        sums = up[-1].groupBy(shorter, "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighed").alias("below"))
-        sums = sums.withColumn("kt", log_kt(F.col("n0"), F.col("n1")))
-        high, low = F.greatest("kt", "below"), F.least("kt", "below")
-        sums = sums.withColumn("weighed", high + F.log1p(F.exp(low - high)) - math.log(2))
-        sums = sums.withColumn("own", 1 / (1 + F.exp(F.least(F.col("below") - F.col("kt"), F.lit(700.0)))))
-        up.append(store(sums.select("context", "node", "n0", "n1", "weighed", "own"), "tree"))
-    down: list[DataFrame] = []
-    for d, level in enumerate(reversed(up)):
-        estimate = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-        if d == 0:
-            nodes = level.withColumns({"mixed": F.lit(0.0), "rest": F.lit(1.0)})
-        else:
-            above = down[-1].select(F.col("context").alias("up"), "node", "mixed", "rest")
-            shorter = F.col("context").bitwiseAND(F.lit((1 << 8 * (d - 1)) - 1).cast("long"))
-            nodes = level.withColumn("up", shorter).join(above, ["up", "node"])
-        mixed = F.col("mixed") + F.col("rest") * F.col("own") * estimate
-        rest = F.col("rest") * (1 - F.col("own"))
-        nodes = nodes.select("context", "node", mixed.alias("mixed"), rest.alias("rest"))
-        down.append(store(nodes.withColumn("p", F.col("mixed") + 0.5 * F.col("rest")), "tree"))
-    discard(*up)
-    return down
-
-
-def string_values(counts: DataFrame, depth: int) -> DataFrame:
-    """key and value, log10 of the probability of its last byte, for every byte string (key, c), trained on or not."""
-    codes = counts.select(F.col("key").alias("code"), "c")
-    levels = tree_levels(codes, depth)
-    byte = F.col("code").bitwiseAND(F.lit(255)).cast("int")
-    decisions = F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda j: F.struct(
-            (F.call_function("shiftleft", F.lit(1), j) + F.call_function("shiftright", byte, 8 - j)).alias("node"),
-            F.call_function("shiftright", byte, 7 - j).bitwiseAND(F.lit(1)).alias("bit"),
-        ),
-    )
-    rows = codes.select("code", "c", F.inline(decisions))
-    # what was trained on has all its nodes on the last level; the rest takes the longest context that has the node
-    known = rows.filter("c > 0").withColumn("context", F.shiftright("code", 8))
-    known = known.join(levels[-1].select("context", "node", "p"), ["context", "node"]).select("code", "bit", "p")
-    new = rows.filter("c = 0").select("code", "node", "bit", F.lit(None).cast("double").alias("p"))
-    for d in range(depth, -1, -1):
-        at = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * d) - 1).cast("long"))
-        level = levels[d].select("context", "node", F.col("p").alias("found"))
-        new = new.withColumn("context", at).join(level, ["context", "node"], "left")
-        new = new.select("code", "node", "bit", F.coalesce("p", "found").alias("p"))
-    both = known.unionByName(new.select("code", "bit", F.coalesce("p", F.lit(0.5)).alias("p")))
-    chance = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    return both.groupBy("code").agg(F.sum(F.log10(chance)).alias("value")).withColumnRenamed("code", "key")
+    import numpy as np
+
+    levels = []
+    for d in range(deep, cut, -1):
+        # the Krichevsky-Trofimov probability of n0 zeros and n1 ones, whatever their order
+        kt = log_gamma_of(n0, True) + log_gamma_of(n1, True) - log_gamma_of(n0 + n1, False) - math.log(math.pi)
+        weighed = np.where(np.isinf(below), kt, np.logaddexp(kt, below) - math.log(2))
+        own = 1 / (1 + np.exp(np.minimum(below - kt, 700.0)))
+        up = key >> 8 if d else key
+        first = np.diff(up, prepend=-1) != 0
+        starts = np.flatnonzero(first)
+        levels.append((own, (n1 + 0.5) / (n0 + n1 + 1), np.cumsum(first) - 1))
+        key, n0, n1, below = up[starts], np.add.reduceat(n0, starts), np.add.reduceat(n1, starts), np.add.reduceat(weighed, starts)
+    return levels, (key, n0, n1, below)
+
+
+def fall(levels, mixed, rest):
+    """The mixture so far and the weight that longer contexts share, carried down from the level above the levels."""
+    for own, estimate, parent in reversed(levels):
+        share = rest[parent]
+        mixed, rest = mixed[parent] + share * own * estimate, share * (1 - own)
+    return mixed, rest
+
+
+def decisions(codes, counts, depth: int):
+    """For each of the eight bits: the strings' bits, their places among its nodes, and the nodes as `rise` takes them."""
+    import numpy as np
+
+    context, byte = reversed_contexts(codes, depth), codes & 255
+    for j in range(8):
+        key = (1 << j | byte >> 8 - j) << 8 * depth | context
+        bit = byte >> 7 - j & 1
+        order = np.argsort(key, kind="stable")
+        first = np.diff(key[order], prepend=-1) != 0
+        starts = np.flatnonzero(first)
+        place = np.empty(len(key), np.int64)
+        place[order] = np.cumsum(first) - 1
+        ones, both = np.add.reduceat((counts * bit)[order], starts), np.add.reduceat(counts[order], starts)
+        yield bit, place, (key[order[starts]], both - ones, ones, np.full(len(starts), -np.inf))
+
+
+NODES = "key long, n0 long, n1 long, below double"
+ESTIMATES = "key long, mixed double, rest double"
+
+
+def node_table(parts):
+    import numpy as np
+    import pyarrow as pa
+
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    return pa.Table.from_arrays([pa.array(x) for x in columns], ["key", "n0", "n1", "below"])
+
+
+def columns_of(table, *names: str):
+    """Columns sorted by the first one."""
+    import numpy as np
+
+    columns = [table.column(n).to_numpy() for n in names]
+    order = np.argsort(columns[0], kind="stable")
+    return [c[order] for c in columns]
+
+
+def dealt(nodes: DataFrame, level: int, by: int, buckets: int) -> DataFrame:
+    """Nodes of a level with the bucket of the last `by` bytes of their contexts."""
+    context = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << 8 * level) - 1).cast("long")), 8 * (level - by))
+    return nodes.withColumn("bucket", bucket_of(context, buckets))
+
+
+def first_nodes(counts: DataFrame, depth: int) -> DataFrame:
+    """The nodes of the level below the strings' two, and under key 0 in n0 and n1 the words' counts and number."""
+    import pyarrow as pa
+
+    cut = cut_below(depth)
+
+    def run(rows: pa.Table) -> pa.Table:
+        import numpy as np
+
+        keys, n = sums_of(rows)
+        word = keys < 0
+        totals = [np.array([x]) for x in (0, n[word].sum(), (n[word] > 0).sum(), 0.0)]
+        parts = [totals]
+        if not word.all():
+            parts += [rise(*nodes, depth, cut)[1] for _, _, nodes in decisions(keys[~word], n[~word], depth)]
+        return node_table(parts)
+
+    return counts.groupBy("bucket").applyInArrow(run, NODES)
+
+
+def next_nodes(nodes: DataFrame, level: int, buckets: int) -> DataFrame:
+    """The nodes two levels up, from those of a level."""
+    import pyarrow as pa
+
+    cut = cut_below(level)
+
+    def run(rows: pa.Table) -> pa.Table:
+        return node_table([rise(*columns_of(rows, "key", "n0", "n1", "below"), level, cut)[1]])
+
+    return dealt(nodes, level, cut, buckets).groupBy("bucket").applyInArrow(run, NODES)
+
+
+def estimates(nodes: DataFrame, above: DataFrame, level: int, buckets: int) -> DataFrame:
+    """ESTIMATES of a level's nodes from those two levels up."""
+    import pyarrow as pa
+
+    cut = cut_below(level)
+
+    def run(rows: pa.Table, higher: pa.Table) -> pa.Table:
+        key, *rest = columns_of(rows, "key", "n0", "n1", "below")
+        levels, _ = rise(key, *rest, level, cut)
+        # both sides have the same nodes of the level above
+        _, mixed, share = columns_of(higher, "key", "mixed", "rest")
+        return pa.Table.from_arrays([pa.array(x) for x in (key, *fall(levels, mixed, share))], ["key", "mixed", "rest"])
+
+    mine, higher = dealt(nodes, level, cut, buckets), dealt(above, cut, cut, buckets)
+    return mine.groupBy("bucket").cogroup(higher.groupBy("bucket")).applyInArrow(run, ESTIMATES)
+
+
+def top_estimates(nodes, level: int):
+    """ESTIMATES of the nodes of contexts of one byte or none, at most 65 280 of them."""
+    import numpy as np
+    import pyarrow as pa
+
+    key, n0, n1, below = columns_of(nodes, "key", "n0", "n1", "below")
+    mixed = rest = np.zeros(0)
+    if len(key):
+        levels, (first, *_) = rise(key, n0, n1, below, level, -1)
+        mixed, rest = fall(levels, np.zeros(len(first)), np.ones(len(first)))
+    return pa.Table.from_arrays([pa.array(x) for x in (key, mixed, rest)], ["key", "mixed", "rest"])
+
+
+def chunk_values(counts: DataFrame, above: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """chunk, size, keys, found: the value of every key of a chunk: a word's count, log10 of the probability of a string's last byte."""
+    import pyarrow as pa
+
+    cut = cut_below(depth)
+
+    def run(rows: pa.Table, higher: pa.Table) -> pa.Table:
+        import numpy as np
+
+        keys, n = sums_of(rows)
+        values, word = n.astype(np.float64), keys < 0
+        if not word.all():
+            key, mixed, share = columns_of(higher, "key", "mixed", "rest")
+            total = np.zeros(len(keys) - word.sum())
+            for bit, place, nodes in decisions(keys[~word], n[~word], depth):
+                levels, (first, *_) = rise(*nodes, depth, cut)
+                at = np.searchsorted(key, first)
+                low, rest = fall(levels, mixed[at], share[at])
+                one = (low + 0.5 * rest)[place]
+                total += np.log10(np.where(bit == 1, one, 1 - one))
+            values[~word] = total
+        sizes, packed = rows.column("size").to_pylist(), rows.column("keys").to_pylist()
+        found = [pack(values[np.searchsorted(keys, unpack(k, size))]) for k, size in zip(packed, sizes, strict=True)]
+        columns = [rows.column("chunk"), rows.column("size"), pa.array(packed, pa.binary()), pa.array(found, pa.binary())]
+        return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], ["chunk", "size", "keys", "found"])
+
+    higher = dealt(above, cut, cut, buckets)
+    return counts.groupBy("bucket").cogroup(higher.groupBy("bucket")).applyInArrow(run, "chunk long, size long, keys binary, found binary")
 
 
 def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -288,36 +433,38 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     n_tokens, n_known, train_tokens, base_score (unigram words, add one half), score (log10 of the text's probability
     in the tree), n_bytes and bits_per_byte (null for an empty text). Null texts are empty, an empty text is one end
     token and has score 0. Rows with a null doc_id train; repeated rows count as often as they stand; without training
-    texts every bit has probability one half. Other columns are ignored. Chunks are numbered once, in a stored table.
+    texts every bit has probability one half. Other columns are ignored. Texts are dealt to chunks by their rows' numbers.
     """
     import pyarrow as pa
 
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks()
-        for batch in batches:
-            numbers = [chunks.add(len(text)) for text in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", "doc_id", "text"])
-
-    placed = store(rows.mapInArrow(place, "chunk long, doc_id long, text string"), "chunks")
+    rows = numbered(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    chunks, buckets = size // CHUNK_BYTES + 1, size // BUCKET_BYTES + BUCKETS_LEAST
+    placed = rows.select(F.pmod(F.xxhash64("row"), F.lit(chunks)).alias("chunk"), "doc_id", "text")
     marked = placed.select("chunk", "text", (~held_out(F.col("doc_id"))).alias("trains"))
-    counts = store(chunk_counts(marked, depth), "counts")
-    sums = store(counts.groupBy("key").agg(F.sum("n").alias("c")), "counts")
-    words = sums.filter("key < 0").agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    counts = store(chunk_counts(marked, depth, buckets), "counts")
+    levels, ups = [cut_below(depth)], [store(first_nodes(counts, depth), "tree")]
+    words = ups[0].filter("key = 0").agg(F.sum("n0").alias("n"), F.sum("n1").alias("v")).first()
     n, v = words["n"] or 0, words["v"] or 0
-    # a word's value is its count, a string's its probability
-    values = sums.filter("key < 0").select("key", F.col("c").cast("double").alias("value"))
-    values = values.unionByName(string_values(sums.filter("key >= 0"), depth))
-    dictionary = store(counts.select("chunk", "key").join(values, "key").select("chunk", "key", "value"), "dictionary")
-    discard(counts, sums)
+    while levels[-1] > 1:
+        ups.append(store(next_nodes(ups[-1].filter("key > 0"), levels[-1], buckets), "tree"))
+        levels.append(cut_below(levels[-1]))
+    above = spark.createDataFrame(top_estimates(ups[-1].filter("key > 0").toArrow(), levels[-1]), ESTIMATES)
+    stored = []
+    for nodes, level in reversed(list(zip(ups[:-1], levels[:-1], strict=True))):
+        above = store(estimates(nodes.filter("key > 0"), above, level, buckets), "tree")
+        stored.append(above)
+    dictionary = store(chunk_values(counts, above, depth, buckets), "dictionary")
+    discard(counts, *ups, *stored)
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         import numpy as np
 
-        keys, found = known.column("key").to_numpy(), known.column("value").to_numpy()
+        sizes = known.column("size").to_pylist()
+        keys = np.concatenate([unpack(k, m) for k, m in zip(known.column("keys").to_pylist(), sizes, strict=True)])
+        found = np.concatenate([unpack(k, m) for k, m in zip(known.column("found").to_pylist(), sizes, strict=True)]).view(np.float64)
         of_word = keys < 0
         count = dict(zip(keys[of_word].tolist(), found[of_word].tolist(), strict=True))
         lookup = Lookup(keys[~of_word], found[~of_word])

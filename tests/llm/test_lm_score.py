@@ -1,5 +1,7 @@
 import random
 import math
+import os
+import sys
 import zlib
 from collections import Counter
 
@@ -7,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowferry.llm import lm_score
+from rowferry.llm import common, lm_score
 from rowferry.llm.common import log_gamma
 from rowferry.llm.lm_score import Lookup, score_texts, strings_of
 from tests.llm.data import documents, empty, in_many_files, other_splits
@@ -127,3 +129,52 @@ def test_default_depth_sees_five_bytes_back(spark):
     docs = spark.createDataFrame([(i, s * 40) for i, s in enumerate(starts)], "doc_id long, text string")
     held = [r for r in score_texts(docs).collect() if r["held_out"]]
     assert held and max(r["bits_per_byte"] for r in held) < 0.3
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4, 5])
+def test_other_depths_against_a_plain_tree(spark, monkeypatch, depth):
+    monkeypatch.setattr(sys.modules[__name__], "DEPTH", depth)
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 4000)
+    docs = documents(spark)
+    check(docs, score_texts(docs, depth))
+
+
+def test_stored_tables_stay_near_the_texts(spark, monkeypatch, tmp_path):
+    """All that is stored at one time, to the bytes of the texts' file."""
+    draw = random.Random(7)
+    words = ["".join(draw.choice("etaoinshrdlu") for _ in range(draw.randint(2, 9))) for _ in range(20_000)]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(300))) for i in range(1500)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "t"))
+
+    def size(path):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(str(path).removeprefix("file:")) for f in names)
+
+    live, most = {}, [0]
+
+    def store(df, label):
+        out = common.store(df, label)
+        live[out.stored_at] = size(out.stored_at)
+        most[0] = max(most[0], sum(live.values()))
+        return out
+
+    def discard(*stored):
+        common.discard(*stored)
+        for df in stored:
+            live.pop(df.stored_at)
+
+    monkeypatch.setattr(lm_score, "store", store)
+    monkeypatch.setattr(lm_score, "discard", discard)
+    assert score_texts(spark.read.parquet(str(tmp_path / "t"))).count() == 1500
+    assert 0 < most[0] < 3 * size(tmp_path / "t")
+
+
+def test_packed_numbers_and_log_gamma():
+    draw = np.random.default_rng(4)
+    for values in (np.sort(draw.integers(-(1 << 62), 1 << 62, 999)), draw.integers(0, 5, 100), np.zeros(0, np.int64)):
+        assert (lm_score.unpack(lm_score.pack(values), len(values)) == values).all()
+    values = draw.normal(size=50)
+    assert (lm_score.unpack(lm_score.pack(values), 50).view(np.float64) == values).all()
+    n = np.array([0, 1, 7, 4095, 4096, 10**6, 10**9])
+    for half in (True, False):
+        want = [math.lgamma(i + (0.5 if half else 1.0)) for i in n.tolist()]
+        assert lm_score.log_gamma_of(n, half) == pytest.approx(want, rel=1e-13)
