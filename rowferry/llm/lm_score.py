@@ -15,46 +15,87 @@ driver ever holds the whole model. Strings that are not trained on have nodes wi
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import bounded_batches, discard, numbered, store, utf8
+from rowferry.llm.common import SPACES, bounded_batches, discard, numbered, store, utf8
 
 DEPTH = 5
 # bytes of text that share one dictionary in a task, about
 CHUNK_BYTES = 32_000_000
-# bytes whose strings are looked up at a time
-TILE = 1 << 21
+# bytes whose words or strings are counted or looked up at a time
+TILE = 1 << 20
 # bytes of text for which there is one more bucket, and the least number of buckets
 BUCKET_BYTES, BUCKETS_LEAST = 32_000_000, 24
-# keys of a bucket that are added up at a time
-MERGED_KEYS = 4_000_000
+# keys that are added up at a time, at least
+MERGED_KEYS = 500_000
 # logarithms of the gamma function that are looked up
 TABLE = 1 << 12
+SPACE = re.compile(f"[{SPACES}]".encode())
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def word_key(word: bytes) -> int:
-    """A negative 64-bit name of a word; byte strings have names from 0 on. The end of a text is -1."""
-    from xxhash import xxh64_intdigest
+def texts_of(rows):
+    """The texts of a group as bytes, those of one Arrow batch at a time."""
+    for batch in rows.column("text").chunks:
+        yield from utf8(batch)
 
-    return -2 - (xxh64_intdigest(word) >> 2)
 
+def word_keys(words):
+    """Negative 64-bit names of words; byte strings have names from 0 on. The end of a text is -1."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
 
-def strings_of(texts: list[bytes], depth: int):
-    """The codes of the `depth` + 1 bytes that end at each byte of the texts, zeros standing before a text's start."""
+    return np.fromiter((-2 - (xxh64_intdigest(word) >> 2) for word in words), np.int64, len(words))
+
+
+def word_lists(text: bytes):
+    """The words of a text in lists for about TILE bytes each, so that a very long text never has all its words at once."""
+    at = 0
+    while at < len(text):
+        space = SPACE.search(text, at + TILE)
+        end = space.start() if space else len(text)
+        yield text[at:end].lower().split()
+        at = end
+
+
+def tiles(texts, depth: int):
+    """Numbered texts in lists of about TILE bytes, longer texts cut: the bytes before the first part, numbers, parts."""
+    before, numbers, parts, size = bytes(depth), [], [], 0
+    for number, text in texts:
+        for at in range(0, len(text) or 1, TILE):
+            if not parts:
+                before = text[max(at - depth, 0) : at].rjust(depth, b"\0")
+            part = text[at : at + TILE]
+            numbers.append(number)
+            parts.append(part)
+            size += len(part)
+            if size >= TILE or at + TILE < len(text):
+                yield before, numbers, parts
+                numbers, parts, size = [], [], 0
+    if parts:
+        yield before, numbers, parts
+
+
+def strings_of(texts: list[bytes], depth: int, before: bytes | None = None):
+    """The codes of the `depth` + 1 bytes that end at each byte of the texts, zeros standing before a text's start.
+
+    `before` stands before the first text instead, where that goes on with a longer one.
+    """
     import numpy as np
 
     pad = bytes(depth)
-    data = np.frombuffer(pad + pad.join(texts), np.uint8).astype(np.int64)
+    data = np.frombuffer((pad if before is None else before) + pad.join(texts), np.uint8)
     code = np.zeros(len(data) - depth, np.int64)
     for i in range(depth + 1):
-        code = code << 8 | data[i : i + len(code)]
+        code <<= 8
+        code |= data[i : i + len(code)]
     sizes = np.array([len(t) for t in texts], np.int64)
     real = np.ones(len(code), bool)
     starts = np.cumsum(sizes + depth)[:-1] - depth if len(texts) > 1 else np.zeros(0, np.int64)
@@ -63,98 +104,112 @@ def strings_of(texts: list[bytes], depth: int):
     return code[real], sizes
 
 
-class ChunkCounts:
-    """Counts of the words and byte strings of one chunk: what training texts have, and zero for what others add."""
+class Sums:
+    """Counts by integer key, added up when as many wait as are known: about twice the known keys are held."""
 
-    def __init__(self, depth: int):
-        self.depth, self.words, self.others = depth, Counter(), set()
-        self.ends, self.parts = 0, []
-        self.waiting, self.waiting_size = ([], []), 0
-
-    def add(self, text: bytes, trains: bool) -> None:
-        words = text.lower().split()
-        if trains:
-            self.words.update(words)
-            self.ends += 1
-        else:
-            self.others.update(words)
-        self.waiting[not trains].append(text)
-        self.waiting_size += len(text)
-        if self.waiting_size >= TILE:
-            self.count()
-
-    def count(self) -> None:
+    def __init__(self):
         import numpy as np
 
-        for texts, trains in zip(self.waiting, (1, 0), strict=True):
-            if texts:
-                keys, counts = np.unique(strings_of(texts, self.depth)[0], return_counts=True)
-                self.parts.append((keys, counts * trains))
-        self.waiting, self.waiting_size = ([], []), 0
-        if len(self.parts) > 12:
-            self.parts = [self.strings()]
-
-    def strings(self):
-        import numpy as np
+        self.known, self.waiting, self.size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
 
-        keys, where = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, where, np.concatenate([c for _, c in self.parts]))
-        return keys, counts
+    def add(self, keys, counts) -> None:
+        self.waiting.append((keys, counts))
+        self.size += len(keys)
+        if self.size >= max(MERGED_KEYS, len(self.known[0])):
+            self.total()
 
-    def rows(self):
-        """Sorted keys and counts of the chunk."""
+    def total(self):
+        """Sorted keys and their counts."""
         import numpy as np
 
-        self.count()
-        keys, counts = self.strings() if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        found = Counter({word_key(w): 0 for w in self.others})
-        for word, n in self.words.items():
-            found[word_key(word)] += n
-        words = np.fromiter(found.keys(), np.int64, len(found))
-        numbers = np.fromiter(found.values(), np.int64, len(found))
-        keys, counts = np.concatenate([[-1], words, keys]), np.concatenate([[self.ends], numbers, counts])
-        order = np.argsort(keys)
-        return keys[order], counts[order]
+        if self.waiting:
+            parts = [self.known, *self.waiting]
+            self.known, self.waiting, self.size = None, [], 0
+            keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del parts
+            # a stable sort finds the runs of the parts
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+            self.known = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+        return self.known
+
+
+def counted(texts, depth: int):
+    """Sorted keys and counts of the words and strings of (text, trains): what training texts have, zero for what others add."""
+    import numpy as np
+
+    sums, ends = Sums(), 0
+    words, waiting = (Counter(), Counter()), 0
+
+    def add_words() -> None:
+        for trains, found in enumerate(words):
+            keys = word_keys(found)
+            order = np.argsort(keys)
+            sums.add(keys[order], np.fromiter(found.values(), np.int64, len(found))[order] * trains)
+            found.clear()
+
+    def kept():
+        nonlocal ends, waiting
+        for text, trains in texts:
+            ends += trains
+            for some in word_lists(text):
+                words[trains].update(some)
+                waiting += len(some)
+                if waiting >= TILE // 4:
+                    add_words()
+                    waiting = 0
+            yield trains, text
+
+    for before, trains, parts in tiles(kept(), depth):
+        codes, sizes = strings_of(parts, depth, before)
+        teaches = np.repeat(np.array(trains, bool), sizes)
+        for learned in (True, False):
+            keys, n = np.unique(codes[teaches == learned], return_counts=True)
+            sums.add(keys, n * learned)
+    add_words()
+    sums.add(np.array([-1]), np.array([ends]))
+    return sums.total()
 
 
 class Lookup:
-    """Values by integer key: hash tables of falling size, each for the keys that found their slot taken."""
+    """Values by integer key: hash tables of places, of falling size, each for the keys that found their slot taken."""
 
     def __init__(self, keys, values):
         import numpy as np
 
-        self.levels = []
-        seed = 0x9E3779B97F4A7C15
-        while len(keys):
-            bits = max(int(len(keys) * 3).bit_length(), 4)
-            slots = self.slot(keys, seed, bits)
-            at, held = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float64)
-            at[slots], held[slots] = keys, values
-            self.levels.append((seed, bits, at, held))
-            lost = at[slots] != keys
-            keys, values, seed = keys[lost], values[lost], seed * 3 % (1 << 64) | 1
+        self.keys, self.values, self.levels = keys, values, []
+        seed, left = 0x9E3779B97F4A7C15, np.arange(len(keys), dtype=np.int32)
+        while len(left):
+            bits = max(int(len(left) * 3).bit_length(), 4)
+            slots = self.slot(keys[left], seed, bits)
+            at = np.zeros(1 << bits, np.int32)
+            at[slots] = left
+            self.levels.append((seed, bits, at))
+            left, seed = left[at[slots] != left], seed * 3 % (1 << 64) | 1
 
     @staticmethod
     def slot(keys, seed: int, bits: int):
         import numpy as np
 
-        return (keys.astype(np.uint64) * np.uint64(seed)) >> np.uint64(64 - bits)
+        slots = keys.view(np.uint64) * np.uint64(seed)
+        slots >>= np.uint64(64 - bits)
+        return slots.view(np.int64)
 
     def __call__(self, keys):
         """The values of keys that are all known."""
         import numpy as np
 
         out, left = np.zeros(len(keys), np.float64), None
-        for seed, bits, at, held in self.levels:
+        for seed, bits, at in self.levels:
             now = keys if left is None else keys[left]
-            slots = self.slot(now, seed, bits)
-            hit = at[slots] == now
+            places = at[self.slot(now, seed, bits)]
+            hit = self.keys[places] == now
             if left is None:
-                out = np.where(hit, held[slots], 0.0)
+                out = self.values[places]
                 left = np.flatnonzero(~hit)
             else:
-                out[left[hit]] = held[slots[hit]]
+                out[left[hit]] = self.values[places[hit]]
                 left = left[~hit]
             if not len(left):
                 break
@@ -211,10 +266,7 @@ def chunk_counts(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         import numpy as np
 
-        counts = ChunkCounts(depth)
-        for text, trains in zip(utf8(rows.column("text")), rows.column("trains").to_pylist(), strict=True):
-            counts.add(text, trains)
-        keys, n = counts.rows()
+        keys, n = counted(zip(texts_of(rows), rows.column("trains").to_pylist(), strict=True), depth)
         at = buckets_of(keys, depth, buckets)
         order = np.argsort(at, kind="stable")
         keys, n, at = keys[order], n[order], at[order]
@@ -231,22 +283,10 @@ def chunk_counts(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
 def sums_of(rows):
     """Sorted keys of a bucket and their counts in all chunks, from packed rows."""
-    import numpy as np
-
-    done, waiting, size = (np.zeros(0, np.int64),) * 2, [], 0
-
-    def merged():
-        keys, where = np.unique(np.concatenate([done[0], *(k for k, _ in waiting)]), return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, where, np.concatenate([done[1], *(c for _, c in waiting)]))
-        return keys, counts
-
+    sums = Sums()
     for n, keys, counts in zip(*(rows.column(c).to_pylist() for c in ("size", "keys", "counts")), strict=True):
-        waiting.append((unpack(keys, n), unpack(counts, n)))
-        size += n
-        if size >= MERGED_KEYS:
-            done, waiting, size = merged(), [], 0
-    return merged()
+        sums.add(unpack(keys, n), unpack(counts, n))
+    return sums.total()
 
 
 def log_gamma_of(n, half: bool):
@@ -466,42 +506,48 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         keys = np.concatenate([unpack(k, m) for k, m in zip(known.column("keys").to_pylist(), sizes, strict=True)])
         found = np.concatenate([unpack(k, m) for k, m in zip(known.column("found").to_pylist(), sizes, strict=True)]).view(np.float64)
         of_word = keys < 0
-        count = dict(zip(keys[of_word].tolist(), found[of_word].tolist(), strict=True))
+        order = np.argsort(keys[of_word])
+        names, counts = keys[of_word][order], found[of_word][order]
         lookup = Lookup(keys[~of_word], found[~of_word])
         below = n + 0.5 * (v + 1)
-        base: dict[bytes, float] = {}
-        unknown: set[bytes] = set()
-        end = count.get(-1, 0.0)
-        columns = [[] for _ in range(5)]
-        waiting, size = [], 0
-
-        def flush():
-            codes, sizes = strings_of(waiting, depth)
+        end = counts[-1]
+        columns = [np.full(texts.num_rows, x) for x in (1, int(end > 0), math.log10((end + 0.5) / below), 0.0, 0)]
+        n_tokens, n_known, base_score, in_tree, n_bytes = columns
+        lists, waiting = [], 0
+
+        def add_words() -> None:
+            distinct = list(set().union(*(words for _, words in lists)))
+            c = counts[np.searchsorted(names, word_keys(distinct))]
+            base = dict(zip(distinct, np.log10((c + 0.5) / below).tolist(), strict=True))
+            unknown = {distinct[i] for i in np.flatnonzero(c == 0)}
+            for number, words in lists:
+                n_tokens[number] += len(words)
+                n_known[number] += len(words) - sum(map(unknown.__contains__, words))
+                base_score[number] += sum(map(base.__getitem__, words))
+            lists.clear()
+
+        def kept():
+            nonlocal waiting
+            for number, text in enumerate(texts_of(texts)):
+                for some in word_lists(text):
+                    lists.append((number, some))
+                    waiting += len(some)
+                    if waiting >= TILE // 4:
+                        add_words()
+                        waiting = 0
+                yield number, text
+
+        for before, numbers, parts in tiles(kept(), depth):
+            codes, sizes = strings_of(parts, depth, before)
             total = np.concatenate([[0.0], np.cumsum(lookup(codes))])
             ends = np.cumsum(sizes)
-            columns[3].extend((total[ends] - total[ends - sizes]).tolist())
-            columns[4].extend(sizes.tolist())
-
-        for text in utf8(texts.column("text")):
-            tokens = text.lower().split()
-            for word in set(tokens).difference(base):
-                c = count[word_key(word)]
-                base[word] = math.log10((c + 0.5) / below)
-                if not c:
-                    unknown.add(word)
-            columns[0].append(len(tokens) + 1)
-            columns[1].append(len(tokens) - sum(map(unknown.__contains__, tokens)) + (end > 0))
-            columns[2].append(sum(map(base.__getitem__, tokens)) + math.log10((end + 0.5) / below))
-            waiting.append(text)
-            size += len(text)
-            if size >= TILE:
-                flush()
-                waiting, size = [], 0
-        if waiting:
-            flush()
+            # a text has one part in a tile
+            in_tree[numbers] += total[ends] - total[ends - sizes]
+            n_bytes[numbers] += sizes
+        add_words()
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         arrays = [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)]
-        arrays = [texts.column("doc_id").combine_chunks(), *arrays]
+        arrays = [texts.column("doc_id"), *arrays]
         return pa.Table.from_arrays(arrays, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
     scored = placed.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(

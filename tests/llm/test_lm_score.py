@@ -2,6 +2,7 @@ import random
 import math
 import os
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -178,3 +179,57 @@ def test_packed_numbers_and_log_gamma():
     for half in (True, False):
         want = [math.lgamma(i + (0.5 if half else 1.0)) for i in n.tolist()]
         assert lm_score.log_gamma_of(n, half) == pytest.approx(want, rel=1e-13)
+
+
+def test_memory_stays_near_a_tile(monkeypatch):
+    """What a chunk's counts and a long text's strings hold at once, to the bytes of the texts."""
+    monkeypatch.setattr(lm_score, "TILE", 1 << 16)
+    monkeypatch.setattr(lm_score, "MERGED_KEYS", 1 << 14)
+    draw = random.Random(3)
+    words = [bytes(draw.choices(b"etaoinsh", k=5)) for _ in range(500)]
+    text = b" ".join(draw.choices(words, k=700_000))
+    tracemalloc.start()
+    try:
+        keys, counts = lm_score.counted([(text, True), (b"zz", False)], 2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 4 * len(text)
+    strings = keys >= 0
+    expected = np.unique(strings_of([text], 2)[0], return_counts=True)
+    taught = counts > 0
+    assert (keys[strings & taught] == expected[0]).all() and (counts[strings & taught] == expected[1]).all()
+    count = Counter(text.split())
+    names = lm_score.word_keys(list(count))
+    assert dict(zip(keys[~strings].tolist(), counts[~strings].tolist(), strict=True)) == {
+        **dict(zip(names.tolist(), count.values(), strict=True)),
+        int(lm_score.word_keys([b"zz"])[0]): 0,
+        -1: 1,
+    }
+
+
+def test_lookup_takes_few_bytes_a_key():
+    keys = np.arange(1 << 18, dtype=np.int64) * 7919
+    tracemalloc.start()
+    try:
+        lookup = Lookup(keys, keys.astype(float))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert (lookup(keys) == keys).all() and held < 48 * len(keys)
+
+
+def test_texts_longer_than_a_tile_are_cut_and_whole(monkeypatch):
+    monkeypatch.setattr(lm_score, "TILE", 7)
+    texts = [b"", b"one two", b"x" * 30, b"a b  c\td\n" * 9, b"end"]
+    for depth in (0, 2, 5):
+        found = {i: [] for i in range(len(texts))}
+        for before, numbers, parts in lm_score.tiles(enumerate(texts), depth):
+            assert len(set(numbers)) == len(numbers)
+            codes, sizes = strings_of(parts, depth, before)
+            for number, some in zip(numbers, np.split(codes, np.cumsum(sizes)[:-1]), strict=True):
+                found[number].extend(some.tolist())
+        for i, text in enumerate(texts):
+            assert found[i] == strings_of([text], depth)[0].tolist()
+    for text in texts:
+        assert [w for some in lm_score.word_lists(text.upper()) for w in some] == text.split()
